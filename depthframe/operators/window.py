@@ -37,50 +37,62 @@ def with_scalars(df: DataFrame, stats: DataFrame, assets: Sequence[str] | None)
     return df.join(bounded_broadcast(stats, assets), "asset", "left")
 
 
-def ordered_offset(
+def ordered_offsets(
     df: DataFrame,
     keys: Sequence[str],
     levels: Mapping[str, Column],
     order: Sequence[str | Column],
-    out: str,
-    value: Column | None = None,
+    outs: Mapping[str, Column | None],
 ) -> DataFrame:
-    """Add ``out``: the number of earlier rows (or the sum of their ``value``).
+    """Add, per name in ``outs``, the sum of its value over all earlier rows.
 
-    ``levels`` are bucket expressions from coarse to fine that agree with
-    ``order``. One window task holds the rows of one finest bucket, or the
-    children of one coarser bucket, and nothing larger.
+    A value of None counts rows, which gives a 0-based position. ``levels`` are
+    bucket expressions from coarse to fine that agree with ``order``. One window
+    task holds the rows of one finest bucket, or the children of one coarser
+    bucket, and nothing larger.
     """
     names = list(levels)
+    kept = [c for c in df.columns if c not in names]
     df = df.withColumns(dict(levels))
     cell = [*keys, *names]
-    weight = F.lit(1) if value is None else value
     fine = Window.partitionBy(*cell).orderBy(*order)
-    if value is None:
-        inner = F.row_number().over(fine) - 1
-    else:
-        inner = F.coalesce(F.sum(value).over(fine.rowsBetween(*BEFORE)), F.lit(0))
-    rows = df.withColumn("_inner", inner)
-
-    totals = df.groupBy(*cell).agg(F.sum(weight).alias("_t"))
-    steps = []
+    inner, weights = {}, {}
+    for i, value in enumerate(outs.values()):
+        weights[i] = F.lit(1).cast("long") if value is None else value
+        if value is None:
+            inner[f"_in{i}"] = (F.row_number().over(fine) - 1).cast("long")
+        else:
+            inner[f"_in{i}"] = F.coalesce(F.sum(value).over(fine.rowsBetween(*BEFORE)), F.lit(0))
+    rows = df.withColumns(inner)
+
+    totals = df.groupBy(*cell).agg(*[F.sum(v).alias(f"_t{i}") for i, v in weights.items()])
+    offsets = None
     for depth in range(len(names), 0, -1):
         outer = [*keys, *names[: depth - 1]]
         w = Window.partitionBy(*outer).orderBy(names[depth - 1]).rowsBetween(*BEFORE)
-        offset = F.coalesce(F.sum("_t").over(w), F.lit(0))
-        steps.append(totals.withColumn(f"_o{depth}", offset).drop("_t"))
+        before = {f"_o{depth}_{i}": F.coalesce(F.sum(f"_t{i}").over(w), F.lit(0)) for i in weights}
+        step = totals.withColumns(before).drop(*[f"_t{i}" for i in weights])
+        offsets = step if offsets is None else offsets.join(step, [*keys, *names[:depth]])
         if depth > 1:
-            totals = totals.groupBy(*outer).agg(F.sum("_t").alias("_t"))
-    offsets = steps[-1]
-    for depth in range(2, len(names) + 1):
-        finer = steps[len(names) - depth]
-        offsets = finer.join(offsets, [*keys, *names[: depth - 1]])
-    parts = [F.col(f"_o{d}") for d in range(1, len(names) + 1)]
-    offsets = offsets.select(*cell, reduce(lambda a, b: a + b, parts).alias("_off"))
-    joined = rows.join(offsets, cell)
-    keep = [c for c in df.columns if c not in names]
-    result = F.col("_off") + F.col("_inner")
-    return joined.select(*keep, (result if value is not None else result.cast("long")).alias(out))
+            totals = totals.groupBy(*outer).agg(*[F.sum(f"_t{i}").alias(f"_t{i}") for i in weights])
+    parts = {
+        i: reduce(lambda a, b: a + b, [F.col(f"_o{d}_{i}") for d in range(1, len(names) + 1)]) for i in weights
+    }
+    offsets = offsets.select(*cell, *[parts[i].alias(f"_off{i}") for i in weights])
+    results = [(F.col(f"_off{i}") + F.col(f"_in{i}")).alias(out) for i, out in enumerate(outs)]
+    return rows.join(offsets, cell).select(*kept, *results)
+
+
+def ordered_offset(
+    df: DataFrame,
+    keys: Sequence[str],
+    levels: Mapping[str, Column],
+    order: Sequence[str | Column],
+    out: str,
+    value: Column | None = None,
+) -> DataFrame:
+    """``ordered_offsets`` for one output."""
+    return ordered_offsets(df, keys, levels, order, {out: value})
 
 
 def epoch_micros(ts: Column | str) -> Column:
@@ -115,7 +127,8 @@ def halo(df: DataFrame, index: str, before: int, after: int, block_rows: int) ->
     """
     i = F.col(index)
     size = max(block_rows, before + after + 1)
-    first = F.greatest(F.floor((i - after) / size), F.lit(0)).cast("long")
+    first = F.floor((i - after) / size)
+    first = F.when(i >= 0, F.greatest(first, F.lit(0))).otherwise(first).cast("long")
     last = F.floor((i + before) / size).cast("long")
     home = F.floor(i / size).cast("long")
     return (
