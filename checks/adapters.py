@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from depthframe.params import BookParams
+from depthframe.sources.readers import spread
 
 EVENTS = """
 select event_type as asset, cast(date_trunc('hour', ts) as {ntz}) as ts,
@@ -89,13 +90,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def book_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour = "unix_seconds(cast(date_trunc('hour', ts) as timestamp)) div 3600"
     text = EVENTS.format(ntz="timestamp_ntz", hour=hour, events="{events}")
-    return spark.sql(text, events=table(spark, sf_dir, "events"))
+    return spark.sql(text, events=spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def book_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = "unix_seconds(cast(l_shipdate as timestamp)) div 86400"
     text = LINEITEM.format(ntz="timestamp_ntz", day=day, lineitem="{lineitem}")
-    return spark.sql(text, lineitem=table(spark, sf_dir, "lineitem"))
+    return spark.sql(text, lineitem=spread(table(spark, sf_dir, "lineitem"), "l_orderkey"))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,14 +74,6 @@ def l_line(spark: SparkSession, sf: str, p: BookParams = LINEITEM_PARAMS) -> Dat
     return build_line(l_book(spark, sf), p)
 
 
-def e_line_staged(spark: SparkSession, sf: str) -> DataFrame:
-    return stage(e_line(spark, sf), "line")
-
-
-def l_line_staged(spark: SparkSession, sf: str) -> DataFrame:
-    return stage(l_line(spark, sf), "line")
-
-
 def e_samples(spark: SparkSession, sf: str) -> DataFrame:
     return build_targets(e_book(spark, sf), EVENT_PARAMS)
 
@@ -104,11 +96,11 @@ def train_and_records(line: DataFrame, p: BookParams, q: ProfileParams = PROFILE
 
 
 def e_records(spark: SparkSession, sf: str, q: ProfileParams = PROFILE) -> DataFrame:
-    return train_and_records(e_line_staged(spark, sf), EVENT_PARAMS, q)
+    return train_and_records(e_line(spark, sf), EVENT_PARAMS, q)
 
 
 def l_records(spark: SparkSession, sf: str, q: ProfileParams = PROFILE) -> DataFrame:
-    return train_and_records(l_line_staged(spark, sf), LINEITEM_PARAMS, q)
+    return train_and_records(l_line(spark, sf), LINEITEM_PARAMS, q)
 
 
 # ---- A: sources and sinks ---------------------------------------------------
@@ -286,7 +278,8 @@ def d2_source_order(spark, sf):
 
 @query
 def d3_gap_report(spark, sf):
-    return timeline.check_gaps(snapshots(e_book(spark, sf)), EVENT_PARAMS.max_gap_seconds, "report")
+    indexed = timeline.index_snapshots(snapshots(e_book(spark, sf)))
+    return timeline.check_gaps(indexed, EVENT_PARAMS, "report")
 
 
 @query
@@ -316,7 +309,7 @@ def _flat_line(line):
 
 @query
 def d7_gap_statistics(spark, sf):
-    out = timeline.gap_statistics(e_line(spark, sf), EVENT_PARAMS.cadence_seconds, 2.0, 6.0)
+    out = timeline.gap_statistics(e_line(spark, sf), EVENT_PARAMS, 2.0, 6.0)
     return rounded(out, "diag_gap_fraction_large", "diag_gap_fraction_very_large")
 
 
@@ -403,7 +396,8 @@ def d13_alignment_quality(spark, sf):
 
 @query
 def d14_interval_distribution(spark, sf):
-    return timeline.gap_intervals(snapshots(e_book(spark, sf)))
+    indexed = timeline.index_snapshots(snapshots(e_book(spark, sf)))
+    return timeline.gap_intervals(indexed, EVENT_PARAMS.block_rows)
 
 
 # ---- E: windows -------------------------------------------------------------
@@ -444,7 +438,7 @@ def e5_lag_lead(spark, sf):
 
 @query
 def e6_neighbourhood(spark, sf):
-    line = e_line_staged(spark, sf)
+    line = e_line(spark, sf)
     anchors = check_anchors(line)
     out = diagnostics.neighbourhood(line, anchors, EVENT_PARAMS.window_steps, EVENT_PARAMS.horizon_steps, EVENT_ASSETS)
     return rounded(out, "offset_seconds", "mid", "change_pct")
@@ -459,13 +453,13 @@ def check_anchors(line):
 
 @query
 def e7_rolling_volatility(spark, sf):
-    out = features.rolling_volatility(e_line_staged(spark, sf), 86400, EVENT_PARAMS)
+    out = features.rolling_volatility(e_line(spark, sf), 86400, EVENT_PARAMS)
     return rounded(out.select("asset", "snap_idx", "vol", "vol_norm"), "vol", "vol_norm")
 
 
 @query
 def e8_volume_percentile(spark, sf):
-    out = features.volume_percentile(e_line_staged(spark, sf))
+    out = features.volume_percentile(e_line(spark, sf))
     return rounded(out.select("asset", "snap_idx", "volume_percentile"), "volume_percentile")
 
 
@@ -564,7 +558,7 @@ def f10_absolute_labels(spark, sf):
 
 @query
 def f10_adaptive_labels(spark, sf):
-    line = e_line_staged(spark, sf)
+    line = e_line(spark, sf)
     volatility = features.rolling_volatility(line, 86400, EVENT_PARAMS)
     out = labels.adaptive_labels(labels.samples(line, EVENT_PARAMS), volatility, EVENT_PARAMS.boundaries, 0.25)
     return out.groupBy("asset", "label_up_adaptive", "label_down_adaptive").agg(F.count("*").alias("n"))
@@ -585,7 +579,7 @@ def g5_temporal_features(spark, sf):
 
 @query
 def g8_temporal_concat(spark, sf):
-    line = e_line_staged(spark, sf)
+    line = e_line(spark, sf)
     anchors = labels.samples(line, EVENT_PARAMS).select("asset", "sample_idx", "ts")
     timed = features.add_temporal_features(anchors, ("hour_of_day",), (), EVENT_ASSETS).drop("ts")
     rows = features.lookback_windows(line, EVENT_PARAMS).join(timed, ["asset", "sample_idx"])
@@ -609,7 +603,7 @@ def h1_grid_patch(spark, sf):
 
 @query
 def h3_missing_policy(spark, sf):
-    return features.require_snapshots(e_line_staged(spark, sf), "fail").groupBy("asset").agg(F.count("*").alias("n"))
+    return features.require_snapshots(e_line(spark, sf), "fail").groupBy("asset").agg(F.count("*").alias("n"))
 
 
 @query
@@ -687,7 +681,7 @@ def i1_chronological_split(spark, sf):
 
 @query
 def i2_uniform_sample(spark, sf):
-    line = e_line_staged(spark, sf)
+    line = e_line(spark, sf)
     p = EVENT_PARAMS
     rows = splits.chronological_split(labels.samples(line, p), labels.sample_counts(line, p), p)
     out = splits.uniform_sample(rows.where(F.col("split") == "train"), split_counts(line, p), "sample_idx", 97, EVENT_ASSETS)
@@ -756,7 +750,7 @@ def j1_records(spark, sf):
 
 @query
 def j1_random_records(spark, sf):
-    line = e_line_staged(spark, sf)
+    line = e_line(spark, sf)
     out = train_and_records(line, EVENT_PARAMS, ProfileParams(sample_method="random", num_samples=150))
     return rounded(out.select("asset", "sample_idx", "label", "spread_pct"), "spread_pct")
 
@@ -832,13 +826,13 @@ def j12_anomalies(spark, sf):
 
 @query
 def j13_label_check_levels(spark, sf):
-    out = diagnostics.label_check_levels(check_anchors(e_line_staged(spark, sf)), EVENT_PARAMS)
+    out = diagnostics.label_check_levels(check_anchors(e_line(spark, sf)), EVENT_PARAMS)
     return rounded(out, "level")
 
 
 @query
 def j14_profile(spark, sf):
-    line = l_line_staged(spark, sf)
+    line = l_line(spark, sf)
     records = stage(train_and_records(line, LINEITEM_PARAMS), "records")
     return rounded(diagnostics.profile(records, line, LINEITEM_PARAMS, PROFILE), "value")
 
@@ -848,7 +842,7 @@ def j14_profile(spark, sf):
 
 @query
 def k1_sample_snapshot_join(spark, sf):
-    line = e_line_staged(spark, sf)
+    line = e_line(spark, sf)
     anchors = labels.samples(line, EVENT_PARAMS).select("asset", "sample_idx", "snap_idx", "label")
     joined = anchors.join(line, ["asset", "snap_idx"])
     return joined.groupBy("asset", "label").agg(F.count("*").alias("n"), r6(F.max("mid")).alias("max_mid"))
@@ -1020,7 +1014,7 @@ def l18_band_metrics(spark, sf):
 
 
 def model_rows(spark, sf):
-    line = e_line_staged(spark, sf)
+    line = e_line(spark, sf)
     p = EVENT_PARAMS
     rows = splits.chronological_split(labels.samples(line, p), labels.sample_counts(line, p), p)
     summary = ml.window_summary(line, p)
@@ -1062,7 +1056,7 @@ def n2_trailing_days(spark, sf):
 
 @query
 def n2_sample_history(spark, sf):
-    line = e_line_staged(spark, sf)
+    line = e_line(spark, sf)
     history = longterm.trailing_days(longterm.daily_statistics(line), ["mid_mean"], 7)
     joined = longterm.attach_history(labels.samples(line, EVENT_PARAMS), history)
     days = F.size("history")

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depthframe.functions.quotes import imbalance, valid_ask, valid_bid
-from depthframe.operators.features import quantity_levels
-from depthframe.operators.window import ordered_offsets
+from depthframe.operators.window import banded_sums
 
 SIDE_KEYS = ["asset", "ts", "side"]
 LEVEL_FEATURES = ("price", "quantity", "price_delta_mid", "cumulative_qty", "relative_depth")
@@ -37,8 +36,7 @@ def ranked_levels(levels: DataFrame) -> DataFrame:
     many prices is spread over its bands.
     """
     keyed = levels.withColumn("_o", F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price")))
-    outs = {"_rank": None, "_before": F.col("quantity")}
-    ranked = ordered_offsets(keyed, SIDE_KEYS, quantity_levels("_o"), ["_o"], outs)
+    ranked = banded_sums(keyed, SIDE_KEYS, "_o", {"_rank": None, "_before": F.col("quantity")})
     return ranked.select(
         *SIDE_KEYS,
         "price",

@@ -191,7 +191,7 @@ def profile(recs: DataFrame, line: DataFrame, p: BookParams, q: ProfileParams) -
     if q.outlier_checks:
         report = report.unionByName(_long(outlier_percent(recs, q, p.assets)))
     if q.gap_checks:
-        gaps = gap_statistics(line, p.cadence_seconds, q.large_gap_multiplier, q.very_large_gap_multiplier)
+        gaps = gap_statistics(line, p, q.large_gap_multiplier, q.very_large_gap_multiplier)
         report = report.unionByName(_long(gaps))
     return report
 

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from depthframe.functions.clock import cyclical, day_of_week, hour_of_day, market_session, minute_of_hour
 from depthframe.functions.quotes import FEATURES, imbalance, weighted_mid
 from depthframe.operators.window import (
+    banded_sums,
     block_window,
-    bounded_broadcast,
     epoch_seconds,
     halo,
-    ordered_offset,
     with_scalars,
 )
 from depthframe.params import BookParams
@@ -202,8 +201,7 @@ def volume_percentile(line: DataFrame) -> DataFrame:
     quantity = F.col("bid_quantity") + F.col("ask_quantity")
     rows = line.withColumns({"day": day, "quantity": quantity})
     counts = rows.groupBy("asset", "day", "quantity").agg(F.count("*").alias("_n"))
-    levels = quantity_levels("quantity")
-    below = ordered_offset(counts, ["asset", "day"], levels, ["quantity"], "_below", value=F.col("_n"))
+    below = banded_sums(counts, ["asset", "day"], "quantity", {"_below": F.col("_n")})
     totals = rows.groupBy("asset", "day").agg(F.count("*").alias("_total"))
     ranked = below.join(totals, ["asset", "day"]).select(
         "asset",
@@ -214,12 +212,6 @@ def volume_percentile(line: DataFrame) -> DataFrame:
     return rows.join(ranked, ["asset", "day", "quantity"]).select(*line.columns, "volume_percentile")
 
 
-def quantity_levels(column: str) -> dict[str, Column]:
-    """Two order-preserving bucket levels for any number."""
-    size = F.signum(column) * F.log(F.lit(1.0) + F.abs(column))
-    return {"_coarse": F.floor(size), "_fine": F.floor(size * 4096)}
-
-
 def exact_quantiles(rows: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles per asset and feature: (asset, feature, probability, value).
 
@@ -233,7 +225,7 @@ def exact_quantiles(rows: DataFrame, columns: Sequence[str], probabilities: Sequ
     ).select("asset", "v.feature", "v.x").where(F.col("x").isNotNull())
     counts = values.groupBy("asset", "feature", "x").agg(F.count("*").alias("_n"))
     keys = ["asset", "feature"]
-    ranked = ordered_offset(counts, keys, quantity_levels("x"), ["x"], "_below", value=F.col("_n"))
+    ranked = banded_sums(counts, keys, "x", {"_below": F.col("_n")})
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     wanted = totals.withColumn("probability", F.explode(F.array(*[F.lit(float(q)) for q in probabilities])))
     wanted = wanted.withColumn("_pos", (F.col("_total") - 1) * F.col("probability"))

@@ -6,73 +6,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthframe.functions.quotes import FEATURES
-from depthframe.operators.window import (
-    block_window,
-    dense_index,
-    epoch_seconds,
-    halo,
-    ordered_offset,
-)
+from depthframe.operators.window import block_window, epoch_seconds, halo, indexed_stage
 from depthframe.params import BookParams
 
 CARRIED = (*FEATURES, "mid")
 
 
-def gap_intervals(line: DataFrame) -> DataFrame:
-    """Whole-second differences of consecutive snapshots: (asset, gap_seconds, n).
+def index_snapshots(snaps: DataFrame) -> DataFrame:
+    """Staged snapshots in time order with a dense ``snap_idx`` per asset."""
+    return indexed_stage(snaps, ["ts"], "snap_idx", "snapshots")
 
-    Works on distinct seconds, so no window holds more than the 86,400 seconds
-    of a day or the days of an asset, however many rows share a second.
-    """
+
+def gap_intervals(line: DataFrame, block_rows: int) -> DataFrame:
+    """Whole-second differences of consecutive snapshots: (asset, gap_seconds, n)."""
     second = epoch_seconds("ts")
-    per_second = (
-        line.select("asset", second.alias("_sec"))
-        .withColumn("_day", F.floor(F.col("_sec") / 86400))
-        .groupBy("asset", "_day", "_sec")
-        .agg(F.count("*").alias("_rows"))
-    )
-    in_day = Window.partitionBy("asset", "_day").orderBy("_sec")
-    inside = per_second.withColumn("_prev", F.lag("_sec").over(in_day)).select(
-        "asset",
-        F.explode(
-            F.array(
-                F.struct((F.col("_sec") - F.col("_prev")).alias("gap"), F.lit(1).cast("long").alias("n")),
-                F.struct(F.lit(0).cast("long").alias("gap"), (F.col("_rows") - 1).alias("n")),
-            )
-        ).alias("g"),
-    )
-    days = per_second.groupBy("asset", "_day").agg(F.min("_sec").alias("_from"), F.max("_sec").alias("_to"))
-    over_days = Window.partitionBy("asset").orderBy("_day")
-    between = days.select(
-        "asset",
-        F.struct((F.col("_from") - F.lag("_to").over(over_days)).alias("gap"), F.lit(1).cast("long").alias("n")).alias(
-            "g"
-        ),
-    )
-    every = inside.unionByName(between).where(F.col("g.gap").isNotNull() & (F.col("g.n") > 0))
-    return every.groupBy("asset", F.col("g.gap").alias("gap_seconds")).agg(F.sum("g.n").alias("n"))
+    cells = halo(line.select("asset", "snap_idx", second.alias("_sec")), "snap_idx", 1, 0, block_rows)
+    step = F.col("_sec") - F.lag("_sec").over(block_window("snap_idx"))
+    steps = cells.select("asset", "_own", step.alias("gap_seconds")).where(F.col("_own") & F.col("gap_seconds").isNotNull())
+    return steps.groupBy("asset", "gap_seconds").agg(F.count("*").alias("n"))
 
 
-def gap_report(line: DataFrame, max_gap_seconds: int) -> DataFrame:
+def gap_report(line: DataFrame, p: BookParams) -> DataFrame:
     """One row per asset: largest and smallest step and whether the limit holds."""
-    if max_gap_seconds <= 0:
-        raise ValueError("max_gap_seconds must be positive")
-    return gap_intervals(line).groupBy("asset").agg(
+    return gap_intervals(line, p.block_rows).groupBy("asset").agg(
         F.max("gap_seconds").alias("max_gap_seconds"),
         F.min("gap_seconds").alias("min_gap_seconds"),
-        (F.max("gap_seconds") <= max_gap_seconds).alias("within_limit"),
+        (F.max("gap_seconds") <= p.max_gap_seconds).alias("within_limit"),
     )
 
 
-def check_gaps(line: DataFrame, max_gap_seconds: int, mode: str) -> DataFrame:
-    """Gap report; ``mode="fail"`` raises for the first asset over the limit."""
-    report = gap_report(line, max_gap_seconds)
+def check_gaps(line: DataFrame, p: BookParams, mode: str) -> DataFrame:
+    """Gap report of an indexed line; ``mode="fail"`` raises for an asset over the limit."""
+    report = gap_report(line, p)
     if mode == "fail":
         bad = report.where(~F.col("within_limit")).take(1)
         if bad:
             raise ValueError(
                 f"snapshot gap of {bad[0]['max_gap_seconds']} s for asset {bad[0]['asset']} "
-                f"exceeds {max_gap_seconds} s"
+                f"exceeds {p.max_gap_seconds} s"
             )
     elif mode != "report":
         raise ValueError("mode must be 'fail' or 'report'")
@@ -108,11 +79,6 @@ def source_order_report(book: DataFrame, rows_per_group: int = 65536) -> DataFra
     )
 
 
-def index_snapshots(snaps: DataFrame) -> DataFrame:
-    """Dense ``snap_idx`` per asset; the row order of the time line."""
-    return dense_index(snaps, "snap_idx")
-
-
 def fill_gaps(indexed: DataFrame, p: BookParams) -> DataFrame:
     """Gap-repaired time line with whole-second timestamps and a new dense index.
 
@@ -124,48 +90,45 @@ def fill_gaps(indexed: DataFrame, p: BookParams) -> DataFrame:
     start = epoch_seconds("ts")
     whole = F.timestamp_seconds(start).cast("timestamp_ntz")
     if p.gap_mode == "skip":
-        return indexed.select(
-            "asset", "snap_idx", whole.alias("ts"), *CARRIED, F.lit(False).alias("is_filled")
-        )
+        return indexed.select("asset", "snap_idx", whole.alias("ts"), *CARRIED, F.lit(False).alias("is_filled"))
     cells = halo(indexed, "snap_idx", 0, 1, p.block_rows)
-    w = block_window("snap_idx")
-    after = F.lead(F.struct(start.alias("sec"), *CARRIED)).over(w)
-    pairs = cells.withColumn("_next", after).where("_own")
-    gap = F.col("_next.sec") - start
-    cadence = F.lit(p.cadence_seconds)
+    blended = p.gap_mode == "interpolate"
+    ahead = F.struct(start.alias("sec"), *(CARRIED if blended else ()))
+    pairs = cells.withColumn("_next", F.lead(ahead).over(block_window("snap_idx"))).where("_own")
+    gap, cadence = F.col("_next.sec") - start, F.lit(p.cadence_seconds)
     repairable = (gap > cadence) & (gap <= p.max_gap_seconds)
     missing = F.when(repairable, F.floor(gap / cadence) - 1).otherwise(0).cast("long")
-    pairs = pairs.withColumn("_missing", missing)
-    levels = {"_super": F.floor(F.col("_block") / 65536), "_block": F.col("_block")}
-    placed = ordered_offset(pairs, ["asset"], levels, ["snap_idx"], "_first", value=F.col("_missing") + 1)
-    rows = placed.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_missing"))))
+    rows = pairs.withColumn("_missing", missing)
+    rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_missing"))))
     k = F.col("_k")
-    if p.gap_mode == "forward_fill":
-        values = [F.col(c) for c in CARRIED]
-    else:
+    values = [F.col(c) for c in CARRIED]
+    if blended:
         weight = k / (F.col("_missing") + 1).cast("double")
-        blended = {c: (1.0 - weight) * F.col(c) + weight * F.col(f"_next.{c}") for c in CARRIED}
-        values = [F.when(k == 0, F.col(c)).otherwise(blended[c]).alias(c) for c in CARRIED]
-    return rows.select(
+        values = [
+            F.when(k == 0, F.col(c)).otherwise((1.0 - weight) * F.col(c) + weight * F.col(f"_next.{c}")).alias(c)
+            for c in CARRIED
+        ]
+    filled = rows.select(
         "asset",
-        (F.col("_first") + k).cast("long").alias("snap_idx"),
+        F.col("snap_idx").alias("_i"),
+        "_k",
         F.timestamp_seconds(start + k * cadence).cast("timestamp_ntz").alias("ts"),
         *values,
         (k > 0).alias("is_filled"),
     )
+    placed = indexed_stage(filled, ["_i", "_k"], "snap_idx", "line")
+    return placed.select("asset", "snap_idx", "ts", *CARRIED, "is_filled")
 
 
-def gap_statistics(
-    line: DataFrame, cadence_seconds: int, large_multiplier: float, very_large_multiplier: float
-) -> DataFrame:
+def gap_statistics(line: DataFrame, p: BookParams, large_multiplier: float, very_large_multiplier: float) -> DataFrame:
     """Largest gap and share of steps above two multiples of the cadence, per asset."""
     n = F.sum("n")
 
     def share(multiplier: float):
-        over = F.when(F.col("gap_seconds") > multiplier * cadence_seconds, F.col("n")).otherwise(0)
+        over = F.when(F.col("gap_seconds") > multiplier * p.cadence_seconds, F.col("n")).otherwise(0)
         return F.sum(over) / n
 
-    return gap_intervals(line).groupBy("asset").agg(
+    return gap_intervals(line, p.block_rows).groupBy("asset").agg(
         F.max("gap_seconds").cast("double").alias("diag_gap_max_seconds"),
         share(large_multiplier).alias("diag_gap_fraction_large"),
         share(very_large_multiplier).alias("diag_gap_fraction_very_large"),

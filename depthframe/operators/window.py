@@ -3,20 +3,20 @@
 A window partitioned by asset alone sorts that asset in one task. The helpers
 here cut the order into pieces of bounded size instead:
 
-* ``ordered_offset`` ranks or running-sums through a hierarchy of buckets,
+* ``indexed_stage`` numbers rows per asset from the positions in sorted files,
 * ``halo`` copies the few rows next to each block border, so a ROWS frame can be
-  evaluated inside blocks of a dense index.
+  evaluated inside blocks of a dense index,
+* ``banded_sums`` ranks or running-sums a group through bands of its order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from depthframe.session import MAX_BROADCAST_ASSETS
+from depthframe.session import MAX_BROADCAST_ASSETS, stage
 
 BEFORE = (Window.unboundedPreceding, -1)
 
@@ -37,62 +37,63 @@ def with_scalars(df: DataFrame, stats: DataFrame, assets: Sequence[str] | None)
     return df.join(bounded_broadcast(stats, assets), "asset", "left")
 
 
-def ordered_offsets(
-    df: DataFrame,
-    keys: Sequence[str],
-    levels: Mapping[str, Column],
-    order: Sequence[str | Column],
-    outs: Mapping[str, Column | None],
+def indexed_stage(df: DataFrame, order: Sequence[str], out: str, name: str) -> DataFrame:
+    """Stage ``df`` sorted by (asset, order) and add its 0-based position per asset.
+
+    ``order`` must be unique per asset. The rows are range-partitioned, so a hot
+    asset spreads over many files of equal size. A written file keeps the order;
+    the position is the row's place in its file plus the rows of its asset in
+    earlier files. Those offsets are staged too, one row per (file, asset), so
+    the planner knows the table's size when it picks the join.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(n, "asset", *order).sortWithinPartitions("asset", *order)
+    rows = stage(placed, name).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    heads = [F.min_by(c, "_row").alias(f"_head{i}") for i, c in enumerate(order)]
+    runs = rows.groupBy("asset", "_file").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"), *heads)
+    files = Window.partitionBy("asset").orderBy(*[f"_head{i}" for i in range(len(order))]).rowsBetween(*BEFORE)
+    shift = F.coalesce(F.sum("_n").over(files), F.lit(0)) - F.col("_first")
+    starts = stage(runs.select("asset", "_file", shift.alias("_shift")).coalesce(1), f"{name}-offsets")
+    joined = rows.join(starts, ["asset", "_file"])
+    return joined.select(*df.columns, (F.col("_row") + F.col("_shift")).alias(out))
+
+
+def value_band(column: str) -> Column:
+    """Order-preserving band of any number, 1/4096 of a natural-log unit wide.
+
+    The range of a double gives fewer than 6 million bands.
+    """
+    size = F.signum(column) * F.log(F.lit(1.0) + F.abs(column))
+    return F.floor(size * 4096)
+
+
+def banded_sums(
+    df: DataFrame, keys: Sequence[str], order: str, outs: Mapping[str, Column | None]
 ) -> DataFrame:
-    """Add, per name in ``outs``, the sum of its value over all earlier rows.
+    """Add, per name in ``outs``, the sum of its value over the rows of smaller ``order``.
 
-    A value of None counts rows, which gives a 0-based position. ``levels`` are
-    bucket expressions from coarse to fine that agree with ``order``. One window
-    task holds the rows of one finest bucket, or the children of one coarser
-    bucket, and nothing larger.
+    A value of None counts rows, which gives a 0-based rank. One window task holds
+    one value band of a group, another the totals of the bands of a group; the
+    distinct rows of a group are never in one task.
     """
-    names = list(levels)
-    kept = [c for c in df.columns if c not in names]
-    df = df.withColumns(dict(levels))
-    cell = [*keys, *names]
-    fine = Window.partitionBy(*cell).orderBy(*order)
-    inner, weights = {}, {}
+    cell = [*keys, "_band"]
+    banded = df.withColumn("_band", value_band(order))
+    fine = Window.partitionBy(*cell).orderBy(order)
+    inner, totals = {}, []
     for i, value in enumerate(outs.values()):
-        weights[i] = F.lit(1).cast("long") if value is None else value
         if value is None:
             inner[f"_in{i}"] = (F.row_number().over(fine) - 1).cast("long")
+            totals.append(F.count("*").alias(f"_t{i}"))
         else:
             inner[f"_in{i}"] = F.coalesce(F.sum(value).over(fine.rowsBetween(*BEFORE)), F.lit(0))
-    rows = df.withColumns(inner)
-
-    totals = df.groupBy(*cell).agg(*[F.sum(v).alias(f"_t{i}") for i, v in weights.items()])
-    offsets = None
-    for depth in range(len(names), 0, -1):
-        outer = [*keys, *names[: depth - 1]]
-        w = Window.partitionBy(*outer).orderBy(names[depth - 1]).rowsBetween(*BEFORE)
-        before = {f"_o{depth}_{i}": F.coalesce(F.sum(f"_t{i}").over(w), F.lit(0)) for i in weights}
-        step = totals.withColumns(before).drop(*[f"_t{i}" for i in weights])
-        offsets = step if offsets is None else offsets.join(step, [*keys, *names[:depth]])
-        if depth > 1:
-            totals = totals.groupBy(*outer).agg(*[F.sum(f"_t{i}").alias(f"_t{i}") for i in weights])
-    parts = {
-        i: reduce(lambda a, b: a + b, [F.col(f"_o{d}_{i}") for d in range(1, len(names) + 1)]) for i in weights
-    }
-    offsets = offsets.select(*cell, *[parts[i].alias(f"_off{i}") for i in weights])
+            totals.append(F.sum(value).alias(f"_t{i}"))
+    bands = Window.partitionBy(*keys).orderBy("_band").rowsBetween(*BEFORE)
+    before = [F.coalesce(F.sum(f"_t{i}").over(bands), F.lit(0)).alias(f"_off{i}") for i in range(len(totals))]
+    offsets = banded.groupBy(*cell).agg(*totals).select(*cell, *before)
     results = [(F.col(f"_off{i}") + F.col(f"_in{i}")).alias(out) for i, out in enumerate(outs)]
-    return rows.join(offsets, cell).select(*kept, *results)
-
-
-def ordered_offset(
-    df: DataFrame,
-    keys: Sequence[str],
-    levels: Mapping[str, Column],
-    order: Sequence[str | Column],
-    out: str,
-    value: Column | None = None,
-) -> DataFrame:
-    """``ordered_offsets`` for one output."""
-    return ordered_offsets(df, keys, levels, order, {out: value})
+    return banded.withColumns(inner).join(offsets, cell).select(*df.columns, *results)
 
 
 def epoch_micros(ts: Column | str) -> Column:
@@ -105,19 +106,6 @@ def epoch_seconds(ts: Column | str) -> Column:
     return F.unix_seconds(ts.cast("timestamp"))
 
 
-def dense_index(df: DataFrame, out: str = "snap_idx", order: Sequence[str] = ("ts",)) -> DataFrame:
-    """0-based position of each row of an asset in time order.
-
-    (asset, ts) is unique, so a second holds at most 10^6 rows and a day at most
-    86,400 seconds: both window levels are bounded whatever the data looks like.
-    """
-    levels = {
-        "_day": F.floor(epoch_seconds("ts") / 86400).cast("long"),
-        "_sec": epoch_seconds("ts"),
-    }
-    return ordered_offset(df, ["asset"], levels, list(order), out)
-
-
 def halo(df: DataFrame, index: str, before: int, after: int, block_rows: int) -> DataFrame:
     """Copy rows into every block whose frames reach them; adds ``_block`` and ``_own``.
 

@@ -9,23 +9,22 @@ from depthframe.operators.snapshot import snapshots
 from depthframe.operators.splits import chronological_split
 from depthframe.operators.timeline import check_gaps, fill_gaps, index_snapshots
 from depthframe.params import BookParams
-from depthframe.session import stage
 
 
 def build_line(book: DataFrame, p: BookParams, on_gap: str = "report") -> DataFrame:
     """Gap-repaired snapshot time line.
 
-    The book is scanned once: its snapshots are staged, since the index, the gap
-    check and the repair all read them. ``on_gap="fail"`` stops on a long gap
+    The book is scanned once: its snapshots are staged in time order, and the gap
+    check and the repair read that table. ``on_gap="fail"`` stops on a long gap
     before the repair.
     """
-    staged = stage(snapshots(book), "snapshots")
+    indexed = index_snapshots(snapshots(book))
     if on_gap == "fail":
-        check_gaps(staged, p.max_gap_seconds, "fail")
-    return fill_gaps(index_snapshots(staged), p)
+        check_gaps(indexed, p, "fail")
+    return fill_gaps(indexed, p)
 
 
 def build_targets(book: DataFrame, p: BookParams, on_gap: str = "report") -> DataFrame:
     """Labelled samples with their chronological split."""
-    line = stage(build_line(book, p, on_gap), "line")
+    line = build_line(book, p, on_gap)
     return chronological_split(samples(line, p), sample_counts(line, p), p)
