@@ -790,7 +790,7 @@ add(
 add(
     "j12_anomalies",
     records("e", high=0.5),
-    select=f"select asset, sample_idx, label, {cols6('spread_pct')}, {ANOMALY} as anomaly_type from (select * from records where {SEVERE} order by sample_idx, asset limit 100)",
+    select=f"select asset, sample_idx, label, {cols6('spread_pct')}, {ANOMALY} as anomaly_type from (select *, row_number() over (partition by asset order by sample_idx) as rk from records where {SEVERE}) where rk <= 100",
 )
 add(
     "j13_label_check_levels",

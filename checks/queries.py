@@ -17,9 +17,8 @@ from checks.adapters import (
     predictions,
     table,
 )
-from depthframe.functions.clock import epoch_unit
 from depthframe.functions.moves import one_hot
-from depthframe.functions.quotes import FEATURES, FLAGS, any_severe, anomaly_type, pct_change, quality_flags, spread_pct
+from depthframe.functions.quotes import FEATURES, FLAGS, any_severe, anomaly_type, quality_flags, spread_pct
 from depthframe.operators import align, depth, diagnostics, evaluation, features, labels, longterm, ml, splits, timeline
 from depthframe.operators.snapshot import snapshots, top_of_book
 from depthframe.operators.window import epoch_micros
@@ -440,7 +439,7 @@ def e5_lag_lead(spark, sf):
 def e6_neighbourhood(spark, sf):
     line = e_line(spark, sf)
     anchors = check_anchors(line)
-    out = diagnostics.neighbourhood(line, anchors, EVENT_PARAMS.window_steps, EVENT_PARAMS.horizon_steps, EVENT_ASSETS)
+    out = diagnostics.neighbourhood(line, anchors, PROFILE.label_examples, EVENT_PARAMS.window_steps, EVENT_PARAMS.horizon_steps, EVENT_ASSETS)
     return rounded(out, "offset_seconds", "mid", "change_pct")
 
 
@@ -527,7 +526,7 @@ def f7_class_weights(spark, sf):
 def f7_weighted_samples(spark, sf):
     rows = stage(l_samples(spark, sf), "samples")
     weights = labels.class_weights(rows.where(F.col("split") == "train"), "label_up", K)
-    joined = labels.with_class_weight(rows, weights, "label_up", LINEITEM_ASSETS)
+    joined = labels.with_class_weight(rows, weights, "label_up", K, LINEITEM_ASSETS)
     return rounded(joined.select("asset", "sample_idx", "label_up", "class_weight"), "class_weight")
 
 
@@ -813,7 +812,7 @@ def j10_spread_label_histogram(spark, sf):
 
 @query
 def j11_depth_heatmap(spark, sf):
-    heat = diagnostics.depth_heatmap(e_book(spark, sf), e_series(spark, sf), 20, 10, EVENT_ASSETS)
+    heat = diagnostics.depth_heatmap(e_book(spark, sf), e_series(spark, sf), PROFILE.num_samples, 20, 10, EVENT_ASSETS)
     return rounded(heat, "volume")
 
 
@@ -851,7 +850,7 @@ def k1_sample_snapshot_join(spark, sf):
 @query
 def k3_sampled_rows(spark, sf):
     series = e_series(spark, sf)
-    quotes = diagnostics.depth_quotes(e_book(spark, sf), series)
+    quotes = diagnostics.depth_quotes(e_book(spark, sf), series, PROFILE.num_samples, EVENT_ASSETS)
     return quotes.groupBy("asset").agg(F.count("*").alias("n"), r6(F.sum("quantity")).alias("quantity"))
 
 

@@ -45,7 +45,7 @@ def align_to_grid(snaps: DataFrame, cadence_seconds: int, tolerance_ms: int) ->
     error = micros - spot * step
     near = snaps.select("asset", spot.alias("grid_idx"), F.struct(F.abs(error).alias("size"), error.alias("error"), *CARRIED).alias("s"))
     near = near.where(F.col("s.size") <= tolerance_ms * 1000)
-    best = near.groupBy("asset", "grid_idx").agg(F.min("s").alias("s"), F.count("*").alias("candidates"))
+    best = near.groupBy("grid_idx", "asset").agg(F.min("s").alias("s"), F.count("*").alias("candidates"))
     return best.select("asset", "grid_idx", (F.col("s.error") / 1000.0).alias("error_ms"), "candidates", *[f"s.{c}" for c in CARRIED])
 
 

@@ -30,28 +30,28 @@ def price_levels(book: DataFrame) -> DataFrame:
 
 
 def ranked_levels(levels: DataFrame) -> DataFrame:
-    """Level rank (1 = best) and cumulative quantity up to and including the level.
+    """Level rank (1 = best), cumulative quantity up to and including the level, side total.
 
     Ranks run through price bands of the snapshot side, so a snapshot with very
     many prices is spread over its bands.
     """
     keyed = levels.withColumn("_o", F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price")))
-    ranked = banded_sums(keyed, SIDE_KEYS, "_o", {"_rank": None, "_before": F.col("quantity")})
+    outs = {"_rank": None, "_before": F.col("quantity")}
+    ranked = banded_sums(keyed, SIDE_KEYS, "_o", outs, {"_before": "side_total"})
     return ranked.select(
         *SIDE_KEYS,
         "price",
         "quantity",
         (F.col("_rank") + 1).alias("level"),
         (F.col("_before") + F.col("quantity")).alias("cumulative_qty"),
+        "side_total",
     )
 
 
 def relative_depth(ranked: DataFrame) -> DataFrame:
     """Cumulative quantity as a share of the side's total."""
-    total = ranked.groupBy(*SIDE_KEYS).agg(F.sum("quantity").alias("_total"))
-    joined = ranked.join(total, SIDE_KEYS)
-    share = F.when(F.col("_total") != 0, F.col("cumulative_qty") / F.col("_total"))
-    return joined.withColumn("relative_depth", share).drop("_total")
+    share = F.when(F.col("side_total") != 0, F.col("cumulative_qty") / F.col("side_total"))
+    return ranked.withColumn("relative_depth", share).drop("side_total")
 
 
 def level_features(ranked: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthframe.functions.bins import equal_width_bin
@@ -222,15 +222,6 @@ def plot_series(recs: DataFrame, sigmas: float, assets: Sequence[str] | None) ->
     )
 
 
-def _bin_grid(keys: dict[str, int], cells: DataFrame, assets_table: DataFrame, values: Sequence[str]) -> DataFrame:
-    """Zero-filled grid: every bin combination of every asset in ``assets_table``."""
-    grid = assets_table.select("asset")
-    for name, n in keys.items():
-        grid = grid.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    joined = grid.join(cells, ["asset", *keys], "left")
-    return joined.select("asset", *keys, *[F.coalesce(F.col(v), F.lit(0)).alias(v) for v in values])
-
-
 def price_histogram(recs: DataFrame, bins: int, assets: Sequence[str] | None) -> DataFrame:
     """Equal-width histogram of positive bid and ask prices per asset, zero bins included."""
     sides = recs.select(
@@ -247,7 +238,7 @@ def price_histogram(recs: DataFrame, bins: int, assets: Sequence[str] | None) ->
     spans = sides.groupBy("asset", "side").agg(
         F.when(lo == hi, lo - 0.5).otherwise(lo).alias("lo"), F.when(lo == hi, hi + 0.5).otherwise(hi).alias("hi")
     )
-    joined = sides.join(bounded_broadcast(spans, assets), ["asset", "side"])
+    joined = sides.join(bounded_broadcast(spans, assets, 2), ["asset", "side"])
     binned = joined.withColumn("bin", equal_width_bin(F.col("price"), F.col("lo"), F.col("hi"), bins))
     counts = binned.groupBy("asset", "side", "bin").agg(F.count("*").alias("n"))
     grid = spans.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
@@ -290,16 +281,17 @@ def spread_label_histogram(series: DataFrame, label_bins: int, spread_bins: int,
     return inside.groupBy("asset", "label", s.alias("spread_bin")).agg(F.count("*").alias("n"))
 
 
-def depth_quotes(book: DataFrame, series: DataFrame) -> DataFrame:
+def depth_quotes(book: DataFrame, series: DataFrame, per_asset: int, assets: Sequence[str] | None) -> DataFrame:
     """Bid and ask quotes of the sampled timestamps: (asset, elapsed_seconds, price, quantity).
 
-    The book is tall, the sampled timestamps are few (at most the sample size per
-    asset): the book is filtered by them, with their time coordinate attached.
+    The book is tall, the sampled timestamps are at most ``per_asset`` (the sample
+    size) per asset: they are broadcast where that is small, so the book is
+    filtered where it is read.
     """
     second = epoch_seconds("ts")
     times = series.select("asset", F.col("ts").alias("_ts"), "elapsed_seconds").distinct()
     rows = book.where(F.col("ts") == F.timestamp_seconds(second).cast("timestamp_ntz"))
-    hits = rows.join(times.withColumnRenamed("_ts", "ts"), ["asset", "ts"])
+    hits = rows.join(bounded_broadcast(times.withColumnRenamed("_ts", "ts"), assets, per_asset), ["asset", "ts"])
     sides = F.array(
         F.struct(F.col("bid_price").alias("price"), F.col("bid_quantity").alias("quantity")),
         F.struct(F.col("ask_price").alias("price"), F.col("ask_quantity").alias("quantity")),
@@ -310,9 +302,12 @@ def depth_quotes(book: DataFrame, series: DataFrame) -> DataFrame:
     )
 
 
-def depth_heatmap(book: DataFrame, series: DataFrame, time_bins: int, price_bins: int, assets: Sequence[str] | None) -> DataFrame:
+def depth_heatmap(
+    book: DataFrame, series: DataFrame, per_asset: int, time_bins: int, price_bins: int, assets: Sequence[str] | None
+) -> DataFrame:
     """Quoted quantity over time x price for the sampled timestamps."""
-    points = depth_quotes(book, series).groupBy("asset", "elapsed_seconds", "price").agg(F.sum("quantity").alias("quantity"))
+    quotes = depth_quotes(book, series, per_asset, assets)
+    points = quotes.groupBy("asset", "elapsed_seconds", "price").agg(F.sum("quantity").alias("quantity"))
     spans = points.groupBy("asset").agg(
         F.min("elapsed_seconds").cast("double").alias("t_lo"),
         F.max("elapsed_seconds").cast("double").alias("t_hi"),
@@ -327,9 +322,14 @@ def depth_heatmap(book: DataFrame, series: DataFrame, time_bins: int, price_bins
 
 
 def anomalies(recs: DataFrame, limit: int) -> DataFrame:
-    """First ``limit`` records with a severe flag, in sample order."""
+    """First ``limit`` records of each asset with a severe flag, in sample order.
+
+    The rank is cut at the limit, which Spark also applies before the shuffle.
+    """
     bad = recs.where(any_severe()).withColumn("anomaly_type", anomaly_type())
-    return bad.orderBy("sample_idx", "asset").limit(limit).select("asset", *RECORD_COLUMNS, "anomaly_type")
+    rank = F.row_number().over(Window.partitionBy("asset").orderBy("sample_idx"))
+    first = bad.withColumn("_rank", rank).where(F.col("_rank") <= limit)
+    return first.select("asset", *RECORD_COLUMNS, "anomaly_type")
 
 
 def label_check_anchors(train: DataFrame, line_lengths: DataFrame, p: BookParams, q: ProfileParams) -> DataFrame:
@@ -341,11 +341,13 @@ def label_check_anchors(train: DataFrame, line_lengths: DataFrame, p: BookParams
     return random_sample(valid, "sample_idx", q.label_examples, q.seed, p.assets)
 
 
-def neighbourhood(line: DataFrame, anchors: DataFrame, before: int, after: int, assets: Sequence[str] | None) -> DataFrame:
+def neighbourhood(
+    line: DataFrame, anchors: DataFrame, per_asset: int, before: int, after: int, assets: Sequence[str] | None
+) -> DataFrame:
     """Mid path of ``before`` rows back to ``after`` rows ahead of each anchor.
 
-    Each anchor lists its before + after + 1 positions, which meet the line in an
-    equi join.
+    Each anchor (at most ``per_asset`` per asset) lists its before + after + 1
+    positions, which meet the line in an equi join.
     """
     spots = anchors.select(
         "asset",
@@ -354,6 +356,7 @@ def neighbourhood(line: DataFrame, anchors: DataFrame, before: int, after: int,
         F.col("mid").alias("anchor_mid"),
         F.explode(F.sequence(F.col("snap_idx") - before, F.col("snap_idx") + after)).alias("snap_idx"),
     )
+    spots = bounded_broadcast(spots, assets, per_asset * (before + after + 1))
     hits = line.select("asset", "snap_idx", "ts", "mid").join(spots, ["asset", "snap_idx"])
     offset = (epoch_micros("ts") - epoch_micros("anchor_ts")) / 1e6
     return hits.select(

@@ -201,9 +201,8 @@ def volume_percentile(line: DataFrame) -> DataFrame:
     quantity = F.col("bid_quantity") + F.col("ask_quantity")
     rows = line.withColumns({"day": day, "quantity": quantity})
     counts = rows.groupBy("asset", "day", "quantity").agg(F.count("*").alias("_n"))
-    below = banded_sums(counts, ["asset", "day"], "quantity", {"_below": F.col("_n")})
-    totals = rows.groupBy("asset", "day").agg(F.count("*").alias("_total"))
-    ranked = below.join(totals, ["asset", "day"]).select(
+    below = banded_sums(counts, ["asset", "day"], "quantity", {"_below": F.col("_n")}, {"_below": "_total"})
+    ranked = below.select(
         "asset",
         "day",
         "quantity",
@@ -225,11 +224,9 @@ def exact_quantiles(rows: DataFrame, columns: Sequence[str], probabilities: Sequ
     ).select("asset", "v.feature", "v.x").where(F.col("x").isNotNull())
     counts = values.groupBy("asset", "feature", "x").agg(F.count("*").alias("_n"))
     keys = ["asset", "feature"]
-    ranked = banded_sums(counts, keys, "x", {"_below": F.col("_n")})
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    wanted = totals.withColumn("probability", F.explode(F.array(*[F.lit(float(q)) for q in probabilities])))
-    wanted = wanted.withColumn("_pos", (F.col("_total") - 1) * F.col("probability"))
-    hits = ranked.join(wanted, keys)
+    ranked = banded_sums(counts, keys, "x", {"_below": F.col("_n")}, {"_below": "_total"})
+    hits = ranked.withColumn("probability", F.explode(F.array(*[F.lit(float(q)) for q in probabilities])))
+    hits = hits.withColumn("_pos", (F.col("_total") - 1) * F.col("probability"))
     first, end = F.col("_below"), F.col("_below") + F.col("_n")
     lo, hi = F.floor("_pos"), F.ceil("_pos")
     at_lo, at_hi = (lo >= first) & (lo < end), (hi >= first) & (hi < end)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depthframe.functions.moves import (
@@ -14,27 +14,17 @@ from depthframe.functions.moves import (
     signed_class,
     signed_percentage_class,
 )
-from depthframe.functions.quotes import FEATURES
-from depthframe.operators.window import block_window, bounded_broadcast, halo
+from depthframe.operators.window import block_window, bounded_broadcast, halo, run_extremes
 from depthframe.params import BookParams
 
-RUNNING = (Window.unboundedPreceding, 0)
-
 
 def forward_extremes(line: DataFrame, p: BookParams) -> DataFrame:
     """Highest and lowest mid of the next H snapshots, for rows that have H of them.
 
-    The order is cut into runs of H rows. The next H rows of a row are the rest
-    of one run plus the head of the following one, so two running extremes (one
-    forward, one backward) and two ``lead`` lookups replace a sliding frame:
-    constant work per row for any horizon, one shuffle.
+    One shuffle, and constant work per row for any horizon (see ``run_extremes``).
     """
     h = p.horizon_steps
-    cells = halo(line, "snap_idx", 0, h, p.block_rows).withColumn("_run", F.floor(F.col("snap_idx") / h))
-    head = block_window("snap_idx", "_run").rowsBetween(*RUNNING)
-    rest = Window.partitionBy("asset", "_block", "_run").orderBy(F.desc("snap_idx")).rowsBetween(*RUNNING)
-    runs = cells.withColumns({"_head_hi": F.max("mid").over(head), "_head_lo": F.min("mid").over(head)})
-    runs = runs.withColumns({"_rest_hi": F.max("mid").over(rest), "_rest_lo": F.min("mid").over(rest)})
+    runs = run_extremes(halo(line, "snap_idx", 0, h, p.block_rows), "snap_idx", "mid", h)
     w = block_window("snap_idx")
     ahead = runs.withColumns(
         {
@@ -125,11 +115,11 @@ def class_weights(train: DataFrame, label_column: str, num_classes: int) -> Data
 
 
 def with_class_weight(
-    samples_: DataFrame, weights: DataFrame, label_column: str, assets: Sequence[str] | None
+    samples_: DataFrame, weights: DataFrame, label_column: str, num_classes: int, assets: Sequence[str] | None
 ) -> DataFrame:
     """Attach the weight of each sample's class (the table has K rows per asset)."""
     table = weights.select("asset", F.col("class").alias(label_column), F.col("weight").alias("class_weight"))
-    return samples_.join(bounded_broadcast(table, assets), ["asset", label_column], "left")
+    return samples_.join(bounded_broadcast(table, assets, num_classes), ["asset", label_column], "left")
 
 
 def signed_percentage_labels(

@@ -16,12 +16,12 @@ from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronCl
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthframe.operators.evaluation import HEADS, accuracy, brier
 from depthframe.operators.features import quote_features
-from depthframe.operators.window import block_window, halo
+from depthframe.operators.window import block_window, halo, run_extremes
 from depthframe.params import BookParams
 from depthframe.session import stage
 
@@ -31,17 +31,25 @@ WINDOW_FEATURES = ("mid_change", "range_pct", "mean_spread_pct", "mean_imbalance
 def window_summary(line: DataFrame, p: BookParams) -> DataFrame:
     """Look-back window of each anchor as a few numbers instead of T vectors."""
     t = p.window_steps
-    cells = halo(quote_features(line), "snap_idx", t - 1, 0, p.block_rows)
+    cells = run_extremes(halo(quote_features(line), "snap_idx", t, 0, p.block_rows), "snap_idx", "mid", t)
     w = block_window("snap_idx")
-    frame = w.rowsBetween(-(t - 1), 0)
     mid = F.col("mid")
     imbalance = F.coalesce("volume_imbalance", F.lit(0.0))
+
+    def mean(value: Column) -> Column:
+        """Trailing mean as the difference of two running sums."""
+        upto = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        older = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -t))
+        return (upto - F.coalesce(older, F.lit(0.0))) / t
+
+    high = F.greatest("_head_hi", F.lag("_rest_hi", t - 1).over(w))
+    low = F.least("_head_lo", F.lag("_rest_lo", t - 1).over(w))
     out = cells.withColumns(
         {
             "mid_change": mid / F.lag("mid", t - 1).over(w) - 1.0,
-            "range_pct": (F.max("mid").over(frame) - F.min("mid").over(frame)) / mid * 100.0,
-            "mean_spread_pct": F.avg(F.col("bid_ask_spread") / mid * 100.0).over(frame),
-            "mean_imbalance": F.avg(imbalance).over(frame),
+            "range_pct": (high - low) / mid * 100.0,
+            "mean_spread_pct": mean(F.col("bid_ask_spread") / mid * 100.0),
+            "mean_imbalance": mean(imbalance),
             "last_imbalance": imbalance,
         }
     )
@@ -149,14 +157,22 @@ def search(
 
 
 def isotonic_calibrate(holdout: DataFrame, rows: DataFrame, num_classes: int) -> DataFrame:
-    """Per head and class: isotonic fit of hit on probability, then renormalised probabilities."""
+    """Per head and class: isotonic fit of hit on probability, then renormalised probabilities.
+
+    Spark's estimator gathers its pooled points on the driver, so the hold-out is
+    first averaged over 10,000 steps of the probability: at most 10,001 weighted
+    points per fit, whatever the size of the hold-out.
+    """
     out = None
     for head in HEADS:
         part = rows.where(F.col("head") == head)
         seen = holdout.where(F.col("head") == head)
         for k in range(num_classes):
-            points = seen.select(F.col("probs")[k].alias("p"), (F.col("y_true") == k).cast("double").alias("hit"))
-            model = IsotonicRegression(featuresCol="p", labelCol="hit", predictionCol=f"_c{k}").fit(points)
+            p, hit = F.col("probs")[k], (F.col("y_true") == k).cast("double")
+            points = seen.groupBy(F.floor(p * 10_000).alias("step")).agg(
+                F.avg(p).alias("p"), F.avg(hit).alias("hit"), F.count("*").cast("double").alias("w")
+            )
+            model = IsotonicRegression(featuresCol="p", labelCol="hit", weightCol="w", predictionCol=f"_c{k}").fit(points)
             part = model.transform(part.withColumn("p", F.col("probs")[k])).drop("p")
         total = F.lit(0.0)
         for k in range(num_classes):

@@ -16,18 +16,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from depthframe.session import MAX_BROADCAST_ASSETS, stage
+from depthframe.session import MAX_BROADCAST_ROWS, stage
 
 BEFORE = (Window.unboundedPreceding, -1)
 
 
-def bounded_broadcast(table: DataFrame, assets: Sequence[str] | None) -> DataFrame:
-    """Broadcast a one-row-per-asset table if the asset list bounds its size.
+def bounded_broadcast(table: DataFrame, assets: Sequence[str] | None, rows_per_asset: int = 1) -> DataFrame:
+    """Broadcast a table of at most ``rows_per_asset`` rows per asset if its size is bounded.
 
-    The filter makes the bound hold for any input; without a list the join is
-    left to the run-time size check of adaptive execution.
+    The filter makes the asset list a bound for any input. Without a list, or
+    beyond the row limit, the join is left to the run-time size check and skew
+    handling of adaptive execution.
     """
-    if assets is None or len(assets) > MAX_BROADCAST_ASSETS:
+    if assets is None or len(assets) * rows_per_asset > MAX_BROADCAST_ROWS:
         return table
     return F.broadcast(table.where(F.col("asset").isin(*assets)))
 
@@ -70,11 +71,16 @@ def value_band(column: str) -> Column:
 
 
 def banded_sums(
-    df: DataFrame, keys: Sequence[str], order: str, outs: Mapping[str, Column | None]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    outs: Mapping[str, Column | None],
+    group_totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add, per name in ``outs``, the sum of its value over the rows of smaller ``order``.
 
-    A value of None counts rows, which gives a 0-based rank. One window task holds
+    A value of None counts rows, which gives a 0-based rank. ``group_totals``
+    names, per output, a column for the sum over the whole group. One window task holds
     one value band of a group, another the totals of the bands of a group; the
     distinct rows of a group are never in one task.
     """
@@ -89,10 +95,13 @@ def banded_sums(
         else:
             inner[f"_in{i}"] = F.coalesce(F.sum(value).over(fine.rowsBetween(*BEFORE)), F.lit(0))
             totals.append(F.sum(value).alias(f"_t{i}"))
-    bands = Window.partitionBy(*keys).orderBy("_band").rowsBetween(*BEFORE)
-    before = [F.coalesce(F.sum(f"_t{i}").over(bands), F.lit(0)).alias(f"_off{i}") for i in range(len(totals))]
-    offsets = banded.groupBy(*cell).agg(*totals).select(*cell, *before)
+    bands = Window.partitionBy(*keys).orderBy("_band")
+    before = [F.coalesce(F.sum(f"_t{i}").over(bands.rowsBetween(*BEFORE)), F.lit(0)).alias(f"_off{i}") for i in range(len(totals))]
     results = [(F.col(f"_off{i}") + F.col(f"_in{i}")).alias(out) for i, out in enumerate(outs)]
+    for out, name in (group_totals or {}).items():
+        before.append(F.sum(f"_t{list(outs).index(out)}").over(Window.partitionBy(*keys)).alias(name))
+        results.append(F.col(name))
+    offsets = banded.groupBy(*cell).agg(*totals).select(*cell, *before)
     return banded.withColumns(inner).join(offsets, cell).select(*df.columns, *results)
 
 
@@ -129,3 +138,25 @@ def halo(df: DataFrame, index: str, before: int, after: int, block_rows: int) ->
 
 def block_window(index: str, *extra: str) -> Window:
     return Window.partitionBy("asset", "_block", *extra).orderBy(index)
+
+
+def run_extremes(cells: DataFrame, index: str, column: str, length: int) -> DataFrame:
+    """Running extremes of ``column`` inside runs of ``length`` rows of a halo frame.
+
+    ``_head_*`` runs from the start of a run to the row, ``_rest_*`` from the row
+    to the end of its run. Any window of ``length`` rows is the rest of one run
+    plus the head of the next, so its extremes cost two lookups, whatever the
+    length.
+    """
+    upto = (Window.unboundedPreceding, 0)
+    runs = cells.withColumn("_run", F.floor(F.col(index) / length))
+    head = block_window(index, "_run").rowsBetween(*upto)
+    rest = Window.partitionBy("asset", "_block", "_run").orderBy(F.desc(index)).rowsBetween(*upto)
+    return runs.withColumns(
+        {
+            "_head_hi": F.max(column).over(head),
+            "_head_lo": F.min(column).over(head),
+            "_rest_hi": F.max(column).over(rest),
+            "_rest_lo": F.min(column).over(rest),
+        }
+    )

@@ -7,7 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_BROADCAST_ASSETS = 10_000
+MAX_BROADCAST_ROWS = 100_000
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def require_utc(spark: SparkSession) -> None:
@@ -25,10 +26,11 @@ def stage_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="depthframe-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        if context.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="depthframe-")
+        return _LOCAL_FOLDERS[context.applicationId]
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 

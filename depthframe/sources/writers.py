@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from depthframe.operators.diagnostics import RECORD_COLUMNS
 from depthframe.operators.longterm import daily_statistics
 from depthframe.operators.splits import hash_fraction_sample
+from depthframe.session import stage
 
 CURVE_COLUMNS = ("left_edge", "right_edge", "bin_confidence", "bin_accuracy")
 
@@ -32,8 +33,11 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 
 def write_training_set(windows: DataFrame, root: str, version: str, asset_first: bool = True) -> str:
-    """Write train and validation rows by asset and split; the path names version and fingerprint."""
-    rows = windows.where(F.col("split").isin("train", "validation"))
+    """Write train and validation rows by asset and split; the path names version and fingerprint.
+
+    The rows are staged, so the windows are computed once for both.
+    """
+    rows = stage(windows.where(F.col("split").isin("train", "validation")), "training-set")
     digest = fingerprint(rows).first()["fingerprint"]
     path = f"{root.rstrip('/')}/{version}/{digest}"
     keys = ("asset", "split") if asset_first else ("split", "asset")

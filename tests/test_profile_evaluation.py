@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from depthframe.functions.quotes import FLAGS, anomaly_type, any_severe, quality_flags, spread_pct
 from depthframe.operators import diagnostics, evaluation
