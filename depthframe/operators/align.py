@@ -171,7 +171,7 @@ def _asof(left: DataFrame, right: DataFrame, keys: Sequence[str], values: Sequen
     """(keys, _t, _m): per distinct left time the last right row at or before it; ``sign`` -1 mirrors time."""
     t = epoch_micros("ts") * sign
     lefts = left.select(*keys, t.alias("_u")).distinct().withColumn("_left", F.lit(1))
-    rights = right.groupBy(*keys, t.alias("_u")).agg(F.max(F.struct(*values)).alias("_v"))
+    rights = right.groupBy(t.alias("_u"), *keys).agg(F.max(F.struct(*values)).alias("_v"))
     row = F.struct(F.col("_u").alias("_ru"), (F.col("_u") * sign).alias("_rt"), *[F.col(f"_v.{v}").alias(v) for v in values])
     rights = rights.select(*keys, "_u", row.alias("_r"), F.lit(0).alias("_left"))
     both = rights.unionByName(lefts.withColumn("_r", F.lit(None).cast(rights.schema["_r"].dataType)))
@@ -179,7 +179,7 @@ def _asof(left: DataFrame, right: DataFrame, keys: Sequence[str], values: Sequen
     upto = Window.partitionBy(*keys, "_sec").orderBy("_u", "_left").rowsBetween(Window.unboundedPreceding, 0)
     merged = both.withColumn("_in", F.last("_r", ignorenulls=True).over(upto)).where(F.col("_left") == 1)
 
-    per_second = both.groupBy(*keys, "_sec").agg(F.max_by("_r", F.when(F.col("_left") == 0, F.col("_u"))).alias("_last"))
+    per_second = both.groupBy("_sec", *keys).agg(F.max_by("_r", F.when(F.col("_left") == 0, F.col("_u"))).alias("_last"))
     size = tolerance + 1
     copies = per_second.withColumn("_home", F.floor(F.col("_sec") / size)).withColumn(
         "_bucket", F.explode(F.array(F.col("_home"), F.col("_home") + 1))
