@@ -233,6 +233,20 @@ add(
     select="""select asset, count(*) filter (where row_id % 97 <> 0) as good, max(case when row_id % 97 <> 0 then bid_quantity end) as max_bid_quantity,
     count(*) filter (where row_id % 97 = 0) as bad from rawbook group by asset""",
 )
+add("a3_missing_source", book("e"), select="select upper(asset) as asset, count(*) as num_samples from book group by 1")
+add(
+    "a6_training_set",
+    samples("e"),
+    select=f"""select s.asset, split, count(*) as n, 12 as steps, {r6('max(l.bid_price)')} as max_first_bid from samples s
+    join line l on l.asset = s.asset and l.snap_idx = s.sample_idx where split <> 'test' group by 1, 2""",
+)
+add("a8_record_csv", records("e"), select=f"select asset, sample_idx, label, {cols6('mid_price', 'spread_pct')} from records")
+add(
+    "a9_anomaly_csv",
+    records("e", high=0.5),
+    f"bad as (select *, {ANOMALY} as anomaly_type, row_number() over (partition by asset order by sample_idx) as rk from records where {SEVERE})",
+    select="select asset, anomaly_type, count(*) as n, max(sample_idx) as last_sample from bad where rk <= 100 group by 1, 2",
+)
 add(
     "a10_confusion_wide",
     PREDS,
@@ -992,3 +1006,17 @@ add(
         f"select asset, '{c}' as feature, {r6(f'avg({c})')} as mean, {r6(f'stddev_pop({c})')} as std, {r6(f'min({c})')} as min, {r6(f'max({c})')} as max from ctx group by asset" for c in CTX
     ),
 )
+
+add("a15_daily_store", DAILY, select=f"select asset, day, n, {cols6('mid_mean')} from daily")
+ORACLES["a12_metric_table"] = f"select 'evaluation' as stage, metric, value from ({ORACLES['l10_evaluate']}) m"
+add("e4_anchor_times", samples("e"), select="select asset, sample_idx, snap_idx, ts from samples")
+add(
+    "f2_magnitude_bins",
+    samples("l"),
+    select=f"select asset, {bin_case('abs(price_change)', ['2e0', '5e0', '10e0'])} as size, count(*) as n, {r6('max(abs(price_change))')} as largest from samples group by 1, 2",
+)
+add(
+    "k2_sample_features",
+    samples("e"),
+    select=f"select label_up, count(*) as n, {r6(f'avg(sin({TWO_PI}e0 * (cast(isodow(ts) - 1 as double) / 7e0)))')} as mean_dow_sin from samples group by 1",
+)

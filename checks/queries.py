@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,11 +18,11 @@ from checks.adapters import (
     predictions,
     table,
 )
-from depthframe.functions.moves import one_hot
+from depthframe.functions.moves import magnitude_bin, one_hot
 from depthframe.functions.quotes import FEATURES, FLAGS, any_severe, anomaly_type, quality_flags, spread_pct
 from depthframe.operators import align, depth, diagnostics, evaluation, features, labels, longterm, ml, splits, timeline
 from depthframe.operators.snapshot import snapshots, top_of_book
-from depthframe.operators.window import epoch_micros
+from depthframe.operators.window import block_window, epoch_micros, epoch_seconds, halo
 from depthframe.params import BookParams, ProfileParams
 from depthframe.plans.targets import build_line, build_targets
 from depthframe.session import stage, stage_dir
@@ -121,6 +122,20 @@ def a2_route_assets(spark, sf):
     )
 
 
+def folder(spark, name):
+    return f"{stage_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def a3_missing_source(spark, sf):
+    root = folder(spark, "tables")
+    book = stage(e_book(spark, sf), "book")
+    for a in EVENT_ASSETS:
+        book.where(F.col("asset") == a).drop("asset").write.parquet(f"{root}/{readers.asset_table('orderbook_', a.upper())}")
+    symbols = [a.upper() for a in (*EVENT_ASSETS, "absent")]
+    return readers.row_counts(readers.scan_asset_tables(spark, root, "orderbook_", symbols, FIRST, LAST, "empty"))
+
+
 @query
 def a4_row_counts(spark, sf):
     return readers.row_counts(l_book(spark, sf))
@@ -136,6 +151,39 @@ def a5_typed_rows(spark, sf):
     return good.join(bad, "asset", "left").na.fill(0, ["bad"])
 
 
+@query
+def a6_training_set(spark, sf):
+    line = e_line(spark, sf)
+    p = EVENT_PARAMS
+    rows = splits.chronological_split(labels.samples(line, p), labels.sample_counts(line, p), p)
+    heads = rows.select("asset", "sample_idx", "label_up", "label_down", "split")
+    windows = features.lookback_windows(line, p).join(heads, ["asset", "sample_idx"])
+    path = writers.write_training_set(windows, folder(spark, "training"), "v1")
+    stored = spark.read.parquet(path)
+    first = F.col("window")[0]["bid_price"]
+    return stored.groupBy("asset", "split").agg(
+        F.count("*").alias("n"), F.min(F.size("window")).alias("steps"), r6(F.max(first)).alias("max_first_bid")
+    )
+
+
+@query
+def a8_record_csv(spark, sf):
+    path = folder(spark, "records")
+    writers.write_record_csv(e_records(spark, sf), path)
+    schema = "sample_idx long, ts timestamp_ntz, label int, bid_price double, ask_price double, bid_quantity double, ask_quantity double, mid_price double, spread_pct double, asset string"
+    stored = spark.read.schema(schema).option("header", True).csv(path)
+    return rounded(stored.select("asset", "sample_idx", "label", "mid_price", "spread_pct"), "mid_price", "spread_pct")
+
+
+@query
+def a9_anomaly_csv(spark, sf):
+    path = folder(spark, "anomalies")
+    q = ProfileParams(high_spread_pct=0.5)
+    writers.write_anomaly_csv(diagnostics.anomalies(e_records(spark, sf, q), q.anomaly_limit), path)
+    stored = spark.read.option("header", True).csv(path)
+    return stored.groupBy("asset", "anomaly_type").agg(F.count("*").alias("n"), F.max(F.col("sample_idx").cast("long")).alias("last_sample"))
+
+
 @query
 def a7_fingerprint(spark, sf):
     return writers.fingerprint(snapshots(l_book(spark, sf)))
@@ -153,10 +201,23 @@ def a11_calibration_curve(spark, sf):
 
 
 @query
-def a13_daily_extraction(spark, sf):
-    import uuid
+def a12_metric_table(spark, sf):
+    path = folder(spark, "metrics")
+    writers.append_metrics(evaluation.evaluate(predictions(spark, sf), K, BINS), path, "evaluation")
+    return rounded(spark.read.parquet(path).select("stage", "metric", "value"), "value")
+
+
+@query
+def a15_daily_store(spark, sf):
+    path = folder(spark, "daily")
+    writers.write_daily_store(e_line(spark, sf), path)
+    stored = spark.read.parquet(path).select("asset", F.col("day").cast("timestamp_ntz").alias("day"), "n", "mid_mean")
+    return rounded(stored, "mid_mean")
+
 
-    path = f"{stage_dir(spark)}/book-{uuid.uuid4().hex}"
+@query
+def a13_daily_extraction(spark, sf):
+    path = folder(spark, "book")
     writers.write_book(e_book(spark, sf), path)
     stored = readers.scan_book(spark, path, FIRST, LAST, EVENT_ASSETS)
     return stored.groupBy("asset", F.col("ts").cast("date").cast("timestamp_ntz").alias("day")).agg(
@@ -423,11 +484,14 @@ def e3_eligible_anchors(spark, sf):
     )
 
 
+@query
+def e4_anchor_times(spark, sf):
+    return labels.samples(e_line(spark, sf), EVENT_PARAMS).select("asset", "sample_idx", "snap_idx", "ts")
+
+
 @query
 def e5_lag_lead(spark, sf):
     line = e_line(spark, sf)
-    from depthframe.operators.window import block_window, epoch_seconds, halo
-
     cells = halo(line, "snap_idx", 1, 1, EVENT_PARAMS.block_rows)
     w = block_window("snap_idx")
     s = epoch_seconds("ts")
@@ -491,6 +555,12 @@ def f1_dominant_move(spark, sf):
     return rounded(rows.select("asset", "sample_idx", *cols), *cols)
 
 
+@query
+def f2_magnitude_bins(spark, sf):
+    rows = l_samples(spark, sf).withColumn("size", magnitude_bin(F.abs("price_change"), LINEITEM_PARAMS.boundaries))
+    return rows.groupBy("asset", "size").agg(F.count("*").alias("n"), r6(F.max(F.abs("price_change"))).alias("largest"))
+
+
 @query
 def f3_signed_label(spark, sf):
     return e_samples(spark, sf).groupBy("asset", "label").agg(F.count("*").alias("n"))
@@ -847,6 +917,14 @@ def k1_sample_snapshot_join(spark, sf):
     return joined.groupBy("asset", "label").agg(F.count("*").alias("n"), r6(F.max("mid")).alias("max_mid"))
 
 
+@query
+def k2_sample_features(spark, sf):
+    rows = stage(e_samples(spark, sf), "samples")
+    timed = features.add_temporal_features(rows.select("asset", "sample_idx", "ts"), ("day_of_week",), (), EVENT_ASSETS)
+    joined = rows.select("asset", "sample_idx", "label_up").join(timed.drop("ts"), ["asset", "sample_idx"])
+    return joined.groupBy("label_up").agg(F.count("*").alias("n"), r6(F.avg("dow_sin")).alias("mean_dow_sin"))
+
+
 @query
 def k3_sampled_rows(spark, sf):
     series = e_series(spark, sf)

@@ -59,17 +59,16 @@ def accuracy(predictions: DataFrame, by: Sequence[str] = ("head",)) -> DataFrame
 def confusion(predictions: DataFrame, num_classes: int, by: Sequence[str] = ("head",)) -> DataFrame:
     """Dense K x K counts per group; pairs outside 0..K-1 are not counted.
 
-    One aggregation gives the K*K counts of a group as columns, so empty cells
-    need no join.
+    The rows are counted once per cell; the at most K*K counts of a group then
+    become columns, so empty cells need no join.
     """
-    pred = with_prediction(predictions)
-    wide = pred.groupBy(*by).agg(
-        *[
-            F.count_if((F.col("y_true") == t) & (F.col("y_pred") == c)).alias(f"_{t}_{c}")
-            for t in range(num_classes)
-            for c in range(num_classes)
-        ]
-    )
+    counts = with_prediction(predictions).groupBy(*by, "y_true", "y_pred").agg(F.count("*").alias("n"))
+
+    def cell(t: int, c: int) -> Column:
+        here = (F.col("y_true") == t) & (F.col("y_pred") == c)
+        return F.sum(F.when(here, F.col("n")).otherwise(0)).alias(f"_{t}_{c}")
+
+    wide = counts.groupBy(*by).agg(*[cell(t, c) for t in range(num_classes) for c in range(num_classes)])
     cells = [
         F.struct(F.lit(t).alias("y_true"), F.lit(c).alias("y_pred"), F.col(f"_{t}_{c}").alias("n"))
         for t in range(num_classes)
@@ -206,8 +205,10 @@ def top_k_accuracy(predictions: DataFrame, ks: Sequence[int]) -> DataFrame:
 def confidence_histogram(predictions: DataFrame, num_bins: int) -> DataFrame:
     """Counts of the largest probability per head and equal-width bin."""
     confidence = F.array_max("probs")
-    binned = predictions.withColumn("bin", unit_bin(confidence, num_bins)).where(F.col("bin").isNotNull())
-    wide = binned.groupBy("head").agg(*[F.count_if(F.col("bin") == i).alias(f"_{i}") for i in range(num_bins)])
+    counts = predictions.groupBy("head", unit_bin(confidence, num_bins).alias("bin")).agg(F.count("*").alias("n"))
+    wide = counts.groupBy("head").agg(
+        *[F.sum(F.when(F.col("bin") == i, F.col("n")).otherwise(0)).alias(f"_{i}") for i in range(num_bins)]
+    )
     cells = [F.struct(F.lit(i).alias("bin"), F.col(f"_{i}").alias("n")) for i in range(num_bins)]
     return wide.select("head", F.explode(F.array(*cells)).alias("c")).select("head", "c.*")
 

@@ -91,13 +91,13 @@ def write_curve_csv(curve: DataFrame, path: str) -> None:
 def write_book(book: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store tall rows by asset and day, so later scans read only their days.
 
-    The rows of a day are spread over tasks by hour and a hash of the row id: a
-    hot asset or day is written by many tasks.
+    Rows are cut into equal ranges of (asset, time, row id): a hot asset, day or
+    timestamp is written by as many tasks as it needs, each task writes few days,
+    and the files are ordered by time.
     """
     dated = book.withColumn("event_date", F.col("ts").cast("date"))
-    salt = F.pmod(F.xxhash64("row_id"), F.lit(16))
-    spread = dated.repartition(F.col("asset"), F.col("event_date"), F.hour("ts"), salt)
-    spread.write.mode(mode).partitionBy("asset", "event_date").parquet(path)
+    placed = dated.repartitionByRange("asset", "event_date", "ts", "row_id").sortWithinPartitions("asset", "event_date", "ts")
+    placed.write.mode(mode).partitionBy("asset", "event_date").parquet(path)
 
 
 def extract_days(book: DataFrame, assets: Sequence[str], first_day: str, last_day: str) -> DataFrame:
