@@ -47,8 +47,7 @@ def indexed_stage(df: DataFrame, order: Sequence[str], out: str, name: str) -> D
     earlier files. Those offsets are staged too, one row per (file, asset), so
     the planner knows the table's size when it picks the join.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(n, "asset", *order).sortWithinPartitions("asset", *order)
+    placed = df.repartitionByRange("asset", *order).sortWithinPartitions("asset", *order)
     rows = stage(placed, name).select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )

@@ -91,12 +91,12 @@ def write_curve_csv(curve: DataFrame, path: str) -> None:
 def write_book(book: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store tall rows by asset and day, so later scans read only their days.
 
-    Rows are cut into equal ranges of (asset, time, row id): a hot asset, day or
-    timestamp is written by as many tasks as it needs, each task writes few days,
-    and the files are ordered by time.
+    The rebalance hint gathers the rows of a day, joins small groups and splits
+    hot ones to files of the advisory size, in one pass over the book. Files are
+    ordered by time, so the time filter of a scan skips row groups.
     """
     dated = book.withColumn("event_date", F.col("ts").cast("date"))
-    placed = dated.repartitionByRange("asset", "event_date", "ts", "row_id").sortWithinPartitions("asset", "event_date", "ts")
+    placed = dated.hint("rebalance", "asset", "event_date").sortWithinPartitions("asset", "event_date", "ts")
     placed.write.mode(mode).partitionBy("asset", "event_date").parquet(path)
 
 
