@@ -79,11 +79,6 @@ def lookback_windows(line: DataFrame, p: BookParams) -> DataFrame:
     return full.select("asset", (F.col("snap_idx") - (t - 1)).alias("sample_idx"), "snap_idx", "ts", "window")
 
 
-def sample_windows(line: DataFrame, anchors: DataFrame, p: BookParams) -> DataFrame:
-    """Windows of the given samples only."""
-    return lookback_windows(line, p).join(anchors.select("asset", "sample_idx"), ["asset", "sample_idx"], "left_semi")
-
-
 def grid_patch(window: Column, height: int, width: int) -> Column:
     """Flat H x W grid per time step, row by row: quotes in the top-left 2 x 2 cells.
 
