@@ -34,7 +34,7 @@ SEGMENT_WORDS = 1 << 20
 BLOCK_WINDOWS = 200_000
 
 INDEX = (
-    "uids array<long>, doc_ids array<long>, places array<int>, sizes array<int>, firsts array<long>, owned array<int>, "
+    "uids array<long>, doc_ids array<long>, keys array<long>, places array<int>, sizes array<int>, firsts array<long>, owned array<int>, "
     "terms array<long>, counts array<int>, gaps array<int>"
 )
 HITS = "uid long, starts array<long>, ends array<long>, items array<long>, near_items array<long>, near_starts array<long>, near_ends array<long>"
@@ -61,6 +61,7 @@ def build_index(docs: DataFrame, segment_words: int = SEGMENT_WORDS, overlap: in
             "places": [places.astype(np.int32)],
             "sizes": [sizes.astype(np.int32)],
             "firsts": [[p[2] for p in pieces]],
+            "keys": [[p[5] for p in pieces]],
             "owned": [[p[3] for p in pieces]],
             "terms": lists(signed(hashes[head]), [len(head)], pa.int64()),
             "counts": lists(np.diff(np.append(head, len(hashes))).astype(np.int32), [len(head)], pa.int32()),
@@ -76,14 +77,14 @@ def build_index(docs: DataFrame, segment_words: int = SEGMENT_WORDS, overlap: in
         for part in slices(batches, 1):
             hashes, counts = word_hashes(part.column(1), ALNUM)
             at = 0
-            for doc_id, n in zip(part.column(0).to_pylist(), counts.tolist()):
+            for doc_id, key, n in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), counts.tolist()):
                 words = hashes[at : at + n]
                 at += n
                 for lo in range(0, max(n, 1), segment_words):
                     hi = min(lo + segment_words, n)
                     left = max(0, lo - overlap)
                     piece = words[left : min(n, hi + overlap)].copy()
-                    pieces.append((uid, doc_id, left, hi - lo, piece))
+                    pieces.append((uid, doc_id, left, hi - lo, piece, key))
                     held += len(piece) + apart
                     if held >= segment_words:
                         yield segment(pieces)
@@ -92,7 +93,7 @@ def build_index(docs: DataFrame, segment_words: int = SEGMENT_WORDS, overlap: in
         if pieces:
             yield segment(pieces)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, INDEX)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key")).mapInArrow(run, INDEX)
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -274,7 +275,7 @@ def covered(starts: str, ends: str):
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = SLOP, segment_words: int = SEGMENT_WORDS) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, items (sorted ids with an exact hit), n_near, near_items."""
+    """Per row of ``docs``: doc_id, th (xxhash64 of the text), n_words, n_hit, items (sorted ids with an exact hit), n_near, near_items."""
     scratch = Scratch(docs.sparkSession, "index")
     index = scratch.stage(build_index(docs, segment_words, window - 1 + slop), "segments")
     windows = scratch.stage(item_windows(items, window), "windows")
@@ -286,11 +287,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
         covered("near_starts", "near_ends").alias("n_near"),
         F.array_sort(F.array_distinct(F.flatten("near_items"))).alias("near_items"),
     )
-    rows = index.select(F.explode(F.arrays_zip("uids", "doc_ids", "owned")).alias("p"))
-    rows = rows.groupBy(F.col("p.uids").alias("uid")).agg(F.first("p.doc_ids").alias("doc_id"), F.sum("p.owned").alias("n_words"))
+    rows = index.select(F.explode(F.arrays_zip("uids", "doc_ids", "keys", "owned")).alias("p"))
+    rows = rows.groupBy(F.col("p.uids").alias("uid")).agg(F.first("p.doc_ids").alias("doc_id"), F.first("p.keys").alias("th"), F.sum("p.owned").alias("n_words"))
     none = F.array().cast("array<long>")
     return rows.join(hit, "uid", "left").select(
         "doc_id",
+        "th",
         "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", none).alias("items"),
@@ -299,6 +301,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
     )
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs`` without the documents that hold a window of an item; whether one does depends on its text alone."""
+    hit = decontaminate(docs, items).filter("n_hit > 0").select(F.col("th").alias("__th")).distinct()
+    return docs.withColumn("__key", F.xxhash64("text")).join(hit, F.col("__key") == F.col("__th"), "left_anti").drop("__key")
+
+
 def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
     found = decontaminate(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
