@@ -39,9 +39,15 @@ class Scratch:
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and read it back: a lost executor costs a re-read of files."""
+    def stage(self, df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+        """Write ``df`` once and read it back: a lost executor costs a re-read of files.
+
+        ``narrow`` is for tables of a few numbers a row, far smaller than the texts: they are
+        written by a sixteenth of the shuffle's tasks.
+        """
         self.n += 1
+        if narrow:
+            df = df.coalesce(max(12, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 16))
         path = f"{self.root}/{self.n:03d}-{name}"
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)

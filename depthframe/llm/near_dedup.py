@@ -1,12 +1,12 @@
 """MinHash near-duplicates by chosen paths.
 
 A document is its set of distinct word shingles. Equal sets are one vertex from the start.
-Each vertex gets ``COORDINATES`` minwise values. In every one of ``trees`` independent trees the
-vertices branch by a chosen minwise token: the root by one of them, a larger node by one or
-two that a hash of the node chooses, a little more than 1 / similarity on average, so that the
-chance to follow a similar vertex down does not vanish with depth. A node is finished when it
-is small; small nodes are compared exhaustively, by sketches first. Every pair that may link
-is confirmed on the full sets of both texts.
+Each vertex gets ``COORDINATES`` minwise values and a sketch. In every one of ``trees``
+independent trees the vertices branch by a chosen minwise token: the root by one of them, a
+larger node by one or two that a hash of the node chooses, a little more than 1 / similarity on
+average, so that the chance to follow a similar vertex down does not vanish with depth. A node
+is finished when it is small; small nodes are compared exhaustively, by sketches first. Every
+pair that may link is confirmed on the full sets of both texts.
 
 Scale: nodes are rows (node, vertex). Node sizes come from partial counts, node and vertex
 meet by equi-joins, which split a hot key, and only nodes of bounded size are gathered. In a
@@ -14,16 +14,18 @@ node that is too large every vertex is compared with one leader; the linked ones
 component from then on, and a node in which a single component is left has nothing more to
 find. So a group of many near copies costs a number of comparisons that is linear in it. In a
 large node with one big component and few others, the others are compared with everybody in
-bounded chunks. Small nodes first return a spanning forest of their candidate pairs; pairs
-between components that are still apart afterwards are all compared. Texts are shuffled only
-where a candidate pair needs them. Components spread by joins, never on the driver.
+bounded chunks; only what is left then branches. Small nodes first return a spanning forest of
+their candidate pairs; pairs between components that are still apart afterwards are all
+compared. Texts are shuffled only where a candidate pair needs them. Components spread by
+joins, never on the driver.
 
 Recall: a pair with the lowest linked similarity misses one small tree with probability 0.15 and
 all eight with 3e-7; links between copies of one group back each other up.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; equal rows
 are linked by equal sets; a row without doc_id takes part, but cannot name a component, and its
-component_id is null if no row of the component has an id; other columns are not read.
+component_id is null if no row of the component has an id; other columns are not read. Vertices
+are 64-bit hashes of sets; a second hash checks that no two sets share one, else the call fails.
 """
 
 from __future__ import annotations
@@ -34,16 +36,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from depthframe.llm.common import SPACED, Scratch, arrow_schema, lists, mix, record, signed, slices, word_hashes
 
-COORDINATES = 64
 TREES = 8
+COORDINATES = 24
+BINS = 256
 NODE_LIMIT = 100
 MAX_LEVEL = 12
 SECOND_BRANCH = 0.35
+SLACK = 4.3
 _A, _B, _C = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
 _RANDOM = np.random.default_rng(7)
 _FLIP = _RANDOM.integers(1, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -70,14 +74,32 @@ def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     return rolled[fresh], np.bincount(doc[fresh], minlength=len(counts)).astype(np.int64)
 
 
-def _vertices(sets: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
-    ends = np.cumsum(sizes)
-    return [hashlib.blake2b(sets[e - n : e], digest_size=16).digest() if n else None for e, n in zip(ends.tolist(), sizes.tolist())]
+def _vertices(sets: np.ndarray, sizes: np.ndarray) -> tuple[list[int | None], list[int | None]]:
+    """Two hashes of every set; none of an empty one."""
+    ends, first, second = np.cumsum(sizes), [], []
+    for e, n in zip(ends.tolist(), sizes.tolist()):
+        whole = hashlib.blake2b(sets[e - n : e], digest_size=16).digest() if n else None
+        first.append(int.from_bytes(whole[:8], "little", signed=True) if n else None)
+        second.append(int.from_bytes(whole[8:], "little", signed=True) if n else None)
+    return first, second
+
+
+def sketches(sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """One byte for each of ``BINS`` ranges of hash values: 0 if the set has none there, else made from the least.
+
+    Among the ranges where either of two sets has a value, the share that agrees estimates their similarity.
+    """
+    at = np.repeat(np.arange(len(sizes)), sizes) * BINS + (sets >> np.uint64(56)).astype(np.int64)
+    head = np.ones(len(at), dtype=bool)
+    head[1:] = at[1:] != at[:-1]
+    out = np.zeros(len(sizes) * BINS, dtype=np.uint8)
+    out[at[head]] = (mix(sets[head]) % np.uint64(255)).astype(np.uint8) + 1
+    return out.reshape(len(sizes), BINS)
 
 
 def _prints(docs: DataFrame, words: int, trees: int) -> DataFrame:
-    """(doc_id, th, v, n, sig, nodes): vertex, set size, sketch of 16-bit minwise values, and the root's child in each tree."""
-    schema = "doc_id long, th long, v binary, n long, sig binary, nodes array<long>"
+    """(doc_id, th, v, v2, n, sig, nodes): vertex, set size, sketch with minwise values, and the root's child in each tree."""
+    schema = "doc_id long, th long, v long, v2 long, n long, sig binary, nodes array<long>"
     target = arrow_schema(schema)
     seeds = mix(np.arange(1, trees + 1, dtype=np.uint64))
 
@@ -90,14 +112,15 @@ def _prints(docs: DataFrame, words: int, trees: int) -> DataFrame:
             for c in range(COORDINATES if len(full) else 0):
                 least[:, c] = np.minimum.reduceat((sets ^ _FLIP[c]) * _TIMES[c], starts)
             least = mix(least)
-            sig, nodes = np.full(part.num_rows, None, dtype=object), np.zeros((len(full), trees), dtype=np.uint64)
-            sketch = least.astype(np.uint16)
-            for i, row in enumerate(full.tolist()):
-                sig[row] = sketch[i].tobytes()
-            nodes = mix(least[:, np.arange(trees) % COORDINATES] ^ seeds)
+            packed = np.concatenate([sketches(sets, sizes)[full], least.astype(np.uint16).view(np.uint8).reshape(len(full), -1)], axis=1)
+            sig: list[bytes | None] = [None] * part.num_rows
+            for row, own in zip(full.tolist(), packed):
+                sig[row] = own.tobytes()
             counts = np.zeros(part.num_rows, dtype=np.int64)
             counts[full] = trees
-            yield record({"doc_id": part.column(0), "th": part.column(1), "v": _vertices(sets, sizes), "n": sizes, "sig": list(sig), "nodes": lists(signed(nodes.ravel()), counts, pa.int64())}, target)
+            v, v2 = _vertices(sets, sizes)
+            nodes = lists(signed(mix(least[:, :trees] ^ seeds).ravel()), counts, pa.int64())
+            yield record({"doc_id": part.column(0), "th": part.column(1), "v": v, "v2": v2, "n": sizes, "sig": sig, "nodes": nodes}, target)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").mapInArrow(run, schema)
 
@@ -105,104 +128,107 @@ def _prints(docs: DataFrame, words: int, trees: int) -> DataFrame:
 # ---------------------------------------------------------------- candidates
 
 
-def _may_link(sig_a: np.ndarray, n_a: np.ndarray, sig_b: np.ndarray, n_b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Whether two sketches may belong to linked sets (4.3 standard deviations of slack), and how many values agree."""
+def _may_link(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sketches may belong to linked sets, with ``SLACK`` standard deviations to spare."""
     j = percent / 100
-    least = int(np.floor(COORDINATES * j - 4.3 * np.sqrt(COORDINATES * j * (1 - j))))
-    agree = (sig_a == sig_b).sum(axis=-1)
-    return (agree >= least) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)), agree
+    held = ((a | b) > 0).sum(axis=-1)
+    agree = ((a == b) & (a > 0)).sum(axis=-1)
+    return (agree + 1 >= j * held - SLACK * np.sqrt(j * (1 - j) * held)) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
 
 
-def _sketches(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(len(column), COORDINATES)
+def _rows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), -1)
 
 
-def _node_pairs(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Candidate pairs inside gathered nodes: all between different components, or a spanning forest of them."""
-    schema = "a binary, b binary"
+def _ordered(a: np.ndarray, b: np.ndarray) -> dict:
+    return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
+
+
+def _node_pairs(groups: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs inside gathered nodes: all between different components, or, where asked, a spanning forest of them."""
+    schema = "a long, b long"
     target = arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            a, b = [], []
-            for members in batch.column(0):
+            for forest, members in zip(batch.column(0).to_pylist(), batch.column(1)):
                 members = members.values
-                v, comp, n, sig = members.field("v").to_pylist(), members.field("c"), members.field("n").to_numpy(), _sketches(members.field("sig"))
-                comp = comp.dictionary_encode().indices.to_numpy()
-                found = []
+                v, comp, n = (members.field(x).to_numpy() for x in ("v", "c", "n"))
+                if (comp == comp[0]).all():
+                    continue
+                sig = _rows(members.field("sig"))[:, :BINS]
+                near = np.zeros((len(v), len(v)), dtype=bool)
                 for i in range(len(v) - 1):
-                    ok, agree = _may_link(sig[i], n[i], sig[i + 1 :], n[i + 1 :], percent)
-                    ok &= comp[i + 1 :] != comp[i]
-                    found += [(int(agree[k]), i, i + 1 + int(k)) for k in np.flatnonzero(ok)]
-                if forest:
-                    found.sort(key=lambda x: -x[0])
-                    up = list(range(len(v)))
-
-                    def root(x, up=up):
-                        while up[x] != x:
-                            up[x] = up[up[x]]
-                            x = up[x]
-                        return x
-
-                    kept = []
-                    for agree, i, k in found:
-                        ri, rk = root(i), root(k)
-                        if ri != rk:
-                            up[rk] = ri
-                            kept.append((agree, i, k))
-                    found = kept
-                for _, i, k in found:
-                    a.append(min(v[i], v[k]))
-                    b.append(max(v[i], v[k]))
-            yield record({"a": a, "b": b}, target)
-
-    return groups.select("members").mapInArrow(run, schema)
-
-
-def _star_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of a leader with the members of its node."""
-    schema = "a binary, b binary"
+                    near[i, i + 1 :] = _may_link(sig[i], n[i], sig[i + 1 :], n[i + 1 :], percent) & (comp[i + 1 :] != comp[i])
+                a, b = _forest(near | near.T) if forest else np.nonzero(near)
+                if len(a):
+                    yield record(_ordered(v[a], v[b]), target)
+
+    return groups.select("forest", "members").mapInArrow(run, schema)
+
+
+def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shallow trees that span the graph: breadth first, from the vertex with most neighbours."""
+    fresh = near.any(axis=1)
+    degree = near.sum(axis=1)
+    a, b = [], []
+    while fresh.any():
+        queue = [int(np.argmax(np.where(fresh, degree, -1)))]
+        fresh[queue[0]] = False
+        for top in queue:
+            found = np.flatnonzero(near[top] & fresh).tolist()
+            fresh[found] = False
+            a += [top] * len(found)
+            b += found
+            queue += found
+    return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+
+
+def _star_pairs(large: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of each large node's leader, its smallest vertex, with the other members."""
+    schema = "a long, b long"
     target = arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                v, n, sig, leader, ln, lsig = batch.columns
-                ok, _ = _may_link(_sketches(sig), n.to_numpy(), _sketches(lsig), ln.to_numpy(), percent)
-                ok = pa.array(ok)
-                yield record({"a": pc.filter(leader, ok), "b": pc.filter(v, ok)}, target)
+                v, n, leader, leader_n = (batch.column(x).to_numpy() for x in ("v", "n", "leader", "leader_n"))
+                ok = _may_link(_rows(batch.column("sig"))[:, :BINS], n, _rows(batch.column("leader_sig"))[:, :BINS], leader_n, percent)
+                yield record(_ordered(leader[ok], v[ok]), target)
 
-    return rows.select("v", "n", "sig", "leader", "leader_n", "leader_sig").mapInArrow(run, schema)
+    first = large.groupBy("node").agg(F.min("v").alias("v"))
+    lead = large.join(first, ["node", "v"]).select("node", F.col("v").alias("leader"), F.col("n").alias("leader_n"), F.col("sig").alias("leader_sig"))
+    return large.join(lead, "node").filter("v <> leader").select("v", "n", "sig", "leader", "leader_n", "leader_sig").mapInArrow(run, schema)
 
 
-def _children(rows: DataFrame, level: int) -> DataFrame:
+def _children(rows: DataFrame, level: int, trees: int) -> DataFrame:
     """Members of large nodes, dealt to the children by the minwise tokens that the node chooses."""
-    schema = "node long, v binary"
+    schema = "node long, v long, n long, sig binary"
     target = arrow_schema(schema)
+    free = COORDINATES - trees
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             node = batch.column(0).to_numpy().view(np.uint64)
-            sig = _sketches(batch.column(2))
+            values = np.ascontiguousarray(_rows(batch.column(3))[:, BINS:]).view(np.uint16)
             chosen = mix(node + np.uint64(level))
-            first = (chosen % np.uint64(COORDINATES)).astype(np.int64)
-            second = (first + 1 + ((chosen >> np.uint64(8)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
-            twice = (chosen >> np.uint64(32)) % np.uint64(1000) < np.uint64(1000 * SECOND_BRANCH)
-            rows = np.arange(len(node))
-            for coordinate, who in ((first, rows), (second, rows[twice])):
-                at = coordinate[who]
-                child = mix(node[who] * _A + at.astype(np.uint64) * _B + sig[who, at].astype(np.uint64) + _C)
-                yield record({"node": signed(child), "v": batch.column(1).take(pa.array(who))}, target)
+            first = (chosen % np.uint64(free)).astype(np.int64)
+            second = (first + 1 + ((chosen >> np.uint64(8)) % np.uint64(free - 1)).astype(np.int64)) % free
+            twice = np.flatnonzero((chosen >> np.uint64(32)) % np.uint64(1000) < np.uint64(1000 * SECOND_BRANCH))
+            for coordinate, who in ((first, np.arange(len(node))), (second, twice)):
+                at = trees + coordinate[who]
+                child = mix(node[who] * _A + at.astype(np.uint64) * _B + values[who, at].astype(np.uint64) + _C)
+                rest = [batch.column(c).take(pa.array(who)) for c in (1, 2, 3)]
+                yield record({"node": signed(child), "v": rest[0], "n": rest[1], "sig": rest[2]}, target)
 
-    return rows.select("node", "v", "sig").mapInArrow(run, schema)
+    return rows.select("node", "v", "n", "sig").mapInArrow(run, schema)
 
 
-def _shared(members: DataFrame) -> DataFrame:
-    """Members of nodes that hold at least two."""
-    counts = members.groupBy("node").agg(F.count("*").alias("held")).filter("held > 1")
-    return members.join(counts, "node").select("node", "v")
+def _sized(members: DataFrame) -> DataFrame:
+    """Members of nodes that hold at least two, with the node's size."""
+    return members.join(members.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "node")
 
 
 # ---------------------------------------------------------------- links and components
@@ -210,41 +236,43 @@ def _shared(members: DataFrame) -> DataFrame:
 
 def _texts(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
     """(v, text): a compressed text for each wanted vertex."""
-    schema = "v binary, text binary"
+    schema = "v long, text binary"
     target = arrow_schema(schema)
 
     def run(batches):
         for part in slices(batches, 0):
             pack = zstandard.ZstdCompressor(level=1).compress
-            v = _vertices(*shingle_sets(part.column(0), words))
-            yield record({"v": v, "text": [pack((t or "").encode("utf-8", "surrogatepass")) for t in part.column(0).to_pylist()]}, target)
+            v, _ = _vertices(*shingle_sets(part.column(0), words))
+            yield record({"v": v, "text": [pack((t or "").encode("utf-8")) for t in part.column(0).to_pylist()]}, target)
 
     packed = docs.select("text").mapInArrow(run, schema).filter(F.col("v").isNotNull())
-    return packed.join(wanted, "v", "left_semi").groupBy("v").agg(F.first("text").alias("text"))
+    return packed.join(wanted, "v", "left_semi").dropDuplicates(["v"])
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, linked) for every pair, decided on the full sets."""
-    schema = "a binary, b binary, linked boolean"
+    """The pairs (a, b) that link, decided on the full sets."""
+    schema = "a long, b long"
     target = arrow_schema(schema)
 
     def run(batches):
         for part in slices(batches, 3, 1 << 20):
             unpack = zstandard.ZstdDecompressor().decompress
-            known: dict[bytes, int] = {}
+            known: dict[int, int] = {}
             blobs = []
-            for v, blob in zip([*part.column(0).to_pylist(), *part.column(1).to_pylist()], [*part.column(2).to_pylist(), *part.column(3).to_pylist()]):
+            a, b = part.column(0).to_numpy(), part.column(1).to_numpy()
+            for v, blob in zip([*a.tolist(), *b.tolist()], [*part.column(2), *part.column(3)]):
                 if v not in known:
                     known[v] = len(blobs)
-                    blobs.append(unpack(blob))
+                    blobs.append(unpack(blob.as_py()))
             sets, sizes = shingle_sets(pa.array(blobs, pa.binary()), words)
             ends = np.cumsum(sizes)
-            linked = []
-            for a, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                x, y = known[a], known[b]
-                both = len(np.intersect1d(sets[ends[x] - sizes[x] : ends[x]], sets[ends[y] - sizes[y] : ends[y]], assume_unique=True))
-                linked.append(bool(100 * both >= percent * (sizes[x] + sizes[y] - both)))
-            yield record({"a": part.column(0), "b": part.column(1), "linked": linked}, target)
+            linked = np.zeros(len(a), dtype=bool)
+            for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+                x, y = known[x], known[y]
+                both = np.sort(np.concatenate([sets[ends[x] - sizes[x] : ends[x]], sets[ends[y] - sizes[y] : ends[y]]]))
+                common = int((both[1:] == both[:-1]).sum())
+                linked[k] = 100 * common >= percent * (sizes[x] + sizes[y] - common)
+            yield record({"a": a[linked], "b": b[linked]}, target)
 
     left = pairs.join(texts.withColumnsRenamed({"v": "a", "text": "text_a"}), "a")
     both = left.join(texts.withColumnsRenamed({"v": "b", "text": "text_b"}), "b")
@@ -253,21 +281,55 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
 
 def connect(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(u, l): every end of ``edges`` (a, b) with the smallest end of its component."""
-    both = scratch.stage(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "both")
-    labels = scratch.stage(both.groupBy(F.col("a").alias("u")).agg(F.least(F.first("a"), F.min("b")).alias("l")), "labels")
+    both = scratch.stage(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "both", narrow=True)
+    labels = scratch.stage(both.groupBy(F.col("a").alias("u")).agg(F.least(F.first("a"), F.min("b")).alias("l")), "labels", narrow=True)
     while True:
+        # the least label among the neighbours, then that label's own label
         near = both.join(labels, both["b"] == labels["u"]).groupBy("a").agg(F.min("l").alias("m"))
-        lower = labels.join(near, labels["u"] == near["a"]).select("u", F.least("l", "m").alias("l"), F.col("l").alias("old"))
-        lower = scratch.stage(lower, "lower")
-        up = lower.select(F.col("u").alias("l"), F.col("l").alias("ll"))
-        jumped = scratch.stage(lower.join(up, "l").select("u", F.col("ll").alias("l"), "old"), "jumped")
-        done = jumped.filter("l <> old").isEmpty()
-        scratch.drop(labels, lower)
-        labels = jumped.select("u", "l")
-        labels._staged_at = jumped._staged_at
-        if done:
+        lower = labels.join(near, labels["u"] == near["a"]).select("u", F.least("l", "m").alias("m"), F.col("l").alias("old"))
+        up = labels.select(F.col("u").alias("m"), F.col("l").alias("beyond"))
+        moved = lower.join(up, "m").select("u", F.least("m", "beyond").alias("l"), "old")
+        seen = Observation("moved")
+        after = scratch.stage(moved.observe(seen, F.sum((F.col("l") < F.col("old")).cast("long")).alias("n")), "labels", narrow=True)
+        scratch.drop(labels)
+        labels = after
+        if not seen.get["n"]:
             scratch.drop(both)
-            return labels
+            return labels.select("u", "l")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` (.., v) with the component c of each vertex; one without a label is its own."""
+    if labels is None:
+        return rows.withColumn("c", F.col("v"))
+    return rows.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
+
+
+def _merged(labels: DataFrame | None, links: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """Labels (v, c) after joining the components at both ends of the links."""
+    a = _labelled(links.withColumnRenamed("a", "v"), labels).select(F.col("c").alias("a"), F.col("b").alias("v"))
+    ends = _labelled(a, labels).select("a", F.col("c").alias("b")).filter("a <> b").distinct()
+    edges = scratch.stage(ends, "edges", narrow=True)
+    if edges.isEmpty():
+        return labels
+    moved = connect(edges, scratch)
+    new = moved.select(F.col("u").alias("v"), F.col("l").alias("c"))
+    if labels is not None:
+        kept = labels.join(moved, labels["c"] == moved["u"], "left").select("v", F.coalesce("l", "c").alias("c"))
+        new = kept.unionByName(new.join(labels.select("v"), "v", "left_anti"))
+    return scratch.stage(new, "components", narrow=True)
+
+
+def _chunked(rows: DataFrame, limit: int, all_pairs: bool) -> DataFrame:
+    """Members (with c, big, size) dealt to chunks that together hold every pair with a vertex outside the big component."""
+    chunks = F.ceil(F.col("size") / limit)
+    own = F.pmod(F.xxhash64("v", F.lit(11)), chunks)
+    every = F.sequence(F.lit(0).cast("long"), chunks - 1)
+    if all_pairs:
+        dealt = F.array_distinct(F.transform(every, lambda j: F.least(own, j) * chunks + F.greatest(own, j)))
+    else:
+        dealt = F.when((F.col("c") == F.col("big")) & (chunks > 1), F.array(own)).otherwise(every)
+    return rows.withColumn("chunk", F.explode(dealt))
 
 
 def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREES, limit: int = NODE_LIMIT) -> DataFrame:
@@ -277,54 +339,50 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREE
     """
     scratch = Scratch(docs.sparkSession, "near")
     prints = scratch.stage(_prints(docs, words, trees), "prints")
-    sets = scratch.stage(prints.filter("n > 0").groupBy("v").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("nodes").alias("nodes")), "sets")
-    pending = scratch.stage(_shared(sets.select(F.explode("nodes").alias("node"), "v")), "members")
-    labels = scratch.stage(pending.select("v", F.col("v").alias("c")).distinct(), "labels")
-    sketch = sets.select("v", "n", "sig")
-    seen = texts = None
+    clash = Observation("clash")
+    sets = prints.filter("n > 0").groupBy("v").agg(*(F.first(x).alias(x) for x in ("n", "sig", "nodes")), F.min("v2").alias("lo"), F.max("v2").alias("hi"))
+    sets = scratch.stage(sets.observe(clash, F.sum((F.col("lo") != F.col("hi")).cast("long")).alias("n")).drop("lo", "hi"), "sets")
+    if clash.get["n"]:
+        raise ValueError("two sets share a hash")
+    shared = _sized(sets.select(F.explode("nodes").alias("node"), "v"))
+    fresh, n_large = _staged_members(shared.join(sets.select("v", "n", "sig"), "v"), limit, scratch)
+    labels = again = starred = texts = None
     level = 0
-    while not pending.isEmpty():
-        last = level >= MAX_LEVEL
-        at = pending.join(labels, "v")
-        per = at.groupBy("node", "c").agg(F.count("*").alias("m"), F.min("v").alias("v"))
-        nodes = per.groupBy("node").agg(F.sum("m").alias("size"), F.max(F.struct("m", "c")).alias("big"), F.min("v").alias("leader")).filter(F.col("size") > F.col("big.m"))
-        small = F.lit(last) | (F.col("size") - F.col("big.m") <= limit)
-        nodes = scratch.stage(nodes.select("node", "leader", F.col("big.c").alias("big"), F.ceil(F.col("size") / limit).alias("chunks"), small.alias("small")), "nodes")
-        inside = scratch.stage(at.join(nodes, "node").select("node", "v", "c", "leader", "big", "chunks", "small"), "inside")
-
-        own = F.pmod(F.xxhash64("v", F.lit(11)), F.col("chunks"))
-        every = F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
-        if last:  # nothing splits these nodes any more: all pairs of their chunks
-            dealt = F.array_distinct(F.transform(every, lambda j: F.least(own, j) * F.col("chunks") + F.greatest(own, j)))
-        else:
-            dealt = F.when((F.col("c") == F.col("big")) & (F.col("chunks") > 1), F.array(own)).otherwise(every)
-        gathered = inside.filter("small").withColumn("chunk", F.explode(dealt)).join(sketch, "v")
-        gathered = gathered.groupBy("node", "chunk").agg(F.collect_list(F.struct("v", "c", "n", "sig")).alias("members"))
-        pairs = _node_pairs(gathered, percent, forest=level == 0)
-        large = inside.filter("not small").join(sketch, "v")
-        lead = nodes.filter("not small").select("node", F.col("leader").alias("lv")).join(sketch.withColumnsRenamed({"v": "lv", "n": "leader_n", "sig": "leader_sig"}), "lv")
-        # two vertices of one component need no link any more
-        stars = large.filter("v <> leader").join(lead, "node").join(labels.withColumnsRenamed({"v": "leader", "c": "lc"}), "leader").filter("c <> lc")
-        pairs = pairs.unionByName(_star_pairs(stars, percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = scratch.stage(pairs, "pairs")
+    while fresh is not None or starred is not None or again is not None:
+        gathered, stars, onward = [], None, None
+        lone = ("node", F.lit(0).cast("long").alias("chunk"), F.lit(level == 0).alias("forest"), "v", "c", "n", "sig")
+        for rows in (fresh, again):
+            if rows is not None:
+                gathered.append(_labelled(rows.filter(F.col("size") <= limit), labels).select(*lone))
+        if starred is not None:
+            # large nodes after their star: how many components are left in each?
+            at = _labelled(starred, labels)
+            per = at.groupBy("node", "c").agg(F.count("*").alias("m"))
+            state = per.groupBy("node").agg(F.max(F.struct("m", "c")).alias("big"), F.sum("m").alias("all")).filter(F.col("all") > F.col("big.m"))
+            state = state.select("node", F.col("big.c").alias("big"), ((F.col("all") - F.col("big.m") <= limit) | F.lit(level > MAX_LEVEL)).alias("few"))
+            at = scratch.stage(at.join(state, "node"), "large")
+            few = _chunked(at.filter("few"), limit, level > MAX_LEVEL)
+            gathered.append(few.select("node", "chunk", F.lit(False).alias("forest"), "v", "c", "n", "sig"))
+            onward = _sized(_children(at.filter("not few"), level, trees)) if level <= MAX_LEVEL else None
+        all_ = gathered[0]
+        for more in gathered[1:]:
+            all_ = all_.unionByName(more)
+        pairs = _node_pairs(all_.groupBy("node", "chunk", "forest").agg(F.collect_list(F.struct("v", "c", "n", "sig")).alias("members")), percent)
+        large = fresh.filter(F.col("size") > limit) if fresh is not None and n_large else None
+        if large is not None:
+            pairs = pairs.unionByName(_star_pairs(large, percent))
+        pairs = scratch.stage(pairs.distinct(), "pairs")
         if texts is None:
-            wanted = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).union(inside.filter("not small").select("v")).distinct()
-            texts = scratch.stage(_texts(docs, words, wanted), "texts")
-        judged = scratch.stage(_confirmed(pairs, texts, words, percent), "judged")
-        seen = judged.select("a", "b") if seen is None else seen.unionByName(judged.select("a", "b"))
-        labels = _merged(labels, judged.filter("linked"), scratch)
-        onward = None if last else _shared(_children(large, level))
-        if level == 0:
-            again = inside.filter("small").select("node", "v")
-            onward = again if onward is None else onward.unionByName(again)
-        scratch.drop(pending)
-        if onward is None:
-            break
-        pending = scratch.stage(onward, "members")
+            wanted = pairs.select(F.col("a").alias("v")).union(pairs.select("b"))
+            wanted = wanted if large is None else wanted.union(large.select("v"))
+            texts = scratch.stage(_texts(docs, words, wanted.distinct()), "texts")
+        labels = _merged(labels, _confirmed(pairs, texts, words, percent), scratch)
+        again = fresh.filter(F.col("size") <= limit) if level == 0 else None
+        starred, fresh, n_large = large, None, 0
+        if onward is not None:
+            fresh, n_large = _staged_members(onward, limit, scratch)
         level += 1
-    rows = prints.join(labels, "v", "left").select("doc_id", "th", F.col("n").alias("n_shingles"), F.coalesce("c", "v").alias("c"))
+    rows = _labelled(prints.select("doc_id", "th", "v", F.col("n").alias("n_shingles")), labels).select("doc_id", "th", "n_shingles", "c")
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("first")
     named = rows.filter(F.col("c").isNotNull()).groupBy("c").agg(first)
     linked = rows.join(named, "c", "left")
@@ -338,14 +396,12 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREE
     )
 
 
-def _merged(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
-    """Labels after joining the components at both ends of the links."""
-    ends = links.select("a", "b").join(labels.withColumnsRenamed({"v": "a", "c": "ca"}), "a").join(labels.withColumnsRenamed({"v": "b", "c": "cb"}), "b")
-    edges = scratch.stage(ends.filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "edges")
-    if edges.isEmpty():
-        return labels
-    moved = connect(edges, scratch).withColumnsRenamed({"u": "c", "l": "to"})
-    return scratch.stage(labels.join(moved, "c", "left").select("v", F.coalesce("to", "c").alias("c")), "labels")
+def _staged_members(members: DataFrame, limit: int, scratch: Scratch) -> tuple[DataFrame | None, int]:
+    """Staged members, or None if there are none, and how many are in nodes above ``limit``."""
+    seen = Observation("members")
+    members = members.select("node", "v", "n", "sig", "size")
+    staged = scratch.stage(members.observe(seen, F.count("*").alias("n"), F.sum((F.col("size") > limit).cast("long")).alias("large")), "members")
+    return (staged if seen.get["n"] else None), seen.get["large"] or 0
 
 
 def keep_first(docs: DataFrame, words: int, percent: int) -> DataFrame:
