@@ -125,10 +125,12 @@ def samples(src: str, mode: str = "interpolate") -> list[str]:
     ]
 
 
-def records(src: str, m: int = 500, high: float = 5.0, method: str = "uniform") -> list[str]:
+def records(src: str, m: int | None = None, high: float = 5.0, method: str = "uniform") -> list[str]:
     ok = "bid_price > 0 and ask_price > 0"
     spread = f"case when {ok} then (ask_price - bid_price) / (5e-1 * (bid_price + ask_price)) * 100e0 end"
-    if method == "uniform":
+    if m is None:
+        pick = "picked as (select * from samples where split = 'train')"
+    elif method == "uniform":
         step = f"(cast(train_end - 1 as double) / {m - 1}e0)"
         pick = f"""train as (select *, train_end as n_train from samples where split = 'train'),
             kk as (select unnest(range(0, {m})) as kk),
@@ -137,7 +139,7 @@ def records(src: str, m: int = 500, high: float = 5.0, method: str = "uniform")
             picked as (select * from train t where n_train <= {m} or exists (select 1 from spots s where s.asset = t.asset and s.sample_idx = t.sample_idx))"""
     else:
         pick = f"""train as (select * from samples where split = 'train'),
-            picked as (select * from (select *, row_number() over (partition by asset order by md5('42:' || sample_idx), sample_idx) as rk from train) where rk <= {m})"""
+            picked as (select * from (select *, row_number() over (partition by asset order by md5('42:' || asset || ':' || sample_idx), sample_idx) as rk from train) where rk <= {m})"""
     return samples(src) + [
         pick,
         f"""records as (select *, case when {ok} then 5e-1 * (bid_price + ask_price) end as mid_price, {spread} as spread_pct, ({ok}) as valid_spread,
@@ -240,12 +242,12 @@ add(
     select=f"""select s.asset, split, count(*) as n, 12 as steps, {r6('max(l.bid_price)')} as max_first_bid from samples s
     join line l on l.asset = s.asset and l.snap_idx = s.sample_idx where split <> 'test' group by 1, 2""",
 )
-add("a8_record_csv", records("e"), select=f"select asset, sample_idx, label, {cols6('mid_price', 'spread_pct')} from records")
+add("a8_record_csv", records("e", 500), select=f"select asset, sample_idx, label, {cols6('mid_price', 'spread_pct')} from records")
 add(
     "a9_anomaly_csv",
     records("e", high=0.5),
-    f"bad as (select *, {ANOMALY} as anomaly_type, row_number() over (partition by asset order by sample_idx) as rk from records where {SEVERE})",
-    select="select asset, anomaly_type, count(*) as n, max(sample_idx) as last_sample from bad where rk <= 100 group by 1, 2",
+    f"bad as (select *, {ANOMALY} as anomaly_type from records where {SEVERE})",
+    select="select asset, anomaly_type, count(*) as n, max(sample_idx) as last_sample from bad group by 1, 2",
 )
 add(
     "a10_confusion_wide",
@@ -258,7 +260,7 @@ add("a13_daily_extraction", book("e"), select="select asset, date_trunc('day', t
 
 
 def md5_fraction(e: str) -> str:
-    return f"(cast(cast('0x' || substr(md5('42:' || {e}), 1, 8) as ubigint) as double) / 4294967296e0)"
+    return f"(cast(cast('0x' || substr(md5('42:' || asset || ':' || {e}), 1, 8) as ubigint) as double) / 4294967296e0)"
 
 
 add("a14_retained_rows", line("e"), select=f"select asset, snap_idx, ts, {cols6('mid')} from line where {md5_fraction('snap_idx')} < 5e-2")
@@ -453,7 +455,7 @@ add(
 )
 CHECKS = samples("e") + [
     "lens as (select asset, max(snap_idx) + 1 as n_line from line group by asset)",
-    """anchors as (select * from (select s.*, row_number() over (partition by s.asset order by md5('42:' || sample_idx), sample_idx) as rk
+    """anchors as (select * from (select s.*, row_number() over (partition by s.asset order by md5('42:' || s.asset || ':' || sample_idx), sample_idx) as rk
         from samples s join lens l on s.asset = l.asset where split = 'train' and snap_idx >= 12 and snap_idx + 24 < n_line and mid > 0) where rk <= 3)""",
 ]
 add(
@@ -657,10 +659,10 @@ add(
 add(
     "i3_random_sample",
     samples("e"),
-    "r as (select *, row_number() over (partition by asset order by md5('42:' || sample_idx), sample_idx) as rk from samples where split = 'train')",
+    "r as (select *, row_number() over (partition by asset order by md5('42:' || asset || ':' || sample_idx), sample_idx) as rk from samples where split = 'train')",
     select="select asset, sample_idx, ts from r where rk <= 100",
 )
-add("i4_head_cap", samples("l"), select="select asset, split, count(*) as n, max(sample_idx) as last_idx from samples where split_idx < 300 group by 1, 2")
+add("i4_head_cap", samples("l"), select="select asset, split, count(*) as n, max(sample_idx) as last_idx from samples where split <> 'train' or split_idx < 300 group by 1, 2")
 AGES = "starts as (select asset, min(cast(ts as date)) as d0, max(cast(ts as date)) as d1 from samples group by asset)"
 add(
     "i5_expanding_folds",
@@ -804,7 +806,7 @@ add(
 add(
     "j12_anomalies",
     records("e", high=0.5),
-    select=f"select asset, sample_idx, label, {cols6('spread_pct')}, {ANOMALY} as anomaly_type from (select *, row_number() over (partition by asset order by sample_idx) as rk from records where {SEVERE}) where rk <= 100",
+    select=f"select asset, sample_idx, label, {cols6('spread_pct')}, {ANOMALY} as anomaly_type from records where {SEVERE}",
 )
 add(
     "j13_label_check_levels",
@@ -835,7 +837,13 @@ add(
 
 add("k1_sample_snapshot_join", samples("e"), select=f"select asset, label, count(*) as n, {r6('max(mid)')} as max_mid from samples group by 1, 2")
 add("k3_sampled_rows", DEPTH, select=f"select asset, count(*) as n, {r6('sum(quantity)')} as quantity from dq group by asset")
-add("k4_truth_join", PREDS, select=f"select head, {r6('avg(case when y_pred = y_true then 1e0 else 0e0 end)')} as accuracy, count(*) as n from preds group by head")
+TRUTH = "((label % 4 + 4 + case when head = 'down' then 1 else 0 end + case when asset = 'b' then 1 else 0 end) % 4)"
+add(
+    "k4_truth_join",
+    PREDS,
+    select=f"""select asset, head, {r6(f'avg(case when y_pred = {TRUTH} then 1e0 else 0e0 end)')} as accuracy, count(*) as n
+    from preds join embeddings on vec_id = sample_idx, (values ('a'), ('b')) as assets(asset) group by 1, 2""",
+)
 add(
     "k6_asof_orders",
     snaps("l"),
@@ -900,8 +908,8 @@ add(
     "l13_directional_accuracy",
     PREDS,
     "side as (select sample_idx, sum(case when head = 'up' then p1 + 2 * p2 + 3 * p3 end) >= sum(case when head = 'down' then p1 + 2 * p2 + 3 * p3 end) as up from preds group by 1)",
-    select=f"""select {r6('avg(case when up = (cast(list_extract(embedding, 9) as double) >= 0) then 1e0 else 0e0 end)')} as directional_accuracy, count(*) as n
-    from side join embeddings on vec_id = sample_idx""",
+    select=f"""select {r6('avg(case when up = (sign * cast(list_extract(embedding, 9) as double) >= 0) then 1e0 else 0e0 end)')} as directional_accuracy, count(*) as n
+    from side join embeddings on vec_id = sample_idx, (values (1), (-1)) as assets(sign)""",
 )
 OWN = "(case y_true when 0 then p0 when 1 then p1 when 2 then p2 else p3 end)"
 RANK = "(1 + " + " + ".join(f"case when p{k} > {OWN} then 1 else 0 end" for k in range(K)) + ")"
@@ -937,15 +945,16 @@ TEMPS = ("0.25", "0.5", "0.75", "1.0", "1.5", "2.0", "3.0")
 TOTAL = "(" + " + ".join(tempered(k, "t") for k in range(K)) + ")"
 TEMPERED = PREDS + [
     "temps as (select unnest([" + ", ".join(f"{t}e0" for t in TEMPS) + "]) as t)",
-    "tp as (select preds.head, y_true, t, " + ", ".join(f"{tempered(k, 't')} / {TOTAL} as p{k}" for k in range(K)) + " from preds, temps)",
+    "tp as (select sample_idx, preds.head, y_true, t, " + ", ".join(f"{tempered(k, 't')} / {TOTAL} as p{k}" for k in range(K)) + " from preds, temps)",
     f"losses as (select head, t as temperature, avg(-ln({OWN})) as nll from tp group by 1, 2)",
 ]
 add("l16_temperature_losses", TEMPERED, select=f"select head, temperature, {cols6('nll')} from losses")
 add(
     "l16_temperature_scaling",
     TEMPERED,
-    "fit as (select * from (select *, row_number() over (partition by head order by nll, temperature) as rn from losses) where rn = 1)",
-    select=f"select tp.head, {r6(BRIER)} as brier_score from tp join fit on fit.head = tp.head and fit.temperature = tp.t group by tp.head",
+    f"seen as (select head, t as temperature, avg(-ln({OWN})) as nll from tp where sample_idx % 2 = 0 group by 1, 2)",
+    "fit as (select * from (select *, row_number() over (partition by head order by nll, temperature) as rn from seen) where rn = 1)",
+    select=f"select tp.head, {r6(BRIER)} as brier_score from tp join fit on fit.head = tp.head and fit.temperature = tp.t where sample_idx % 2 = 1 group by tp.head",
 )
 add(
     "l18_band_metrics",

@@ -88,7 +88,7 @@ def split_counts(line: DataFrame, p: BookParams) -> DataFrame:
 
 
 def train_and_records(line: DataFrame, p: BookParams, q: ProfileParams = PROFILE) -> DataFrame:
-    """Profile records of the sampled training rows."""
+    """Profile records of the training rows."""
     counts = labels.sample_counts(line, p)
     rows = splits.chronological_split(labels.samples(line, p), counts, p)
     train = rows.where(F.col("split") == "train")
@@ -169,7 +169,7 @@ def a6_training_set(spark, sf):
 @query
 def a8_record_csv(spark, sf):
     path = folder(spark, "records")
-    writers.write_record_csv(e_records(spark, sf), path)
+    writers.write_record_csv(e_records(spark, sf, ProfileParams(num_samples=500)), path)
     schema = "sample_idx long, ts timestamp_ntz, label int, bid_price double, ask_price double, bid_quantity double, ask_quantity double, mid_price double, spread_pct double, asset string"
     stored = spark.read.schema(schema).option("header", True).csv(path)
     return rounded(stored.select("asset", "sample_idx", "label", "mid_price", "spread_pct"), "mid_price", "spread_pct")
@@ -934,9 +934,15 @@ def k3_sampled_rows(spark, sf):
 
 @query
 def k4_truth_join(spark, sf):
-    preds = predictions(spark, sf)
-    truth = preds.select("sample_idx", "head", "y_true")
-    return evaluation.accuracy(evaluation.match_truth(preds.drop("y_true"), truth)).select("head", r6("accuracy").alias("accuracy"), "n")
+    # the truth comes from the source table, two assets share the same sample numbers
+    label = table(spark, sf, "embeddings").select(F.col("vec_id").alias("sample_idx"), F.pmod(F.col("label"), F.lit(K)).cast("int").alias("up"))
+    heads = F.array(F.struct(F.lit("up").alias("head"), F.col("up").alias("y")), F.struct(F.lit("down").alias("head"), F.pmod(F.col("up") + 1, F.lit(K)).alias("y")))
+    flat = label.select("sample_idx", F.explode(heads).alias("h")).select("sample_idx", "h.head", "h.y")
+    shift = F.when(F.col("asset") == "b", 1).otherwise(0)
+    truth = flat.select(F.explode(F.array(F.lit("a"), F.lit("b"))).alias("asset"), "*").withColumn("y_true", F.pmod(F.col("y") + shift, F.lit(K))).drop("y")
+    preds = predictions(spark, sf).drop("y_true").select(F.explode(F.array(F.lit("a"), F.lit("b"))).alias("asset"), "*")
+    found = evaluation.accuracy(evaluation.match_truth(preds, truth), ("asset", "head"))
+    return found.select("asset", "head", r6("accuracy").alias("accuracy"), "n")
 
 
 def daily_totals(spark, sf):
@@ -1034,8 +1040,12 @@ def l11_weighted_f1(spark, sf):
 
 @query
 def l13_directional_accuracy(spark, sf):
-    moves = table(spark, sf, "embeddings").select(F.col("vec_id").alias("sample_idx"), F.element_at("embedding", 9).cast("double").alias("price_change"))
-    return rounded(evaluation.directional_accuracy(predictions(spark, sf), moves), "directional_accuracy")
+    both = F.explode(F.array(F.lit("a"), F.lit("b"))).alias("asset")
+    sign = F.when(F.col("asset") == "b", -1.0).otherwise(1.0)
+    moves = table(spark, sf, "embeddings").select(both, F.col("vec_id").alias("sample_idx"), F.element_at("embedding", 9).cast("double").alias("raw"))
+    moves = moves.select("asset", "sample_idx", (sign * F.col("raw")).alias("price_change"))
+    preds = predictions(spark, sf).select(both, "*")
+    return rounded(evaluation.directional_accuracy(preds, moves), "directional_accuracy")
 
 
 @query
@@ -1065,15 +1075,17 @@ def l16_temperature_losses(spark, sf):
 
 @query
 def l16_temperature_scaling(spark, sf):
+    # fitted to the samples of even number, scored on the others
     preds = predictions(spark, sf)
-    fitted = evaluation.fit_temperature(preds, TEMPERATURES)
-    return rounded(evaluation.brier(evaluation.apply_temperature(preds, fitted)), "brier_score")
+    fitted = evaluation.fit_temperature(preds.where("sample_idx % 2 = 0"), TEMPERATURES)
+    return rounded(evaluation.brier(evaluation.apply_temperature(preds.where("sample_idx % 2 = 1"), fitted)), "brier_score")
 
 
 @query
 def l17_isotonic(spark, sf):
     preds = stage(predictions(spark, sf), "predictions")
-    return rounded(evaluation.brier(ml.isotonic_calibrate(preds, preds, K)), "brier_score")
+    fitted = ml.isotonic_calibrate(preds.where("sample_idx % 2 = 0"), preds.where("sample_idx % 2 = 1"), K)
+    return rounded(evaluation.brier(fitted), "brier_score")
 
 
 @query

@@ -30,8 +30,8 @@ def true_rank(probs: Column, label: Column) -> Column:
     return (F.size(F.filter(probs, lambda p: p > own)) + 1).cast("int")
 
 
-def temper(probs: Column, temperature: Column) -> Column:
+def temper(probs: Column, temperature: Column, floor: float = 1e-12) -> Column:
     """softmax(log p / T); probabilities are floored at 1e-12 first."""
-    scaled = F.transform(probs, lambda p: F.exp(F.log(F.greatest(p, F.lit(1e-12))) / temperature))
+    scaled = F.transform(probs, lambda p: F.exp(F.log(F.greatest(p, F.lit(floor))) / temperature))
     total = F.aggregate(scaled, F.lit(0.0), lambda a, e: a + e)
     return F.transform(scaled, lambda e: e / total)

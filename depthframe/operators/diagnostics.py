@@ -1,4 +1,4 @@
-"""Data-quality profile of sampled snapshots."""
+"""Data-quality profile of training snapshots."""
 
 from __future__ import annotations
 
@@ -41,7 +41,9 @@ RECORD_COLUMNS = (
 
 
 def sample_rows(train: DataFrame, counts: DataFrame, q: ProfileParams, assets: Sequence[str] | None) -> DataFrame:
-    """Sampled training rows; ``counts`` is (asset, n) of the training split."""
+    """All training rows, or a sample where one is asked for; ``counts`` is (asset, n) of the training split."""
+    if q.num_samples is None:
+        return train
     if q.sample_method == "uniform":
         return uniform_sample(train, counts, "sample_idx", q.num_samples, assets)
     return random_sample(train, "sample_idx", q.num_samples, q.seed, assets)
@@ -60,19 +62,6 @@ def records(rows: DataFrame, q: ProfileParams) -> DataFrame:
     )
 
 
-def describe(recs: DataFrame) -> DataFrame:
-    """Minimum, maximum, mean and population deviation of the four quote columns, per asset."""
-    aggs = []
-    for c in FEATURES:
-        aggs += [
-            F.min(c).alias(f"diag_{c}_min"),
-            F.max(c).alias(f"diag_{c}_max"),
-            F.avg(c).alias(f"diag_{c}_mean"),
-            F.stddev_pop(c).alias(f"diag_{c}_std"),
-        ]
-    return recs.groupBy("asset").agg(*aggs)
-
-
 def _share(test: Column) -> Column:
     return F.avg(test.cast("double"))
 
@@ -81,35 +70,56 @@ def _or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
+# The metric names below are the report's contract.
+def _quote_metrics() -> dict[str, Column]:
+    out = {}
+    for c in FEATURES:
+        out[f"diag_{c}_min"] = F.min(c)
+        out[f"diag_{c}_max"] = F.max(c)
+        out[f"diag_{c}_mean"] = F.avg(c)
+        out[f"diag_{c}_std"] = F.stddev_pop(c)
+    return out
+
+
+def _spread_metrics(q: ProfileParams) -> dict[str, Column]:
+    s = F.col("spread_pct")
+    return {
+        "diag_spread_mean_pct": _or_zero(F.avg(s)),
+        "diag_spread_std_pct": _or_zero(F.stddev_pop(s)),
+        "diag_spread_max_pct": _or_zero(F.max(s)),
+        "diag_spread_fraction_gt_threshold": _or_zero(_share(s > q.suspicious_pct)),
+        "diag_spread_fraction_high": _or_zero(_share(s > q.high_spread_pct)),
+        "diag_spread_high_allowed_fraction": F.max(F.lit(q.max_high_spread_fraction)),
+    }
+
+
+def _mid_metrics() -> dict[str, Column]:
+    ok = F.col("valid_spread")
+    points = _or_zero(F.avg(F.when(ok, mid_price())))
+    means = _or_zero(0.5 * (F.avg(F.when(ok, F.col("bid_price"))) + F.avg(F.when(ok, F.col("ask_price")))))
+    return {
+        "diag_mid_mean_price": points,
+        "diag_mid_mean_vs_bidask_means_rel_diff": F.when(points != 0, F.abs(points - means) / F.abs(points)).otherwise(0.0),
+    }
+
+
+def _per_asset(recs: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+    return recs.groupBy("asset").agg(*[value.alias(name) for name, value in metrics.items()])
+
+
+def describe(recs: DataFrame) -> DataFrame:
+    """Minimum, maximum, mean and population deviation of the four quote columns, per asset."""
+    return _per_asset(recs, _quote_metrics())
+
+
 def spread_statistics(recs: DataFrame, q: ProfileParams) -> DataFrame:
     """Spread mean, deviation, maximum and shares above two thresholds; 0 without valid spreads."""
-    s = F.col("spread_pct")
-    return recs.groupBy("asset").agg(
-        _or_zero(F.avg(s)).alias("diag_spread_mean_pct"),
-        _or_zero(F.stddev_pop(s)).alias("diag_spread_std_pct"),
-        _or_zero(F.max(s)).alias("diag_spread_max_pct"),
-        _or_zero(_share(s > q.suspicious_pct)).alias("diag_spread_fraction_gt_threshold"),
-        _or_zero(_share(s > q.high_spread_pct)).alias("diag_spread_fraction_high"),
-        F.max(F.lit(q.max_high_spread_fraction)).alias("diag_spread_high_allowed_fraction"),
-    )
+    return _per_asset(recs, _spread_metrics(q))
 
 
 def mid_consistency(recs: DataFrame) -> DataFrame:
     """Mean of mids against the mid of the mean prices, over rows with a valid spread."""
-    ok = F.col("valid_spread")
-    bid, ask = F.when(ok, F.col("bid_price")), F.when(ok, F.col("ask_price"))
-    sums = recs.groupBy("asset").agg(
-        _or_zero(F.avg(F.when(ok, mid_price()))).alias("_points"),
-        _or_zero(0.5 * (F.avg(bid) + F.avg(ask))).alias("_means"),
-    )
-    points, means = F.col("_points"), F.col("_means")
-    return sums.select(
-        "asset",
-        points.alias("diag_mid_mean_price"),
-        F.when(points != 0, F.abs(points - means) / F.abs(points))
-        .otherwise(0.0)
-        .alias("diag_mid_mean_vs_bidask_means_rel_diff"),
-    )
+    return _per_asset(recs, _mid_metrics())
 
 
 def outlier_percent(recs: DataFrame, q: ProfileParams, assets: Sequence[str] | None) -> DataFrame:
@@ -158,26 +168,7 @@ def profile(recs: DataFrame, line: DataFrame, p: BookParams, q: ProfileParams) -
     The single-pass metrics share one aggregation; only outliers (two passes)
     and gap statistics (another input) are separate.
     """
-    ok = F.col("valid_spread")
-    s = F.col("spread_pct")
-    aggs: dict[str, Column] = {}
-    for c in FEATURES:
-        aggs[f"diag_{c}_min"] = F.min(c)
-        aggs[f"diag_{c}_max"] = F.max(c)
-        aggs[f"diag_{c}_mean"] = F.avg(c)
-        aggs[f"diag_{c}_std"] = F.stddev_pop(c)
-    aggs["diag_spread_mean_pct"] = _or_zero(F.avg(s))
-    aggs["diag_spread_std_pct"] = _or_zero(F.stddev_pop(s))
-    aggs["diag_spread_max_pct"] = _or_zero(F.max(s))
-    aggs["diag_spread_fraction_gt_threshold"] = _or_zero(_share(s > q.suspicious_pct))
-    aggs["diag_spread_fraction_high"] = _or_zero(_share(s > q.high_spread_pct))
-    aggs["diag_spread_high_allowed_fraction"] = F.max(F.lit(q.max_high_spread_fraction))
-    points = _or_zero(F.avg(F.when(ok, mid_price())))
-    means = _or_zero(0.5 * (F.avg(F.when(ok, F.col("bid_price"))) + F.avg(F.when(ok, F.col("ask_price")))))
-    aggs["diag_mid_mean_price"] = points
-    aggs["diag_mid_mean_vs_bidask_means_rel_diff"] = F.when(
-        points != 0, F.abs(points - means) / F.abs(points)
-    ).otherwise(0.0)
+    aggs = {**_quote_metrics(), **_spread_metrics(q), **_mid_metrics()}
     for c in ("bid_price", "ask_price"):
         aggs[f"diag_{c}_nonzero_count"] = F.count_if(F.col(c) > 0).cast("double")
     wanted = ["inverted_spread", "high_spread"]
@@ -187,7 +178,7 @@ def profile(recs: DataFrame, line: DataFrame, p: BookParams, q: ProfileParams) -
         wanted += [f for f in FLAGS if f.startswith("zero_")]
     for f in wanted:
         aggs[f"diag_{f}_fraction"] = _share(F.col(f))
-    report = _long(recs.groupBy("asset").agg(*[v.alias(k) for k, v in aggs.items()]))
+    report = _long(_per_asset(recs, aggs))
     if q.outlier_checks:
         report = report.unionByName(_long(outlier_percent(recs, q, p.assets)))
     if q.gap_checks:
@@ -281,17 +272,18 @@ def spread_label_histogram(series: DataFrame, label_bins: int, spread_bins: int,
     return inside.groupBy("asset", "label", s.alias("spread_bin")).agg(F.count("*").alias("n"))
 
 
-def depth_quotes(book: DataFrame, series: DataFrame, per_asset: int, assets: Sequence[str] | None) -> DataFrame:
-    """Bid and ask quotes of the sampled timestamps: (asset, elapsed_seconds, price, quantity).
+def depth_quotes(book: DataFrame, series: DataFrame, per_asset: int | None, assets: Sequence[str] | None) -> DataFrame:
+    """Bid and ask quotes at the times of the series: (asset, elapsed_seconds, price, quantity).
 
-    The book is tall, the sampled timestamps are at most ``per_asset`` (the sample
-    size) per asset: they are broadcast where that is small, so the book is
-    filtered where it is read.
+    The book is tall. A series of at most ``per_asset`` sampled rows per asset is
+    broadcast where that is small, so the book is filtered where it is read;
+    a whole series (None) meets it in a plain join.
     """
     second = epoch_seconds("ts")
     times = series.select("asset", F.col("ts").alias("_ts"), "elapsed_seconds").distinct()
     rows = book.where(F.col("ts") == F.timestamp_seconds(second).cast("timestamp_ntz"))
-    hits = rows.join(bounded_broadcast(times.withColumnRenamed("_ts", "ts"), assets, per_asset), ["asset", "ts"])
+    times = times.withColumnRenamed("_ts", "ts")
+    hits = rows.join(times if per_asset is None else bounded_broadcast(times, assets, per_asset), ["asset", "ts"])
     sides = F.array(
         F.struct(F.col("bid_price").alias("price"), F.col("bid_quantity").alias("quantity")),
         F.struct(F.col("ask_price").alias("price"), F.col("ask_quantity").alias("quantity")),
@@ -303,9 +295,9 @@ def depth_quotes(book: DataFrame, series: DataFrame, per_asset: int, assets: Seq
 
 
 def depth_heatmap(
-    book: DataFrame, series: DataFrame, per_asset: int, time_bins: int, price_bins: int, assets: Sequence[str] | None
+    book: DataFrame, series: DataFrame, per_asset: int | None, time_bins: int, price_bins: int, assets: Sequence[str] | None
 ) -> DataFrame:
-    """Quoted quantity over time x price for the sampled timestamps."""
+    """Quoted quantity over time x price at the times of the series."""
     quotes = depth_quotes(book, series, per_asset, assets)
     points = quotes.groupBy("asset", "elapsed_seconds", "price").agg(F.sum("quantity").alias("quantity"))
     spans = points.groupBy("asset").agg(
@@ -321,12 +313,14 @@ def depth_heatmap(
     return joined.groupBy("asset", t.alias("time_bin"), b.alias("price_bin")).agg(F.sum("quantity").alias("volume"))
 
 
-def anomalies(recs: DataFrame, limit: int) -> DataFrame:
-    """First ``limit`` records of each asset with a severe flag, in sample order.
+def anomalies(recs: DataFrame, limit: int | None = None) -> DataFrame:
+    """Records with a severe flag; with a ``limit``, the first of each asset in sample order.
 
     The rank is cut at the limit, which Spark also applies before the shuffle.
     """
     bad = recs.where(any_severe()).withColumn("anomaly_type", anomaly_type())
+    if limit is None:
+        return bad.select("asset", *RECORD_COLUMNS, "anomaly_type")
     rank = F.row_number().over(Window.partitionBy("asset").orderBy("sample_idx"))
     first = bad.withColumn("_rank", rank).where(F.col("_rank") <= limit)
     return first.select("asset", *RECORD_COLUMNS, "anomaly_type")

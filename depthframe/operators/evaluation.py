@@ -1,8 +1,8 @@
 """Classification and calibration metrics of two-head predictions.
 
-Input rows are (sample_idx, head, y_true, probs). Every metric starts from one
-aggregation with map-side partial results; what follows works on at most
-heads x K x K or heads x bins rows.
+Input rows are (sample_idx, head, y_true, probs), with an asset where several are
+scored. Every metric starts from one aggregation with map-side partial results;
+what follows works on at most heads x K x K or heads x bins rows.
 """
 
 from __future__ import annotations
@@ -46,9 +46,15 @@ def check_shapes(predictions: DataFrame, num_classes: int, num_bins: int) -> Non
             raise ValueError(f"head {head}: {row.asDict()}")
 
 
+def sample_keys(rows: DataFrame) -> list[str]:
+    """What names a sample: sample_idx restarts with every asset, so the asset belongs to it."""
+    return [c for c in ("asset", "sample_idx") if c in rows.columns]
+
+
 def match_truth(predictions: DataFrame, truth: DataFrame) -> DataFrame:
-    """Attach the true class to predictions by (sample_idx, head)."""
-    return predictions.join(truth.select("sample_idx", "head", "y_true"), ["sample_idx", "head"])
+    """Attach the true class to predictions by (asset, sample_idx, head)."""
+    keys = [*sample_keys(predictions), "head"]
+    return predictions.join(truth.select(*keys, "y_true"), keys)
 
 
 def accuracy(predictions: DataFrame, by: Sequence[str] = ("head",)) -> DataFrame:
@@ -62,7 +68,11 @@ def confusion(predictions: DataFrame, num_classes: int, by: Sequence[str] = ("he
     The rows are counted once per cell; the at most K*K counts of a group then
     become columns, so empty cells need no join.
     """
-    counts = with_prediction(predictions).groupBy(*by, "y_true", "y_pred").agg(F.count("*").alias("n"))
+    return dense_matrix(with_prediction(predictions).groupBy(*by, "y_true", "y_pred").agg(F.count("*").alias("n")), num_classes, by)
+
+
+def dense_matrix(counts: DataFrame, num_classes: int, by: Sequence[str] = ("head",)) -> DataFrame:
+    """K x K cells of every group from the counts (y_true, y_pred, n) that occur."""
 
     def cell(t: int, c: int) -> Column:
         here = (F.col("y_true") == t) & (F.col("y_pred") == c)
@@ -170,9 +180,16 @@ def calibration_error(curve: DataFrame, by: Sequence[str] = ("head",)) -> DataFr
 
 
 def evaluate(predictions: DataFrame, num_classes: int, num_bins: int) -> DataFrame:
-    """All metrics in long form: (metric, value), named eval_{head}_{metric}[_class_k]."""
-    matrix = confusion(predictions, num_classes)
-    classes = per_class(matrix)
+    """All metrics in long form: (metric, value), named eval_{head}_{metric}[_class_k].
+
+    The rows are checked first: labels outside 0..K-1 or a wrong number of
+    probabilities are an error. They are then read twice, once for the counts and
+    squared errors of each (true, predicted) pair, once for the reliability bins.
+    """
+    check_shapes(predictions, num_classes, num_bins)
+    error = squared_error(F.col("probs"), F.col("y_true"))
+    pairs = with_prediction(predictions).groupBy("head", "y_true", "y_pred").agg(F.count("*").alias("n"), F.sum(error).alias("error"))
+    classes = per_class(dense_matrix(pairs, num_classes))
     prefix = F.concat(F.lit("eval_"), F.col("head"), F.lit("_"))
 
     def long(table: DataFrame, names: Sequence[str], suffix: Column | None = None) -> DataFrame:
@@ -182,9 +199,10 @@ def evaluate(predictions: DataFrame, num_classes: int, num_bins: int) -> DataFra
             cells.append(F.struct(F.concat(*parts).alias("metric"), F.col(n).cast("double").alias("value")))
         return table.select(F.explode(F.array(*cells)).alias("m")).select("m.*")
 
-    scores = predictions.groupBy("head").agg(
-        F.avg((argmax("probs") == F.col("y_true")).cast("double")).alias("accuracy"),
-        F.avg(squared_error(F.col("probs"), F.col("y_true"))).alias("brier_score"),
+    hits = F.when(F.col("y_pred") == F.col("y_true"), F.col("n")).otherwise(0)
+    scores = pairs.groupBy("head").agg(
+        (F.sum(hits) / F.sum("n")).alias("accuracy"),
+        (F.sum("error") / F.sum("n")).alias("brier_score"),
     )
     class_suffix = F.concat(F.lit("_class_"), F.col("class").cast("string"))
     return (
@@ -217,15 +235,17 @@ def directional_accuracy(predictions: DataFrame, moves: DataFrame) -> DataFrame:
     """Share of samples whose predicted direction matches the dominant move.
 
     The predicted direction is up if the expected class of the up head is at
-    least that of the down head. ``moves`` is (sample_idx, price_change).
+    least that of the down head. ``moves`` is (asset, sample_idx, price_change), the
+    asset where the predictions have one.
     """
     index = F.transform(F.col("probs"), lambda p, i: p * i)
     expected = F.aggregate(index, F.lit(0.0), lambda a, v: a + v)
     up = F.sum(F.when(F.col("head") == "up", expected))
     down = F.sum(F.when(F.col("head") == "down", expected))
-    side = predictions.groupBy("sample_idx").agg((up >= down).alias("predicted_up"))
+    keys = sample_keys(predictions)
+    side = predictions.groupBy(*keys).agg((up >= down).alias("predicted_up"))
     hit = (F.col("predicted_up") == (F.col("price_change") >= 0)).cast("double")
-    return side.join(moves, "sample_idx").agg(F.avg(hit).alias("directional_accuracy"), F.count("*").alias("n"))
+    return side.join(moves.select(*keys, "price_change"), keys).agg(F.avg(hit).alias("directional_accuracy"), F.count("*").alias("n"))
 
 
 def temperature_losses(holdout: DataFrame, temperatures: Sequence[float]) -> DataFrame:

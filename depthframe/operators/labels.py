@@ -24,7 +24,8 @@ def forward_extremes(line: DataFrame, p: BookParams) -> DataFrame:
     One shuffle, and constant work per row for any horizon (see ``run_extremes``).
     """
     h = p.horizon_steps
-    runs = run_extremes(halo(line, "snap_idx", 0, h, p.block_rows), "snap_idx", "mid", h)
+    blocks = halo(line, "snap_idx", 0, h, p.block_rows).repartition("asset", "_block")
+    runs = run_extremes(blocks, "snap_idx", "mid", h)
     w = block_window("snap_idx")
     ahead = runs.withColumns(
         {

@@ -31,7 +31,8 @@ WINDOW_FEATURES = ("mid_change", "range_pct", "mean_spread_pct", "mean_imbalance
 def window_summary(line: DataFrame, p: BookParams) -> DataFrame:
     """Look-back window of each anchor as a few numbers instead of T vectors."""
     t = p.window_steps
-    cells = run_extremes(halo(quote_features(line), "snap_idx", t, 0, p.block_rows), "snap_idx", "mid", t)
+    blocks = halo(quote_features(line), "snap_idx", t, 0, p.block_rows).repartition("asset", "_block")
+    cells = run_extremes(blocks, "snap_idx", "mid", t)  # all windows share the one shuffle
     w = block_window("snap_idx")
     mid = F.col("mid")
     imbalance = F.coalesce("volume_imbalance", F.lit(0.0))
@@ -156,12 +157,12 @@ def search(
     return samples.sparkSession.createDataFrame(rows, "trial int, params map<string,double>, value double, best boolean")
 
 
-def isotonic_calibrate(holdout: DataFrame, rows: DataFrame, num_classes: int) -> DataFrame:
+def isotonic_calibrate(holdout: DataFrame, rows: DataFrame, num_classes: int, steps: int = 10_000) -> DataFrame:
     """Per head and class: isotonic fit of hit on probability, then renormalised probabilities.
 
     Spark's estimator gathers its pooled points on the driver, so the hold-out is
-    first averaged over 10,000 steps of the probability: at most 10,001 weighted
-    points per fit, whatever the size of the hold-out.
+    first averaged over ``steps`` equal steps of the probability: at most steps + 1
+    weighted points per fit, whatever the size of the hold-out.
     """
     out = None
     for head in HEADS:
@@ -169,7 +170,7 @@ def isotonic_calibrate(holdout: DataFrame, rows: DataFrame, num_classes: int) ->
         seen = holdout.where(F.col("head") == head)
         for k in range(num_classes):
             p, hit = F.col("probs")[k], (F.col("y_true") == k).cast("double")
-            points = seen.groupBy(F.floor(p * 10_000).alias("step")).agg(
+            points = seen.groupBy(F.floor(p * steps).alias("step")).agg(
                 F.avg(p).alias("p"), F.avg(hit).alias("hit"), F.count("*").cast("double").alias("w")
             )
             model = IsotonicRegression(featuresCol="p", labelCol="hit", weightCol="w", predictionCol=f"_c{k}").fit(points)

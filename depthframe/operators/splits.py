@@ -37,8 +37,11 @@ def chronological_split(samples: DataFrame, counts: DataFrame, p: BookParams) ->
 
 
 def head_cap(rows: DataFrame, cap: int) -> DataFrame:
-    """First ``cap`` rows of each split, by position."""
-    return rows.where(F.col("split_idx") < cap)
+    """First ``cap`` training rows, by position: a documented bound on what a classifier is fitted to.
+
+    Validation and test rows all stay.
+    """
+    return rows.where((F.col("split") != SPLITS[0]) | (F.col("split_idx") < cap))
 
 
 def uniform_sample(rows: DataFrame, counts: DataFrame, index: str, m: int, assets: Sequence[str] | None) -> DataFrame:
@@ -63,8 +66,8 @@ def uniform_sample(rows: DataFrame, counts: DataFrame, index: str, m: int, asset
 
 
 def digest(seed: int, index: Column) -> Column:
-    """Reproducible pseudo-random order of rows."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), index.cast("string")).cast("binary"))
+    """Reproducible pseudo-random order of rows, another one for each asset."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), "asset", index.cast("string")).cast("binary"))
 
 
 def digest_fraction(seed: int, index: Column) -> Column:
@@ -73,7 +76,7 @@ def digest_fraction(seed: int, index: Column) -> Column:
 
 
 def random_sample(rows: DataFrame, index: str, m: int, seed: int, assets: Sequence[str] | None) -> DataFrame:
-    """``m`` rows per asset without replacement: the smallest digests of (seed, index).
+    """``m`` rows per asset without replacement: the smallest digests of (seed, asset, index).
 
     A count per digest prefix (pre-aggregated, at most 65,536 per asset) gives
     the prefix at which m rows are reached; only rows up to it are ranked, about

@@ -22,15 +22,17 @@ BEFORE = (Window.unboundedPreceding, -1)
 
 
 def bounded_broadcast(table: DataFrame, assets: Sequence[str] | None, rows_per_asset: int = 1) -> DataFrame:
-    """Broadcast a table of at most ``rows_per_asset`` rows per asset if its size is bounded.
+    """Hint that a table of at most ``rows_per_asset`` rows for each of ``assets`` is small.
 
-    The filter makes the asset list a bound for any input. Without a list, or
-    beyond the row limit, the join is left to the run-time size check and skew
-    handling of adaptive execution.
+    Passing ``assets`` states that the rows hold no others (``build_line`` restricts the
+    book to them), which bounds the broadcast. The table is never filtered: with a list of
+    any length, or none, a join gives the same rows. Without a list, or beyond the row
+    limit, the join is left to the run-time size check and skew handling of adaptive
+    execution.
     """
     if assets is None or len(assets) * rows_per_asset > MAX_BROADCAST_ROWS:
         return table
-    return F.broadcast(table.where(F.col("asset").isin(*assets)))
+    return F.broadcast(table)
 
 
 def with_scalars(df: DataFrame, stats: DataFrame, assets: Sequence[str] | None) -> DataFrame:

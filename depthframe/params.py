@@ -11,8 +11,9 @@ GAP_MODES = ("skip", "forward_fill", "interpolate")
 class BookParams:
     """Time line, labelling and split settings of one run.
 
-    ``assets`` is the configured asset list. When it is given, tables with one
-    row per asset have a proven size bound and may be broadcast.
+    ``assets`` is the configured asset list: ``build_line`` restricts the book to
+    it, so tables with one row per asset have a proven size bound and may be
+    broadcast.
     ``block_rows`` is the number of consecutive snapshots one window task sorts.
     """
 
@@ -64,10 +65,14 @@ class BookParams:
 
 @dataclass(frozen=True)
 class ProfileParams:
-    """Data-quality profile settings. The defaults are fixed values of the reference set-up."""
+    """Data-quality profile settings. The thresholds are fixed values of the reference set-up.
+
+    The profile reads all training rows; ``num_samples`` asks for a sample of that
+    many rows per asset, ``anomaly_limit`` for the first anomalies only.
+    """
 
     sample_method: str = "uniform"
-    num_samples: int = 500
+    num_samples: int | None = None
     seed: int = 42
     suspicious_pct: float = 1.0
     high_spread_pct: float = 5.0
@@ -80,7 +85,7 @@ class ProfileParams:
     gap_checks: bool = True
     large_gap_multiplier: float = 2.0
     very_large_gap_multiplier: float = 6.0
-    anomaly_limit: int = 100
+    anomaly_limit: int | None = None
     histogram_bins: int = 50
     time_bins: int = 50
     spread_bins: int = 50
@@ -92,5 +97,5 @@ class ProfileParams:
         if self.sample_method not in ("uniform", "random"):
             raise ValueError("sample_method must be 'uniform' or 'random'")
         for name in ("num_samples", "histogram_bins", "time_bins", "spread_bins", "price_bins"):
-            if getattr(self, name) <= 0:
+            if getattr(self, name) is not None and getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")

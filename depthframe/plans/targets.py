@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from depthframe.operators.labels import sample_counts, samples
 from depthframe.operators.snapshot import snapshots
@@ -16,8 +17,10 @@ def build_line(book: DataFrame, p: BookParams, on_gap: str = "report") -> DataFr
 
     The book is scanned once: its snapshots are staged in time order, and the gap
     check and the repair read that table. ``on_gap="fail"`` stops on a long gap
-    before the repair.
+    before the repair. Configured assets restrict the book here, and nowhere later.
     """
+    if p.assets is not None:
+        book = book.where(F.col("asset").isin(*p.assets))
     indexed = index_snapshots(snapshots(book))
     if on_gap == "fail":
         check_gaps(indexed, p, "fail")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -21,7 +23,8 @@ def require_utc(spark: SparkSession) -> None:
 def stage_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local-mode session without that setting gets a folder of its own.
+    Only a local-mode session without that setting gets a folder of its own, which
+    goes when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -29,7 +32,8 @@ def stage_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.master.startswith("local"):
         if context.applicationId not in _LOCAL_FOLDERS:
-            _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="depthframe-")
+            _LOCAL_FOLDERS[context.applicationId] = folder = tempfile.mkdtemp(prefix="depthframe-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         return _LOCAL_FOLDERS[context.applicationId]
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 

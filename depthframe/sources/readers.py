@@ -50,15 +50,6 @@ def book_rows(
     return rows.select(*BOOK_COLUMNS)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash rows over the cores if the table has fewer read splits than the session has cores.
-
-    Only small tables are so few splits; larger ones are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def _read(spark: SparkSession, path: str, on_missing: str) -> DataFrame:
     try:
         return spark.read.parquet(path)

@@ -78,7 +78,7 @@ def test_random_sample_is_exact_and_stable(spark):
 
 
 def test_rebalance_factors(spark):
-    rows = spark.range(400).select(F.col("id").alias("i"), (F.col("id") % 2).alias("c"))
+    rows = spark.range(400).select(F.lit("x").alias("asset"), F.col("id").alias("i"), (F.col("id") % 2).alias("c"))
     out = splits.rebalance(rows, "c", {0: 2.0, 1: 0.5}, "i", 1).groupBy("c").count().collect()
     n = {r.c: r["count"] for r in out}
     assert n[0] == 400 and 70 < n[1] < 130

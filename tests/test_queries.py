@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as driver
 from checks.compare import compare, duck
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 CHOSEN = (
@@ -27,7 +29,7 @@ CHOSEN = (
 
 def test_every_sql_has_a_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    without = set(driver.queries()) - set(driver.oracle_sql())
+    without = set(QUERIES) - set(ORACLES)
     assert without == {"a7_fingerprint", "l17_isotonic", "m1_two_head", "m2_search"}
 
 
