@@ -34,7 +34,7 @@ from depthframe.llm.common import Scratch, arrow_schema, lists, record, slices
 
 MARK = "▁"
 HOT_UNITS = 1 << 17
-BITS = 62
+BITS = 61
 MAX_BROADCAST_PIECES = 1_000_000
 UNKNOWN_PENALTY = 10.0
 _UNIT = re.compile(rf"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
