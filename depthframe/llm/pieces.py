@@ -1,17 +1,19 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are split where no piece can span: before white-space marks and around line ends. Each
-distinct unit explodes into its substrings of at most the longest piece's length; an equi-join with the
-piece table keeps those that are pieces: the edges of the unit's lattice. Edges are grouped by unit
-and folded with Spark's higher-order ``aggregate``: for a unigram model the fold is Viterbi over the
-places of the unit; for a BPE model it applies, again and again, the best-ranked edge that joins two
-neighbours, which is what that model's encoder does (its scores are ranks, and the path with the
-best sum of ranks is another one). Characters without a piece fall back to their bytes.
-
-Scale: the lattice is built once per distinct unit, not per occurrence. The ``HOT_UNITS`` most
-frequent units are sent to every task; a document fetches its other units by an equi-join. Units
-too long for the bits of one number are folded by a heap over the same joined edges. Per text one
-shuffle moves the compressed text to its rarer units.
+Texts are split into units where no piece can span: before white-space marks, around line ends,
+and between ASCII punctuation and characters that the piece table never puts next to it. Each
+distinct unit explodes into its substrings of at most the longest piece's length; an equi-join
+with the piece table keeps those that are pieces: the edges of the unit's lattice. Edges are
+grouped by unit and folded. For a unigram model the fold is Viterbi with Spark's higher-order
+``aggregate`` over the places of the unit. A BPE model's encoder does not look for the path with the
+best sum of scores: its scores are ranks, and it joins two neighbours by the best-ranked edge, again
+and again. That fold runs in Arrow batches over the same grouped edges, because as an ``aggregate`` it
+took too long (see the README). Characters without a piece fall back to their bytes.
+
+Scale: the lattice is built once per distinct unit, not per occurrence, and the units stay in the
+partitions that made them distinct. The ``HOT_UNITS`` most frequent units are sent to every task; a
+document fetches its other units by an equi-join. Per text one shuffle moves the compressed text to
+its rarer units.
 
 Defined results: a null or empty text has no pieces and decodes to an empty text; equal rows are
 encoded alike; the mark U+2581 in a text decodes as a blank, as in the library; extra columns stay.
@@ -33,11 +35,11 @@ from pyspark.sql import functions as F
 from depthframe.llm.common import Scratch, arrow_schema, lists, record, slices
 
 MARK = "▁"
-HOT_UNITS = 1 << 17
-BITS = 61
+HOT_UNITS = 1 << 19
+SHORT = 250
 MAX_BROADCAST_PIECES = 1_000_000
 UNKNOWN_PENALTY = 10.0
-_UNIT = re.compile(rf"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 @dataclass(frozen=True)
@@ -55,6 +57,17 @@ class Pieces:
         if any(MARK in p.lstrip(MARK) for p in self.names) or any("\n" in p and p != "\n" for p in self.names):
             raise ValueError("a piece spans words")
 
+    def splitter(self) -> re.Pattern:
+        """Units of a marked text: no piece holds two characters on both sides of a cut.
+
+        Cuts lie between ASCII punctuation and other characters, unless one of those stands next to
+        punctuation in some piece; a run that touches such a character stays whole.
+        """
+        beside = {c for p in self.names for c in p if any(x in PUNCTUATION for x in p)} - set(PUNCTUATION) - {MARK, "\n"}
+        glue, marks = "".join(map(re.escape, sorted(beside))), re.escape(PUNCTUATION)
+        apart = f"(?![{glue}])" if glue else ""
+        return re.compile(rf"{MARK}*+(?:[^{MARK}\n{marks}{glue}]++{apart}|[{marks}]++{apart}|[^{MARK}\n]++)|\n|{MARK}++")
+
     @property
     def longest(self) -> int:
         return max(map(len, self.names))
@@ -78,88 +91,118 @@ def read_pieces(path: str, bpe: bool = True) -> Pieces:
     )
 
 
-def units(text: str | None) -> list[str]:
-    return _UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
+def units(text: str | None, splitter: re.Pattern) -> list[str]:
+    return splitter.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
 # ---------------------------------------------------------------- the lattice
 
 
-def _vocabulary(docs: DataFrame) -> DataFrame:
+def _vocabulary(docs: DataFrame, pieces: Pieces) -> DataFrame:
     """(unit, n): distinct units of all texts, counted per task first."""
     schema = "unit string, n long"
     target = arrow_schema(schema)
+    splitter = pieces.splitter()
 
     def run(batches):
         held: Counter = Counter()
         for part in slices(batches, 0):
             for text in part.column(0).to_pylist():
-                held.update(units(text))
+                held.update(units(text, splitter))
             if len(held) > 500_000:
                 yield record({"unit": list(held), "n": list(held.values())}, target)
                 held = Counter()
-        for lo in range(0, len(held), 1 << 16):
-            names = list(held)[lo : lo + (1 << 16)]
-            yield record({"unit": names, "n": [held[x] for x in names]}, target)
+        names, counts = list(held), list(held.values())
+        for lo in range(0, len(names), 1 << 16):
+            yield record({"unit": names[lo : lo + (1 << 16)], "n": counts[lo : lo + (1 << 16)]}, target)
 
     return docs.select("text").mapInArrow(run, schema).groupBy("unit").agg(F.sum("n").alias("n"))
 
 
 def _table(spark: SparkSession, pieces: Pieces) -> DataFrame:
     order = np.argsort(-np.array(pieces.scores), kind="stable")
-    rank = np.empty(len(order), dtype=np.int32)
-    rank[order] = np.arange(len(order), dtype=np.int32)
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order), dtype=np.int64)
     table = spark.createDataFrame(pa.table({"piece": list(pieces.names), "rank": rank, "score": np.array(pieces.scores, dtype=float)}))
     return F.broadcast(table) if len(pieces.names) <= MAX_BROADCAST_PIECES else table
 
 
 def _edges(words: DataFrame, table: DataFrame, longest: int, least: int) -> DataFrame:
-    """(unit, edges): the pieces among the substrings of short units, by rank."""
-    every = f"""flatten(transform(sequence(0, length(unit) - {least}), s ->
-        transform(sequence({least}, least({longest}, length(unit) - s)), n ->
-            named_struct('s', s, 'e', s + n, 'piece', substring(unit, s + 1, n)))))"""
-    sub = words.filter(F.length("unit") >= least).select("unit", F.explode(F.expr(every)).alias("x")).select("unit", F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.piece").alias("piece"))
-    return sub.join(table, "piece").groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("rank", "s", "e", "score"))).alias("edges"))
-
-
-#: Places of a unit are bits: a merge clears the bits between the ends of an edge that has just one inside.
-_MERGE = """aggregate(sequence(2, length(unit)), shiftleft(1L, length(unit) + 1) - 1L, (m, i) -> m & ~coalesce(get(filter(masks, x ->
-    (m & x.ends) = x.ends and bit_count(m & x.inner) = 1), 0).inner, 0L))"""
-_MASKS = """transform(edges, x -> named_struct(
-    'ends', shiftleft(1L, x.s) | shiftleft(1L, x.e), 'inner', shiftleft(1L, x.e) - shiftleft(1L, x.s + 1)))"""
+    """(unit, n, edges): the pieces among the substrings of short units, as (rank, s, e, score).
+
+    Every unit also has one row without a piece, so that a unit without edges is not lost. Units come
+    partitioned by unit, and neither the explode nor the join with a small table moves them.
+    """
+    every = f"""concat(array(named_struct('s', 0, 'e', 0, 'piece', cast(null as string))),
+        if(length(unit) < {least}, cast(array() as array<struct<s:int,e:int,piece:string>>),
+        flatten(transform(sequence(0, length(unit) - {least}), s ->
+            transform(sequence({least}, least({longest}, length(unit) - s)), n ->
+                named_struct('s', s, 'e', s + n, 'piece', substring(unit, s + 1, n)))))))"""
+    sub = words.select("unit", "n", F.explode(F.expr(every)).alias("x")).select("unit", "n", F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.piece").alias("piece"))
+    found = sub.join(table, "piece", "left").filter("rank is not null or e = 0")
+    return found.groupBy("unit", "n").agg(F.collect_list(F.when(F.col("e") > 0, F.struct("rank", "s", "e", "score"))).alias("edges"))
+
+
 #: Viterbi: for each place the best score of a path from the start, and the place before it.
 _VITERBI = """aggregate(sequence(1, length(unit)), array(named_struct('score', 0D, 'back', 0)), (best, e) -> concat(best, array(array_max(
     transform(filter(edges, x -> x.e = e), x -> named_struct('score', best[x.s].score + x.score, 'back', x.s))))))"""
 _BACK = """aggregate(sequence(1, length(unit)), named_struct('at', length(unit), 'cuts', cast(array() as array<int>)), (a, i) ->
     if(a.at <= 0, a, named_struct('at', best[a.at].back, 'cuts', if(best[a.at].back > 0, concat(array(best[a.at].back), a.cuts), a.cuts))), a -> a.cuts)"""
+SEGMENT = "unit string, n long, cuts array<int>"
 
 
-def segment(vocabulary: DataFrame, pieces: Pieces, scratch: Scratch) -> DataFrame:
+def segment(vocabulary: DataFrame, pieces: Pieces) -> DataFrame:
     """(unit, n, cuts): the places inside each unit where its pieces meet."""
     table = _table(vocabulary.sparkSession, pieces)
-    none = F.array().cast("array<int>")
     if not pieces.bpe:
         return _viterbi(vocabulary, table, pieces)
-    short = vocabulary.filter(F.length("unit") <= BITS)
-    folded = _edges(short.select("unit"), table, pieces.longest, 2).withColumn("masks", F.expr(_MASKS)).withColumn("m", F.expr(_MERGE))
-    cuts = F.expr("filter(sequence(1, length(unit) - 1), i -> (m & shiftleft(1L, i)) <> 0L)")
-    # a unit without edges stays in single characters
-    single = F.when(F.length("unit") > 1, F.sequence(F.lit(1), F.length("unit") - 1)).otherwise(none)
-    done = short.join(folded.select("unit", cuts.alias("cuts")), "unit", "left").select("unit", "n", F.coalesce("cuts", single).alias("cuts"))
-    return done.unionByName(_long(vocabulary.filter(F.length("unit") > BITS), table, pieces.longest))
+    short = _edges(vocabulary.filter(F.length("unit") <= SHORT), table, pieces.longest, 2)
+    packed = F.transform("edges", lambda x: (x["rank"] * 256 + x["s"]) * 256 + x["e"])
+    target = arrow_schema(SEGMENT)
+
+    def fold(batches):
+        for batch in batches:
+            cuts = [joined(len(unit), edges) for unit, edges in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
+            yield record({"unit": batch.column(0), "n": batch.column(1), "cuts": cuts}, target)
+
+    done = short.select("unit", "n", packed.alias("edges")).mapInArrow(fold, SEGMENT)
+    return done.unionByName(_long(vocabulary.filter(F.length("unit") > SHORT), table, pieces.longest))
+
+
+def joined(length: int, edges: list[int]) -> list[int]:
+    """Cuts left after joining neighbours, best rank first and leftmost among equals.
+
+    Places are bits; an edge can join where both its ends are cuts and just one cut lies between.
+    """
+    places = (1 << (length + 1)) - 1
+    masks = []
+    for code in sorted(edges):
+        s, e = code >> 8 & 255, code & 255
+        masks.append((1 << s | 1 << e, (1 << e) - (2 << s)))
+    again = True
+    while again:
+        again = False
+        for ends, inner in masks:
+            if places & ends == ends:
+                between = places & inner
+                if between and not between & (between - 1):
+                    places ^= between
+                    again = True
+                    break
+    return [i for i in range(1, length) if places >> i & 1]
 
 
 def _viterbi(vocabulary: DataFrame, table: DataFrame, pieces: Pieces) -> DataFrame:
     unknown = min(pieces.scores) - UNKNOWN_PENALTY
-    edges = _edges(vocabulary.select("unit"), table, pieces.longest, 1)
+    edges = _edges(vocabulary, table, pieces.longest, 1)
     # every character also has an edge of its own at the penalty of an unknown piece
-    own = F.expr(f"transform(sequence(0, length(unit) - 1), s -> named_struct('rank', -1, 's', s, 'e', s + 1, 'score', double({unknown})))")
-    joined = vocabulary.join(edges, "unit", "left").withColumn("edges", F.concat(F.coalesce("edges", F.expr("cast(array() as array<struct<rank:int,s:int,e:int,score:double>>)")), own))
-    return joined.withColumn("best", F.expr(_VITERBI)).select("unit", "n", F.expr(_BACK).alias("cuts"))
+    own = F.expr(f"transform(sequence(0, length(unit) - 1), s -> named_struct('rank', -1L, 's', s, 'e', s + 1, 'score', double({unknown})))")
+    best = edges.withColumn("edges", F.concat("edges", own)).withColumn("best", F.expr(_VITERBI))
+    return best.select("unit", "n", F.expr(_BACK).alias("cuts"))
 
 
 def _long(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
-    """The same lattice for long units: substrings keyed by a digest, merges by a heap."""
+    """The same lattice for long units: substrings keyed by a digest, joins by a heap."""
     target = arrow_schema("key string, s int, e int, piece string")
 
     def explode(batches):
@@ -172,15 +215,14 @@ def _long(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
     keyed = words.select(F.md5("unit").alias("key"), "unit", "n")
     sub = keyed.select("key", "unit").mapInArrow(explode, "key string, s int, e int, piece string")
     edges = sub.join(table, "piece").groupBy("key").agg(F.collect_list(F.struct("rank", "s", "e")).alias("edges"))
-    schema = "unit string, n long, cuts array<int>"
-    done = arrow_schema(schema)
+    done = arrow_schema(SEGMENT)
 
     def merge(batches):
         for batch in batches:
             for unit, n, edges in zip(*(c.to_pylist() for c in batch.columns)):
                 yield record({"unit": [unit], "n": [n], "cuts": [merged(len(unit), {(x["s"], x["e"]): x["rank"] for x in edges or []})]}, done)
 
-    return keyed.join(edges, "key", "left").select("unit", "n", "edges").mapInArrow(merge, schema)
+    return keyed.join(edges, "key", "left").select("unit", "n", "edges").mapInArrow(merge, SEGMENT)
 
 
 def merged(length: int, rank: dict[tuple[int, int], int]) -> list[int]:
@@ -224,8 +266,8 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataF
     """``docs`` plus ids, the piece numbers of its text."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "pieces")
-    vocabulary = scratch.stage(_vocabulary(docs), "vocabulary")
-    segmented = scratch.stage(segment(vocabulary, pieces, scratch), "segmented")
+    splitter = pieces.splitter()
+    segmented = scratch.stage(segment(_vocabulary(docs, pieces), pieces), "segmented")
     names = dict(zip(pieces.names, pieces.ids))
     hot = segmented.orderBy(F.desc("n"), "unit").limit(hot_units).toArrow()
     packed = {u: np.array(_numbers(pieces, names, u, c), dtype=np.int32).tobytes() for u, c in zip(hot.column("unit").to_pylist(), hot.column("cuts").to_pylist())}
@@ -238,7 +280,7 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataF
         for part in slices(batches, 1):
             keys, found = [], []
             for th, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                mine = set(units(text)).difference(known)
+                mine = set(units(text, splitter)).difference(known)
                 keys += [th] * len(mine)
                 found += mine
             yield record({"__th": keys, "unit": found}, target)
@@ -249,7 +291,7 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataF
 
     @F.arrow_udf("binary")
     def pack(texts: pa.Array) -> pa.Array:
-        press = zstandard.ZstdCompressor(level=1).compress
+        press = zstandard.ZstdCompressor(level=3).compress
         return pa.array([None if t is None else press(t.encode("utf-8")) for t in texts.to_pylist()], pa.binary())
 
     @F.arrow_udf("string")
@@ -266,7 +308,7 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataF
         for blob, extra in zip(blobs.to_pylist(), rare.to_pylist()):
             more = {x["unit"]: np.array(_numbers(pieces, own, x["unit"], x["cuts"]), dtype=np.int32).tobytes() for x in extra or []}
             text = None if blob is None else open_(blob).decode("utf-8")
-            joined = b"".join([packed[u] if u in packed else more[u] for u in units(text)])
+            joined = b"".join([packed[u] if u in packed else more[u] for u in units(text, splitter)])
             values.append(joined)
             counts.append(len(joined) // 4)
         return lists(np.frombuffer(b"".join(values), dtype=np.int32), counts, pa.int32())

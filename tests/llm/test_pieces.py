@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from depthframe.llm import pieces
-from depthframe.llm.common import Scratch
 from tests.llm.fixtures import docs, prose
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
-TEXTS = [None, "", " ", "   a  b\n\n c", "Hello WORLD <0x0A> <s> <unk>", "漢字かな🙂é\x00\t", "internationalisation" * 9, "x" * 200, "▁▁a", prose(3, 200), "\n", "q" * 61, "ab" * 31 + "c", "a" * 62]
+TEXTS = [None, "", " ", "   a  b\n\n c", "Hello WORLD <0x0A> <s> <unk>", "漢字かな🙂é\x00\t", "internationalisation" * 9, "x" * 200, "▁▁a", prose(3, 200), "\n", "q" * 61, "ab" * 31 + "c", "a" * 62, "word.”» x…, don't! (é)é.é—a-b", "re.\nNext### the&&& of%%%", "z" * 251, "ab" * 125]
 
 
 def test_equals_the_library_and_goes_back(spark):
@@ -26,6 +25,17 @@ def test_equals_the_library_and_goes_back(spark):
             assert r.back == (r.text or "").replace("▁", " ")
 
 
+def test_no_piece_spans_a_cut():
+    table = pieces.read_pieces(PATH)
+    splitter = table.splitter()
+    held = {p[i : i + 2] for p in table.names for i in range(len(p) - 1)}
+    for text in TEXTS:
+        parts = pieces.units(text, splitter)
+        assert "".join(parts) == (pieces.MARK + text.replace(" ", pieces.MARK) if text else "")
+        assert not any(a[-1] + b[0] in held for a, b in zip(parts, parts[1:]))
+    assert splitter.findall("▁a.b▁▁c,") == ["▁a", ".", "b", "▁▁c", ","]
+
+
 def unigram():
     names = ["▁", "a", "b", "c", "ab", "bc", "abc", "▁a", "▁ab", "ca"]
     scores = [-3.0, -2.0, -2.5, -2.2, -3.1, -3.0, -4.2, -2.9, -3.3, -2.7]
@@ -50,7 +60,7 @@ def test_viterbi_fold_equals_brute_force(spark):
     vocabulary = spark.createDataFrame([(w, 1) for w in words], "unit string, n long")
     score = dict(zip(table.names, table.scores))
     least = min(table.scores) - pieces.UNKNOWN_PENALTY
-    for row in pieces.segment(vocabulary, table, Scratch(spark, "t")).collect():
+    for row in pieces.segment(vocabulary, table).collect():
         cuts = [0, *row.cuts, len(row.unit)]
         got = sum(score.get(row.unit[i:j], least) for i, j in zip(cuts, cuts[1:]))
         assert abs(got - best(row.unit, table)) < 1e-9
@@ -58,9 +68,9 @@ def test_viterbi_fold_equals_brute_force(spark):
 
 def test_folds_by_bits_and_by_heap_agree(spark):
     table = pieces.read_pieces(PATH)
-    words = [w for t in TEXTS for w in pieces.units(t) if 1 < len(w) <= pieces.BITS]
+    words = [w for t in TEXTS for w in pieces.units(t, table.splitter()) if len(w) <= pieces.SHORT]
     vocabulary = spark.createDataFrame([(w, 1) for w in set(words)], "unit string, n long")
-    short = {r.unit: list(r.cuts) for r in pieces.segment(vocabulary, table, Scratch(spark, "t")).collect()}
+    short = {r.unit: list(r.cuts) for r in pieces.segment(vocabulary, table).collect()}
     long = {r.unit: list(r.cuts) for r in pieces._long(vocabulary, pieces._table(spark, table), table.longest).collect()}
     assert short == long
 
