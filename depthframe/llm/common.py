@@ -6,6 +6,8 @@ task's memory does not grow with the length of a text or the size of a partition
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -34,10 +36,12 @@ class Scratch:
             if not spark.sparkContext.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="depthframe-llm-")
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
             spark.conf.set("spark.checkpoint.dir", base)
         self.spark = spark
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
+        _ROOTS.setdefault(spark.sparkContext.applicationId, []).append(self.root)
 
     def stage(self, df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
         """Write ``df`` once and read it back: a lost executor costs a re-read of files.
@@ -57,8 +61,21 @@ class Scratch:
     def drop(self, *staged: DataFrame) -> None:
         """Delete staged tables that nothing reads any more."""
         for df in staged:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(df._staged_at)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(self.spark, df._staged_at)
+
+
+_ROOTS: dict[str, list[str]] = {}
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all staged tables of this session; results that read them must be written before."""
+    for root in _ROOTS.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, root)
 
 
 # ---------------------------------------------------------------- Arrow batches

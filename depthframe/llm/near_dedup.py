@@ -43,11 +43,11 @@ from depthframe.llm.common import SPACED, Scratch, arrow_schema, lists, mix, rec
 
 TREES = 8
 COORDINATES = 24
-BINS = 256
+BINS = 512
 NODE_LIMIT = 100
 MAX_LEVEL = 12
 SECOND_BRANCH = 0.35
-SLACK = 4.3
+SLACK = 4.0
 _A, _B, _C = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
 _RANDOM = np.random.default_rng(7)
 _FLIP = _RANDOM.integers(1, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -89,7 +89,7 @@ def sketches(sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
     Among the ranges where either of two sets has a value, the share that agrees estimates their similarity.
     """
-    at = np.repeat(np.arange(len(sizes)), sizes) * BINS + (sets >> np.uint64(56)).astype(np.int64)
+    at = np.repeat(np.arange(len(sizes)), sizes) * BINS + (sets >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
     head = np.ones(len(at), dtype=bool)
     head[1:] = at[1:] != at[:-1]
     out = np.zeros(len(sizes) * BINS, dtype=np.uint8)
@@ -129,11 +129,17 @@ def _prints(docs: DataFrame, words: int, trees: int) -> DataFrame:
 
 
 def _may_link(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sketches may belong to linked sets, with ``SLACK`` standard deviations to spare."""
+    """Whether sketches may belong to linked sets, with ``SLACK`` standard deviations to spare.
+
+    A sketch samples the union of both sets without replacement, so the deviation falls as the
+    sample nears the union.
+    """
     j = percent / 100
     held = ((a | b) > 0).sum(axis=-1)
     agree = ((a == b) & (a > 0)).sum(axis=-1)
-    return (agree + 1 >= j * held - SLACK * np.sqrt(j * (1 - j) * held)) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
+    union = np.maximum((n_a + n_b) / (1 + j), held + 1.0)
+    spread = np.sqrt(j * (1 - j) * held * (union - held) / (union - 1))
+    return (agree + 2 >= j * held - SLACK * spread) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
 
 
 def _rows(column: pa.Array) -> np.ndarray:
@@ -185,7 +191,7 @@ def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _star_pairs(large: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of each large node's leader, its smallest vertex, with the other members."""
+    """Candidate pairs of each large node's leader, the vertex with most equal documents, with the other members."""
     schema = "a long, b long"
     target = arrow_schema(schema)
 
@@ -196,14 +202,14 @@ def _star_pairs(large: DataFrame, percent: int) -> DataFrame:
                 ok = _may_link(_rows(batch.column("sig"))[:, :BINS], n, _rows(batch.column("leader_sig"))[:, :BINS], leader_n, percent)
                 yield record(_ordered(leader[ok], v[ok]), target)
 
-    first = large.groupBy("node").agg(F.min("v").alias("v"))
+    first = large.groupBy("node").agg(F.max(F.struct("copies", "v")).alias("top")).select("node", F.col("top.v").alias("v"))
     lead = large.join(first, ["node", "v"]).select("node", F.col("v").alias("leader"), F.col("n").alias("leader_n"), F.col("sig").alias("leader_sig"))
     return large.join(lead, "node").filter("v <> leader").select("v", "n", "sig", "leader", "leader_n", "leader_sig").mapInArrow(run, schema)
 
 
 def _children(rows: DataFrame, level: int, trees: int) -> DataFrame:
     """Members of large nodes, dealt to the children by the minwise tokens that the node chooses."""
-    schema = "node long, v long, n long, sig binary"
+    schema = "node long, v long, n long, sig binary, copies long"
     target = arrow_schema(schema)
     free = COORDINATES - trees
 
@@ -220,10 +226,10 @@ def _children(rows: DataFrame, level: int, trees: int) -> DataFrame:
             for coordinate, who in ((first, np.arange(len(node))), (second, twice)):
                 at = trees + coordinate[who]
                 child = mix(node[who] * _A + at.astype(np.uint64) * _B + values[who, at].astype(np.uint64) + _C)
-                rest = [batch.column(c).take(pa.array(who)) for c in (1, 2, 3)]
-                yield record({"node": signed(child), "v": rest[0], "n": rest[1], "sig": rest[2]}, target)
+                rest = [batch.column(c).take(pa.array(who)) for c in (1, 2, 3, 4)]
+                yield record({"node": signed(child), "v": rest[0], "n": rest[1], "sig": rest[2], "copies": rest[3]}, target)
 
-    return rows.select("node", "v", "n", "sig").mapInArrow(run, schema)
+    return rows.select("node", "v", "n", "sig", "copies").mapInArrow(run, schema)
 
 
 def _sized(members: DataFrame) -> DataFrame:
@@ -340,12 +346,12 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREE
     scratch = Scratch(docs.sparkSession, "near")
     prints = scratch.stage(_prints(docs, words, trees), "prints")
     clash = Observation("clash")
-    sets = prints.filter("n > 0").groupBy("v").agg(*(F.first(x).alias(x) for x in ("n", "sig", "nodes")), F.min("v2").alias("lo"), F.max("v2").alias("hi"))
+    sets = prints.filter("n > 0").groupBy("v").agg(*(F.first(x).alias(x) for x in ("n", "sig", "nodes")), F.count("*").alias("copies"), F.min("v2").alias("lo"), F.max("v2").alias("hi"))
     sets = scratch.stage(sets.observe(clash, F.sum((F.col("lo") != F.col("hi")).cast("long")).alias("n")).drop("lo", "hi"), "sets")
     if clash.get["n"]:
         raise ValueError("two sets share a hash")
     shared = _sized(sets.select(F.explode("nodes").alias("node"), "v"))
-    fresh, n_large = _staged_members(shared.join(sets.select("v", "n", "sig"), "v"), limit, scratch)
+    fresh, n_large = _staged_members(shared.join(sets.select("v", "n", "sig", "copies"), "v"), limit, scratch)
     labels = again = starred = texts = None
     level = 0
     while fresh is not None or starred is not None or again is not None:
@@ -399,7 +405,7 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREE
 def _staged_members(members: DataFrame, limit: int, scratch: Scratch) -> tuple[DataFrame | None, int]:
     """Staged members, or None if there are none, and how many are in nodes above ``limit``."""
     seen = Observation("members")
-    members = members.select("node", "v", "n", "sig", "size")
+    members = members.select("node", "v", "n", "sig", "copies", "size")
     staged = scratch.stage(members.observe(seen, F.count("*").alias("n"), F.sum((F.col("size") > limit).cast("long")).alias("large")), "members")
     return (staged if seen.get["n"] else None), seen.get["large"] or 0
 

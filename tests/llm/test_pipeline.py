@@ -28,3 +28,15 @@ def test_stages_keep_columns_and_take_effect(spark):
     good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").collect()}
     first = corpus_pipeline.quality_stage(spark, docs, SF)
     assert len(good - {r.doc_id for r in first.collect()}) <= len(good) // 50
+
+
+def test_release_deletes_what_was_staged(spark):
+    from depthframe.llm import common
+
+    scratch = Scratch(spark, "t")
+    staged = scratch.stage(spark.range(3), "x")
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged._staged_at)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert files.exists(path)
+    common.release(spark)
+    assert not files.exists(path)
