@@ -13,11 +13,12 @@ meet by equi-joins, which split a hot key, and only nodes of bounded size are ga
 node that is too large every vertex is compared with one leader; the linked ones share a
 component from then on, and a node in which a single component is left has nothing more to
 find. So a group of many near copies costs a number of comparisons that is linear in it. In a
-large node with one big component and few others, the others are compared with everybody in
-bounded chunks; only what is left then branches. Small nodes first return a spanning forest of
-their candidate pairs; pairs between components that are still apart afterwards are all
-compared. Texts are shuffled only where a candidate pair needs them. Components spread by
-joins, never on the driver.
+large node with a bounded number of vertices outside its big component, those are compared
+with everybody in bounded chunks; only what is left then branches. Inside a gathered node only
+sets of nearly equal size meet, and only across components. A small node with many candidate
+pairs first returns spanning forests of them; pairs between components that are still apart
+afterwards are all compared. Texts are shuffled only where a candidate pair needs them.
+Components spread by joins, never on the driver.
 
 Recall: a pair with the lowest linked similarity misses one small tree with probability 0.15 and
 all eight with 3e-7; links between copies of one group back each other up.
@@ -31,6 +32,7 @@ are 64-bit hashes of sets; a second hash checks that no two sets share one, else
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,9 @@ from depthframe.llm.common import SPACED, Scratch, arrow_schema, lists, mix, rec
 TREES = 8
 COORDINATES = 24
 BINS = 512
-NODE_LIMIT = 100
+NODE_LIMIT = 512
+FEW = 4  # a large node is finished where at most FEW * limit members are outside its big component
+DENSE = 2  # a node with more candidate pairs than DENSE * members first returns a spanning forest
 MAX_LEVEL = 12
 SECOND_BRANCH = 0.35
 SLACK = 4.0
@@ -128,8 +132,8 @@ def _prints(docs: DataFrame, words: int, trees: int) -> DataFrame:
 # ---------------------------------------------------------------- candidates
 
 
-def _may_link(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sketches may belong to linked sets, with ``SLACK`` standard deviations to spare.
+def _may_link(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether sketches may belong to linked sets, with ``SLACK`` standard deviations to spare, and whether they look like it.
 
     A sketch samples the union of both sets without replacement, so the deviation falls as the
     sample nears the union.
@@ -139,7 +143,8 @@ def _may_link(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, pe
     agree = ((a == b) & (a > 0)).sum(axis=-1)
     union = np.maximum((n_a + n_b) / (1 + j), held + 1.0)
     spread = np.sqrt(j * (1 - j) * held * (union - held) / (union - 1))
-    return (agree + 2 >= j * held - SLACK * spread) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
+    sized = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+    return (agree + 1 >= j * held - SLACK * spread) & sized, (agree >= j * held) & sized
 
 
 def _rows(column: pa.Array) -> np.ndarray:
@@ -150,31 +155,64 @@ def _ordered(a: np.ndarray, b: np.ndarray) -> dict:
     return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
 
 
+def _near(comp: np.ndarray, n: np.ndarray, home: np.ndarray, sig: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (a, b) of the candidate pairs between components, and whether each looks linked. Members are sorted by ``n``.
+
+    Every such pair has an end outside the largest component, and sets of nearly the same size.
+    Pairs without a member that is at home here are compared elsewhere.
+    """
+    _, kind, many = np.unique(comp, return_inverse=True, return_counts=True)
+    minor = kind != np.argmax(many)
+    lo = np.searchsorted(n, -(-n * percent // 100))
+    hi = np.searchsorted(n, n * 100 // percent, side="right")
+    a, b, sure = [], [], []
+    for i in np.flatnonzero(minor).tolist():
+        js = np.arange(lo[i], hi[i])
+        js = js[(kind[js] != kind[i]) & (home[js] | home[i]) & ~(minor[js] & (js < i))]
+        if len(js):
+            may, like = _may_link(sig[i], n[i], sig[js], n[js], percent)
+            found = js[may]
+            a.append(np.full(len(found), i))
+            b.append(found)
+            sure.append(like[may])
+    if not a:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    return np.concatenate(a), np.concatenate(b), np.concatenate(sure)
+
+
 def _node_pairs(groups: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs inside gathered nodes: all between different components, or, where asked, a spanning forest of them."""
-    schema = "a long, b long"
+    """Candidate pairs (a, b) between the components of gathered nodes (node, first, members).
+
+    Where ``first`` is set, a node with many pairs returns spanning forests of the likely and of all
+    pairs, and its number, to be gathered once more.
+    """
+    schema = "a long, b long, node long"
     target = arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            for forest, members in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for node, first, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 members = members.values
-                v, comp, n = (members.field(x).to_numpy() for x in ("v", "c", "n"))
+                v, comp, n, home = (members.field(x).to_numpy(zero_copy_only=False) for x in ("v", "c", "n", "home"))
                 if (comp == comp[0]).all():
                     continue
-                sig = _rows(members.field("sig"))[:, :BINS]
-                near = np.zeros((len(v), len(v)), dtype=bool)
-                for i in range(len(v) - 1):
-                    near[i, i + 1 :] = _may_link(sig[i], n[i], sig[i + 1 :], n[i + 1 :], percent) & (comp[i + 1 :] != comp[i])
-                a, b = _forest(near | near.T) if forest else np.nonzero(near)
+                order = np.argsort(n, kind="stable")
+                v, comp, n, home = v[order], comp[order], n[order], home[order]
+                sig = _rows(members.field("sig"))[order, :BINS]
+                a, b, sure = _near(comp, n, home, sig, percent)
+                dense = first and len(a) > DENSE * len(v)
+                if dense:
+                    a, b = (np.concatenate(x) for x in zip(_forest(len(v), a[sure], b[sure]), _forest(len(v), a, b)))
                 if len(a):
-                    yield record(_ordered(v[a], v[b]), target)
+                    yield record({**_ordered(v[a], v[b]), "node": pa.array([node if dense else None] * len(a), pa.int64())}, target)
 
-    return groups.select("forest", "members").mapInArrow(run, schema)
+    return groups.select("node", "first", "members").mapInArrow(run, schema)
 
 
-def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shallow trees that span the graph: breadth first, from the vertex with most neighbours."""
+def _forest(size: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shallow trees that span the graph of the edges (a, b): breadth first, from the vertex with most neighbours."""
+    near = np.zeros((size, size), dtype=bool)
+    near[a, b] = near[b, a] = True
     fresh = near.any(axis=1)
     degree = near.sum(axis=1)
     a, b = [], []
@@ -199,7 +237,7 @@ def _star_pairs(large: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 v, n, leader, leader_n = (batch.column(x).to_numpy() for x in ("v", "n", "leader", "leader_n"))
-                ok = _may_link(_rows(batch.column("sig"))[:, :BINS], n, _rows(batch.column("leader_sig"))[:, :BINS], leader_n, percent)
+                ok, _ = _may_link(_rows(batch.column("sig"))[:, :BINS], n, _rows(batch.column("leader_sig"))[:, :BINS], leader_n, percent)
                 yield record(_ordered(leader[ok], v[ok]), target)
 
     first = large.groupBy("node").agg(F.max(F.struct("copies", "v")).alias("top")).select("node", F.col("top.v").alias("v"))
@@ -335,7 +373,8 @@ def _chunked(rows: DataFrame, limit: int, all_pairs: bool) -> DataFrame:
         dealt = F.array_distinct(F.transform(every, lambda j: F.least(own, j) * chunks + F.greatest(own, j)))
     else:
         dealt = F.when((F.col("c") == F.col("big")) & (chunks > 1), F.array(own)).otherwise(every)
-    return rows.withColumn("chunk", F.explode(dealt))
+    home = F.lit(True) if all_pairs else F.col("chunk") == own
+    return rows.withColumn("chunk", F.explode(dealt)).withColumn("home", home)
 
 
 def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREES, limit: int = NODE_LIMIT) -> DataFrame:
@@ -350,45 +389,56 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREE
     sets = scratch.stage(sets.observe(clash, F.sum((F.col("lo") != F.col("hi")).cast("long")).alias("n")).drop("lo", "hi"), "sets")
     if clash.get["n"]:
         raise ValueError("two sets share a hash")
-    shared = _sized(sets.select(F.explode("nodes").alias("node"), "v"))
-    fresh, n_large = _staged_members(shared.join(sets.select("v", "n", "sig", "copies"), "v"), limit, scratch)
-    labels = again = starred = texts = None
+    rows = scratch.stage(prints.select("doc_id", "th", "v", "n"), "rows")
+    scratch.drop(prints)
+    facts = sets.select("v", "n", "sig", "copies")
+    # the first nodes are staged without sketches, which only gathered members fetch
+    shared, n_large = _staged_members(_sized(sets.select(F.explode("nodes").alias("node"), "v")), limit, scratch)
+    small = large = again = starred = labels = texts = None
+    if shared is not None:
+        small = shared.filter(F.col("size") <= limit)
+        large = scratch.stage(shared.filter(F.col("size") > limit).join(facts, "v"), "large") if n_large else None
     level = 0
-    while fresh is not None or starred is not None or again is not None:
-        gathered, stars, onward = [], None, None
-        lone = ("node", F.lit(0).cast("long").alias("chunk"), F.lit(level == 0).alias("forest"), "v", "c", "n", "sig")
-        for rows in (fresh, again):
-            if rows is not None:
-                gathered.append(_labelled(rows.filter(F.col("size") <= limit), labels).select(*lone))
+    while small is not None or large is not None or starred is not None or again is not None:
+        gathered, onward = [], None
+        for members, first in ((small, True), (again, False)):
+            if members is not None:
+                members = members if "sig" in members.columns else members.join(facts, "v")
+                gathered.append(_labelled(members, labels).withColumns({"chunk": F.lit(0).cast("long"), "home": F.lit(True), "first": F.lit(first)}))
         if starred is not None:
             # large nodes after their star: how many components are left in each?
             at = _labelled(starred, labels)
             per = at.groupBy("node", "c").agg(F.count("*").alias("m"))
             state = per.groupBy("node").agg(F.max(F.struct("m", "c")).alias("big"), F.sum("m").alias("all")).filter(F.col("all") > F.col("big.m"))
-            state = state.select("node", F.col("big.c").alias("big"), ((F.col("all") - F.col("big.m") <= limit) | F.lit(level > MAX_LEVEL)).alias("few"))
-            at = scratch.stage(at.join(state, "node"), "large")
-            few = _chunked(at.filter("few"), limit, level > MAX_LEVEL)
-            gathered.append(few.select("node", "chunk", F.lit(False).alias("forest"), "v", "c", "n", "sig"))
+            state = state.select("node", F.col("big.c").alias("big"), ((F.col("all") - F.col("big.m") <= FEW * limit) | F.lit(level > MAX_LEVEL)).alias("few"))
+            at = scratch.stage(at.join(state, "node"), "open")
+            gathered.append(_chunked(at.filter("few"), limit, level > MAX_LEVEL).withColumn("first", F.lit(False)))
             onward = _sized(_children(at.filter("not few"), level, trees)) if level <= MAX_LEVEL else None
-        all_ = gathered[0]
-        for more in gathered[1:]:
-            all_ = all_.unionByName(more)
-        pairs = _node_pairs(all_.groupBy("node", "chunk", "forest").agg(F.collect_list(F.struct("v", "c", "n", "sig")).alias("members")), percent)
-        large = fresh.filter(F.col("size") > limit) if fresh is not None and n_large else None
+        candidates = []
+        if gathered:
+            needed = ("node", "chunk", "first", "v", "c", "n", "sig", "home")
+            every = reduce(DataFrame.unionByName, (g.select(*needed) for g in gathered))
+            members = F.collect_list(F.struct("v", "c", "n", "sig", "home")).alias("members")
+            candidates.append(_node_pairs(every.groupBy("node", "chunk", "first").agg(members), percent))
         if large is not None:
-            pairs = pairs.unionByName(_star_pairs(large, percent))
-        pairs = scratch.stage(pairs.distinct(), "pairs")
+            candidates.append(_star_pairs(large, percent).withColumn("node", F.lit(None).cast("long")))
+        found = scratch.stage(reduce(DataFrame.unionByName, candidates).distinct(), "pairs", narrow=True)
+        pairs = found.select("a", "b").distinct()
         if texts is None:
             wanted = pairs.select(F.col("a").alias("v")).union(pairs.select("b"))
-            wanted = wanted if large is None else wanted.union(large.select("v"))
+            wanted = wanted if shared is None else wanted.union(shared.filter(F.col("size") > limit).select("v"))
             texts = scratch.stage(_texts(docs, words, wanted.distinct()), "texts")
         labels = _merged(labels, _confirmed(pairs, texts, words, percent), scratch)
-        again = fresh.filter(F.col("size") <= limit) if level == 0 else None
-        starred, fresh, n_large = large, None, 0
+        dense = found.filter(F.col("node").isNotNull()).select("node").distinct()
+        again = small.join(dense, "node", "left_semi") if small is not None and not dense.isEmpty() else None
+        starred, small, large = large, None, None
         if onward is not None:
             fresh, n_large = _staged_members(onward, limit, scratch)
+            if fresh is not None:
+                small = fresh.filter(F.col("size") <= limit)
+                large = fresh.filter(F.col("size") > limit) if n_large else None
         level += 1
-    rows = _labelled(prints.select("doc_id", "th", "v", F.col("n").alias("n_shingles")), labels).select("doc_id", "th", "n_shingles", "c")
+    rows = _labelled(rows.withColumnRenamed("n", "n_shingles"), labels).select("doc_id", "th", "n_shingles", "c")
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("first")
     named = rows.filter(F.col("c").isNotNull()).groupBy("c").agg(first)
     linked = rows.join(named, "c", "left")
@@ -405,7 +455,6 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREE
 def _staged_members(members: DataFrame, limit: int, scratch: Scratch) -> tuple[DataFrame | None, int]:
     """Staged members, or None if there are none, and how many are in nodes above ``limit``."""
     seen = Observation("members")
-    members = members.select("node", "v", "n", "sig", "copies", "size")
     staged = scratch.stage(members.observe(seen, F.count("*").alias("n"), F.sum((F.col("size") > limit).cast("long")).alias("large")), "members")
     return (staged if seen.get["n"] else None), seen.get["large"] or 0
 
