@@ -400,7 +400,7 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREE
         large = scratch.stage(shared.filter(F.col("size") > limit).join(facts, "v"), "large") if n_large else None
     level = 0
     while small is not None or large is not None or starred is not None or again is not None:
-        gathered, onward = [], None
+        gathered, onward, few = [], None, None
         for members, first in ((small, True), (again, False)):
             if members is not None:
                 members = members if "sig" in members.columns else members.join(facts, "v")
@@ -412,7 +412,8 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREE
             state = per.groupBy("node").agg(F.max(F.struct("m", "c")).alias("big"), F.sum("m").alias("all")).filter(F.col("all") > F.col("big.m"))
             state = state.select("node", F.col("big.c").alias("big"), ((F.col("all") - F.col("big.m") <= FEW * limit) | F.lit(level > MAX_LEVEL)).alias("few"))
             at = scratch.stage(at.join(state, "node"), "open")
-            gathered.append(_chunked(at.filter("few"), limit, level > MAX_LEVEL).withColumn("first", F.lit(False)))
+            few = at.filter("few").drop("c", "big", "all", "few")
+            gathered.append(_chunked(at.filter("few"), limit, level > MAX_LEVEL))
             onward = _sized(_children(at.filter("not few"), level, trees)) if level <= MAX_LEVEL else None
         candidates = []
         if gathered:
@@ -431,7 +432,12 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREE
         labels = _merged(labels, _confirmed(pairs, texts, words, percent), scratch)
         dense = found.filter(F.col("node").isNotNull()).select("node").distinct()
         again = small.join(dense, "node", "left_semi") if small is not None and not dense.isEmpty() else None
-        starred, small, large = large, None, None
+        # large nodes go to their chunks next, dense ones once more
+        starred = None if large is None else large.withColumn("first", F.lit(True))
+        if few is not None and not dense.isEmpty():
+            more = few.join(dense, "node", "left_semi").withColumn("first", F.lit(False))
+            starred = more if starred is None else starred.unionByName(more.select(starred.columns))
+        small = large = None
         if onward is not None:
             fresh, n_large = _staged_members(onward, limit, scratch)
             if fresh is not None:
