@@ -15,7 +15,7 @@ component from then on, and a node in which a single component is left has nothi
 find. So a group of many near copies costs a number of comparisons that is linear in it. In a
 large node with a bounded number of vertices outside its big component, those are compared
 with everybody in bounded chunks; only what is left then branches. Inside a gathered node only
-sets of nearly equal size meet, and only across components. A small node with many candidate
+sets of nearly equal size meet, only across components, and only in the least node that both share. A small node with many candidate
 pairs first returns spanning forests of them; pairs between components that are still apart
 afterwards are all compared. Texts are shuffled only where a candidate pair needs them.
 Components spread by joins, never on the driver.
@@ -155,11 +155,12 @@ def _ordered(a: np.ndarray, b: np.ndarray) -> dict:
     return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
 
 
-def _near(comp: np.ndarray, n: np.ndarray, home: np.ndarray, sig: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _near(comp: np.ndarray, n: np.ndarray, home: np.ndarray, lower: np.ndarray, sig: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places (a, b) of the candidate pairs between components, and whether each looks linked. Members are sorted by ``n``.
 
     Every such pair has an end outside the largest component, and sets of nearly the same size.
-    Pairs without a member that is at home here are compared elsewhere.
+    Pairs without a member that is at home here, and pairs that share one of their ``lower`` nodes
+    (rows of node numbers, filled up with zeros), are compared elsewhere.
     """
     _, kind, many = np.unique(comp, return_inverse=True, return_counts=True)
     minor = kind != np.argmax(many)
@@ -169,6 +170,8 @@ def _near(comp: np.ndarray, n: np.ndarray, home: np.ndarray, sig: np.ndarray, pe
     for i in np.flatnonzero(minor).tolist():
         js = np.arange(lo[i], hi[i])
         js = js[(kind[js] != kind[i]) & (home[js] | home[i]) & ~(minor[js] & (js < i))]
+        if len(js) and (own := lower[i][lower[i] != 0]).size:
+            js = js[~np.isin(lower[js], own).any(axis=1)]
         if len(js):
             may, like = _may_link(sig[i], n[i], sig[js], n[js], percent)
             found = js[may]
@@ -199,7 +202,8 @@ def _node_pairs(groups: DataFrame, percent: int) -> DataFrame:
                 order = np.argsort(n, kind="stable")
                 v, comp, n, home = v[order], comp[order], n[order], home[order]
                 sig = _rows(members.field("sig"))[order, :BINS]
-                a, b, sure = _near(comp, n, home, sig, percent)
+                lower = _filled(members.field("lower"))[order]
+                a, b, sure = _near(comp, n, home, lower, sig, percent)
                 dense = first and len(a) > DENSE * len(v)
                 if dense:
                     a, b = (np.concatenate(x) for x in zip(_forest(len(v), a[sure], b[sure]), _forest(len(v), a, b)))
@@ -209,6 +213,14 @@ def _node_pairs(groups: DataFrame, percent: int) -> DataFrame:
     return groups.select("node", "first", "members").mapInArrow(run, schema)
 
 
+def _filled(numbers: pa.ListArray) -> np.ndarray:
+    """One row for each list, filled up with zeros."""
+    counts = np.asarray(pc.list_value_length(numbers))
+    out = np.zeros((len(counts), int(counts.max(initial=0))), dtype=np.int64)
+    out[np.arange(out.shape[1]) < counts[:, None]] = numbers.flatten().to_numpy()
+    return out
+
+
 def _forest(size: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shallow trees that span the graph of the edges (a, b): breadth first, from the vertex with most neighbours."""
     near = np.zeros((size, size), dtype=bool)
@@ -419,7 +431,10 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, trees: int = TREE
         if gathered:
             needed = ("node", "chunk", "first", "v", "c", "n", "sig", "home")
             every = reduce(DataFrame.unionByName, (g.select(*needed) for g in gathered))
-            members = F.collect_list(F.struct("v", "c", "n", "sig", "home")).alias("members")
+            # a pair that shares several nodes of this pass is compared in the least of them
+            mine = every.select("v", "node").groupBy("v").agg(F.collect_set("node").alias("nodes"))
+            every = every.join(mine, "v").withColumn("lower", F.filter("nodes", lambda x: x < F.col("node")))
+            members = F.collect_list(F.struct("v", "c", "n", "sig", "home", "lower")).alias("members")
             candidates.append(_node_pairs(every.groupBy("node", "chunk", "first").agg(members), percent))
         if large is not None:
             candidates.append(_star_pairs(large, percent).withColumn("node", F.lit(None).cast("long")))
