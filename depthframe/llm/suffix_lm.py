@@ -1,23 +1,29 @@
 """Language-model scores from a probabilistic suffix tree over word tokens.
 
 Training counts every token; contexts then grow one token a pass. A context is a candidate
-when its share of all tokens is at least ``context_min`` (a share, so the bound 1 / context_min
-on their number holds at any corpus size), and it is retained when the distribution of its next
+when it occurs ``context_min`` times, and it is retained when the distribution of its next
 symbol differs from that of the shorter context: the log-likelihood gain of its own
-distribution has to exceed ``gain_per_symbol`` nats for each next symbol seen. Ancestors of a
+distribution has to exceed ``gain_per_symbol`` nats for each of its symbols, where those seen less than
+``entry_min`` times after it count as one. Ancestors of a
 retained context stay too. Distributions are smoothed by absolute discounting: a state
-keeps explicit entries for the symbols whose joint share is at least ``entry_min``, and what
+keeps explicit entries for the symbols seen ``entry_min`` times in it, and what
 is left backs off, normalised, to the shorter state, down to the smoothed unigram base. A token
 is scored in the longest retained suffix of the tokens before it.
 
-Scale: four passes over the texts. Counts are combined per task before they are shuffled.
-Everything that is broadcast has a bound set by a share: at most 1 / hot_min frequent words,
-1 / context_min contexts and 1 / entry_min entries a depth. Words below hot_min are counted
-and scored by an equi-join; their part of a document's score is a sum, so no text is shuffled.
+Both minimum counts are absolute, so contexts and entries grow with the corpus. They lie in
+staged tables keyed by the hash of an n-gram. With the value log p(x | c) - back(c) - log p(x | parent)
+for an entry, a token's log probability is its base value plus, over the suffixes c of what precedes it,
+back(c) and the value of the entry (c, x), where either exists: an entry of c is one of its parent too. So
+a document's score is a sum over its n-grams, made by an equi-join of its distinct n-grams with the tables.
+
+Scale: seven passes over the texts to count and one to score; no text is shuffled. Counts are
+combined per task before they are shuffled; only n-grams that reach ``entry_min`` are told their contexts, by a second pass. Only what is broadcast has a bound, and no bound changes a result: n-grams with a
+share of ``hot_min`` or more are scored where the text is read, and bit maps of at most 2^28 bits keep
+most n-grams that cannot be in a table out of a shuffle, whose exact keys then decide.
 
 Defined results: a null or empty text holds only the end token; a null doc_id counts as
 training; equal rows are scored alike, a row each; without training text every token
-has probability 1 in the base. Other columns are not read. Tokens are told apart by
+has probability 1 in the base. Other columns are not read. Tokens and n-grams are told apart by
 64-bit hashes.
 """
 
@@ -28,16 +34,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depthframe.llm.common import SPACED, Scratch, arrow_schema, lists, record, signed, slices, word_hashes
+from depthframe.llm.common import SPACED, Scratch, arrow_schema, lists, mix, record, signed, slices, word_hashes
 
 ADD = 0.1
 DISCOUNT = 0.5
 DEPTH = 3
 HOT_MIN = 2e-6
-CONTEXT_MIN = 1e-3
-ENTRY_MIN = 1e-5
+CONTEXT_MIN = 50
+ENTRY_MIN = 2
 GAIN_PER_SYMBOL = 1.0
 END = np.uint64(0x5E4D5E4D5E4D5E4D)
+START = np.uint64(0x3C6F3C6F3C6F3C6F)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+MAP_BITS = 28
 FLUSH = 1 << 20
 
 
@@ -73,41 +82,76 @@ class Lookup:
         return out
 
 
+class BitMap:
+    """Which keys may be in a set: all that are, and few others while the set is small against the map."""
+
+    def __init__(self, bits: int, held: np.ndarray | None = None):
+        self.bits = bits
+        self.held = np.zeros(1 << (bits - 3), dtype=np.uint8) if held is None else held
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return mix(keys.astype(np.uint64, copy=False)) >> np.uint64(64 - self.bits)
+
+    def add(self, keys: np.ndarray) -> None:
+        at = self._place(keys)
+        np.bitwise_or.at(self.held, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = self._place(keys)
+        return (self.held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def _bit_map(keys: DataFrame) -> BitMap:
+    """A map of the only column of ``keys``, 32 bits or more a key up to 2^MAP_BITS bits."""
+    bits = int(np.clip(np.ceil(np.log2(32.0 * keys.count() + 1)), 16, MAP_BITS))
+
+    def run(batches):
+        part = BitMap(bits)
+        for batch in batches:
+            part.add(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array([part.held.tobytes()], pa.binary())], names=["held"])
+
+    out = BitMap(bits)
+    for row in keys.coalesce(4).mapInArrow(run, "held binary").toLocalIterator():
+        out.held |= np.frombuffer(row.held, dtype=np.uint8)
+    return out
+
+
 class Counter:
-    """Counts of 64-bit keys, combined per task; hands out columns when it holds many."""
+    """Counts of 64-bit keys (the first of the columns), combined per task; hands out columns when it holds many."""
 
-    def __init__(self):
-        self.keys, self.counts, self.held = [], [], 0
+    def __init__(self, names: tuple[str, ...]):
+        self.names, self.parts, self.held = names, [], 0
 
-    def add(self, keys: np.ndarray) -> bool:
-        unique, count = np.unique(keys, return_counts=True)
-        self.keys.append(unique)
-        self.counts.append(count)
+    def add(self, columns: tuple[np.ndarray, ...]) -> bool:
+        unique, first, count = np.unique(columns[0], return_index=True, return_counts=True)
+        self.parts.append((unique, *(c[first] for c in columns[1:]), count))
         self.held += len(unique)
         if self.held >= 2 * FLUSH:
             self._merge()
         return self.held >= FLUSH
 
     def _merge(self) -> None:
-        if len(self.keys) > 1:
-            unique, at = np.unique(np.concatenate(self.keys), return_inverse=True)
-            self.keys, self.counts = [unique], [np.bincount(at, weights=np.concatenate(self.counts)).astype(np.int64)]
+        if len(self.parts) > 1:
+            *columns, counts = (np.concatenate(c) for c in zip(*self.parts))
+            unique, first, at = np.unique(columns[0], return_index=True, return_inverse=True)
+            self.parts = [(unique, *(c[first] for c in columns[1:]), np.bincount(at, weights=counts).astype(np.int64))]
             self.held = len(unique)
 
     def take(self) -> dict:
         self._merge()
-        out = {"k": signed(np.concatenate([*self.keys, np.zeros(0, np.uint64)]).astype(np.uint64)), "n": np.concatenate([*self.counts, np.zeros(0, np.int64)]).astype(np.int64)}
-        self.keys, self.counts, self.held = [], [], 0
-        return out
+        *columns, counts = self.parts[0] if self.parts else (*(np.zeros(0, np.uint64) for _ in self.names), np.zeros(0, np.int64))
+        self.parts, self.held = [], 0
+        return {**{name: signed(c.astype(np.uint64)) for name, c in zip(self.names, columns)}, "n": counts.astype(np.int64)}
 
 
-def _counted(docs: DataFrame, keys_of) -> DataFrame:
-    """(k, n): how often each key occurs; ``keys_of`` gives the keys of a column of texts."""
-    schema = "k long, n long"
+def _counted(docs: DataFrame, keys_of, names: tuple[str, ...] = ("k",)) -> DataFrame:
+    """``names`` and n: how often each key occurs; ``keys_of`` gives the keys of a column of texts and what goes with them."""
+    schema = ", ".join(f"{name} long" for name in (*names, "n"))
     target = arrow_schema(schema)
 
     def run(batches):
-        counter = Counter()
+        counter = Counter(names)
         for part in slices(batches, 0):
             if counter.add(keys_of(part.column(0))) and counter.held >= FLUSH:
                 counter._merge()
@@ -115,7 +159,7 @@ def _counted(docs: DataFrame, keys_of) -> DataFrame:
                     yield record(counter.take(), target)
         yield record(counter.take(), target)
 
-    return docs.select("text").mapInArrow(run, schema).groupBy("k").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, schema).groupBy(names[0]).agg(*(F.max(x).alias(x) for x in names[1:]), F.sum("n").alias("n"))
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -129,166 +173,185 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, counts + 1
 
 
+def _grams(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashes of the n-grams of 1 to ``size`` symbols that end at each place of the texts, a start symbol before each
+    text; the number of symbols up to each place; the places of the tokens. An n-gram exists where its symbols do."""
+    ends = np.cumsum(counts + 1)
+    head = ends - counts - 1
+    padded = np.full(len(hashes) + len(counts), START, dtype=np.uint64)
+    inside = np.ones(len(padded), dtype=bool)
+    inside[head] = False
+    padded[inside] = hashes
+    grams = [padded]
+    for _ in range(1, size):
+        longer = np.zeros(len(padded), dtype=np.uint64)
+        longer[1:] = mix(grams[-1][:-1] * _STEP + padded[1:])
+        grams.append(longer)
+    return grams, np.arange(len(padded)) - np.repeat(head, counts + 1) + 1, np.flatnonzero(inside)
+
+
 class Tree:
-    """Contexts as a trie from the nearest token back; node 0 is the empty context."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray):
-        self.words = Lookup(words)
-        self.counts = counts
-        self.other, self.start = len(counts), len(counts) + 1
-        self.width = len(counts) + 2
-        self.contexts: list[tuple[int, ...]] = [()]
-        self.depth = 0
-
-    def grow(self, contexts: list[tuple[int, ...]]) -> None:
-        """``contexts`` are symbol tuples, oldest first; their suffixes must be present."""
-        self.contexts = [(), *sorted(contexts, key=lambda c: (len(c), c))]
-        self.number = {c: i for i, c in enumerate(self.contexts)}
-        self.parent = np.array([0] + [self.number[c[1:]] for c in self.contexts[1:]], dtype=np.int64)
-        self.steps = Lookup(np.array([self.number[c[1:]] * self.width + c[0] for c in self.contexts[1:]], dtype=np.int64))
-        self.depth = max(map(len, self.contexts))
+    """Frequent words, and frequent retained contexts as nodes; node 0 is the empty context."""
+
+    def __init__(self, counts: np.ndarray, contexts: np.ndarray, parents: np.ndarray, depth: int):
+        self.counts, self.depth = counts, depth
+        self.nodes = Lookup(contexts)
+        self.parent = np.append(0, self.nodes.find(parents) + 1).astype(np.int64)
 
     def symbols(self, hashes: np.ndarray) -> np.ndarray:
-        found = self.words.find(hashes).astype(np.int64)
-        return np.where(found < 0, self.other, found)
+        return hashes
 
     def states(self, symbols: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Deepest node for each token of texts with ``counts`` tokens."""
-        padded = np.full(len(symbols) + len(counts), self.start, dtype=np.int64)
-        ends = np.cumsum(counts + 1)
-        inside = np.ones(len(padded), dtype=bool)
-        inside[ends - counts - 1] = False
-        padded[inside] = symbols
-        at = np.flatnonzero(inside)
-        node, alive = np.zeros(len(at), dtype=np.int64), np.arange(len(at))
-        for back in range(1, self.depth + 1):
-            step = self.steps.find(node[alive] * self.width + padded[np.maximum(at[alive] - back, 0)])
-            alive, step = alive[step >= 0], step[step >= 0]
-            node[alive] = step + 1
-            if not len(alive):
-                break
+        grams, place, at = _grams(symbols, counts, max(self.depth, 1))
+        node = np.zeros(len(at), dtype=np.int64)
+        for size in range(1, self.depth + 1):
+            found = self.nodes.find(grams[size - 1][at - 1])
+            step = (place[at - 1] >= size) & (found >= 0)
+            node[step] = found[step] + 1
         return node
 
 
 def train(docs: DataFrame, scratch: Scratch, depth: int = DEPTH, hot_min: float = HOT_MIN, context_min: float = CONTEXT_MIN, entry_min: float = ENTRY_MIN, gain_per_symbol: float = GAIN_PER_SYMBOL):
-    """Counts of all tokens of ``docs`` (text) as a staged table (k, n), and the model, bounded by the shares."""
+    """Counts of all tokens of ``docs`` (text) as a staged table (k, n), and the model."""
     spark = docs.sparkSession
-    unigrams = scratch.stage(_counted(docs, lambda texts: _tokens(texts)[0]), "unigrams")
+    unigrams = scratch.stage(_counted(docs, lambda texts: (_tokens(texts)[0],)), "unigrams")
     total, distinct, n_docs = unigrams.agg(F.sum("n"), F.count("*"), F.max(F.when(F.col("k") == int(END.view(np.int64)), F.col("n")))).first()
     total, n_docs = total or 0, n_docs or 0
-    hot = unigrams.filter(F.col("n") >= hot_min * max(total, 1)).toArrow()
-    words, counts = hot.column("k").to_numpy().view(np.uint64), hot.column("n").to_numpy()
-    tree = Tree(words, counts)
-    end = int(tree.words.find(np.array([END]))[0])
-    level = [(int(i),) for i in np.flatnonzero(counts >= context_min * total) if i != end] if total else []
-    level += [(tree.start,)] if n_docs >= context_min * max(total, 1) and n_docs else []
-    known, tables = [], []
-    retained: set[tuple[int, ...]] = set()
+    scale = total + ADD * (distinct + 1)
+    least = max(entry_min, 1)
+    often = F.col("n") >= max(context_min, least)
+    start = spark.createDataFrame([(int(START.view(np.int64)), n_docs)], "g long, n long")
+    shorter, contexts, tables = unigrams.select(F.col("k").alias("g"), "n"), [], []
     for size in range(1, depth + 1):
-        if not level:
+        wanted = (shorter.select("g", "n").union(start) if size == 1 else shorter).filter(often)
+        if wanted.isEmpty():
             break
-        known += level
-        tree.grow(known)
-        shared = spark.sparkContext.broadcast(tree)
-
-        def keys(texts, shared=shared, size=size):
-            tree = shared.value
-            hashes, n = _tokens(texts)
-            symbols = tree.symbols(hashes)
-            node = tree.states(symbols, n)
-            deep = np.array([len(c) for c in tree.contexts])[node] >= size
-            return (node[deep] * tree.width + symbols[deep]).astype(np.uint64)
-
-        table = scratch.stage(_counted(docs, keys).select(F.floor(F.col("k") / tree.width).alias("node"), (F.col("k") % tree.width).alias("x"), "n"), f"depth{size}")
-        names = list(tree.contexts)
-        totals = {names[r.node]: r.n for r in table.groupBy("node").agg(F.sum("n").alias("n")).collect()}
-        gains = _gains(table, tables[-1] if tables else None, tree, total)
-        for row in gains.collect():
-            if row.gain > gain_per_symbol * row.kinds:
-                context = names[row.node]
-                retained |= {context[i:] for i in range(len(context))}
-        entries = table.filter(F.col("n") >= max(entry_min * total, 1)).toArrow()
-        kept = list(zip(entries.column("node").to_pylist(), entries.column("x").to_pylist(), entries.column("n").to_pylist()))
-        tables.append({"table": table, "names": names, "totals": totals, "kept": kept})
-        level = [names[s] + (x,) for s, x, n in kept if n >= context_min * total and x not in (tree.other, end)]
-        # the suffix of a new context has to be a context: it is at least as frequent
-        level = [c for c in level if c[1:] in tree.number]
-    return unigrams, Model(tree, retained, tables, total, distinct)
-
-
-def _gains(table: DataFrame, shorter: dict | None, tree: Tree, total: int) -> DataFrame:
-    """(node, gain, kinds): log-likelihood gain of each context's distribution over its parent's."""
-    spark = table.sparkSession
-    sums = table.groupBy("node").agg(F.sum("n").alias("all"))
-    if shorter is None:
-        rest = max(total - int(tree.counts.sum()), 0)
-        base = pa.table({"x": np.arange(tree.other + 1), "q": np.append(tree.counts, max(rest, 1)).astype(float) / max(total, 1)})
-        joined = table.join(F.broadcast(spark.createDataFrame(base)), "x")
-    else:
-        above = {c: i for i, c in enumerate(shorter["names"])}
-        pairs = [(i, above[c[1:]], shorter["totals"].get(c[1:], 1)) for i, c in enumerate(tree.contexts) if c and c[1:] in above]
-        up = F.broadcast(spark.createDataFrame(pairs or [(-1, -1, 1)], "node long, parent long, whole long"))
-        wide = shorter["table"].select(F.col("node").alias("parent"), "x", F.col("n").alias("m"))
-        joined = table.join(up, "node").join(wide, ["parent", "x"]).withColumn("q", F.col("m") / F.col("whole"))
-    joined = joined.join(F.broadcast(sums), "node")
-    return joined.groupBy("node").agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("all") / F.col("q"))).alias("gain"), F.count("*").alias("kinds"))
+        candidates = spark.sparkContext.broadcast(_bit_map(wanted.select("g")))
+
+        def longer(texts, size=size, candidates=candidates):
+            grams, place, _ = _grams(*_tokens(texts), size + 1)
+            at = np.flatnonzero(place > size)
+            return grams, at[candidates.value.find(grams[size - 1][at - 1])]
+
+        def keys(texts, size=size, longer=longer):
+            grams, at = longer(texts)
+            return (grams[size][at],)
+
+        counts = scratch.stage(_counted(docs, keys).filter(F.col("n") >= least), f"counts{size + 1}")
+        counted = spark.sparkContext.broadcast(_bit_map(counts.select("k")))
+
+        def parts(texts, size=size, longer=longer, counted=counted):
+            grams, at = longer(texts)
+            at = at[counted.value.find(grams[size][at])]
+            return grams[size][at], grams[size - 1][at - 1], grams[size - 1][at]
+
+        # g: the n-gram, seen n times; c: its context; s: the n-gram without its oldest symbol, seen m times
+        table = _counted(docs, parts, ("g", "c", "s")).drop("n").join(counts.withColumnRenamed("k", "g"), "g")
+        table = table.join(shorter.select(F.col("g").alias("s"), F.col("n").alias("m")), "s")
+        table = scratch.stage(table.select("g", "c", "s", "n", "m"), f"grams{size + 1}")
+        scratch.drop(counts)
+        low = F.col("m") - DISCOUNT if size > 1 else F.col("m") + ADD
+        found = table.groupBy("c").agg(
+            F.count("*").alias("kinds"),
+            F.sum("n").alias("seen"),
+            F.sum("m").alias("seen_below"),
+            F.sum(F.col("n") * F.log(F.col("n") / F.col("m"))).alias("part"),
+            F.sum(F.col("n") - DISCOUNT).alias("own"),
+            F.sum(low).alias("low"),
+        )
+        if size == 1:
+            found = found.join(wanted.select(F.col("g").alias("c"), F.col("n").alias("all")), "c")
+            found = found.withColumns({"p": F.lit(0).cast("long"), "whole": F.lit(total).cast("long"), "under": F.lit(scale).cast("double")})
+        else:
+            found = found.join(wanted.select(F.col("g").alias("c"), F.col("s").alias("p"), F.col("n").alias("all")), "c")
+            found = found.join(contexts[-1].select(F.col("c").alias("p"), F.col("all").alias("whole")), "p").withColumn("under", F.col("whole").cast("double"))
+        floor = lambda x: F.greatest(1 - x, F.lit(1e-300))
+        rest, below = F.col("all") - F.col("seen"), F.greatest(F.col("whole") - F.col("seen_below"), F.lit(1))
+        gain = F.col("part") + F.when(rest > 0, rest * F.log(rest / below)).otherwise(0.0) + F.col("all") * F.log(F.col("whole") / F.col("all"))
+        contexts.append(scratch.stage(found.select(
+            "c", "p", "all", "under",
+            F.log10(floor(F.col("own") / F.col("all")) / floor(F.col("low") / F.col("under"))).alias("back"),
+            (gain > gain_per_symbol * (F.col("kinds") + F.when(rest > 0, 1).otherwise(0))).alias("differs"),
+        ), f"contexts{size}"))
+        tables.append(table)
+        shorter = table
+    values, states = [unigrams.select("k", "n", F.log10((F.col("n") + ADD) / F.lit(float(scale))).alias("v"), F.lit(True).alias("word"))], []
+    above = None
+    for size in range(len(tables), 0, -1):
+        kept = contexts[size - 1]
+        if above is None:
+            kept = kept.filter("differs")
+        else:
+            kept = kept.join(above.select(F.col("p").alias("c"), F.lit(True).alias("needed")).distinct(), "c", "left").filter("differs or needed")
+        above = kept = scratch.stage(kept.select("c", "p", "all", "under", "back", F.lit(size).alias("depth")), f"kept{size}")
+        low = F.col("m") - DISCOUNT if size > 1 else F.col("m") + ADD
+        entries = tables[size - 1].select("g", "c", "n", "m").join(kept, "c")
+        entries = entries.select(F.col("g").alias("k"), "n", (F.log10((F.col("n") - DISCOUNT) / F.col("all")) - F.log10(low / F.col("under")) - F.col("back")).alias("v"), F.lit(False).alias("word"))
+        values.append(scratch.stage(entries, f"entries{size}"))
+        values.append(kept.select(F.col("c").alias("k"), F.col("all").alias("n"), F.col("back").alias("v"), F.lit(False).alias("word")))
+        states.insert(0, kept)
+    scratch.drop(*tables, *contexts)
+    return unigrams, Model(values, states, total, distinct, hot_min)
 
 
 class Model:
-    """Retained states with their explicit log10 probabilities and back-off weights."""
+    """Tables of log10 values of words, entries and back-offs by n-gram; those of frequent n-grams are held here."""
 
-    def __init__(self, counted: Tree, retained: set, tables: list, total: int, distinct: int):
+    def __init__(self, values: list[DataFrame], states: list[DataFrame], total: int, distinct: int, hot_min: float):
         self.total, self.distinct = total, distinct
         self.scale = total + ADD * (distinct + 1)
-        tree = self.tree = counted
-        tree.grow(list(retained))
-        base = (tree.counts + ADD) / self.scale
-        self.base = np.log10(base) if len(base) else base
-        explicit: list[dict[int, float]] = [{} for _ in tree.contexts]
-        size = [0] * len(tree.contexts)
-        for t in tables:
-            for s, x, n in t["kept"]:
-                node = tree.number.get(t["names"][s])
-                if node is not None and len(t["names"][s]) and x != tree.other and n > DISCOUNT:
-                    explicit[node][x] = (n - DISCOUNT) / t["totals"][t["names"][s]]
-            for c, n in t["totals"].items():
-                if c in tree.number:
-                    size[tree.number[c]] = n
-        self.back = np.zeros(len(tree.contexts))
-        for node in range(1, len(tree.contexts)):
-            seen = sum(explicit[node].values())
-            below = sum(self._below(explicit, base, int(tree.parent[node]), x) for x in explicit[node])
-            self.back[node] = np.log10(max(1 - seen, 1e-300) / max(1 - below, 1e-300))
-            self.weights = None
-        keys = [(node, x, p) for node, e in enumerate(explicit) for x, p in e.items()]
-        self.entries = Lookup(np.array([node * tree.width + x for node, x, _ in keys], dtype=np.int64))
-        self.explicit = np.log10(np.array([p for _, _, p in keys], dtype=float)) if keys else np.zeros(0)
-
-    def _below(self, explicit: list, base: np.ndarray, node: int, x: int) -> float:
-        if not node:
-            return float(base[x])
-        if x in explicit[node]:
-            return explicit[node][x]
-        return float(10 ** self.back[node]) * self._below(explicit, base, int(self.tree.parent[node]), x)
+        self.size = len(states) + 1
+        hot = F.col("n") >= hot_min * max(total, 1)
+        start = int(START.view(np.int64))
+        keys = lambda column: column.to_numpy().view(np.uint64)
+        words = values[0].filter(hot).toArrow()
+        self.words = Lookup(keys(words.column("k")))
+        counts = words.column("n").to_numpy()
+        self.base = np.log10((counts + ADD) / self.scale)
+        held = [s.filter((F.col("all") >= hot_min * max(total, 1)) | (F.col("c") == start)).toArrow() for s in states]
+        column = lambda name: np.concatenate([t.column(name).to_numpy() for t in held]) if held else np.zeros(0, np.int64)
+        self.tree = Tree(counts, column("c").view(np.uint64), column("p").view(np.uint64), max([i + 1 for i, t in enumerate(held) if len(t)], default=0))
+        self.back = np.append(0.0, column("back"))
+        entries = [v.filter(hot).toArrow() for v in values[1::2]]
+        self.entries = Lookup(np.concatenate([keys(t.column("k")) for t in entries])) if entries else Lookup(np.zeros(0, np.uint64))
+        self.explicit = np.concatenate([t.column("v").to_numpy() for t in entries]) if entries else np.zeros(0)
+        self.values = values[0]
+        for other in values[1:]:
+            self.values = self.values.union(other)
+        # the start symbol is always held
+        cold = self.values.filter(~hot & ~F.col("word") & (F.col("k") != start)).select("k")
+        self.rare = _bit_map(cold)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "values"}
+
+    def _parts(self, hashes: np.ndarray, counts: np.ndarray):
+        """As ``score``, and the n-grams whose values are in the tables only: text number, key, whether it is a word."""
+        grams, place, at = _grams(hashes, counts, self.size)
+        text = np.repeat(np.arange(len(counts)), counts + 1)
+        out, unigram, hot = np.zeros(len(place) + 1), np.zeros(len(place)), np.zeros(len(place), dtype=bool)
+        found = self.words.find(hashes)
+        hot[at] = found >= 0
+        unigram[at[found >= 0]] = self.base[found[found >= 0]]
+        out[:-1] += unigram
+        rest = [(text[at[found < 0]], hashes[found < 0], True)]
+        for size in range(1, self.size + 1):
+            where = np.flatnonzero(place >= size)
+            key = grams[size - 1][where]
+            entry, node = self.entries.find(key), self.tree.nodes.find(key)
+            out[where[entry >= 0]] += self.explicit[entry[entry >= 0]]
+            out[where[node >= 0] + 1] += self.back[node[node >= 0] + 1]
+            left = (entry < 0) & (node < 0)
+            # a rare word brings its back-off along with its count
+            if size > 1:
+                left = left & self.rare.find(key)
+                rest.append((text[where[left]], key[left], False))
+        return out[:-1][at], unigram[at], hot[at], rest
 
     def score(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """log10 probability of each token, its unigram part, and its frequent-word number; of rarer words without the unigram part."""
-        symbols = self.tree.symbols(hashes)
-        node = self.tree.states(symbols, counts)
-        hot = symbols < self.tree.other
-        unigram = np.zeros(len(symbols))
-        unigram[hot] = self.base[symbols[hot]]
-        out = np.zeros(len(symbols))
-        left = np.arange(len(symbols))
-        while len(left):
-            top = node[left] == 0
-            out[left[top]] += unigram[left[top]]
-            left = left[~top]
-            found = self.entries.find(node[left] * self.tree.width + symbols[left])
-            out[left] += np.where(found >= 0, self.explicit[np.maximum(found, 0)] if len(self.explicit) else 0.0, self.back[node[left]])
-            left = left[found < 0]
-            node[left] = self.tree.parent[node[left]]
-        return out, unigram, hot
+        """log10 probability of each token, its unigram part, and whether it is frequent; of rarer n-grams without their part."""
+        return self._parts(hashes, counts)[:3]
 
 
 def score(docs: DataFrame, unigrams: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
@@ -304,14 +367,16 @@ def score(docs: DataFrame, unigrams: DataFrame, model: Model, scratch: Scratch)
         uid = TaskContext.get().partitionId() << 40
         for part in slices(batches, 2):
             hashes, counts = _tokens(part.column(2))
-            value, unigram, hot = shared.value.score(hashes, counts)
+            value, unigram, hot, rest = shared.value._parts(hashes, counts)
             starts = np.cumsum(counts) - counts
             per_doc = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has its end token
-            doc = np.repeat(np.arange(len(counts)), counts)[~hot]
-            order = np.lexsort((hashes[~hot], doc))
-            doc, rare = doc[order], hashes[~hot][order]
-            head = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1])])) if len(doc) else np.zeros(0, np.int64)
-            times = np.diff(np.append(head, len(doc)))
+            doc = np.concatenate([r[0] for r in rest])
+            rare = np.concatenate([r[1] for r in rest])
+            word = np.concatenate([np.full(len(r[0]), r[2]) for r in rest])
+            order = np.lexsort((word, rare, doc))
+            doc, rare, word = doc[order], rare[order], word[order]
+            head = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1]) | (word[1:] != word[:-1])])) if len(doc) else np.zeros(0, np.int64)
+            times = np.diff(np.append(head, len(doc))) * np.where(word[head], 1, -1)  # below 0: not a word
             kinds = np.bincount(doc[head], minlength=len(counts))
             yield record({
                 "uid": uid + np.arange(len(counts)),
@@ -328,18 +393,23 @@ def score(docs: DataFrame, unigrams: DataFrame, model: Model, scratch: Scratch)
 
     rows = scratch.stage(docs.select("doc_id", "held_out", "text").mapInArrow(run, schema), "scored")
     rare = rows.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("uid", F.col("r.rare").alias("k"), F.col("r.times").alias("m"))
-    share = F.log10((F.coalesce("n", F.lit(0)) + F.lit(ADD)) / F.lit(float(model.scale)))
-    rare = rare.join(unigrams, "k", "left").groupBy("uid").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("known"), F.sum(F.col("m") * share).alias("part")
+    unseen = float(np.log10(ADD / model.scale))
+    is_word = F.col("m") > 0
+    times = F.abs("m")
+    rare = rare.join(model.values.select("k", "v", "word"), "k", "left").groupBy("uid").agg(
+        F.sum(F.when(F.col("word") & is_word, F.col("m")).otherwise(0)).alias("known"),
+        F.sum(F.when(is_word, F.col("m") * F.when(F.col("word"), F.col("v")).when(F.col("word").isNull(), F.lit(unseen)).otherwise(0.0)).otherwise(0.0)).alias("part"),
+        F.sum(F.when(F.col("word"), F.lit(0.0)).otherwise(times * F.coalesce("v", F.lit(0.0)))).alias("more"),
     )
     none = F.lit(0)
+    real = lambda name: F.coalesce(name, none.cast("double"))
     return rows.drop("rare", "times").join(rare, "uid", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("known", none)).cast("long").alias("n_known"),
-        (F.col("base") + F.coalesce("part", none.cast("double"))).alias("base_score"),
-        (F.col("score") + F.coalesce("part", none.cast("double"))).alias("score"),
+        (F.col("base") + real("part")).alias("base_score"),
+        (F.col("score") + real("part") + real("more")).alias("score"),
     )
 
 

@@ -85,3 +85,68 @@ def test_no_training_rows_and_empty_table(spark):
     got, model = both(spark, [(i, "a b") for i in ids])
     assert model.total == 0 and {(r.n_tokens, r.n_known, r.base_score, r.score) for r in got} == {(3, 0, 0.0, 0.0)}
     assert both(spark, [])[0] == []
+
+
+def brute_scores(rows, context_min, entry_min, gain, depth=3):
+    """Scores by the definition: counts of all contexts in memory, back-off by recursion."""
+    follow = {}
+    unigram = Counter(t for i, text in rows if not held(i) for t in tokens(text))
+    total, scale = sum(unigram.values()), sum(unigram.values()) + 0.1 * (len(unigram) + 1)
+    for i, text in rows:
+        line = ["<s>"] + tokens(text)
+        for at in range(1, len(line)) if not held(i) else ():
+            for size in range(1, min(depth, at) + 1):
+                follow.setdefault(tuple(line[at - size : at]), Counter())[line[at]] += 1
+    follow = {c: n for c, n in follow.items() if sum(n.values()) >= context_min}
+    chance = lambda c, x: follow[c][x] / sum(follow[c].values()) if c else unigram[x] / total
+    kept = set()
+    for c, n in follow.items():
+        groups = [[x] for x, k in n.items() if k >= entry_min]
+        rest = sum(k for k in n.values() if k < entry_min)
+        value = sum(n[x] * math.log(chance(c, x) / chance(c[1:], x)) for (x,) in groups)
+        if rest:
+            value += rest * math.log(rest / sum(n.values()) / (1 - sum(chance(c[1:], x) for (x,) in groups)))
+        if groups and value > gain * (len(groups) + (rest > 0)):
+            kept |= {c[i:] for i in range(len(c))}
+
+    def explicit(c):
+        return {x: (k - 0.5) / sum(follow[c].values()) for x, k in follow[c].items() if k >= max(entry_min, 1)}
+
+    memo = {}
+
+    def p(c, x):
+        if not c:
+            return (unigram[x] + 0.1) / scale
+        if c not in kept:
+            return p(c[1:], x)
+        own = memo.get(c) or memo.setdefault(c, (explicit(c), {}))
+        if x in own[0]:
+            return own[0][x]
+        if "back" not in own[1]:
+            own[1]["back"] = (1 - sum(own[0].values())) / (1 - sum(p(c[1:], y) for y in own[0]))
+        return own[1]["back"] * p(c[1:], x)
+
+    out = []
+    for i, text in rows:
+        line = ["<s>"] + tokens(text)
+        out.append((str(i), round(sum(math.log10(p(tuple(line[max(0, at - depth) : at]), line[at])) for at in range(1, len(line))), 5)))
+    return sorted(out), len(kept)
+
+
+@pytest.mark.parametrize("hot_min", [1e-9, 5e-3, 2.0])
+def test_scores_equal_brute_force_whatever_is_broadcast(spark, hot_min):
+    got, _ = both(spark, corpus(), hot_min=hot_min, context_min=5, entry_min=2, gain_per_symbol=0.3)
+    want, kept = brute_scores(corpus(), 5, 2, 0.3)
+    assert kept > 3
+    assert sorted((str(r.doc_id), round(r.score, 5)) for r in got) == want
+
+
+def test_contexts_and_entries_grow_with_the_corpus(spark):
+    # topics with words of their own: twice the topics are twice the contexts, however small the share of each
+    def sizes(topics):
+        rows = [(3 * t, " ".join(f"a{t} b{t} c{(t + k) % 2} d{t}" for k in range(60))) for t in range(topics)]
+        _, model = both(spark, rows, hot_min=lm.HOT_MIN, context_min=lm.CONTEXT_MIN, entry_min=lm.ENTRY_MIN)
+        return model.tree.parent.size, model.explicit.size, sum(not held(3 * t) for t in range(topics))
+
+    (few, entries_few, t_few), (many, entries_many, t_many) = sizes(40), sizes(600)
+    assert many - 1 >= 0.9 * (few - 1) * t_many / t_few and entries_many >= 0.9 * entries_few * t_many / t_few
