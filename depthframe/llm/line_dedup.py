@@ -1,16 +1,19 @@
 """Line dedup by pairwise alignment: rare line hashes find overlapping documents, patience diff aligns them.
 
-A passage is a run of whole lines that holds ``min_words`` words or more. From every line starts
-the shortest such run, and its hash is the key that two documents have to share; short
-boilerplate lines make no key by themselves, so shared keys are rare lines however often the
-lines around them occur. Each document that holds a key is paired with the first document
+A passage is a run of whole lines that, with the equal words before and after it, holds
+``min_words`` words or more. Two documents have to share a key: the hash of the shortest run of whole
+lines of that size from a line, or of a shorter line with half of the words that it lacks, taken before it or
+after it (a common run that holds the line has so many on one side). Short
+boilerplate lines make no key by themselves, so shared keys are rare however often the
+lines in them occur. Each document that holds a key is paired with the first document
 (by doc_id) that holds it, never with all others: the pairs are linear in the lines, whatever
 the number of copies. Both line lists are aligned: lines unique on both sides are anchors, the
 heaviest increasing sequence of anchors (by words) is kept and grown over equal neighbours, and
-the rest is aligned again until no common line is left. Aligned common blocks of at least
-``min_words`` words are deleted from the later document. The first holder of a passage keeps it.
+the rest is aligned again until no common line is left. Aligned common blocks that have at least
+``min_words`` words together with the equal words on both sides are deleted from the later document;
+the lines that the passage only begins or ends in stay. The first holder of a passage keeps it.
 
-Scale: only hashes and word counts are shuffled for pairing and alignment. A passage in a third of
+Scale: only hashes and word counts are shuffled for pairing and alignment; word hashes of paired documents only. A passage in a third of
 all documents is one key with linear pairs. Texts are shuffled once, to meet their deletions.
 
 Defined results: a null or empty text, and a row without doc_id, stays as it is and matches
@@ -22,6 +25,8 @@ white space at their ends and blank lines never hold a passage; extra columns st
 from __future__ import annotations
 
 from collections import defaultdict
+from itertools import accumulate
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depthframe.llm.common import Scratch, _powers, arrow_schema, lists, mix, record, signed, slices
+from depthframe.llm.suffix_lm import _bit_map
 
 MIN_WORDS = 50
 
@@ -54,8 +60,41 @@ def run_keys(hashes: np.ndarray, words: np.ndarray, min_words: int) -> np.ndarra
     return np.unique(mix((rolled[last[start]] - rolled[start]) * down[start] + (last[start] - start).astype(np.uint64)))
 
 
-def aligned_blocks(later: list[int], words: list[int], first: list[int], min_words: int) -> list[tuple[int, int]]:
-    """Ranges [lo, hi) of lines of ``later`` in aligned common blocks with at least ``min_words`` words."""
+def word_digest(text: str) -> np.ndarray:
+    """Hashes of the words of all lines, as many as ``line_digest`` counts."""
+    lines = [line.strip() for line in text.split("\n")]
+    return np.fromiter((crc32(w) for x in lines if x for w in x.encode("utf-8", "surrogatepass").split(b" ")), dtype=np.uint32)
+
+
+def edge_keys(hashes: np.ndarray, words: np.ndarray, flat: np.ndarray, min_words: int) -> np.ndarray:
+    """For each line shorter than ``min_words``, hashes of it with half of the missing words before it, and after it."""
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    line = np.flatnonzero((words > 0) & (words < min_words))
+    half = (min_words - words[line] + 1) // 2
+    up, down = _powers(len(flat) + 1)
+    rolled = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(flat.astype(np.uint64)) * up[: len(flat)])])
+    out = []
+    for side, lo, hi in ((1, total[line] - half, total[line]), (2, total[line + 1], total[line + 1] + half)):
+        fits = (lo >= 0) & (hi <= len(flat))
+        near = (rolled[hi[fits]] - rolled[lo[fits]]) * down[lo[fits]]
+        out.append(mix(mix(near + np.uint64(side)) + hashes[line[fits]]))
+    return np.unique(np.concatenate(out))
+
+
+def equal_words(a: list[int], i: int, j: int, b: list[int], k: int, m: int, limit: int) -> int:
+    """How many words before a[i] and b[k], and from a[j] and b[m] on, are equal; up to ``limit`` on a side."""
+    before = after = 0
+    while before < min(limit, i, k) and a[i - 1 - before] == b[k - 1 - before]:
+        before += 1
+    while after < min(limit, len(a) - j, len(b) - m) and a[j + after] == b[m + after]:
+        after += 1
+    return before + after
+
+
+def aligned_blocks(later: list[int], words: list[int], first: list[int], min_words: int, around=None) -> list[tuple[int, int]]:
+    """Ranges [lo, hi) of lines of ``later`` in aligned common blocks with at least ``min_words`` words.
+
+    ``around`` gives the equal words beside lines [lo, hi) of ``later`` and [at, to) of ``first``."""
     match: dict[int, int] = {}  # line of later -> line of first
     left = [i for i, w in enumerate(words) if w]
     places: dict[int, list[int]] = defaultdict(list)
@@ -89,7 +128,10 @@ def aligned_blocks(later: list[int], words: list[int], first: list[int], min_wor
         end = hi
         while not words[end - 1]:
             end -= 1
-        if sum(words[lo:end]) >= min_words:
+        size = sum(words[lo:end])
+        if size < min_words and around:
+            size += around(lo, end, match[lo], match[end - 1] + 1)
+        if size >= min_words:
             out.append((lo, end))
         lo = hi
     return out
@@ -128,34 +170,62 @@ def _heaviest(anchors: list[tuple[int, int]], words: list[int]) -> list[tuple[in
     return chain[::-1]
 
 
-def _digests(docs: DataFrame, min_words: int) -> DataFrame:
-    schema = "doc_id long, th long, hashes array<long>, words array<int>, keys array<long>"
+def _many(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    flat = np.concatenate(parts)
+    return lists(signed(flat) if kind == pa.int64() else flat, [len(p) for p in parts], kind)
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+
+
+def _keys(docs: DataFrame, min_words: int) -> DataFrame:
+    schema = "doc_id long, th long, keys array<long>"
     target = arrow_schema(schema)
 
     def run(batches):
         for part in slices(batches, 2):
-            hashes, words, keys = [], [], []
+            keys = []
             for text in part.column(2).to_pylist():
-                h, w = line_digest(text)
-                hashes.append(h)
-                words.append(w)
-                keys.append(run_keys(h, w, min_words))
-            many = lambda parts, kind: lists(signed(np.concatenate(parts)) if kind == pa.int64() else np.concatenate(parts), [len(p) for p in parts], kind)
-            yield record({"doc_id": part.column(0), "th": part.column(1), "hashes": many(hashes, pa.int64()), "words": many(words, pa.int32()), "keys": many(keys, pa.int64())}, target)
+                hashes, words = line_digest(text)
+                keys.append(np.unique(np.concatenate([run_keys(hashes, words, min_words), edge_keys(hashes, words, word_digest(text), min_words)])))
+            yield record({"doc_id": part.column(0), "th": part.column(1), "keys": _many(keys, pa.int64())}, target)
+
+    return _named(docs).mapInArrow(run, schema)
 
-    return docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").mapInArrow(run, schema)
+
+def _digests(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Line and word hashes of the documents in ``pairs``, and of few others (a bit map of bounded size drops most)."""
+    key = lambda d: F.xxhash64(f"{d}.doc_id", f"{d}.th")
+    paired = pairs.sparkSession.sparkContext.broadcast(_bit_map(pairs.select(key("d").alias("k")).union(pairs.select(key("f"))).distinct()))
+    schema = "doc_id long, th long, hashes array<long>, words array<int>, flat array<int>"
+    target = arrow_schema(schema)
+
+    def run(batches):
+        for part in slices(batches, 2):
+            part = part.filter(pa.array(paired.value.find(part.column(3).to_numpy().view(np.uint64))))
+            if part.num_rows:
+                texts = part.column(2).to_pylist()
+                hashes, words = zip(*map(line_digest, texts))
+                flat = [word_digest(text).view(np.int32) for text in texts]
+                yield record({"doc_id": part.column(0), "th": part.column(1), "hashes": _many(hashes, pa.int64()), "words": _many(words, pa.int32()), "flat": _many(flat, pa.int32())}, target)
+
+    return _named(docs).withColumn("k", F.xxhash64("doc_id", "th")).mapInArrow(run, schema)
 
 
 def passage_deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, th, gone): for each document that loses lines, the ranges [lo, hi) of its lines that go."""
     scratch = Scratch(docs.sparkSession, "lines")
-    digests = scratch.stage(_digests(docs, min_words), "digests")
+    keys = scratch.stage(_keys(docs, min_words), "keys")
     me = F.struct("doc_id", "th")
-    held = digests.filter(F.size("keys") > 0).select(me.alias("d"), F.explode("keys").alias("key"))
+    held = keys.filter(F.size("keys") > 0).select(me.alias("d"), F.explode("keys").alias("key"))
     holder = held.groupBy("key").agg(F.min("d").alias("f"), F.max("d").alias("l")).filter(F.col("f") < F.col("l")).select("key", "f")
     pairs = held.join(holder, "key").filter(F.col("d") > F.col("f")).select("d", "f").distinct()
-    side = digests.select(me.alias("d"), "hashes", "words")
-    other = digests.select(me.alias("f"), F.col("hashes").alias("first"))
+    pairs = scratch.stage(pairs, "pairs")
+    scratch.drop(keys)
+    digests = scratch.stage(_digests(docs, pairs), "digests")
+    side = digests.select(me.alias("d"), "hashes", "words", "flat")
+    other = digests.select(me.alias("f"), F.col("hashes").alias("first"), F.col("words").alias("first_words"), F.col("flat").alias("first_flat"))
     schema = "doc_id long, th long, lo array<int>, hi array<int>"
     target = arrow_schema(schema)
 
@@ -163,8 +233,13 @@ def passage_deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         for batch in batches:
             out = {"doc_id": [], "th": [], "lo": [], "hi": []}
             for k in range(batch.num_rows):
-                doc_id, th, hashes, words, first = (c[k].as_py() for c in batch.columns)
-                blocks = aligned_blocks(hashes, words, first, min_words)
+                doc_id, th, hashes, words, flat, first, first_words, first_flat = (c[k].as_py() for c in batch.columns)
+                mine, theirs = [0, *accumulate(words)], [0, *accumulate(first_words)]
+
+                def around(lo, hi, at, to):
+                    return equal_words(flat, mine[lo], mine[hi], first_flat, theirs[at], theirs[to], min_words)
+
+                blocks = aligned_blocks(hashes, words, first, min_words, around)
                 if blocks:
                     out["doc_id"].append(doc_id)
                     out["th"].append(th)
@@ -172,7 +247,7 @@ def passage_deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     out["hi"].append([b[1] for b in blocks])
             yield record(out, target)
 
-    both = pairs.join(side, "d").join(other, "f").select("d.doc_id", "d.th", "hashes", "words", "first")
+    both = pairs.join(side, "d").join(other, "f").select("d.doc_id", "d.th", "hashes", "words", "flat", "first", "first_words", "first_flat")
     found = both.mapInArrow(align, schema)
     gone = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("lo", "hi")))))
     return found.groupBy("doc_id", "th").agg(gone.alias("gone"))

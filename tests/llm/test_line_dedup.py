@@ -55,3 +55,20 @@ def test_every_shared_run_is_found(spark):
 
 def test_empty_table(spark):
     assert d.drop_passages(docs(spark, [])).count() == 0
+
+
+def test_passages_that_begin_or_end_inside_a_line(spark):
+    # one shared line of 20 words; the common run goes on inside the lines around it
+    line, before, after = prose(70, 20), prose(71, 40), prose(72, 40)
+    own = lambda k: prose(800 + k, 15)
+    rows = [
+        (1, f"{own(1)} {before}\n{line}\n{after} {own(2)}"),
+        (2, f"{own(3)} {before}\n\n{line}\n{own(4)}"),  # 60 words, begins inside a line
+        (3, f"{own(5)}\n{line}\n{after} {own(6)}"),  # 60 words, ends inside a line
+        (4, f"{own(7)} {' '.join(before.split(" ")[-18:])}\n{line}\n{' '.join(after.split(" ")[:18])} {own(8)}"),  # 56 words
+        (5, f"{own(9)} {' '.join(before.split(" ")[-12:])}\n{line}\nx {own(10)}"),  # 32 words: too short
+        (6, f"{own(11)}\n{line}\n{own(12)}"),
+    ]
+    out = {r.doc_id: r.text for r in d.drop_passages(docs(spark, rows)).collect()}
+    assert [line in out[k] for k in range(1, 7)] == [True, False, False, False, True, True]
+    assert all(out[k].split("\n")[0] == rows[k - 1][1].split("\n")[0] for k in out)  # lines that are only partly common stay
