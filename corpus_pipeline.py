@@ -5,7 +5,7 @@
    documents of which nothing is left go;
 3. MinHash near-dedup: one document of each group of near copies stays (five-word shingles, 0.8);
 4. benchmark decontamination: documents with a window of a benchmark item go;
-5. SentencePiece: the piece numbers of what is left.
+5. SentencePiece: the piece numbers of what is left, and whether they decode to the text again.
 
 All stages but the last return the columns of documents.
 """
@@ -44,7 +44,10 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pieces.encode(docs, pieces.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))).select(*docs.columns, "ids")
+    model = pieces.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = pieces.encode(docs, model).select(*docs.columns, "ids").withColumn("decoded", pieces.decode_column(spark, model))
+    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")
+    return encoded.select(*docs.columns, "ids", same.alias("round_trip"))
 
 
 STAGES = [

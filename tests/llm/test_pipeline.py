@@ -40,3 +40,10 @@ def test_release_deletes_what_was_staged(spark):
     assert files.exists(path)
     common.release(spark)
     assert not files.exists(path)
+
+
+def test_last_stage_decodes_its_pieces(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    out = corpus_pipeline.piece_stage(spark, docs, SF)
+    assert out.columns == [*docs.columns, "ids", "round_trip"]
+    assert [r.round_trip for r in out.collect()] == [True] * 40
