@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCAN_BYTES = 1 << 18
 SLICE_BYTES = 1 << 22
@@ -222,3 +223,19 @@ def word_hashes(texts: pa.Array, member: np.ndarray = SPACED, lower: bool = True
 
 def signed(h: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(h).view(np.int64)
+
+
+# ---------------------------------------------------------------- joins on skewed keys
+
+HOT_SHARE = 1000
+
+
+def join_counted(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
+    """Left join of ``rows`` with ``facts``, unique by ``keys``, whose ``weight`` says how many rows hold a key.
+
+    Keys with at least 1 / ``HOT_SHARE`` of the ``total`` weight, so never more than ``HOT_SHARE``
+    of them, are broadcast; the rows of all other keys are shuffled.
+    """
+    hot = F.broadcast(facts.filter(F.col(weight) * HOT_SHARE >= F.lit(max(total, 1))))
+    cold = rows.join(hot.select(keys), keys, "left_anti").join(facts, keys, "left")
+    return rows.join(hot, keys).unionByName(cold)

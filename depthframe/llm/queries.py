@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from depthframe.llm import decontaminate, line_dedup, near_dedup, pieces, quality, secrets, suffix_lm, tokens, topk, urls
+from depthframe.llm import decontaminate, line_dedup, near_dedup, pieces, quality, secrets, simhash, suffix_lm, tokens, topk, urls
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_lm_score": suffix_lm.op9_lm_score,
     "op10_topk": topk.op10_topk,
+    "op11_simhash": simhash.op11_simhash,
     "pipeline": corpus_pipeline.run,
 }
 
