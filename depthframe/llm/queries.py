@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from depthframe.llm import decontaminate, line_dedup, near_dedup, pieces, quality, secrets, simhash, suffix_lm, tokens, topk, urls
+from depthframe.llm import decontaminate, lexical, line_dedup, near_dedup, pieces, quality, secrets, simhash, suffix_lm, tokens, topk, urls
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_lm_score": suffix_lm.op9_lm_score,
     "op10_topk": topk.op10_topk,
     "op11_simhash": simhash.op11_simhash,
+    "op12_lexical_search": lexical.op12_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -25,4 +26,5 @@ ORACLES = {
     "op2_near_duplicates": near_dedup.OP2_SQL,
     "op4_url_filter": urls.OP4_SQL,
     "op10_topk": topk.OP10_SQL,
+    "op12_lexical_search": lexical.OP12_SQL,
 }
