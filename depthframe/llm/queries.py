@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from depthframe.llm import decontaminate, lexical, line_dedup, near_dedup, pieces, quality, secrets, simhash, suffix_lm, tokens, topk, urls
+from depthframe.llm import decontaminate, lexical, line_dedup, near_dedup, pieces, prefix_trie, quality, secrets, simhash, suffix_lm, tokens, topk, urls
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_topk": topk.op10_topk,
     "op11_simhash": simhash.op11_simhash,
     "op12_lexical_search": lexical.op12_lexical_search,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -27,4 +28,5 @@ ORACLES = {
     "op4_url_filter": urls.OP4_SQL,
     "op10_topk": topk.OP10_SQL,
     "op12_lexical_search": lexical.OP12_SQL,
+    "op13_prefix_trie": prefix_trie.OP13_SQL,
 }
