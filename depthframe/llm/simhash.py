@@ -223,10 +223,10 @@ def near_components(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
     if not 0 <= distance < 16:
         raise ValueError("distance must be from 0 to 15")
     scratch = Scratch(docs.sparkSession, "simhash")
-    rows = scratch.stage(fingerprints(docs, words), "rows", narrow=True)
+    rows = scratch.stage(fingerprints(docs, words), "rows")
     seen = Observation("rows")
     vertices = rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    vertices = scratch.stage(vertices.observe(seen, F.sum("copies").alias("n")), "vertices", narrow=True)
+    vertices = scratch.stage(vertices.observe(seen, F.sum("copies").alias("n")), "vertices")
     total = seen.get["n"] or 0
     labels = _labels(vertices, distance, limit, scratch) if distance else None
     if labels is None:
@@ -234,10 +234,10 @@ def near_components(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
     else:
         sizes = Observation("vertices")
         linked = vertices.join(labels.select(F.col("u").alias("fp"), F.col("l").alias("c")), "fp", "left").withColumn("c", F.coalesce("c", "fp"))
-        linked = scratch.stage(linked.observe(sizes, F.count("*").alias("n")), "linked", narrow=True)
+        linked = scratch.stage(linked.observe(sizes, F.count("*").alias("n")), "linked")
         least = linked.groupBy("c").agg(F.min("first").alias("component_id"), F.count("*").alias("held"))
         named = join_counted(linked, least, ["c"], "held", sizes.get["n"]).select("fp", "copies", "component_id")
-    return join_counted(rows, scratch.stage(named, "named", narrow=True), ["fp"], "copies", total).select("doc_id", "fp", "component_id")
+    return join_counted(rows, scratch.stage(named, "named"), ["fp"], "copies", total).select("doc_id", "fp", "component_id")
 
 
 def _labels(vertices: DataFrame, distance: int, limit: int, scratch: Scratch) -> DataFrame | None:
@@ -246,7 +246,7 @@ def _labels(vertices: DataFrame, distance: int, limit: int, scratch: Scratch) ->
     shared = dealt.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     seen = Observation("members")
     members = dealt.join(shared, "key").select("key", F.col("fp").alias("v"), "size")
-    members = scratch.stage(members.observe(seen, F.sum((F.col("size") > limit).cast("long")).alias("large")), "members", narrow=True)
+    members = scratch.stage(members.observe(seen, F.sum((F.col("size") > limit).cast("long")).alias("large")), "members")
     chunk = F.pmod(F.xxhash64("v", F.lit(3)), F.ceil(F.col("size") / limit))
     edges = scratch.stage(_edges(members.withColumns({"c": F.col("v"), "chunk": chunk}), distance), "edges", narrow=True)
     if edges.isEmpty() and not seen.get["large"]:
