@@ -54,5 +54,36 @@ def test_random_runs_are_added_and_text_is_not(spark):
     assert not any(hits[i] for i in range(60, 120))
 
 
+def test_headings_and_single_symbols_do_not_stop_the_table(spark):
+    odd = ["A" + "=" * 24, "=" * 30, "a" + "-" * 30, "-" * 40, "a" * 50, "0" * 20, "AB" + "=" * 40 + "C"]
+    rows = list(enumerate(odd)) + [(50 + i, prose(i, 40)) for i in range(10)]
+    found = secrets.scan_secrets(docs(spark, rows)).collect()
+    assert len(found) == len(rows) and not any(s.kind == 3 for r in found for s in r.spans)
+    assert (secrets.battery(["A", "AB", "=" * 30, "a" * 30])[1] > 0).all()
+    assert secrets.battery(["A", "AB"])[1].tolist() == [1, 1]
+
+
+def test_keys_of_letters_alone_are_found(spark):
+    """Also where a hot source is full of them: repeats and keys do not move the cuts."""
+    lower, both = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = [TOKEN(40, lower) for _ in range(50)] + [TOKEN(40, both) for _ in range(50)] + [TOKEN(64) for _ in range(50)]
+    same = TOKEN(40, lower)
+    text = ["thereisnothingeitherthatcouldbedone", "TheRiverStoneLightUnderWinterMorningHarbour", "river_stone_light_under_winter_2024_01"]
+    words = "there is nothing either that could be done about the statements of committee members during long winter sessions where everyone waited quietly"
+    rows = [(i, f"{prose(i, 60)} {words} {k} end") for i, k in enumerate(keys)]
+    rows += [(1000 + i, f"{same} {words}") for i in range(400)] + [(2000 + i, f"{text[i % 3]} {words} {prose(i, 20)}") for i in range(60)]
+    hits = {r.doc_id: sum(s.kind == 3 for s in r.spans) for r in secrets.scan_secrets(docs(spark, rows)).collect()}
+    assert sum(hits[i] == 1 for i in range(50)) >= 45
+    assert sum(hits[i] == 1 for i in range(50, 150)) >= 95
+    assert all(hits[1000 + i] == 1 for i in range(400))
+    assert sum(hits[2000 + i] for i in range(60)) == 0
+
+
+def test_composed_runs_do_not_depend_on_the_partitions(spark):
+    rows = [(i, f"{prose(i, 50)} {TOKEN(30)}") for i in range(80)]
+    one = sorted(secrets.scan_secrets(docs(spark, rows).coalesce(1)).collect())
+    assert one == sorted(secrets.scan_secrets(docs(spark, rows).repartition(7)).collect())
+
+
 def test_empty_table(spark):
     assert secrets.scan_secrets(docs(spark, [])).count() == 0
