@@ -901,7 +901,7 @@ def j13_label_check_levels(spark, sf):
 
 @query
 def j14_profile(spark, sf):
-    line = l_line(spark, sf)
+    line = stage(l_line(spark, sf), "line")  # read by three branches
     records = stage(train_and_records(line, LINEITEM_PARAMS), "records")
     return rounded(diagnostics.profile(records, line, LINEITEM_PARAMS, PROFILE), "value")
 

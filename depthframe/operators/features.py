@@ -17,7 +17,6 @@ from depthframe.operators.window import (
     with_scalars,
 )
 from depthframe.params import BookParams
-from depthframe.session import stage
 
 LOCAL_FEATURES = {
     "hour_of_day": (("hour_sin", "hour_cos"), hour_of_day, 24),
@@ -179,7 +178,6 @@ def rolling_volatility(line: DataFrame, seconds: int, p: BookParams) -> DataFram
     per_sec = sums.where(F.col("_bucket") == F.col("_home")).select(
         "asset", "_sec", F.when(F.col("_wn") > 0, deviation).alias("vol")
     )
-    per_sec = stage(per_sec, "volatility")  # read for the maximum and for the join
     peak = per_sec.groupBy("asset").agg(F.max("vol").alias("_peak"))
     normal = with_scalars(per_sec, peak, p.assets).select(
         "asset", "_sec", "vol", F.when(F.col("_peak") > 0, F.col("vol") / F.col("_peak")).alias("vol_norm")

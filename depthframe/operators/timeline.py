@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthframe.functions.quotes import FEATURES
-from depthframe.operators.window import block_window, epoch_seconds, halo, indexed_stage
+from depthframe.operators.window import BEFORE, block_window, dense_index, epoch_seconds, halo, prefix_offsets
 from depthframe.params import BookParams
 
 CARRIED = (*FEATURES, "mid")
 
 
-def index_snapshots(snaps: DataFrame) -> DataFrame:
-    """Staged snapshots in time order with a dense ``snap_idx`` per asset."""
-    return indexed_stage(snaps, ["ts"], "snap_idx", "snapshots")
+def index_snapshots(snaps: DataFrame, bucket_seconds: int = 4096) -> DataFrame:
+    """Snapshots with a dense ``snap_idx`` per asset in time order; one task numbers ``bucket_seconds`` of an asset."""
+    return dense_index(snaps, "snap_idx", bucket_seconds)
 
 
 def gap_intervals(line: DataFrame, block_rows: int) -> DataFrame:
@@ -99,6 +99,10 @@ def fill_gaps(indexed: DataFrame, p: BookParams) -> DataFrame:
     repairable = (gap > cadence) & (gap <= p.max_gap_seconds)
     missing = F.when(repairable, F.floor(gap / cadence) - 1).otherwise(0).cast("long")
     rows = pairs.withColumn("_missing", missing)
+    # a row moves by the rows inserted before it: those of earlier blocks, and those of its own block so far
+    inserted = rows.groupBy("asset", "_block").agg(F.sum("_missing").alias("_n"))
+    so_far = F.coalesce(F.sum("_missing").over(block_window("snap_idx").rowsBetween(*BEFORE)), F.lit(0))
+    rows = rows.withColumn("_moved", so_far).join(prefix_offsets(inserted, "_block", {"_before": "_n"}), ["asset", "_block"])
     rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_missing"))))
     k = F.col("_k")
     values = [F.col(c) for c in CARRIED]
@@ -108,16 +112,13 @@ def fill_gaps(indexed: DataFrame, p: BookParams) -> DataFrame:
             F.when(k == 0, F.col(c)).otherwise((1.0 - weight) * F.col(c) + weight * F.col(f"_next.{c}")).alias(c)
             for c in CARRIED
         ]
-    filled = rows.select(
+    return rows.select(
         "asset",
-        F.col("snap_idx").alias("_i"),
-        "_k",
+        (F.col("snap_idx") + F.col("_before") + F.col("_moved") + k).alias("snap_idx"),
         F.timestamp_seconds(start + k * cadence).cast("timestamp_ntz").alias("ts"),
         *values,
         (k > 0).alias("is_filled"),
     )
-    placed = indexed_stage(filled, ["_i", "_k"], "snap_idx", "line")
-    return placed.select("asset", "snap_idx", "ts", *CARRIED, "is_filled")
 
 
 def gap_statistics(line: DataFrame, p: BookParams, large_multiplier: float, very_large_multiplier: float) -> DataFrame:

@@ -3,7 +3,7 @@
 A window partitioned by asset alone sorts that asset in one task. The helpers
 here cut the order into pieces of bounded size instead:
 
-* ``indexed_stage`` numbers rows per asset from the positions in sorted files,
+* ``dense_index`` numbers rows inside time buckets and adds the rows of earlier buckets,
 * ``halo`` copies the few rows next to each block border, so a ROWS frame can be
   evaluated inside blocks of a dense index,
 * ``banded_sums`` ranks or running-sums a group through bands of its order.
@@ -16,9 +16,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from depthframe.session import MAX_BROADCAST_ROWS, stage
+from depthframe.session import MAX_BROADCAST_ROWS
 
 BEFORE = (Window.unboundedPreceding, -1)
+FAN = 4096
 
 
 def bounded_broadcast(table: DataFrame, assets: Sequence[str] | None, rows_per_asset: int = 1) -> DataFrame:
@@ -40,26 +41,33 @@ def with_scalars(df: DataFrame, stats: DataFrame, assets: Sequence[str] | None)
     return df.join(bounded_broadcast(stats, assets), "asset", "left")
 
 
-def indexed_stage(df: DataFrame, order: Sequence[str], out: str, name: str) -> DataFrame:
-    """Stage ``df`` sorted by (asset, order) and add its 0-based position per asset.
+def prefix_offsets(totals: DataFrame, bucket: str, outs: Mapping[str, str], keys: Sequence[str] = ("asset",), fan: int = FAN) -> DataFrame:
+    """Per bucket (a whole number) the sum over the earlier buckets of its group, for each ``outs`` name -> value column.
 
-    ``order`` must be unique per asset. The rows are range-partitioned, so a hot
-    asset spreads over many files of equal size. A written file keeps the order;
-    the position is the row's place in its file plus the rows of its asset in
-    earlier files. Those offsets are staged too, one row per (file, asset), so
-    the planner knows the table's size when it picks the join.
+    Two levels: running sums inside runs of ``fan`` bucket numbers, and running sums of the
+    runs' totals. One window task holds ``fan`` buckets, or the runs of a group.
     """
-    placed = df.repartitionByRange("asset", *order).sortWithinPartitions("asset", *order)
-    rows = stage(placed, name).select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
-    )
-    heads = [F.min_by(c, "_row").alias(f"_head{i}") for i, c in enumerate(order)]
-    runs = rows.groupBy("asset", "_file").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"), *heads)
-    files = Window.partitionBy("asset").orderBy(*[f"_head{i}" for i in range(len(order))]).rowsBetween(*BEFORE)
-    shift = F.coalesce(F.sum("_n").over(files), F.lit(0)) - F.col("_first")
-    starts = stage(runs.select("asset", "_file", shift.alias("_shift")).coalesce(1), f"{name}-offsets")
-    joined = rows.join(starts, ["asset", "_file"])
-    return joined.select(*df.columns, (F.col("_row") + F.col("_shift")).alias(out))
+    runs = totals.withColumn("_run", F.floor(F.col(bucket) / fan))
+    inside = Window.partitionBy(*keys, "_run").orderBy(bucket).rowsBetween(*BEFORE)
+    across = Window.partitionBy(*keys).orderBy("_run").rowsBetween(*BEFORE)
+    sums = runs.groupBy(*keys, "_run").agg(*[F.sum(v).alias(f"_s{i}") for i, v in enumerate(outs.values())])
+    starts = sums.select(*keys, "_run", *[F.coalesce(F.sum(f"_s{i}").over(across), F.lit(0)).alias(f"_s{i}") for i in range(len(outs))])
+    local = runs.withColumns({f"_l{i}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for i, v in enumerate(outs.values())})
+    joined = local.join(starts, [*keys, "_run"])
+    return joined.select(*keys, bucket, *[(F.col(f"_l{i}") + F.col(f"_s{i}")).alias(out) for i, out in enumerate(outs)])
+
+
+def dense_index(df: DataFrame, out: str, bucket_seconds: int) -> DataFrame:
+    """Add the 0-based position of each row in the time order of its asset; (asset, ts) is unique.
+
+    Rows are numbered inside time buckets, and a bucket starts after the rows of all earlier
+    ones. A hot asset is spread over its buckets; nothing is written and no job runs here.
+    """
+    rows = df.withColumn("_bucket", F.floor(epoch_seconds("ts") / bucket_seconds))
+    totals = rows.groupBy("asset", "_bucket").agg(F.count("*").alias("_n"))
+    inside = F.row_number().over(Window.partitionBy("asset", "_bucket").orderBy("ts")) - 1
+    placed = rows.withColumn("_in", inside).join(prefix_offsets(totals, "_bucket", {"_before": "_n"}), ["asset", "_bucket"])
+    return placed.select(*df.columns, (F.col("_before") + F.col("_in")).alias(out))
 
 
 def value_band(column: str) -> Column:

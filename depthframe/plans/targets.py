@@ -11,17 +11,19 @@ from depthframe.operators.splits import chronological_split
 from depthframe.operators.timeline import check_gaps, fill_gaps, index_snapshots
 from depthframe.params import BookParams
 
+BUCKET_STEPS = 4096
+
 
 def build_line(book: DataFrame, p: BookParams, on_gap: str = "report") -> DataFrame:
     """Gap-repaired snapshot time line.
 
-    The book is scanned once: its snapshots are staged in time order, and the gap
-    check and the repair read that table. ``on_gap="fail"`` stops on a long gap
-    before the repair. Configured assets restrict the book here, and nowhere later.
+    A plan only: nothing is written, and no job runs unless ``on_gap="fail"`` asks
+    for a stop on a long gap before the repair. Configured assets restrict the
+    book here, and nowhere later.
     """
     if p.assets is not None:
         book = book.where(F.col("asset").isin(*p.assets))
-    indexed = index_snapshots(snapshots(book))
+    indexed = index_snapshots(snapshots(book), p.cadence_seconds * BUCKET_STEPS)
     if on_gap == "fail":
         check_gaps(indexed, p, "fail")
     return fill_gaps(indexed, p)

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from depthframe.operators import timeline
 from depthframe.operators.snapshot import snapshots, top_of_book
-from depthframe.operators.window import banded_sums, block_window, halo, indexed_stage
-from depthframe.plans.targets import build_line
+from depthframe.operators.window import banded_sums, block_window, dense_index, halo, prefix_offsets
+from depthframe.plans.targets import build_line, build_targets
 from tests.conftest import at
 from tests.helpers import book, line, params, snaps
 
@@ -96,16 +96,39 @@ def test_fill_modes_insert_the_same_times(spark):
     assert a.where("is_filled").count() > 0
 
 
-def test_positions_equal_row_number_with_a_hot_asset(spark):
+@pytest.mark.parametrize("bucket_seconds", [1, 300, 10_000_000])
+def test_positions_equal_row_number_with_a_hot_asset(spark, bucket_seconds):
     df = spark.range(6000).select(
         F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("a"), F.col("id") % 5)).alias("asset"),
-        (F.xxhash64("id") % 1_000_000).alias("t"),
+        F.timestamp_seconds(F.xxhash64("id") % 1_000_000 / 7.0).cast("timestamp_ntz").alias("ts"),
         "id",
-    ).dropDuplicates(["asset", "t"])
-    got = indexed_stage(df, ["t"], "pos", "test")
-    want = df.withColumn("pos", F.row_number().over(Window.partitionBy("asset").orderBy("t")) - 1)
+    ).dropDuplicates(["asset", "ts"])
+    got = dense_index(df, "pos", bucket_seconds)
+    want = df.withColumn("pos", F.row_number().over(Window.partitionBy("asset").orderBy("ts")) - 1)
     assert got.count() == df.count()
-    assert want.select("asset", "t", "pos").exceptAll(got.select("asset", "t", F.col("pos").cast("int"))).isEmpty()
+    assert want.select("asset", "ts", "pos").exceptAll(got.select("asset", "ts", F.col("pos").cast("int"))).isEmpty()
+
+
+@pytest.mark.parametrize("fan", [1, 3, 4096])
+def test_prefix_offsets_in_two_levels(spark, fan):
+    df = spark.range(300).select((F.col("id") % 2).alias("asset"), (F.col("id") * 7 - 900).alias("b"), (F.col("id") % 13).alias("v"), F.lit(1).alias("one"))
+    before = Window.partitionBy("asset").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.select("asset", "b", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(n) for n, c in (("x", "v"), ("y", "one"))])
+    got = prefix_offsets(df, "b", {"x": "v", "y": "one"}, fan=fan)
+    assert got.count() == 300 and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("mode", ["forward_fill", "interpolate", "skip"])
+def test_plans_write_no_file(spark, mode, monkeypatch, tmp_path):
+    """The labelled samples of a book are a plan: nothing is staged and no job has run when it is built."""
+    monkeypatch.setattr("depthframe.session.stage_dir", lambda s: pytest.fail("staged"))
+    spark.sparkContext.setJobGroup("plan", "plan")
+    rows = [("x", 10 * i + (40 if i > 20 else 0), 100 + i % 7, 1, 102 + i % 7, 1, i) for i in range(60)]
+    out = build_targets(book(spark, rows), params(gap_mode=mode, block_rows=3))
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("plan") == []
+    spark.sparkContext.setJobGroup("run", "run")
+    # 60 snapshots and one gap of 50 s, of which four steps are missing
+    assert out.count() == 60 + (0 if mode == "skip" else 4) - 2 - 1
 
 
 @pytest.mark.parametrize("before, after, block", [(0, 5, 7), (11, 0, 16), (3, 4, 1), (1, 1, 1000)])
