@@ -153,7 +153,7 @@ def a5_typed_rows(spark, sf):
 
 @query
 def a6_training_set(spark, sf):
-    line = e_line(spark, sf)
+    line = stage(e_line(spark, sf), "line")  # several branches read it
     p = EVENT_PARAMS
     rows = splits.chronological_split(labels.samples(line, p), labels.sample_counts(line, p), p)
     heads = rows.select("asset", "sample_idx", "label_up", "label_down", "split")
@@ -522,7 +522,7 @@ def e7_rolling_volatility(spark, sf):
 
 @query
 def e8_volume_percentile(spark, sf):
-    out = features.volume_percentile(e_line(spark, sf))
+    out = features.volume_percentile(stage(e_line(spark, sf), "line"))
     return rounded(out.select("asset", "snap_idx", "volume_percentile"), "volume_percentile")
 
 
@@ -627,7 +627,7 @@ def f10_absolute_labels(spark, sf):
 
 @query
 def f10_adaptive_labels(spark, sf):
-    line = e_line(spark, sf)
+    line = stage(e_line(spark, sf), "line")  # several branches read it
     volatility = features.rolling_volatility(line, 86400, EVENT_PARAMS)
     out = labels.adaptive_labels(labels.samples(line, EVENT_PARAMS), volatility, EVENT_PARAMS.boundaries, 0.25)
     return out.groupBy("asset", "label_up_adaptive", "label_down_adaptive").agg(F.count("*").alias("n"))
@@ -648,7 +648,7 @@ def g5_temporal_features(spark, sf):
 
 @query
 def g8_temporal_concat(spark, sf):
-    line = e_line(spark, sf)
+    line = stage(e_line(spark, sf), "line")  # several branches read it
     anchors = labels.samples(line, EVENT_PARAMS).select("asset", "sample_idx", "ts")
     timed = features.add_temporal_features(anchors, ("hour_of_day",), (), EVENT_ASSETS).drop("ts")
     rows = features.lookback_windows(line, EVENT_PARAMS).join(timed, ["asset", "sample_idx"])
@@ -1145,7 +1145,7 @@ def n2_trailing_days(spark, sf):
 
 @query
 def n2_sample_history(spark, sf):
-    line = e_line(spark, sf)
+    line = stage(e_line(spark, sf), "line")  # several branches read it
     history = longterm.trailing_days(longterm.daily_statistics(line), ["mid_mean"], 7)
     joined = longterm.attach_history(labels.samples(line, EVENT_PARAMS), history)
     days = F.size("history")

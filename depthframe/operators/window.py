@@ -6,7 +6,7 @@ here cut the order into pieces of bounded size instead:
 * ``dense_index`` numbers rows inside time buckets and adds the rows of earlier buckets,
 * ``halo`` copies the few rows next to each block border, so a ROWS frame can be
   evaluated inside blocks of a dense index,
-* ``banded_sums`` ranks or running-sums a group through bands of its order.
+* ``banded_sums`` ranks or running-sums a large group through bands of its own values.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from depthframe.session import MAX_BROADCAST_ROWS
 
 BEFORE = (Window.unboundedPreceding, -1)
-FAN = 4096
+BAND_ROWS = 65536
+BANDS = 256
 
 
 def bounded_broadcast(table: DataFrame, assets: Sequence[str] | None, rows_per_asset: int = 1) -> DataFrame:
@@ -41,20 +42,14 @@ def with_scalars(df: DataFrame, stats: DataFrame, assets: Sequence[str] | None)
     return df.join(bounded_broadcast(stats, assets), "asset", "left")
 
 
-def prefix_offsets(totals: DataFrame, bucket: str, outs: Mapping[str, str], keys: Sequence[str] = ("asset",), fan: int = FAN) -> DataFrame:
-    """Per bucket (a whole number) the sum over the earlier buckets of its group, for each ``outs`` name -> value column.
+def prefix_offsets(totals: DataFrame, bucket: str, outs: Mapping[str, str], keys: Sequence[str] = ("asset",)) -> DataFrame:
+    """Per bucket the sum over the earlier buckets of its group, for each ``outs`` name -> value column.
 
-    Two levels: running sums inside runs of ``fan`` bucket numbers, and running sums of the
-    runs' totals. One window task holds ``fan`` buckets, or the runs of a group.
+    The second level of a prefix sum: one window task holds the totals of a group's buckets, three
+    numbers for each few thousand rows of the first level.
     """
-    runs = totals.withColumn("_run", F.floor(F.col(bucket) / fan))
-    inside = Window.partitionBy(*keys, "_run").orderBy(bucket).rowsBetween(*BEFORE)
-    across = Window.partitionBy(*keys).orderBy("_run").rowsBetween(*BEFORE)
-    sums = runs.groupBy(*keys, "_run").agg(*[F.sum(v).alias(f"_s{i}") for i, v in enumerate(outs.values())])
-    starts = sums.select(*keys, "_run", *[F.coalesce(F.sum(f"_s{i}").over(across), F.lit(0)).alias(f"_s{i}") for i in range(len(outs))])
-    local = runs.withColumns({f"_l{i}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for i, v in enumerate(outs.values())})
-    joined = local.join(starts, [*keys, "_run"])
-    return joined.select(*keys, bucket, *[(F.col(f"_l{i}") + F.col(f"_s{i}")).alias(out) for i, out in enumerate(outs)])
+    earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(*BEFORE)
+    return totals.select(*keys, bucket, *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(out) for out, v in outs.items()])
 
 
 def dense_index(df: DataFrame, out: str, bucket_seconds: int) -> DataFrame:
@@ -70,48 +65,63 @@ def dense_index(df: DataFrame, out: str, bucket_seconds: int) -> DataFrame:
     return placed.select(*df.columns, (F.col("_before") + F.col("_in")).alias(out))
 
 
-def value_band(column: str) -> Column:
-    """Order-preserving band of any number, 1/4096 of a natural-log unit wide.
-
-    The range of a double gives fewer than 6 million bands.
-    """
-    size = F.signum(column) * F.log(F.lit(1.0) + F.abs(column))
-    return F.floor(size * 4096)
-
-
 def banded_sums(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     outs: Mapping[str, Column | None],
     group_totals: Mapping[str, str] | None = None,
+    band_rows: int = BAND_ROWS,
+    bands: int = BANDS,
 ) -> DataFrame:
     """Add, per name in ``outs``, the sum of its value over the rows of smaller ``order``.
 
     A value of None counts rows, which gives a 0-based rank. ``group_totals``
-    names, per output, a column for the sum over the whole group. One window task holds
-    one value band of a group, another the totals of the bands of a group; the
-    distinct rows of a group are never in one task.
+    names, per output, a column for the sum over the whole group. ``order`` is unique in a group.
+
+    A group is one window unless it has more than ``band_rows`` rows. Such a group is cut at splitters,
+    drawn from its own values by a mergeable sketch, into ``bands`` bands of about equal size; a row's
+    sum is the total of the bands before its own plus the sum inside it. Where no group is large,
+    adaptive execution drops the joins once the sizes are known.
     """
+    values = list(outs.values())
+    # two counts that need the value columns: column pruning then leaves the shuffle that the ranks read, too
+    used = [v for v in values if v is not None] or [F.col(order)]
+    sizes = df.groupBy(*keys).agg((F.count_if(used[0] >= 0) + F.count_if(F.coalesce(used[0] < 0, F.lit(True)))).alias("_size"))
+    large = sizes.where(F.col("_size") > band_rows).select(*keys)
+
     cell = [*keys, "_band"]
-    banded = df.withColumn("_band", value_band(order))
+    banded = value_bands(df, large, keys, order, bands).repartition(*cell)  # a band of a hot group is one task, not the group
     fine = Window.partitionBy(*cell).orderBy(order)
-    inner, totals = {}, []
-    for i, value in enumerate(outs.values()):
-        if value is None:
-            inner[f"_in{i}"] = (F.row_number().over(fine) - 1).cast("long")
-            totals.append(F.count("*").alias(f"_t{i}"))
-        else:
-            inner[f"_in{i}"] = F.coalesce(F.sum(value).over(fine.rowsBetween(*BEFORE)), F.lit(0))
-            totals.append(F.sum(value).alias(f"_t{i}"))
-    bands = Window.partitionBy(*keys).orderBy("_band")
-    before = [F.coalesce(F.sum(f"_t{i}").over(bands.rowsBetween(*BEFORE)), F.lit(0)).alias(f"_off{i}") for i in range(len(totals))]
-    results = [(F.col(f"_off{i}") + F.col(f"_in{i}")).alias(out) for i, out in enumerate(outs)]
-    for out, name in (group_totals or {}).items():
-        before.append(F.sum(f"_t{list(outs).index(out)}").over(Window.partitionBy(*keys)).alias(name))
-        results.append(F.col(name))
-    offsets = banded.groupBy(*cell).agg(*totals).select(*cell, *before)
-    return banded.withColumns(inner).join(offsets, cell).select(*df.columns, *results)
+    inner = {}
+    for i, value in enumerate(values):
+        running = F.row_number().over(fine) - 1 if value is None else F.coalesce(F.sum(value).over(fine.rowsBetween(*BEFORE)), F.lit(0))
+        inner[f"_in{i}"] = running.cast("long") if value is None else running
+    for out in group_totals or {}:
+        i = list(outs).index(out)
+        inner[f"_all{i}"] = (F.count("*") if values[i] is None else F.sum(values[i])).over(Window.partitionBy(*cell))
+
+    sums = [(F.count("*") if v is None else F.sum(v)).alias(f"_t{i}") for i, v in enumerate(values)]
+    at = Window.partitionBy(*keys).orderBy("_band").rowsBetween(*BEFORE)
+    before = [F.coalesce(F.sum(f"_t{i}").over(at), F.lit(0)).alias(f"_off{i}") for i in range(len(values))]
+    before += [F.sum(f"_t{list(outs).index(out)}").over(Window.partitionBy(*keys)).alias(f"_group_{name}") for out, name in (group_totals or {}).items()]
+    offsets = banded.where("_split").groupBy(*cell).agg(*sums).select(*cell, *before)
+    joined = banded.withColumns(inner).join(offsets, cell, "left")
+    results = [(F.coalesce(f"_off{i}", F.lit(0)) + F.col(f"_in{i}")).alias(out) for i, out in enumerate(outs)]
+    results += [F.coalesce(f"_group_{name}", f"_all{list(outs).index(out)}").alias(name) for out, name in (group_totals or {}).items()]
+    return joined.select(*df.columns, *results)
+
+
+def value_bands(df: DataFrame, large: DataFrame, keys: Sequence[str], order: str, bands: int) -> DataFrame:
+    """Add ``_split``, whether the row's group is one of ``large``, and ``_band``, how many of its splitters are below ``order``.
+
+    Splitters are approximate quantiles of the group, within a tenth of a band.
+    """
+    shares = [k / bands for k in range(1, bands)]
+    cuts = df.join(large, list(keys)).groupBy(*keys).agg(F.percentile_approx(order, shares, F.lit(10 * bands)).alias("_cuts"))
+    placed = df.join(cuts, list(keys), "left").withColumn("_split", F.col("_cuts").isNotNull())
+    below = F.size(F.filter("_cuts", lambda x: x < F.col(order)))
+    return placed.withColumn("_band", F.when(F.col("_split"), below).otherwise(0)).drop("_cuts")
 
 
 def epoch_micros(ts: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from depthframe.operators import timeline
 from depthframe.operators.snapshot import snapshots, top_of_book
-from depthframe.operators.window import banded_sums, block_window, dense_index, halo, prefix_offsets
+from depthframe.operators.window import banded_sums, block_window, dense_index, halo, prefix_offsets, value_bands
 from depthframe.plans.targets import build_line, build_targets
 from tests.conftest import at
 from tests.helpers import book, line, params, snaps
@@ -109,12 +109,11 @@ def test_positions_equal_row_number_with_a_hot_asset(spark, bucket_seconds):
     assert want.select("asset", "ts", "pos").exceptAll(got.select("asset", "ts", F.col("pos").cast("int"))).isEmpty()
 
 
-@pytest.mark.parametrize("fan", [1, 3, 4096])
-def test_prefix_offsets_in_two_levels(spark, fan):
+def test_prefix_offsets(spark):
     df = spark.range(300).select((F.col("id") % 2).alias("asset"), (F.col("id") * 7 - 900).alias("b"), (F.col("id") % 13).alias("v"), F.lit(1).alias("one"))
     before = Window.partitionBy("asset").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     want = df.select("asset", "b", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(n) for n, c in (("x", "v"), ("y", "one"))])
-    got = prefix_offsets(df, "b", {"x": "v", "y": "one"}, fan=fan)
+    got = prefix_offsets(df, "b", {"x": "v", "y": "one"})
     assert got.count() == 300 and want.exceptAll(got).isEmpty()
 
 
@@ -156,6 +155,28 @@ def test_banded_sums_equal_plain_window(spark):
     assert want.exceptAll(got).isEmpty()
 
 
+@pytest.mark.parametrize("values", ["rand(3) * 1e-5 + 2e-5", "exp(rand(3) * 20.7)", "-1e6 * rand(3)", "case when id % 50 = 0 then id * 1e7 else id / 7e9 end"])
+def test_bands_are_of_about_equal_size(spark, values):
+    """Also for values that are nearly equal, and for a spread of 1e9."""
+    df = spark.range(40000).selectExpr("id % 2 as k", f"{values} as x").dropDuplicates(["k", "x"]).cache()
+    sizes = [r["count"] for r in value_bands(df, df.select("k").distinct(), ["k"], "x", 32).groupBy("k", "_band").count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 1.3 * df.count() / 64
+    w = Window.partitionBy("k").orderBy("x")
+    want = df.select("k", "x", (F.row_number().over(w) - 1).cast("long").alias("r"))
+    got = banded_sums(df, ["k"], "x", {"r": None}, {"r": "n"}, band_rows=100, bands=32)
+    assert got.select("n").distinct().collect()[0].n == df.count() // 2
+    assert want.exceptAll(got.select("k", "x", "r")).isEmpty()
+
+
+def test_small_and_large_groups(spark):
+    df = spark.range(9000).selectExpr("case when id % 3 > 0 then -1 else id % 600 end as k", "id * 0.37 - 500 as x", "id % 11 as v")
+    w = Window.partitionBy("k").orderBy("x")
+    want = df.select("k", "x", (F.row_number().over(w) - 1).cast("long").alias("r"), F.coalesce(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("s"), F.sum("v").over(Window.partitionBy("k")).alias("t"))
+    got = banded_sums(df, ["k"], "x", {"r": None, "s": F.col("v")}, {"s": "t"}, band_rows=500, bands=16)
+    assert got.count() == 9000
+    assert want.exceptAll(got.select("k", "x", "r", "s", "t")).isEmpty()
+
+
 def test_source_order(spark):
     rows = [("x", 0, 1, 1, 2, 1, 0), ("x", 10, 1, 1, 2, 1, 1), ("x", 5, 1, 1, 2, 1, 70000), ("y", 3, 1, 1, 2, 1, 2)]
     out = {r.asset: (r.min_step_seconds, r.monotonic) for r in timeline.source_order_report(book(spark, rows)).collect()}
