@@ -1,19 +1,20 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 Texts are split into units where no piece can span: before white-space marks, around line ends,
-and between ASCII punctuation and characters that the piece table never puts next to it. Each
-distinct unit explodes into its substrings of at most the longest piece's length; an equi-join
-with the piece table keeps those that are pieces: the edges of the unit's lattice. Edges are
+and between ASCII punctuation and characters that the piece table never puts next to it; a long unit
+also between any two characters that stand side by side in no piece. Each distinct unit explodes
+into the places where a substring of it can begin a piece; an equi-join with the piece table, keyed
+by first characters, finds the pieces there: the edges of the unit's lattice. Edges are
 grouped by unit and folded. For a unigram model the fold is Viterbi with Spark's higher-order
 ``aggregate`` over the places of the unit. A BPE model's encoder does not look for the path with the
 best sum of scores: its scores are ranks, and it joins two neighbours by the best-ranked edge, again
 and again. That fold runs in Arrow batches over the same grouped edges, because as an ``aggregate`` it
 took too long (see the README). Characters without a piece fall back to their bytes.
 
-Scale: the lattice is built once per distinct unit, not per occurrence, and the units stay in the
-partitions that made them distinct. The ``HOT_UNITS`` most frequent units are sent to every task; a
-document fetches its other units by an equi-join. Per text one shuffle moves the compressed text to
-its rarer units.
+Scale: the distinct units are stored once; the lattice is built per distinct unit, not per
+occurrence, and joins and groups units where they lie. The ``HOT_UNITS`` most frequent units are sent to every task; a
+text fetches the numbers of its other units by an equi-join, in the order of their first place. Per text one shuffle
+moves the compressed text to them.
 
 Defined results: a null or empty text has no pieces and decodes to an empty text; equal rows are
 encoded alike; the mark U+2581 in a text decodes as a blank, as in the library; extra columns stay.
@@ -36,6 +37,8 @@ from depthframe.llm.common import Scratch, arrow_schema, lists, record, slices
 
 MARK = "▁"
 HOT_UNITS = 1 << 19
+HELD_UNITS = 150_000
+PREFIX = 3
 SHORT = 250
 MAX_BROADCAST_PIECES = 1_000_000
 UNKNOWN_PENALTY = 10.0
@@ -68,6 +71,10 @@ class Pieces:
         apart = f"(?![{glue}])" if glue else ""
         return re.compile(rf"{MARK}*+(?:[^{MARK}\n{marks}{glue}]++{apart}|[{marks}]++{apart}|[^{MARK}\n]++)|\n|{MARK}++")
 
+    def neighbours(self) -> frozenset[str]:
+        """All pairs of characters that stand side by side in some piece."""
+        return frozenset(p[i : i + 2] for p in self.names for i in range(len(p) - 1))
+
     @property
     def longest(self) -> int:
         return max(map(len, self.names))
@@ -91,8 +98,17 @@ def read_pieces(path: str, bpe: bool = True) -> Pieces:
     )
 
 
-def units(text: str | None, splitter: re.Pattern) -> list[str]:
-    return splitter.findall(MARK + text.replace(" ", MARK)) if text else []
+def units(text: str | None, splitter: re.Pattern, neighbours: frozenset[str] = frozenset()) -> list[str]:
+    """The units of a text; one above ``SHORT`` characters is also cut between characters that are ``neighbours`` in no piece."""
+    found = splitter.findall(MARK + text.replace(" ", MARK)) if text else []
+    if neighbours and text and len(text) > SHORT and max(map(len, found)) > SHORT:
+        return [part for unit in found for part in ([unit] if len(unit) <= SHORT else _apart(unit, neighbours))]
+    return found
+
+
+def _apart(unit: str, neighbours: frozenset[str]) -> list[str]:
+    cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in neighbours]
+    return [unit[lo:hi] for lo, hi in zip([0, *cuts], [*cuts, len(unit)])]
 
 
 # ---------------------------------------------------------------- the lattice
@@ -102,45 +118,67 @@ def _vocabulary(docs: DataFrame, pieces: Pieces) -> DataFrame:
     """(unit, n): distinct units of all texts, counted per task first."""
     schema = "unit string, n long"
     target = arrow_schema(schema)
-    splitter = pieces.splitter()
+    splitter, pairs = pieces.splitter(), pieces.neighbours()
 
     def run(batches):
         held: Counter = Counter()
         for part in slices(batches, 0):
             for text in part.column(0).to_pylist():
-                held.update(units(text, splitter))
-            if len(held) > 500_000:
-                yield record({"unit": list(held), "n": list(held.values())}, target)
-                held = Counter()
-        names, counts = list(held), list(held.values())
-        for lo in range(0, len(names), 1 << 16):
-            yield record({"unit": names[lo : lo + (1 << 16)], "n": counts[lo : lo + (1 << 16)]}, target)
+                held.update(units(text, splitter, pairs))
+                if len(held) > HELD_UNITS:
+                    yield record({"unit": list(held), "n": list(held.values())}, target)
+                    held = Counter()
+        yield record({"unit": list(held), "n": list(held.values())}, target)
 
     return docs.select("text").mapInArrow(run, schema).groupBy("unit").agg(F.sum("n").alias("n"))
 
 
-def _table(spark: SparkSession, pieces: Pieces) -> DataFrame:
+def _keyed(spark: SparkSession, pieces: Pieces, least: int) -> tuple[DataFrame, list[str]]:
+    """The piece table keyed by the first ``PREFIX`` characters: (key, pieces), and its keys.
+
+    A piece that is shorter than a key is listed with every key that continues it, and with a key of its own.
+    """
     order = np.argsort(-np.array(pieces.scores), kind="stable")
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order), dtype=np.int64)
-    table = spark.createDataFrame(pa.table({"piece": list(pieces.names), "rank": rank, "score": np.array(pieces.scores, dtype=float)}))
-    return F.broadcast(table) if len(pieces.names) <= MAX_BROADCAST_PIECES else table
-
-
-def _edges(words: DataFrame, table: DataFrame, longest: int, least: int) -> DataFrame:
+    facts = [(name, int(r), float(score)) for name, r, score in zip(pieces.names, rank, pieces.scores) if len(name) >= least]
+    held: dict[str, list] = {name[:PREFIX]: [] for name, _, _ in facts}
+    for fact in facts:
+        held[fact[0][:PREFIX]].append(fact)
+    for name, r, score in facts:
+        if len(name) < PREFIX:
+            for key in held:
+                if len(key) > len(name) and key.startswith(name):
+                    held[key].append((name, r, score))
+    rows = spark.createDataFrame(list(held.items()), "key string, pieces array<struct<piece:string,rank:long,score:double>>")
+    return (F.broadcast(rows) if len(facts) <= MAX_BROADCAST_PIECES else rows), list(held)
+
+
+def _edges(words: DataFrame, table: DataFrame, keys: list[str], least: int) -> DataFrame:
     """(unit, n, edges): the pieces among the substrings of short units, as (rank, s, e, score).
 
-    Every unit also has one row without a piece, so that a unit without edges is not lost. Units come
-    partitioned by unit, and neither the explode nor the join with a small table moves them.
+    A place of a unit explodes only where the substring from it begins with a key of the piece table; the longest
+    such key is joined, and those of its pieces that go on as the unit does are edges. Every unit also has one
+    row without a key, so that a unit without edges is not lost. Units come partitioned by unit, and neither the
+    explode nor the join with a small table moves them.
     """
-    every = f"""concat(array(named_struct('s', 0, 'e', 0, 'piece', cast(null as string))),
-        if(length(unit) < {least}, cast(array() as array<struct<s:int,e:int,piece:string>>),
-        flatten(transform(sequence(0, length(unit) - {least}), s ->
-            transform(sequence({least}, least({longest}, length(unit) - s)), n ->
-                named_struct('s', s, 'e', s + n, 'piece', substring(unit, s + 1, n)))))))"""
-    sub = words.select("unit", "n", F.explode(F.expr(every)).alias("x")).select("unit", "n", F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.piece").alias("piece"))
-    found = sub.join(table, "piece", "left").filter("rank is not null or e = 0")
-    return found.groupBy("unit", "n").agg(F.collect_list(F.when(F.col("e") > 0, F.struct("rank", "s", "e", "score"))).alias("edges"))
+    sizes = sorted({len(k) for k in keys}, reverse=True)
+    places = F.sequence(F.lit(0), F.greatest(F.length("unit") - least, F.lit(0)))
+
+    def key_at(s):
+        picked = F.lit(None).cast("string")
+        for size in reversed(sizes):  # the longest key wins
+            part = F.substring("unit", s + 1, F.lit(size))
+            picked = F.when(part.isin([k for k in keys if len(k) == size]), part).otherwise(picked)
+        return picked
+
+    starts = F.filter(F.transform(places, lambda s: F.struct(s.alias("s"), key_at(s).alias("key"))), lambda x: x["key"].isNotNull())
+    none = F.array(F.struct(F.lit(-1).alias("s"), F.lit(None).cast("string").alias("key")))
+    sub = words.select("unit", "n", F.explode(F.concat(none, starts)).alias("x")).select("unit", "n", "x.s", "x.key")
+    found = sub.join(table, "key", "left").filter("s < 0 or pieces is not null")
+    mine = F.expr("filter(pieces, p -> substring(unit, s + 1, length(p.piece)) = p.piece)")
+    edges = F.transform(mine, lambda p: F.struct(p["rank"].alias("rank"), F.col("s").alias("s"), (F.col("s") + F.length(p["piece"])).alias("e"), p["score"].alias("score")))
+    return found.select("unit", "n", edges.alias("own")).groupBy("unit", "n").agg(F.flatten(F.collect_list("own")).alias("edges"))
 
 
 #: Viterbi: for each place the best score of a path from the start, and the place before it.
@@ -152,11 +190,12 @@ SEGMENT = "unit string, n long, cuts array<int>"
 
 
 def segment(vocabulary: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, n, cuts): the places inside each unit where its pieces meet."""
-    table = _table(vocabulary.sparkSession, pieces)
+    """(unit, n, cuts): the places inside each unit of a stored ``vocabulary`` where its pieces meet."""
+    least = 2 if pieces.bpe else 1
+    table, keys = _keyed(vocabulary.sparkSession, pieces, least)
     if not pieces.bpe:
-        return _viterbi(vocabulary, table, pieces)
-    short = _edges(vocabulary.filter(F.length("unit") <= SHORT), table, pieces.longest, 2)
+        return _viterbi(vocabulary.repartition("unit"), table, keys, pieces)
+    short = _edges(vocabulary.filter(F.length("unit") <= SHORT).repartition("unit"), table, keys, least)
     packed = F.transform("edges", lambda x: (x["rank"] * 256 + x["s"]) * 256 + x["e"])
     target = arrow_schema(SEGMENT)
 
@@ -166,7 +205,14 @@ def segment(vocabulary: DataFrame, pieces: Pieces) -> DataFrame:
             yield record({"unit": batch.column(0), "n": batch.column(1), "cuts": cuts}, target)
 
     done = short.select("unit", "n", packed.alias("edges")).mapInArrow(fold, SEGMENT)
-    return done.unionByName(_long(vocabulary.filter(F.length("unit") > SHORT), table, pieces.longest))
+    long = vocabulary.filter(F.length("unit") > SHORT)
+    return done.unionByName(_long(long, _table(vocabulary.sparkSession, pieces), pieces.longest))
+
+
+def _table(spark: SparkSession, pieces: Pieces) -> DataFrame:
+    order = np.argsort(-np.array(pieces.scores), kind="stable")
+    table = spark.createDataFrame(pa.table({"piece": [pieces.names[i] for i in order], "rank": np.arange(len(order), dtype=np.int64)}))
+    return F.broadcast(table) if len(pieces.names) <= MAX_BROADCAST_PIECES else table
 
 
 def joined(length: int, edges: list[int]) -> list[int]:
@@ -192,9 +238,9 @@ def joined(length: int, edges: list[int]) -> list[int]:
     return [i for i in range(1, length) if places >> i & 1]
 
 
-def _viterbi(vocabulary: DataFrame, table: DataFrame, pieces: Pieces) -> DataFrame:
+def _viterbi(vocabulary: DataFrame, table: DataFrame, keys: list[str], pieces: Pieces) -> DataFrame:
     unknown = min(pieces.scores) - UNKNOWN_PENALTY
-    edges = _edges(vocabulary, table, pieces.longest, 1)
+    edges = _edges(vocabulary, table, keys, 1)
     # every character also has an edge of its own at the penalty of an unknown piece
     own = F.expr(f"transform(sequence(0, length(unit) - 1), s -> named_struct('rank', -1L, 's', s, 'e', s + 1, 'score', double({unknown})))")
     best = edges.withColumn("edges", F.concat("edges", own)).withColumn("best", F.expr(_VITERBI))
@@ -262,32 +308,49 @@ def _numbers(pieces: Pieces, names: dict[str, int], unit: str, cuts: list[int])
     return out
 
 
+def numbered(segmented: DataFrame, pieces: Pieces) -> DataFrame:
+    """(unit, n, code): the piece numbers of each unit as packed 32-bit numbers."""
+    schema = "unit string, n long, code binary"
+    target = arrow_schema(schema)
+
+    def run(batches):
+        names = dict(zip(pieces.names, pieces.ids))
+        for batch in batches:
+            pairs = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
+            codes = [np.array(_numbers(pieces, names, unit, cuts), dtype=np.int32).tobytes() for unit, cuts in pairs]
+            yield record({"unit": batch.column(0), "n": batch.column(1), "code": pa.array(codes, pa.binary())}, target)
+
+    return segmented.mapInArrow(run, schema)
+
+
 def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataFrame:
-    """``docs`` plus ids, the piece numbers of its text."""
+    """``docs`` plus ids, the piece numbers of its text; a column ids of ``docs`` is replaced."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "pieces")
-    splitter = pieces.splitter()
-    segmented = scratch.stage(segment(_vocabulary(docs, pieces), pieces), "segmented")
-    names = dict(zip(pieces.names, pieces.ids))
-    hot = segmented.orderBy(F.desc("n"), "unit").limit(hot_units).toArrow()
-    packed = {u: np.array(_numbers(pieces, names, u, c), dtype=np.int32).tobytes() for u, c in zip(hot.column("unit").to_pylist(), hot.column("cuts").to_pylist())}
-    shared = spark.sparkContext.broadcast((packed, pieces))
-    schema = "__th long, unit string"
+    splitter, pairs = pieces.splitter(), pieces.neighbours()
+    vocabulary = scratch.stage(_vocabulary(docs, pieces), "vocabulary")
+    coded = scratch.stage(numbered(segment(vocabulary, pieces), pieces), "coded")
+    scratch.drop(vocabulary)
+    hot = coded.orderBy(F.desc("n"), "unit").limit(hot_units).select("unit", "code").toArrow()
+    shared = spark.sparkContext.broadcast(dict(zip(hot.column("unit").to_pylist(), hot.column("code").to_pylist())))
+    schema = "__th long, k int, unit string"
     target = arrow_schema(schema)
 
     def rarer(batches):
-        known = shared.value[0]
+        known = shared.value
         for part in slices(batches, 1):
-            keys, found = [], []
+            keys, places, found = [], [], []
             for th, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                mine = set(units(text, splitter)).difference(known)
+                mine = [u for u in dict.fromkeys(units(text, splitter, pairs)) if u not in known]
                 keys += [th] * len(mine)
+                places += range(len(mine))
                 found += mine
-            yield record({"__th": keys, "unit": found}, target)
+            yield record({"__th": keys, "k": places, "unit": found}, target)
 
-    # the units a text needs depend on the text alone: copies share them
-    needed = docs.select(F.xxhash64("text"), "text").mapInArrow(rarer, schema).distinct()
-    fetched = needed.join(segmented.select("unit", "cuts"), "unit").groupBy("__th").agg(F.collect_list(F.struct("unit", "cuts")).alias("__rare"))
+    # the units a text needs, in their order, depend on the text alone: copies share them. A unit outside the
+    # broadcast is rarer than all of those, so a text of many copies asks for few of them.
+    needed = docs.select(F.xxhash64("text"), "text").mapInArrow(rarer, schema)
+    fetched = needed.join(coded.select("unit", "code"), "unit").groupBy("__th").agg(F.array_sort(F.collect_set(F.struct("k", "code"))).alias("__rare"))
 
     @F.arrow_udf("binary")
     def pack(texts: pa.Array) -> pa.Array:
@@ -300,22 +363,30 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataF
         return pa.array([None if b is None else open_(b).decode("utf-8") for b in blobs.to_pylist()], pa.string())
 
     @F.arrow_udf("array<int>")
-    def numbers(blobs: pa.Array, rare: pa.Array) -> pa.Array:
-        packed, pieces = shared.value
-        own = dict(zip(pieces.names, pieces.ids))
-        open_ = zstandard.ZstdDecompressor().decompress
+    def numbers(texts: pa.Array, rare: pa.Array) -> pa.Array:
+        known = shared.value
         values, counts = [], []
-        for blob, extra in zip(blobs.to_pylist(), rare.to_pylist()):
-            more = {x["unit"]: np.array(_numbers(pieces, own, x["unit"], x["cuts"]), dtype=np.int32).tobytes() for x in extra or []}
-            text = None if blob is None else open_(blob).decode("utf-8")
-            joined = b"".join([packed[u] if u in packed else more[u] for u in units(text, splitter)])
+        for text, extra in zip(texts, rare):
+            own = units(text.as_py(), splitter, pairs)
+            codes = list(map(known.get, own))
+            if extra.is_valid:
+                more = iter(extra.values.field("code").to_pylist())
+                mine: dict[str, bytes] = {}
+                for i, code in enumerate(codes):
+                    if code is None:
+                        unit = own[i]
+                        if unit not in mine:
+                            mine[unit] = next(more)
+                        codes[i] = mine[unit]
+            joined = b"".join(codes)
             values.append(joined)
             counts.append(len(joined) // 4)
         return lists(np.frombuffer(b"".join(values), dtype=np.int32), counts, pa.int32())
 
-    narrow = docs.withColumns({"__th": F.xxhash64("text"), "__blob": pack("text")}).drop("text")
-    joined = narrow.join(fetched, "__th", "left")
-    return joined.withColumns({"text": unpack("__blob"), "ids": numbers("__blob", "__rare")}).drop("__th", "__blob", "__rare")
+    kept = [c for c in docs.columns if c not in ("text", "ids")]
+    narrow = docs.select(*(F.col(f"`{c}`") for c in kept), F.xxhash64("text").alias("__th"), pack("text").alias("__blob"))
+    opened = narrow.join(fetched, "__th", "left").withColumn("text", unpack("__blob"))
+    return opened.select(*(F.col(f"`{c}`") if c != "text" else F.col("text") for c in docs.columns if c != "ids"), numbers("text", "__rare").alias("ids"))
 
 
 def decode_column(spark: SparkSession, pieces: Pieces, ids: str = "ids") -> F.Column:
@@ -326,15 +397,15 @@ def decode_column(spark: SparkSession, pieces: Pieces, ids: str = "ids") -> F.Co
     def text(column: pa.Array) -> pa.Array:
         pieces = shared.value
         size = max([*pieces.ids, *pieces.byte_ids, pieces.unknown]) + 1
-        raw = [b" \xe2\x81\x87 "] * size
+        raw = np.full(size, b" \xe2\x81\x87 ", dtype=object)
         for name, i in zip(pieces.names, pieces.ids):
             raw[i] = name.replace(MARK, " ").encode("utf-8")
         for b, i in enumerate(pieces.byte_ids):
             raw[i] = bytes([b])
         out = []
         for one in column:
-            joined = b"".join([raw[i] for i in one.values.to_pylist()]) if one.is_valid else b""
-            out.append(joined[1:].decode("utf-8", "replace") if joined[:1] == b" " else joined.decode("utf-8", "replace"))
+            joined = b"".join(raw[one.values.to_numpy()].tolist()) if one.is_valid and len(one.values) else b""
+            out.append(joined.removeprefix(b" ").decode("utf-8", "replace"))
         return pa.array(out, pa.string())
 
     return text(F.col(ids))

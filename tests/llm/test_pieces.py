@@ -77,3 +77,23 @@ def test_folds_by_bits_and_by_heap_agree(spark):
 
 def test_empty_table(spark):
     assert pieces.encode(docs(spark, []), pieces.read_pieces(PATH)).select(F.col("ids")).count() == 0
+
+
+def test_long_unit_without_blanks(spark):
+    """A run of a million letters and ideographs is cut where no piece holds two neighbours."""
+    r = random.Random(8)
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyz漢字かな水火木金土日月") for _ in range(1_000_000))
+    table = pieces.read_pieces(PATH)
+    parts = pieces.units(text, table.splitter(), table.neighbours())
+    assert "".join(parts) == pieces.MARK + text and max(map(len, parts)) <= pieces.SHORT
+    model = SentencePieceProcessor(model_file=PATH)
+    got = pieces.encode(docs(spark, [(1, text), (2, text[:5001])]), table).collect()
+    assert all(list(x.ids) == model.encode(x.text) for x in got)
+
+
+def test_columns_with_the_names_of_results(spark):
+    import corpus_pipeline
+
+    frame = docs(spark, [(1, "one two"), (2, None)], extra=True).withColumn("round_trip", F.lit("kept"))
+    out = corpus_pipeline.piece_stage(spark, frame, "")
+    assert out.columns[-2:] == ["ids", "round_trip"] and all(r.round_trip is True and r.score == "kept" for r in out.collect())
