@@ -7,7 +7,13 @@
 4. benchmark decontamination: documents with a window of a benchmark item go;
 5. SentencePiece: the piece numbers of what is left, and whether they decode to the text again.
 
-All stages but the last return the columns of documents.
+All stages but the last return the columns of documents, other columns of theirs included; the last
+adds ids and round_trip, in place of columns of these names.
+
+Defined results: a null or empty text is scored like any other, shares no passage, is no near copy, holds no
+benchmark window and has no pieces, so only the first stage decides on it; documents without doc_id are
+never dropped as copies; of repeated rows one stays (the near-dedup stage), of tied copies the one with the
+smallest doc_id; an empty table passes all stages as an empty table.
 """
 
 from __future__ import annotations
@@ -45,9 +51,10 @@ def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = pieces.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
-    encoded = pieces.encode(docs, model).select(*docs.columns, "ids").withColumn("decoded", pieces.decode_column(spark, model))
-    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")
-    return encoded.select(*docs.columns, "ids", same.alias("round_trip"))
+    own = [c for c in docs.columns if c not in ("ids", "round_trip")]
+    encoded = pieces.encode(docs.select(own), model)
+    same = pieces.decode_column(spark, model) == F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")
+    return encoded.select(*own, "ids", same.alias("round_trip"))
 
 
 STAGES = [
