@@ -32,11 +32,13 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from depthframe.llm.common import Scratch, arrow_schema, lists, record, slices
 
 MARK = "▁"
-HOT_UNITS = 1 << 19
+HOT_UNITS = 1 << 18
 HELD_UNITS = 150_000
 PREFIX = 3
 SHORT = 250
@@ -157,28 +159,24 @@ def _keyed(spark: SparkSession, pieces: Pieces, least: int) -> tuple[DataFrame,
 def _edges(words: DataFrame, table: DataFrame, keys: list[str], least: int) -> DataFrame:
     """(unit, n, edges): the pieces among the substrings of short units, as (rank, s, e, score).
 
-    A place of a unit explodes only where the substring from it begins with a key of the piece table; the longest
-    such key is joined, and those of its pieces that go on as the unit does are edges. Every unit also has one
-    row without a key, so that a unit without edges is not lost. Units come partitioned by unit, and neither the
-    explode nor the join with a small table moves them.
+    A place of a unit goes on only where the substring from it begins with a key of the piece table; the longest
+    such key is joined, and those of its pieces that continue as the unit does are edges. Every unit also has
+    one row without a place, so that a unit without edges is not lost. Units are dealt by a number, and
+    neither the explode, nor the join with a small table, nor the grouping moves them again.
     """
-    sizes = sorted({len(k) for k in keys}, reverse=True)
-    places = F.sequence(F.lit(0), F.greatest(F.length("unit") - least, F.lit(0)))
-
-    def key_at(s):
-        picked = F.lit(None).cast("string")
-        for size in reversed(sizes):  # the longest key wins
-            part = F.substring("unit", s + 1, F.lit(size))
-            picked = F.when(part.isin([k for k in keys if len(k) == size]), part).otherwise(picked)
-        return picked
-
-    starts = F.filter(F.transform(places, lambda s: F.struct(s.alias("s"), key_at(s).alias("key"))), lambda x: x["key"].isNotNull())
-    none = F.array(F.struct(F.lit(-1).alias("s"), F.lit(None).cast("string").alias("key")))
-    sub = words.select("unit", "n", F.explode(F.concat(none, starts)).alias("x")).select("unit", "n", "x.s", "x.key")
-    found = sub.join(table, "key", "left").filter("s < 0 or pieces is not null")
-    mine = F.expr("filter(pieces, p -> substring(unit, s + 1, length(p.piece)) = p.piece)")
-    edges = F.transform(mine, lambda p: F.struct(p["rank"].alias("rank"), F.col("s").alias("s"), (F.col("s") + F.length(p["piece"])).alias("e"), p["score"].alias("score")))
-    return found.select("unit", "n", edges.alias("own")).groupBy("unit", "n").agg(F.flatten(F.collect_list("own")).alias("edges"))
+    dealt = words.withColumn("uid", F.monotonically_increasing_id()).repartition("uid")
+    place = F.sequence(F.lit(-1), F.length("unit") - least)
+    places = dealt.select("uid", "unit", "n", F.explode(F.when(F.length("unit") >= least, place).otherwise(F.array(F.lit(-1)))).alias("s"))
+    key = F.lit(None).cast("string")
+    for size in sorted({len(k) for k in keys}):  # the longest key wins
+        part = F.substring("unit", F.col("s") + 1, F.lit(size))
+        key = F.when(part.isin([k for k in keys if len(k) == size]), part).otherwise(key)
+    starts = places.withColumn("key", F.when(F.col("s") >= 0, key)).filter("s < 0 or key is not null")
+    joined = starts.join(table, "key", "left").select("uid", "unit", "n", "s", F.explode_outer("pieces").alias("p"))
+    length = F.length("p.piece")
+    found = joined.filter((F.col("s") < 0) | (F.substring("unit", F.col("s") + 1, length) == F.col("p.piece")))
+    edge = F.struct(F.col("p.rank").alias("rank"), "s", (F.col("s") + length).alias("e"), F.col("p.score").alias("score"))
+    return found.groupBy("uid", "unit", "n").agg(F.collect_list(F.when(F.col("s") >= 0, edge)).alias("edges")).drop("uid")
 
 
 #: Viterbi: for each place the best score of a path from the start, and the place before it.
@@ -187,26 +185,44 @@ _VITERBI = """aggregate(sequence(1, length(unit)), array(named_struct('score', 0
 _BACK = """aggregate(sequence(1, length(unit)), named_struct('at', length(unit), 'cuts', cast(array() as array<int>)), (a, i) ->
     if(a.at <= 0, a, named_struct('at', best[a.at].back, 'cuts', if(best[a.at].back > 0, concat(array(best[a.at].back), a.cuts), a.cuts))), a -> a.cuts)"""
 SEGMENT = "unit string, n long, cuts array<int>"
+CODED = "unit string, n long, code binary"
+
 
+def segment(vocabulary: DataFrame, pieces: Pieces, coded: bool = False) -> DataFrame:
+    """(unit, n, cuts): the places inside each unit of a stored ``vocabulary`` where its pieces meet.
 
-def segment(vocabulary: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, n, cuts): the places inside each unit of a stored ``vocabulary`` where its pieces meet."""
+    With ``coded`` a column code instead of cuts: the piece numbers as packed 32-bit numbers.
+    """
     least = 2 if pieces.bpe else 1
     table, keys = _keyed(vocabulary.sparkSession, pieces, least)
     if not pieces.bpe:
-        return _viterbi(vocabulary.repartition("unit"), table, keys, pieces)
-    short = _edges(vocabulary.filter(F.length("unit") <= SHORT).repartition("unit"), table, keys, least)
+        folded = _viterbi(vocabulary, table, keys, pieces)
+        return folded.mapInArrow(_finish(pieces, lambda unit, cuts: cuts, coded), CODED) if coded else folded
+    short = _edges(vocabulary.filter(F.length("unit") <= SHORT), table, keys, least)
     packed = F.transform("edges", lambda x: (x["rank"] * 256 + x["s"]) * 256 + x["e"])
-    target = arrow_schema(SEGMENT)
+    finish = _finish(pieces, lambda unit, edges: joined(len(unit), edges), coded)
+    done = short.select("unit", "n", packed.alias("edges")).mapInArrow(finish, CODED if coded else SEGMENT)
+    heap = _finish(pieces, _by_heap, coded)
+    long = _long_edges(vocabulary.filter(F.length("unit") > SHORT), _table(vocabulary.sparkSession, pieces), pieces.longest)
+    return done.unionByName(long.mapInArrow(heap, CODED if coded else SEGMENT))
+
+
+def _finish(pieces: Pieces | None, fold, coded: bool):
+    """An Arrow function from (unit, n, edges) to (unit, n, cuts or code), a bounded number of units at a time."""
+    target = arrow_schema(CODED if coded else SEGMENT)
 
-    def fold(batches):
+    def run(batches):
+        names = dict(zip(pieces.names, pieces.ids)) if coded else {}
         for batch in batches:
-            cuts = [joined(len(unit), edges) for unit, edges in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
-            yield record({"unit": batch.column(0), "n": batch.column(1), "cuts": cuts}, target)
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                own = part.column(0).to_pylist()
+                out = [fold(unit, edges) for unit, edges in zip(own, part.column(2).to_pylist())]
+                if coded:
+                    out = [np.array(_numbers(pieces, names, unit, cuts), dtype=np.int32).tobytes() for unit, cuts in zip(own, out)]
+                yield record({"unit": part.column(0), "n": part.column(1), target.names[2]: out}, target)
 
-    done = short.select("unit", "n", packed.alias("edges")).mapInArrow(fold, SEGMENT)
-    long = vocabulary.filter(F.length("unit") > SHORT)
-    return done.unionByName(_long(long, _table(vocabulary.sparkSession, pieces), pieces.longest))
+    return run
 
 
 def _table(spark: SparkSession, pieces: Pieces) -> DataFrame:
@@ -247,8 +263,8 @@ def _viterbi(vocabulary: DataFrame, table: DataFrame, keys: list[str], pieces: P
     return best.select("unit", "n", F.expr(_BACK).alias("cuts"))
 
 
-def _long(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
-    """The same lattice for long units: substrings keyed by a digest, joins by a heap."""
+def _long_edges(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
+    """(unit, n, edges) of long units: their substrings are keyed by a digest, and edges meet by it."""
     target = arrow_schema("key string, s int, e int, piece string")
 
     def explode(batches):
@@ -261,14 +277,16 @@ def _long(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
     keyed = words.select(F.md5("unit").alias("key"), "unit", "n")
     sub = keyed.select("key", "unit").mapInArrow(explode, "key string, s int, e int, piece string")
     edges = sub.join(table, "piece").groupBy("key").agg(F.collect_list(F.struct("rank", "s", "e")).alias("edges"))
-    done = arrow_schema(SEGMENT)
+    return keyed.join(edges, "key", "left").select("unit", "n", "edges")
+
+
+def _by_heap(unit: str, edges: list[dict] | None) -> list[int]:
+    return merged(len(unit), {(x["s"], x["e"]): x["rank"] for x in edges or []})
 
-    def merge(batches):
-        for batch in batches:
-            for unit, n, edges in zip(*(c.to_pylist() for c in batch.columns)):
-                yield record({"unit": [unit], "n": [n], "cuts": [merged(len(unit), {(x["s"], x["e"]): x["rank"] for x in edges or []})]}, done)
 
-    return keyed.join(edges, "key", "left").select("unit", "n", "edges").mapInArrow(merge, SEGMENT)
+def _long(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
+    """(unit, n, cuts) by the heap, whatever the length of the units."""
+    return _long_edges(words, table, longest).mapInArrow(_finish(None, _by_heap, False), SEGMENT)
 
 
 def merged(length: int, rank: dict[tuple[int, int], int]) -> list[int]:
@@ -308,28 +326,13 @@ def _numbers(pieces: Pieces, names: dict[str, int], unit: str, cuts: list[int])
     return out
 
 
-def numbered(segmented: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, n, code): the piece numbers of each unit as packed 32-bit numbers."""
-    schema = "unit string, n long, code binary"
-    target = arrow_schema(schema)
-
-    def run(batches):
-        names = dict(zip(pieces.names, pieces.ids))
-        for batch in batches:
-            pairs = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
-            codes = [np.array(_numbers(pieces, names, unit, cuts), dtype=np.int32).tobytes() for unit, cuts in pairs]
-            yield record({"unit": batch.column(0), "n": batch.column(1), "code": pa.array(codes, pa.binary())}, target)
-
-    return segmented.mapInArrow(run, schema)
-
-
 def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataFrame:
     """``docs`` plus ids, the piece numbers of its text; a column ids of ``docs`` is replaced."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "pieces")
     splitter, pairs = pieces.splitter(), pieces.neighbours()
     vocabulary = scratch.stage(_vocabulary(docs, pieces), "vocabulary")
-    coded = scratch.stage(numbered(segment(vocabulary, pieces), pieces), "coded")
+    coded = scratch.stage(segment(vocabulary, pieces, coded=True), "coded")
     scratch.drop(vocabulary)
     hot = coded.orderBy(F.desc("n"), "unit").limit(hot_units).select("unit", "code").toArrow()
     shared = spark.sparkContext.broadcast(dict(zip(hot.column("unit").to_pylist(), hot.column("code").to_pylist())))
@@ -357,36 +360,31 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataF
         press = zstandard.ZstdCompressor(level=3).compress
         return pa.array([None if t is None else press(t.encode("utf-8")) for t in texts.to_pylist()], pa.binary())
 
-    @F.arrow_udf("string")
-    def unpack(blobs: pa.Array) -> pa.Array:
-        open_ = zstandard.ZstdDecompressor().decompress
-        return pa.array([None if b is None else open_(b).decode("utf-8") for b in blobs.to_pylist()], pa.string())
-
-    @F.arrow_udf("array<int>")
-    def numbers(texts: pa.Array, rare: pa.Array) -> pa.Array:
-        known = shared.value
-        values, counts = [], []
-        for text, extra in zip(texts, rare):
-            own = units(text.as_py(), splitter, pairs)
-            codes = list(map(known.get, own))
-            if extra.is_valid:
-                more = iter(extra.values.field("code").to_pylist())
-                mine: dict[str, bytes] = {}
-                for i, code in enumerate(codes):
-                    if code is None:
-                        unit = own[i]
-                        if unit not in mine:
-                            mine[unit] = next(more)
-                        codes[i] = mine[unit]
-            joined = b"".join(codes)
-            values.append(joined)
-            counts.append(len(joined) // 4)
-        return lists(np.frombuffer(b"".join(values), dtype=np.int32), counts, pa.int32())
-
-    kept = [c for c in docs.columns if c not in ("text", "ids")]
-    narrow = docs.select(*(F.col(f"`{c}`") for c in kept), F.xxhash64("text").alias("__th"), pack("text").alias("__blob"))
-    opened = narrow.join(fetched, "__th", "left").withColumn("text", unpack("__blob"))
-    return opened.select(*(F.col(f"`{c}`") if c != "text" else F.col("text") for c in docs.columns if c != "ids"), numbers("text", "__rare").alias("ids"))
+    kept = [f for f in docs.schema.fields if f.name != "ids"]
+    out = StructType([*kept, StructField("ids", ArrayType(IntegerType()))])
+    opened = to_arrow_schema(out)
+    at = [f.name for f in kept].index("text")
+
+    def numbers(batches):
+        known, open_ = shared.value, zstandard.ZstdDecompressor().decompress
+        for part in slices(batches, at):
+            texts = [None if blob is None else open_(blob).decode("utf-8") for blob in part.column(at).to_pylist()]
+            values, counts = [], []
+            for text, extra in zip(texts, part.column(part.num_columns - 1)):
+                own = units(text, splitter, pairs)
+                codes = list(map(known.get, own))
+                if extra.is_valid:
+                    mine = dict(zip(dict.fromkeys(u for u, code in zip(own, codes) if code is None), extra.values.field("code").to_pylist()))
+                    codes = [mine[u] if code is None else code for u, code in zip(own, codes)]
+                joined = b"".join(codes)
+                values.append(joined)
+                counts.append(len(joined) // 4)
+            ids = lists(np.frombuffer(b"".join(values), dtype=np.int32), counts, pa.int32())
+            columns = [pa.array(texts, pa.string()) if i == at else part.column(i) for i in range(len(kept))]
+            yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(columns, opened)), ids.cast(opened.field("ids").type)], schema=opened)
+
+    narrow = docs.select(*(pack("text").alias("text") if f.name == "text" else F.col(f"`{f.name}`") for f in kept), F.xxhash64("text").alias("__th"))
+    return narrow.join(fetched, "__th", "left").drop("__th").mapInArrow(numbers, out)
 
 
 def decode_column(spark: SparkSession, pieces: Pieces, ids: str = "ids") -> F.Column:
