@@ -40,7 +40,8 @@ from depthframe.llm.common import Scratch, arrow_schema, lists, record, slices
 MARK = "▁"
 HOT_UNITS = 1 << 18
 HELD_UNITS = 150_000
-PREFIX = 3
+PREFIX = 4
+UNITS_A_TASK = 40_000
 SHORT = 250
 MAX_BROADCAST_PIECES = 1_000_000
 UNKNOWN_PENALTY = 10.0
@@ -135,44 +136,34 @@ def _vocabulary(docs: DataFrame, pieces: Pieces) -> DataFrame:
     return docs.select("text").mapInArrow(run, schema).groupBy("unit").agg(F.sum("n").alias("n"))
 
 
-def _keyed(spark: SparkSession, pieces: Pieces, least: int) -> tuple[DataFrame, list[str]]:
-    """The piece table keyed by the first ``PREFIX`` characters: (key, pieces), and its keys.
-
-    A piece that is shorter than a key is listed with every key that continues it, and with a key of its own.
-    """
+def _keyed(spark: SparkSession, pieces: Pieces, least: int) -> tuple[DataFrame, list[int]]:
+    """The piece table by its first ``PREFIX`` characters, or all of a shorter piece: (key, pieces), and the lengths of the keys."""
     order = np.argsort(-np.array(pieces.scores), kind="stable")
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order), dtype=np.int64)
-    facts = [(name, int(r), float(score)) for name, r, score in zip(pieces.names, rank, pieces.scores) if len(name) >= least]
-    held: dict[str, list] = {name[:PREFIX]: [] for name, _, _ in facts}
-    for fact in facts:
-        held[fact[0][:PREFIX]].append(fact)
-    for name, r, score in facts:
-        if len(name) < PREFIX:
-            for key in held:
-                if len(key) > len(name) and key.startswith(name):
-                    held[key].append((name, r, score))
-    rows = spark.createDataFrame(list(held.items()), "key string, pieces array<struct<piece:string,rank:long,score:double>>")
-    return (F.broadcast(rows) if len(facts) <= MAX_BROADCAST_PIECES else rows), list(held)
-
-
-def _edges(words: DataFrame, table: DataFrame, keys: list[str], least: int) -> DataFrame:
+    held: dict[str, list] = {}
+    for name, r, score in zip(pieces.names, rank, pieces.scores):
+        if len(name) >= least:
+            held.setdefault(name[:PREFIX], []).append({"piece": name, "rank": int(r), "score": float(score)})
+    kind = pa.list_(pa.struct([("piece", pa.string()), ("rank", pa.int64()), ("score", pa.float64())]))
+    rows = spark.createDataFrame(pa.table({"key": list(held), "pieces": pa.array(list(held.values()), kind)}))
+    return (F.broadcast(rows) if len(pieces.names) <= MAX_BROADCAST_PIECES else rows), sorted({len(k) for k in held})
+
+
+def _edges(words: DataFrame, table: DataFrame, sizes: list[int], least: int, tasks: int) -> DataFrame:
     """(unit, n, edges): the pieces among the substrings of short units, as (rank, s, e, score).
 
-    A place of a unit goes on only where the substring from it begins with a key of the piece table; the longest
-    such key is joined, and those of its pieces that continue as the unit does are edges. Every unit also has
-    one row without a place, so that a unit without edges is not lost. Units are dealt by a number, and
-    neither the explode, nor the join with a small table, nor the grouping moves them again.
+    A place of a unit explodes to its substrings of the lengths of a key; those that a piece begins with are
+    joined, and the pieces that go on as the unit does are edges. Every unit also has one row without a
+    place, so that a unit without edges is not lost. Units are dealt by a number, and neither the explode,
+    nor the join with a small table, nor the grouping moves them again.
     """
-    dealt = words.withColumn("uid", F.monotonically_increasing_id()).repartition("uid")
+    dealt = words.withColumn("uid", F.monotonically_increasing_id()).repartition(tasks, "uid")
     place = F.sequence(F.lit(-1), F.length("unit") - least)
     places = dealt.select("uid", "unit", "n", F.explode(F.when(F.length("unit") >= least, place).otherwise(F.array(F.lit(-1)))).alias("s"))
-    key = F.lit(None).cast("string")
-    for size in sorted({len(k) for k in keys}):  # the longest key wins
-        part = F.substring("unit", F.col("s") + 1, F.lit(size))
-        key = F.when(part.isin([k for k in keys if len(k) == size]), part).otherwise(key)
-    starts = places.withColumn("key", F.when(F.col("s") >= 0, key)).filter("s < 0 or key is not null")
-    joined = starts.join(table, "key", "left").select("uid", "unit", "n", "s", F.explode_outer("pieces").alias("p"))
+    keyed = places.select("*", F.explode(F.array(*map(F.lit, sizes))).alias("size")).filter(f"(s < 0 and size = {sizes[0]}) or (s >= 0 and s + size <= length(unit))")
+    starts = keyed.withColumn("key", F.expr("if(s < 0, null, substring(unit, s + 1, size))"))
+    joined = starts.join(table, "key", "left").filter("s < 0 or pieces is not null").select("uid", "unit", "n", "s", F.explode_outer("pieces").alias("p"))
     length = F.length("p.piece")
     found = joined.filter((F.col("s") < 0) | (F.substring("unit", F.col("s") + 1, length) == F.col("p.piece")))
     edge = F.struct(F.col("p.rank").alias("rank"), "s", (F.col("s") + length).alias("e"), F.col("p.score").alias("score"))
@@ -194,11 +185,13 @@ def segment(vocabulary: DataFrame, pieces: Pieces, coded: bool = False) -> DataF
     With ``coded`` a column code instead of cuts: the piece numbers as packed 32-bit numbers.
     """
     least = 2 if pieces.bpe else 1
-    table, keys = _keyed(vocabulary.sparkSession, pieces, least)
+    table, sizes = _keyed(vocabulary.sparkSession, pieces, least)
+    # a unit has about a dozen edges, so tasks hold few units
+    tasks = max(int(vocabulary.sparkSession.conf.get("spark.sql.shuffle.partitions")), vocabulary.count() // UNITS_A_TASK + 1)
     if not pieces.bpe:
-        folded = _viterbi(vocabulary, table, keys, pieces)
+        folded = _viterbi(vocabulary, table, sizes, pieces, tasks)
         return folded.mapInArrow(_finish(pieces, lambda unit, cuts: cuts, coded), CODED) if coded else folded
-    short = _edges(vocabulary.filter(F.length("unit") <= SHORT), table, keys, least)
+    short = _edges(vocabulary.filter(F.length("unit") <= SHORT), table, sizes, least, tasks)
     packed = F.transform("edges", lambda x: (x["rank"] * 256 + x["s"]) * 256 + x["e"])
     finish = _finish(pieces, lambda unit, edges: joined(len(unit), edges), coded)
     done = short.select("unit", "n", packed.alias("edges")).mapInArrow(finish, CODED if coded else SEGMENT)
@@ -254,9 +247,9 @@ def joined(length: int, edges: list[int]) -> list[int]:
     return [i for i in range(1, length) if places >> i & 1]
 
 
-def _viterbi(vocabulary: DataFrame, table: DataFrame, keys: list[str], pieces: Pieces) -> DataFrame:
+def _viterbi(vocabulary: DataFrame, table: DataFrame, sizes: list[int], pieces: Pieces, tasks: int) -> DataFrame:
     unknown = min(pieces.scores) - UNKNOWN_PENALTY
-    edges = _edges(vocabulary, table, keys, 1)
+    edges = _edges(vocabulary, table, sizes, 1, tasks)
     # every character also has an edge of its own at the penalty of an unknown piece
     own = F.expr(f"transform(sequence(0, length(unit) - 1), s -> named_struct('rank', -1L, 's', s, 'e', s + 1, 'score', double({unknown})))")
     best = edges.withColumn("edges", F.concat("edges", own)).withColumn("best", F.expr(_VITERBI))
