@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 SCAN_BYTES = 1 << 18
 SLICE_BYTES = 1 << 22
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 # ---------------------------------------------------------------- staging
@@ -54,7 +55,12 @@ class Scratch:
         if narrow:
             df = df.coalesce(max(12, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 16))
         path = f"{self.root}/{self.n:03d}-{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")  # nothing reads the shuffle files of a finished table
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._staged_at = path
         return out

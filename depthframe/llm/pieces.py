@@ -26,6 +26,7 @@ import heapq
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +79,11 @@ class Pieces:
         """All pairs of characters that stand side by side in some piece."""
         return frozenset(p[i : i + 2] for p in self.names for i in range(len(p) - 1))
 
+    @property
+    def packed(self) -> np.dtype:
+        """The narrowest type that holds every piece number."""
+        return np.dtype(np.uint16 if max([*self.ids, *self.byte_ids, self.unknown]) < 1 << 16 else np.int32)
+
     @property
     def longest(self) -> int:
         return max(map(len, self.names))
@@ -182,7 +188,7 @@ CODED = "unit string, n long, code binary"
 def segment(vocabulary: DataFrame, pieces: Pieces, coded: bool = False) -> DataFrame:
     """(unit, n, cuts): the places inside each unit of a stored ``vocabulary`` where its pieces meet.
 
-    With ``coded`` a column code instead of cuts: the piece numbers as packed 32-bit numbers.
+    With ``coded`` a column code instead of cuts: the packed piece numbers.
     """
     least = 2 if pieces.bpe else 1
     table, sizes = _keyed(vocabulary.sparkSession, pieces, least)
@@ -212,7 +218,7 @@ def _finish(pieces: Pieces | None, fold, coded: bool):
                 own = part.column(0).to_pylist()
                 out = [fold(unit, edges) for unit, edges in zip(own, part.column(2).to_pylist())]
                 if coded:
-                    out = [np.array(_numbers(pieces, names, unit, cuts), dtype=np.int32).tobytes() for unit, cuts in zip(own, out)]
+                    out = [np.array(_numbers(pieces, names, unit, cuts), dtype=pieces.packed).tobytes() for unit, cuts in zip(own, out)]
                 yield record({"unit": part.column(0), "n": part.column(1), target.names[2]: out}, target)
 
     return run
@@ -337,7 +343,7 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataF
         for part in slices(batches, 1):
             keys, places, found = [], [], []
             for th, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                mine = [u for u in dict.fromkeys(units(text, splitter, pairs)) if u not in known]
+                mine = list(dict.fromkeys(filterfalse(known.__contains__, units(text, splitter, pairs))))
                 keys += [th] * len(mine)
                 places += range(len(mine))
                 found += mine
@@ -356,7 +362,7 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataF
     kept = [f for f in docs.schema.fields if f.name != "ids"]
     out = StructType([*kept, StructField("ids", ArrayType(IntegerType()))])
     opened = to_arrow_schema(out)
-    at = [f.name for f in kept].index("text")
+    at, kind = [f.name for f in kept].index("text"), pieces.packed
 
     def numbers(batches):
         known, open_ = shared.value, zstandard.ZstdDecompressor().decompress
@@ -371,8 +377,8 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataF
                     codes = [mine[u] if code is None else code for u, code in zip(own, codes)]
                 joined = b"".join(codes)
                 values.append(joined)
-                counts.append(len(joined) // 4)
-            ids = lists(np.frombuffer(b"".join(values), dtype=np.int32), counts, pa.int32())
+                counts.append(len(joined) // kind.itemsize)
+            ids = lists(np.frombuffer(b"".join(values), dtype=kind).astype(np.int32), counts, pa.int32())
             columns = [pa.array(texts, pa.string()) if i == at else part.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(columns, opened)), ids.cast(opened.field("ids").type)], schema=opened)
 
