@@ -211,14 +211,14 @@ def _finish(pieces: Pieces | None, fold, coded: bool):
     target = arrow_schema(CODED if coded else SEGMENT)
 
     def run(batches):
-        names = dict(zip(pieces.names, pieces.ids)) if coded else {}
+        names, kind = (dict(zip(pieces.names, pieces.ids)), pieces.packed) if coded else ({}, None)
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
                 own = part.column(0).to_pylist()
                 out = [fold(unit, edges) for unit, edges in zip(own, part.column(2).to_pylist())]
                 if coded:
-                    out = [np.array(_numbers(pieces, names, unit, cuts), dtype=pieces.packed).tobytes() for unit, cuts in zip(own, out)]
+                    out = [np.array(_numbers(pieces, names, unit, cuts), dtype=kind).tobytes() for unit, cuts in zip(own, out)]
                 yield record({"unit": part.column(0), "n": part.column(1), target.names[2]: out}, target)
 
     return run
