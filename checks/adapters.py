@@ -86,10 +86,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def book_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_book(spark: SparkSession, events: DataFrame) -> DataFrame:
     hour = "unix_seconds(cast(date_trunc('hour', ts) as timestamp)) div 3600"
     text = EVENTS.format(ntz="timestamp_ntz", hour=hour, events="{events}")
-    return spark.sql(text, events=table(spark, sf_dir, "events"))
+    return spark.sql(text, events=events)
+
+
+def book_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_book(spark, table(spark, sf_dir, "events"))
 
 
 def book_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -263,6 +263,18 @@ def md5_fraction(e: str) -> str:
     return f"(cast(cast('0x' || substr(md5('42:' || asset || ':' || {e}), 1, 8) as ubigint) as double) / 4294967296e0)"
 
 
+ROW_TEXT = "concat_ws('|', " + ", ".join(
+    {"asset": "asset", "ts": "epoch_us(ts)::varchar"}.get(c, f"floor({c} * 1e6 + 5e-1)::bigint::varchar")
+    for c in ("ask_price", "ask_quantity", "asset", "bid_price", "bid_quantity", "mid", "ts")
+) + ")"
+ROW_TYPES = "ask_price:double,ask_quantity:double,asset:string,bid_price:double,bid_quantity:double,mid:double,ts:timestamp_ntz"
+WORDS = ", ".join(f"sum(cast(cast('0x' || substr(d, {8 * k + 1}, 8) as ubigint) as hugeint))::varchar" for k in range(4))
+add(
+    "a7_fingerprint",
+    snaps("l"),
+    f"digests as (select md5({ROW_TEXT}) as d from snaps)",
+    select=f"select count(*) as rows, sha256(concat_ws('|', '{ROW_TYPES}', count(*)::varchar, {WORDS})) as fingerprint from digests",
+)
 add("a14_retained_rows", line("e"), select=f"select asset, snap_idx, ts, {cols6('mid')} from line where {md5_fraction('snap_idx')} < 5e-2")
 
 # ---- B ----------------------------------------------------------------------
@@ -319,6 +331,7 @@ add(
 BEST = "select asset, ts, bid_price, bid_quantity, ask_price, ask_quantity from best"
 add("c1_top_of_book", best("l"), select=BEST)
 add("c1_top_of_book_unfiltered", best("e", unfiltered=True), select=BEST)
+add("c1_stream_top_of_book", best("e"), select=BEST + " where ts <= (select max(ts) from book) - interval 1 day")
 add("c2_snapshots", snaps("e", unfiltered=True), select="select asset, ts, bid_price, bid_quantity, ask_price, ask_quantity, mid from snaps")
 LEVELS = book("l") + [
     """quotes as (select asset, ts, 'bid' as side, bid_price as price, bid_quantity as quantity from book where bid_price > 0 and bid_quantity >= 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.adapters import (
@@ -15,6 +15,7 @@ from checks.adapters import (
     LINEITEM_PARAMS,
     book_events,
     book_lineitem,
+    events_book,
     predictions,
     table,
 )
@@ -27,6 +28,7 @@ from depthframe.params import BookParams, ProfileParams
 from depthframe.plans.targets import build_line, build_targets
 from depthframe.session import stage, stage_dir
 from depthframe.sources import readers, writers
+from depthframe.streaming.book import run_to_end, stream_top_of_book
 
 FIRST, LAST = "1990-01-01", "2099-12-31"
 PROFILE = ProfileParams()
@@ -191,13 +193,22 @@ def a7_fingerprint(spark, sf):
 
 @query
 def a10_confusion_wide(spark, sf):
-    return writers.confusion_wide(evaluation.confusion(predictions(spark, sf), K), K)
+    path = folder(spark, "confusion")
+    writers.write_confusion_csv(evaluation.confusion(predictions(spark, sf), K), path, K)
+    cells = ", ".join(f"pred_{k} bigint" for k in range(K))
+    stored = spark.read.schema(f"{cells}, head string").csv(path).withColumn("at", F.monotonically_increasing_id())
+    nth = F.row_number().over(Window.partitionBy("head").orderBy("at")) - 1  # a file of K rows for each head
+    return stored.select("head", nth.alias("y_true"), *[f"pred_{k}" for k in range(K)])
 
 
 @query
 def a11_calibration_curve(spark, sf):
-    curve = evaluation.reliability(predictions(spark, sf), BINS)
-    return curve.select("head", "bin", *[r6(c).alias(c) for c in writers.CURVE_COLUMNS], "bin_count")
+    path = folder(spark, "curve")
+    writers.write_curve_csv(evaluation.reliability(predictions(spark, sf), BINS), path)
+    columns = ", ".join(f"{c} double" for c in writers.CURVE_COLUMNS)
+    stored = spark.read.schema(f"{columns}, bin_count bigint, head string").option("header", True).csv(path)
+    place = F.round(F.col("left_edge") * BINS).cast("int")
+    return stored.select("head", place.alias("bin"), *[r6(c).alias(c) for c in writers.CURVE_COLUMNS], "bin_count")
 
 
 @query
@@ -227,7 +238,9 @@ def a13_daily_extraction(spark, sf):
 
 @query
 def a14_retained_rows(spark, sf):
-    kept = splits.hash_fraction_sample(e_line(spark, sf), "snap_idx", 0.05, 42)
+    path = folder(spark, "retained")
+    writers.write_retained(e_line(spark, sf), path, 0.05, 42)
+    kept = spark.read.parquet(path)
     return rounded(kept.select("asset", "snap_idx", "ts", "mid"), "mid")
 
 
@@ -291,6 +304,17 @@ def c1_top_of_book(spark, sf):
     return top_of_book(l_book(spark, sf))
 
 
+@query
+def c1_stream_top_of_book(spark, sf):
+    """The events as a stream: snapshots that a day of delay has closed."""
+    batch = table(spark, sf, "events")
+    source = spark.readStream.schema(batch.schema).parquet(f"{sf}/events.parquet")
+    book = readers.book_rows(events_book(spark, source), FIRST, LAST, EVENT_ASSETS)
+    path = folder(spark, "stream")
+    run_to_end(stream_top_of_book(book, "1 day"), path, folder(spark, "stream-state"))
+    return spark.read.parquet(path)
+
+
 @query
 def c1_top_of_book_unfiltered(spark, sf):
     return top_of_book(book_events(spark, sf))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from depthframe.operators.diagnostics import RECORD_COLUMNS
 from depthframe.operators.longterm import daily_statistics
@@ -15,21 +16,35 @@ from depthframe.session import stage
 CURVE_COLUMNS = ("left_edge", "right_edge", "bin_confidence", "bin_accuracy")
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """One row (rows, fingerprint): SHA-256 over the schema and an order-free digest of all rows.
-
-    Per-row hashes are combined by sum and exclusive-or, so neither row order nor
-    partitioning changes the value.
+def canonical_text(df: DataFrame, decimals: int = 6) -> Column:
+    """One text for a row: columns by name, joined with |; ~ for NULL, microseconds for times, fractions in units of 10^-decimals."""
+    cells = []
+    for f in sorted(df.schema.fields, key=lambda f: f.name):
+        c, kind = F.col(f"`{f.name}`"), f.dataType.simpleString()
+        if kind in ("double", "float"):
+            # whole units as far as a long goes, the plain number beyond and for NaN
+            units = F.floor(c.cast("double") * 10.0**decimals + 0.5)
+            c = F.when(F.abs(c) < 2.0**62 / 10.0**decimals, units.cast("string")).otherwise(c.cast("string"))
+        elif kind in ("timestamp", "timestamp_ntz"):
+            c = F.unix_micros(c.cast("timestamp")).cast("string")
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            c = F.to_json(c)
+        cells.append(F.coalesce(c.cast("string"), F.lit("~")))
+    return F.concat_ws("|", *cells)
+
+
+def fingerprint(df: DataFrame, decimals: int = 6) -> DataFrame:
+    """One row (rows, fingerprint): SHA-256 over the schema, the row count and a digest of the multiset of rows.
+
+    The four 32-bit words of each row's MD5 are summed, so neither row order nor partitioning changes the
+    value, repeated rows count, and any engine can repeat it. Fractions count to ``decimals`` places.
     """
-    ordered = df.select(*sorted(df.columns))
-    row = F.xxhash64(*[F.col(c) for c in ordered.columns])
-    sums = ordered.select(row.alias("h")).agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.sum(F.col("h").cast("decimal(20,0)")), F.lit(0)).cast("string").alias("s"),
-        F.coalesce(F.bit_xor("h"), F.lit(0).cast("long")).cast("string").alias("x"),
-    )
-    schema = F.lit(",".join(f"{f.name}:{f.dataType.simpleString()}" for f in ordered.schema))
-    return sums.select("rows", F.sha2(F.concat_ws("|", schema, F.col("rows").cast("string"), "s", "x"), 256).alias("fingerprint"))
+    digest = F.md5(canonical_text(df, decimals))
+    words = [F.conv(F.substring("d", 8 * k + 1, 8), 16, 10).cast("long") for k in range(4)]
+    sums = df.select(digest.alias("d")).agg(F.count("*").alias("rows"), *[F.coalesce(F.sum(w.cast("decimal(20,0)")), F.lit(0)).cast("string").alias(f"s{k}") for k, w in enumerate(words)])
+    schema = F.lit(",".join(f"{f.name}:{f.dataType.simpleString()}" for f in sorted(df.schema.fields, key=lambda f: f.name)))
+    parts = F.concat_ws("|", schema, F.col("rows").cast("string"), *[f"s{k}" for k in range(4)])
+    return sums.select("rows", F.sha2(parts, 256).alias("fingerprint"))
 
 
 def write_training_set(windows: DataFrame, root: str, version: str, asset_first: bool = True) -> str:
