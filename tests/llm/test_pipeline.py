@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     names = driver.queries()
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
 
 
@@ -47,3 +47,12 @@ def test_last_stage_decodes_its_pieces(spark):
     out = corpus_pipeline.piece_stage(spark, docs, SF)
     assert out.columns == [*docs.columns, "ids", "round_trip"]
     assert [r.round_trip for r in out.collect()] == [True] * 40
+
+
+def test_empty_table_through_all_stages(spark):
+    held = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    scratch = Scratch(spark, "empty")
+    for name, stage in corpus_pipeline.STAGES:
+        held = scratch.stage(stage(spark, held, SF), name)
+        assert held.count() == 0
+    assert held.columns[-2:] == ["ids", "round_trip"]
