@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthframe.functions.quotes import FEATURES
@@ -148,46 +148,55 @@ def asof_join(
     Adds ``matched_ts`` and ``values``; they are NULL without a match. Several
     right rows of one (keys, ts) give the greatest values.
 
-    Distinct left and right times are merged inside single seconds (at most
-    2 x 10^6 rows each); the last right row of each second is carried over
-    groups of at most two tolerance spans of seconds. No task sees a whole key.
+    One frame holds the distinct times of both sides, made by one aggregation with map-side partial
+    results, so repeated rows of one (keys, ts) never meet in a task. It is dealt by single seconds (at most
+    10^6 times each) and scanned once for either direction; the last and the first right row of each second
+    are carried over groups of at most three tolerance spans of seconds. No task sees a whole key.
+    A null key or ``ts`` has no match.
     """
     if direction not in ("backward", "nearest"):
         raise ValueError("direction must be 'backward' or 'nearest'")
-    found = _asof(left, right, keys, values, tolerance_seconds, 1)
-    if direction == "nearest":
-        later = _asof(left, right, keys, values, tolerance_seconds, -1).withColumnRenamed("_m", "_n")
-        both = found.join(later, [*keys, "_t"], "full")
-        gap_back, gap_ahead = F.col("_t") - F.col("_m._rt"), F.col("_n._rt") - F.col("_t")
-        pick = F.when(F.col("_m").isNull() | (gap_ahead < gap_back), F.coalesce("_n", "_m")).otherwise(F.col("_m"))
-        found = both.select(*keys, "_t", pick.alias("_m"))
-    keyed = left.withColumn("_t", epoch_micros("ts"))
-    joined = keyed.join(found, [*keys, "_t"], "left")
+    found = _matches(left, right, keys, values, tolerance_seconds, direction == "nearest")
+    joined = left.withColumn("_t", epoch_micros("ts")).join(found, [*keys, "_t"], "left")
     matched = F.timestamp_micros(F.col("_m._rt")).cast("timestamp_ntz")
     return joined.select(*left.columns, matched.alias("matched_ts"), *[F.col(f"_m.{v}").alias(v) for v in values])
 
 
-def _asof(left: DataFrame, right: DataFrame, keys: Sequence[str], values: Sequence[str], tolerance: int, sign: int) -> DataFrame:
-    """(keys, _t, _m): per distinct left time the last right row at or before it; ``sign`` -1 mirrors time."""
-    t = epoch_micros("ts") * sign
-    lefts = left.select(*keys, t.alias("_u")).distinct().withColumn("_left", F.lit(1))
-    rights = right.groupBy(t.alias("_u"), *keys).agg(F.max(F.struct(*values)).alias("_v"))
-    row = F.struct(F.col("_u").alias("_ru"), (F.col("_u") * sign).alias("_rt"), *[F.col(f"_v.{v}").alias(v) for v in values])
-    rights = rights.select(*keys, "_u", row.alias("_r"), F.lit(0).alias("_left"))
-    both = rights.unionByName(lefts.withColumn("_r", F.lit(None).cast(rights.schema["_r"].dataType)))
-    both = both.withColumn("_sec", F.floor(F.col("_u") / 1_000_000))
-    upto = Window.partitionBy(*keys, "_sec").orderBy("_u", "_left").rowsBetween(Window.unboundedPreceding, 0)
-    merged = both.withColumn("_in", F.last("_r", ignorenulls=True).over(upto)).where(F.col("_left") == 1)
+def _matches(left: DataFrame, right: DataFrame, keys: Sequence[str], values: Sequence[str], tolerance: int, look_ahead: bool) -> DataFrame:
+    """(keys, _t, _m): per distinct left time the right row within the tolerance, null without one."""
+    t = epoch_micros("ts").alias("_t")
+    rights = right.select(*keys, t, F.lit(False).alias("_left"), F.struct(*values).alias("_v"))
+    lefts = left.select(*keys, t, F.lit(True).alias("_left"), F.lit(None).cast(rights.schema["_v"].dataType).alias("_v"))
+    times = lefts.unionByName(rights).groupBy(*keys, "_t").agg(F.max("_left").alias("_left"), F.max("_v").alias("_v"))
+    times = times.withColumn("_sec", F.floor(F.col("_t") / 1_000_000))
+    for name in (*keys, "_sec"):  # with equal filters both branches below read one exchange
+        times = times.where(F.col(name).isNotNull())
+    times = times.repartition(*keys, "_sec")
+    row = F.when(F.col("_v").isNotNull(), F.struct(F.col("_t").alias("_rt"), *[F.col(f"_v.{v}").alias(v) for v in values]))
+    times = times.select(*keys, "_sec", "_t", "_left", row.alias("_r"))
 
-    per_second = both.groupBy("_sec", *keys).agg(F.max_by("_r", F.when(F.col("_left") == 0, F.col("_u"))).alias("_last"))
     size = tolerance + 1
-    copies = per_second.withColumn("_home", F.floor(F.col("_sec") / size)).withColumn(
-        "_bucket", F.explode(F.array(F.col("_home"), F.col("_home") + 1))
-    )
-    earlier = Window.partitionBy(*keys, "_bucket").orderBy("_sec").rowsBetween(Window.unboundedPreceding, -1)
-    carried = copies.withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))
-    carried = carried.where(F.col("_bucket") == F.col("_home")).select(*keys, "_sec", "_carry")
-    joined = merged.join(carried, [*keys, "_sec"])
-    match = F.coalesce("_in", "_carry")
-    near = F.col("_u") - match["_ru"] <= tolerance * 1_000_000
-    return joined.select(*keys, (F.col("_u") * sign).alias("_t"), F.when(near, match).alias("_m"))
+    seconds = times.groupBy(*keys, "_sec").agg(F.max("_left").alias("_asked"), F.max("_r").alias("_last"), F.min("_r").alias("_first"))
+    home = F.floor(F.col("_sec") / size)
+    reach = [home - 1, home, home + 1] if look_ahead else [home, home + 1]
+    copies = seconds.withColumn("_bucket", F.explode(F.array(*reach)))
+
+    def last_before(value: str, group: str, order: Column, end: int) -> Column:
+        frame = Window.partitionBy(*keys, group).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+        return F.last(value, ignorenulls=True).over(frame)
+
+    inner = [last_before("_r", "_sec", F.col("_t"), 0).alias("_back")]
+    carried = [last_before("_last", "_bucket", F.col("_sec"), -1).alias("_before")]
+    if look_ahead:
+        inner.append(last_before("_r", "_sec", F.desc("_t"), 0).alias("_ahead"))
+        carried.append(last_before("_first", "_bucket", F.desc("_sec"), -1).alias("_after"))
+    carries = copies.select("*", *carried).where(F.col("_asked") & (F.col("_bucket") == home)).drop("_asked", "_last", "_first", "_bucket")
+    joined = times.select("*", *inner).where("_left").join(carries, [*keys, "_sec"])
+
+    match = F.coalesce("_back", "_before")
+    if look_ahead:
+        later = F.coalesce("_ahead", "_after")
+        closer = match.isNull() | (later["_rt"] - F.col("_t") < F.col("_t") - match["_rt"])
+        match = F.when(later.isNotNull() & closer, later).otherwise(match)
+    near = F.abs(F.col("_t") - match["_rt"]) <= tolerance * 1_000_000
+    return joined.select(*keys, "_t", F.when(near, match).alias("_m"))

@@ -93,6 +93,42 @@ def test_asof_equals_brute_force(spark, direction):
         assert abs((r.matched_ts - r.ts).total_seconds()) == pytest.approx(size)
 
 
+@pytest.mark.parametrize("direction", ["backward", "nearest"])
+def test_asof_hot_key_ties_and_nulls(spark, direction):
+    """One key over many partitions, repeated times on both sides, a null key and a null time."""
+    rng = random.Random(11)
+    lefts = [("hot", rng.randrange(0, 400_000, 250)) for _ in range(1500)] + [("hot", 7_000)] * 500 + [(None, 7_000), ("hot", None)]
+    rights = [("hot", rng.randrange(0, 400_000, 125), float(i)) for i in range(300)] + [("hot", 7_125, 5.0), ("hot", 7_125, 6.0), (None, 7_000, 1.0), ("hot", None, 2.0)]
+    when = lambda ms: None if ms is None else at(ms / 1000)
+    left = spark.createDataFrame([(k, when(t)) for k, t in lefts], "k string, ts timestamp_ntz").repartition(32)
+    right = spark.createDataFrame([(k, when(t), v) for k, t, v in rights], "k string, ts timestamp_ntz, v double").repartition(16)
+    out = align.asof_join(left, right, ["k"], ["v"], 1, direction)
+    best = {}
+    for _, t, v in (r for r in rights if r[0] and r[1] is not None):
+        best[t] = max(v, best.get(t, v))
+
+    def expected(k, t):
+        if k is None or t is None:
+            return None
+        near = [r for r in best if abs(r - t) <= 1000 and (direction == "nearest" or r <= t)]
+        return best[min(near, key=lambda r: (abs(r - t), r))] if near else None
+
+    got = sorted((str(r.k), str(r.ts), str(r.v)) for r in out.collect())
+    assert got == sorted((str(k), str(when(t)), str(expected(k, t))) for k, t in lefts)
+
+
+@pytest.mark.parametrize("direction", ["backward", "nearest"])
+def test_asof_builds_the_merged_frame_once(spark, direction, tmp_path):
+    for side in ("left", "right"):
+        spark.range(20).selectExpr("'a' as k", "timestamp_ntz '2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id) as ts", "id as v").write.parquet(str(tmp_path / side))
+    left, right = (spark.read.parquet(str(tmp_path / side)) for side in ("left", "right"))
+    out = align.asof_join(left.select("k", "ts"), right, ["k"], ["v"], 3, direction)
+    assert out.count() == 20
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 3  # the merged frame, and the left rows that it is joined to
+
+
 def test_daily_statistics_and_history(spark):
     rows = line(spark, [100.0, 102.0, 104.0, 110.0, 90.0, 95.0], step=43200)
     daily = longterm.daily_statistics(rows).orderBy("day").collect()
