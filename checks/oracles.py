@@ -969,6 +969,29 @@ add(
     "fit as (select * from (select *, row_number() over (partition by head order by nll, temperature) as rn from seen) where rn = 1)",
     select=f"select tp.head, {r6(BRIER)} as brier_score from tp join fit on fit.head = tp.head and fit.temperature = tp.t where sample_idx % 2 = 1 group by tp.head",
 )
+# the min-max form of the isotonic fit: at each point the greatest, over starts before it, of the least mean up to an end behind it
+ISOTONIC = FLAT + [
+    "pts as (select head, class, p, cast(sum(hit) as bigint) as s, count(*) as n from flat where sample_idx % 2 = 0 group by 1, 2, 3)",
+    "acc as (select *, row_number() over w as i, sum(s) over w as cs, sum(n) over w as cn from pts window w as (partition by head, class order by p))",
+    """means as (select a.head, a.class, a.i as a, b.i as b, (b.cs - a.cs + a.s)::double / (b.cn - a.cn + a.n)::double as m
+        from acc a join acc b on a.head = b.head and a.class = b.class and a.i <= b.i)""",
+    "least as (select head, class, a, b as i, min(m) over (partition by head, class, a order by b desc) as lo from means)",
+    "knots as (select acc.head, acc.class, acc.p, max(lo) as v from least join acc on acc.head = least.head and acc.class = least.class and acc.i = least.i group by 1, 2, 3)",
+    "asked as (select distinct head, class, p from flat where sample_idx % 2 = 1)",
+    "below as (select q.*, t.p as p0, t.v as v0 from asked q asof left join knots t on q.head = t.head and q.class = t.class and q.p >= t.p)",
+    "both_sides as (select q.*, t.p as p1, t.v as v1 from below q asof left join knots t on q.head = t.head and q.class = t.class and q.p <= t.p)",
+    "iso as (select head, class, p, case when v0 is null then v1 when v1 is null or p0 = p1 then v0 else v0 + (v1 - v0) * ((p - p0) / (p1 - p0)) end as v from both_sides)",
+]
+add("l17_isotonic_values", PREDS, ISOTONIC, select=f"select head, class, {r6('p')} as p, {r6('v')} as value from iso")
+add(
+    "l17_isotonic",
+    PREDS,
+    ISOTONIC,
+    "total as (select sample_idx, flat.head, sum(v) as t from flat join iso using (head, class, p) where sample_idx % 2 = 1 group by 1, 2)",
+    f"cal as (select flat.sample_idx, flat.head, hit, case when t > 0 then v / t else 1e0 / {K} end as q from flat join iso using (head, class, p) join total on total.sample_idx = flat.sample_idx and total.head = flat.head)",
+    "err as (select sample_idx, head, sum(pow(q - hit, 2)) as e from cal group by 1, 2)",
+    select=f"select head, {r6('avg(e)')} as brier_score from err group by head",
+)
 add(
     "l18_band_metrics",
     PREDS,

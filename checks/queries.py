@@ -21,7 +21,7 @@ from checks.adapters import (
 )
 from depthframe.functions.moves import magnitude_bin, one_hot
 from depthframe.functions.quotes import FEATURES, FLAGS, any_severe, anomaly_type, quality_flags, spread_pct
-from depthframe.operators import align, depth, diagnostics, evaluation, features, labels, longterm, ml, splits, timeline
+from depthframe.operators import align, calibration, depth, diagnostics, evaluation, features, labels, longterm, ml, splits, timeline
 from depthframe.operators.snapshot import snapshots, top_of_book
 from depthframe.operators.window import block_window, epoch_micros, epoch_seconds, halo
 from depthframe.params import BookParams, ProfileParams
@@ -1105,10 +1105,18 @@ def l16_temperature_scaling(spark, sf):
     return rounded(evaluation.brier(evaluation.apply_temperature(preds.where("sample_idx % 2 = 1"), fitted)), "brier_score")
 
 
+@query
+def l17_isotonic_values(spark, sf):
+    preds = stage(predictions(spark, sf), "predictions")
+    blocks = calibration.isotonic_blocks(preds.where("sample_idx % 2 = 0"))
+    wanted = calibration.class_rows(preds.where("sample_idx % 2 = 1")).select("head", "class", "p")
+    return rounded(calibration.isotonic_values(blocks, wanted), "p", "value")
+
+
 @query
 def l17_isotonic(spark, sf):
     preds = stage(predictions(spark, sf), "predictions")
-    fitted = ml.isotonic_calibrate(preds.where("sample_idx % 2 = 0"), preds.where("sample_idx % 2 = 1"), K)
+    fitted = calibration.isotonic_calibrate(preds.where("sample_idx % 2 = 0"), preds.where("sample_idx % 2 = 1"), K)
     return rounded(evaluation.brier(fitted), "brier_score")
 
 

@@ -15,7 +15,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,31 +154,3 @@ def search(
     pick = (max if direction == "maximize" else min)(scored_trials, key=lambda r: r[2])[0] if scored_trials else None
     rows = [(t, s, v, t == pick) for t, s, v in results]
     return samples.sparkSession.createDataFrame(rows, "trial int, params map<string,double>, value double, best boolean")
-
-
-def isotonic_calibrate(holdout: DataFrame, rows: DataFrame, num_classes: int, steps: int = 10_000) -> DataFrame:
-    """Per head and class: isotonic fit of hit on probability, then renormalised probabilities.
-
-    Spark's estimator gathers its pooled points on the driver, so the hold-out is
-    first averaged over ``steps`` equal steps of the probability: at most steps + 1
-    weighted points per fit, whatever the size of the hold-out.
-    """
-    out = None
-    for head in HEADS:
-        part = rows.where(F.col("head") == head)
-        seen = holdout.where(F.col("head") == head)
-        for k in range(num_classes):
-            p, hit = F.col("probs")[k], (F.col("y_true") == k).cast("double")
-            points = seen.groupBy(F.floor(p * steps).alias("step")).agg(
-                F.avg(p).alias("p"), F.avg(hit).alias("hit"), F.count("*").cast("double").alias("w")
-            )
-            model = IsotonicRegression(featuresCol="p", labelCol="hit", weightCol="w", predictionCol=f"_c{k}").fit(points)
-            part = model.transform(part.withColumn("p", F.col("probs")[k])).drop("p")
-        total = F.lit(0.0)
-        for k in range(num_classes):
-            total = total + F.col(f"_c{k}")
-        fitted = F.array(*[F.col(f"_c{k}") / total for k in range(num_classes)])
-        flat = F.array(*[F.lit(1.0 / num_classes)] * num_classes)
-        part = part.select(*[c for c in rows.columns if c != "probs"], F.when(total > 0, fitted).otherwise(flat).alias("probs"))
-        out = part if out is None else out.unionByName(part)
-    return out

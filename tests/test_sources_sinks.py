@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from depthframe.operators import diagnostics, evaluation, features, labels, ml, splits
+from depthframe.operators import calibration, diagnostics, evaluation, features, labels, ml, splits
 from depthframe.params import ProfileParams
 from depthframe.session import stage, stage_dir
 from depthframe.sources import readers, writers
@@ -137,7 +137,7 @@ def test_two_head_model_contract(spark):
     models = ml.fit_two_head(rows.where("split = 'train'"), ml.WINDOW_FEATURES, p.num_classes, maxIter=5)
     scored = ml.predict_two_head(models, rows.where("split = 'test'"), p.num_classes)
     evaluation.check_shapes(scored, p.num_classes, 10)
-    calibrated = ml.isotonic_calibrate(scored, scored, p.num_classes)
+    calibrated = calibration.isotonic_calibrate(scored, scored, p.num_classes)
     assert calibrated.where(F.abs(F.aggregate("probs", F.lit(0.0), lambda a, b: a + b) - 1) > 1e-9).count() == 0
 
 
