@@ -9,7 +9,7 @@ lines in them occur. Each document that holds a key is paired with the first doc
 (by doc_id) that holds it, never with all others: the pairs are linear in the lines, whatever
 the number of copies. Both line lists are aligned: lines unique on both sides are anchors, the
 heaviest increasing sequence of anchors (by words) is kept and grown over equal neighbours, and
-the rest is aligned again until no common line is left. Aligned common blocks that have at least
+the rest is aligned again, from the 17th round on without regard to order, until no common line is left. Aligned common blocks that have at least
 ``min_words`` words together with the equal words on both sides are deleted from the later document;
 the lines that the passage only begins or ends in stay. The first holder of a passage keeps it.
 
@@ -25,7 +25,7 @@ white space at their ends and blank lines never hold a passage; extra columns st
 from __future__ import annotations
 
 from collections import defaultdict
-from itertools import accumulate
+from itertools import accumulate, count, cycle
 from zlib import crc32
 
 import numpy as np
@@ -38,6 +38,7 @@ from depthframe.llm.common import Scratch, _powers, arrow_schema, lists, mix, re
 from depthframe.llm.suffix_lm import _bit_map
 
 MIN_WORDS = 50
+ROUNDS = 16
 
 
 def line_digest(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -94,13 +95,16 @@ def equal_words(a: list[int], i: int, j: int, b: list[int], k: int, m: int, limi
 def aligned_blocks(later: list[int], words: list[int], first: list[int], min_words: int, around=None) -> list[tuple[int, int]]:
     """Ranges [lo, hi) of lines of ``later`` in aligned common blocks with at least ``min_words`` words.
 
-    ``around`` gives the equal words beside lines [lo, hi) of ``later`` and [at, to) of ``first``."""
+    ``around`` gives the equal words beside lines [lo, hi) of ``later`` and [at, to) of ``first``. After ``ROUNDS``
+    increasing chains every line that is left takes its place in ``first`` and is grown, in order, so documents with
+    their lines in any order take a bounded number of passes. A line that is unique in ``first`` has one place, so for such
+    lines this is what more rounds would find; a repeated line takes its places in turn."""
     match: dict[int, int] = {}  # line of later -> line of first
     left = [i for i, w in enumerate(words) if w]
     places: dict[int, list[int]] = defaultdict(list)
     for j, h in enumerate(first):
         places[h].append(j)
-    while True:
+    for turn in count():
         at: dict[int, list[int]] = defaultdict(list)
         for i in left:
             if later[i] in places:
@@ -108,8 +112,8 @@ def aligned_blocks(later: list[int], words: list[int], first: list[int], min_wor
         if not at:
             break
         unique = [(x[0], places[h][0]) for h, x in at.items() if len(x) == 1 and len(places[h]) == 1]
-        anchors = unique or [(i, j) for h, x in at.items() for i, j in zip(x, places[h])]
-        chain = _heaviest(sorted(anchors), words)
+        anchors = unique or [(i, j) for h, x in at.items() for i, j in zip(x, places[h] if turn < ROUNDS else cycle(places[h]))]
+        chain = _heaviest(sorted(anchors), words) if turn < ROUNDS else sorted(anchors)
         for i, j in chain:
             for step in (1, -1):
                 a, b = (i, j) if step == 1 else (i - 1, j - 1)

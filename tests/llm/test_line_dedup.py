@@ -1,3 +1,6 @@
+import random
+import time
+
 from depthframe.llm import line_dedup as d
 from tests.llm.fixtures import docs, prose
 
@@ -43,6 +46,30 @@ def test_crossing_blocks_and_repeats():
     assert blocks == [(0, 2), (4, 5), (5, 6)]
 
 
+def test_alignment_of_lines_in_any_order_takes_bounded_work():
+    n = 20_000
+    lines = list(range(2, n + 2))
+    start = time.monotonic()
+    assert d.aligned_blocks(lines[::-1], [60] * n, lines, 50) == [(k, k + 1) for k in range(n)]  # each line by itself is a passage
+    assert d.aligned_blocks(lines[::-1], [20] * n, lines, 50) == []
+    shuffled = lines[:]
+    random.Random(4).shuffle(shuffled)
+    assert len(d.aligned_blocks(shuffled, [60] * n, lines, 50)) == sum(b != a + 1 for a, b in zip([0, *shuffled], shuffled))
+    assert d.aligned_blocks([7] * n, [60] * n, [7, 8], 50) == [(k, k + 1) for k in range(n)]  # one line of the earlier document, many times
+    assert time.monotonic() - start < 40
+
+
+def test_late_rounds_find_what_early_rounds_find(monkeypatch):
+    rng = random.Random(6)
+    for _ in range(40):
+        first = rng.sample(range(2, 200), 60)
+        later = [x for k in rng.sample(range(0, 60, 3), 12) for x in first[k : k + 3]] + rng.sample(range(300, 330), 8)
+        monkeypatch.setattr(d, "ROUNDS", 10**9)
+        whole = d.aligned_blocks(later, [20] * len(later), first, 50)
+        monkeypatch.setattr(d, "ROUNDS", 0)
+        assert d.aligned_blocks(later, [20] * len(later), first, 50) == whole
+
+
 def test_every_shared_run_is_found(spark):
     # brute force: a line of 50 words or more that an earlier document holds must go
     rows = [(k, "\n".join(prose(1000 + (k * 7 + j * 3) % 11, 55) for j in range(4))) for k in range(30)]
