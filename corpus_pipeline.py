@@ -33,10 +33,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = line_dedup.drop_passages(docs.withColumnRenamed("n_chars", "__before"))
+    own = {c: f"__own_{c}" for c in docs.columns if c in ("n_chars", "n_lines", "n_gone")}
+    cut = line_dedup.drop_passages(docs.withColumnsRenamed(own))
     emptied = (F.col("n_gone") > 0) & (F.trim(F.translate("text", "\n\t\r", "   ")) == "")
-    size = F.when(F.col("n_gone") > 0, F.length("text").cast("long")).otherwise(F.col("__before"))
-    return cut.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", size).select(docs.columns)
+    size = F.when(F.col("n_gone") > 0, F.length("text").cast("long")).otherwise(F.col("__own_n_chars"))
+    kept = cut.filter(~F.coalesce(emptied, F.lit(False)))
+    return kept.select(*[size.alias(c) if c == "n_chars" else F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
