@@ -56,3 +56,13 @@ def test_empty_table_through_all_stages(spark):
         held = scratch.stage(stage(spark, held, SF), name)
         assert held.count() == 0
     assert held.columns[-2:] == ["ids", "round_trip"]
+
+
+def test_own_counts_come_through_the_line_stage(spark):
+    passage = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, passage, 1, "mine"), (2, f"own words\n{passage}", 2, "other"), (3, passage, 3, "gone"), (4, None, 0, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_gone int, n_lines string").selectExpr("*", "cast(length(text) as long) as n_chars")
+    out = corpus_pipeline.line_stage(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id, r.text, r.n_gone, r.n_lines, r.n_chars) for r in out.collect())
+    assert got == [(1, passage, 1, "mine", len(passage)), (2, "own words", 2, "other", 9), (4, None, 0, None, None)]
