@@ -1002,6 +1002,38 @@ add(
     select=f"select band, head, {cols6('accuracy')}, n, {cols6(*MACRO)} from acc join mac using (band, head)",
 )
 
+# ---- M ----------------------------------------------------------------------
+
+SPAN = SOURCES["e"][1].window_steps
+IMBALANCE = "coalesce(case when bid_quantity + ask_quantity <> 0 then (bid_quantity - ask_quantity) / (bid_quantity + ask_quantity) end, 0e0)"
+add(
+    "m1_window_summary",
+    line("e"),
+    f"""sm as (select asset, snap_idx, mid / first_value(mid) over w - 1e0 as mid_change, (max(mid) over w - min(mid) over w) / mid * 100e0 as range_pct,
+        avg((ask_price - bid_price) / mid * 100e0) over w as mean_spread_pct, avg({IMBALANCE}) over w as mean_imbalance, {IMBALANCE} as last_imbalance
+        from line window w as (partition by asset order by snap_idx rows between {SPAN - 1} preceding and current row))""",
+    select=f"select asset, snap_idx, {cols6('mid_change', 'range_pct', 'mean_spread_pct', 'mean_imbalance', 'last_imbalance')} from sm where snap_idx >= {SPAN - 1}",
+)
+add(
+    "m1_training_weights",
+    samples("l"),
+    AGES,
+    "tr as (select * from samples where split = 'train')",
+    "sized_tr as (select asset, count(*)::double as whole from tr group by 1)",
+    *[f"of_{h} as (select asset, label_{h}, whole / (4 * count(*))::double as cw from tr join sized_tr using (asset) group by asset, label_{h}, whole)" for h in ("up", "down")],
+    f"aged as (select samples.*, ({' + '.join(DECAY.values())}) / 3e0 as decay from samples join starts using (asset))",
+    select="select a.asset, a.sample_idx, " + ", ".join(f"{r6(f'coalesce(of_{h}.cw, 0e0) * decay')} as weight_{h}" for h in ("up", "down"))
+    + " from aged a" + "".join(f" left join of_{h} on of_{h}.asset = a.asset and of_{h}.label_{h} = a.label_{h}" for h in ("up", "down")),
+)
+add(
+    "m1_weighted_heads",
+    samples("e"),
+    select=" union all ".join(
+        f"select '{h}' as head, count(*) as n, sum(label_{h})::bigint as label_total, cast(count(*) as double) as probability_total, 0::bigint as outside from samples where split = 'test'"
+        for h in ("up", "down")
+    ),
+)
+
 # ---- N ----------------------------------------------------------------------
 
 DAY = "date_trunc('day', ts)::timestamp"

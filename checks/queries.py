@@ -1150,6 +1150,31 @@ def m1_two_head(spark, sf):
     return rounded(evaluation.accuracy(scored), "accuracy")
 
 
+@query
+def m1_window_summary(spark, sf):
+    return rounded(ml.window_summary(e_line(spark, sf), EVENT_PARAMS), *ml.WINDOW_FEATURES)
+
+
+HALF_LIVES = {"weight_7": 7.0, "weight_30": 30.0, "weight_90": 90.0}
+
+
+@query
+def m1_training_weights(spark, sf):
+    rows = stage(l_samples(spark, sf), "samples")
+    out = ml.training_weights(rows, K, HALF_LIVES, LINEITEM_ASSETS)
+    return rounded(out.select("asset", "sample_idx", "weight_up", "weight_down"), "weight_up", "weight_down")
+
+
+@query
+def m1_weighted_heads(spark, sf):
+    rows = stage(ml.training_weights(model_rows(spark, sf), K, HALF_LIVES, EVENT_ASSETS), "training")
+    models = ml.fit_two_head(rows.where(F.col("split") == "train"), ml.WINDOW_FEATURES, K, weighted=True, maxIter=15)
+    scored = ml.predict_two_head(models, rows.where(F.col("split") == "test"), K)
+    total = F.sum(F.aggregate("probs", F.lit(0.0), lambda a, p: a + p))
+    outside = F.count_if(F.exists("probs", lambda p: (p < 0) | (p > 1) | F.isnan(p)))
+    return scored.groupBy("head").agg(F.count("*").alias("n"), F.sum("y_true").alias("label_total"), F.round(total, 6).alias("probability_total"), outside.alias("outside"))
+
+
 @query
 def m2_search(spark, sf):
     rows = splits.expanding_folds(stage(model_rows(spark, sf), "training"), 12, 6, 2, EVENT_ASSETS)

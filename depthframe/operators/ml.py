@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from depthframe.operators.evaluation import HEADS, accuracy, brier
 from depthframe.operators.features import quote_features
+from depthframe.operators.labels import class_weights, with_class_weight
+from depthframe.operators.splits import decay_weights
 from depthframe.operators.window import block_window, halo, run_extremes
 from depthframe.params import BookParams
 from depthframe.session import stage
@@ -57,6 +59,20 @@ def window_summary(line: DataFrame, p: BookParams) -> DataFrame:
     return full.select("asset", "snap_idx", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in WINDOW_FEATURES])
 
 
+def training_weights(samples: DataFrame, num_classes: int, half_lives: Mapping[str, float], assets: Sequence[str] | None) -> DataFrame:
+    """``samples`` with weight_up and weight_down: balanced class weight of the head's label times the mean age decay.
+
+    Class shares come from the rows with split 'train'; a label that none of them has gets weight 0. Ages count from the newest row of the asset.
+    """
+    aged = decay_weights(samples, half_lives, assets).drop(*half_lives)
+    for head in HEADS:
+        label = f"label_{head}"
+        shares = class_weights(samples.where(F.col("split") == "train"), label, num_classes)
+        aged = with_class_weight(aged, shares, label, num_classes, assets)
+        aged = aged.withColumn(f"weight_{head}", F.coalesce("class_weight", F.lit(0.0)) * F.col("weight_mean")).drop("class_weight")
+    return aged.select(*samples.columns, *[f"weight_{head}" for head in HEADS])
+
+
 def _estimator(kind: str, label: str, num_features: int, num_classes: int, settings: Mapping[str, Any]):
     if kind == "logistic":
         return LogisticRegression(featuresCol="scaled", labelCol=label, probabilityCol=f"probability_{label}", rawPredictionCol=f"raw_{label}", predictionCol=f"prediction_{label}", family="multinomial", **settings)
@@ -68,14 +84,21 @@ def _estimator(kind: str, label: str, num_features: int, num_classes: int, setti
 
 
 def fit_two_head(
-    train: DataFrame, features: Sequence[str], num_classes: int, kind: str = "logistic", **settings: Any
+    train: DataFrame, features: Sequence[str], num_classes: int, kind: str = "logistic", weighted: bool = False, **settings: Any
 ) -> dict[str, PipelineModel]:
-    """One fitted model per head from a staged training table."""
+    """One fitted model per head from a staged training table.
+
+    With ``weighted`` a row counts with its weight_up or weight_down (``training_weights``); the perceptron takes no weights.
+    """
+    if weighted and kind == "perceptron":
+        raise ValueError("the perceptron takes no weights")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
     models = {}
     for head in HEADS:
         estimator = _estimator(kind, f"label_{head}", len(features), num_classes, settings)
+        if weighted:
+            estimator = estimator.setWeightCol(f"weight_{head}")
         models[head] = Pipeline(stages=[assembler, scaler, estimator]).fit(train)
     return models
 

@@ -141,6 +141,21 @@ def test_two_head_model_contract(spark):
     assert calibrated.where(F.abs(F.aggregate("probs", F.lit(0.0), lambda a, b: a + b) - 1) > 1e-9).count() == 0
 
 
+def test_weights_decide_a_fit(spark):
+    rows = [("x", i, i % 2, float(i % 2 == 0 or i > 20), "train", at(86400 * i)) for i in range(40)] + [("x", 40, 3, 0.0, "test", at(86400 * 40))]
+    samples = spark.createDataFrame(rows, "asset string, sample_idx int, label_up int, f double, split string, ts timestamp_ntz").withColumn("label_down", F.col("label_up"))
+    weighted = ml.training_weights(samples, 4, {"a": 10.0, "b": 20.0}, ("x",))
+    assert weighted.columns == [*samples.columns, "weight_up", "weight_down"]
+    got = {r.sample_idx: r.weight_up for r in weighted.collect()}
+    assert got[40] == 0.0  # a class that no training row has
+    assert got[0] == pytest.approx(0.5 * (0.5**4 + 0.5**2) / 2) and got[39] == pytest.approx(0.5 * (0.5**0.1 + 0.5**0.05) / 2)
+    heavy = weighted.withColumns({f"weight_{h}": F.when(F.col("label_up") == 1, 100.0).otherwise(0.01) for h in ("up", "down")})
+    models = ml.fit_two_head(heavy.where("split = 'train'"), ["f"], 4, weighted=True, maxIter=10)
+    assert {max(range(4), key=lambda k: r.probs[k]) for r in ml.predict_two_head(models, heavy, 4).collect()} == {1}
+    with pytest.raises(ValueError):
+        ml.fit_two_head(heavy, ["f"], 4, "perceptron", weighted=True)
+
+
 def test_search_marks_one_best_trial(spark):
     p = params()
     l = line(spark, [100.0 + 8 * ((i // 9) % 2) + i % 5 for i in range(200)], step=21600)
