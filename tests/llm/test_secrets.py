@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -34,6 +35,17 @@ def test_base_spans_equal_the_patterns(spark):
     assert got == sorted((str(i), brute(t)) for i, t in rows)
 
 
+def test_query_counts_each_kind_and_hashes_all_base_spans(spark, tmp_path):
+    hexes = " ".join(f"{i:032x}" for i in range(40))
+    rows = list(enumerate([*CASES, hexes, f"{hexes} AKIA{'B2' * 9} token=abcdef secret=abcdefg", "1234567890" * 3, "AKIA" + "C" * 16 + " AKIA" + "D" * 16]))
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secrets.op7_secrets(spark, str(tmp_path)).collect()}
+    for i, text in rows:
+        base = brute(text)
+        written = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in base)
+        assert got[i] == (*(sum(k == kind for _, k, _ in base) for kind in range(3)), hashlib.sha256(written.encode()).hexdigest())
+
+
 def test_battery_accepts_random_and_rejects_text():
     runs = [TOKEN(40) for _ in range(300)]
     _, p = secrets.battery(runs)
