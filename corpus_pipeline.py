@@ -54,9 +54,7 @@ def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     model = pieces.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     own = [c for c in docs.columns if c not in ("ids", "round_trip")]
-    encoded = pieces.encode(docs.select(own), model)
-    same = pieces.decode_column(spark, model) == F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")
-    return encoded.select(*own, "ids", same.alias("round_trip"))
+    return pieces.encode(docs.select(own), model, round_trip="round_trip").select(*own, "ids", "round_trip")
 
 
 STAGES = [

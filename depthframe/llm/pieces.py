@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from depthframe.llm.common import Scratch, arrow_schema, lists, record, slices
 
@@ -325,8 +325,12 @@ def _numbers(pieces: Pieces, names: dict[str, int], unit: str, cuts: list[int])
     return out
 
 
-def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataFrame:
-    """``docs`` plus ids, the piece numbers of its text; a column ids of ``docs`` is replaced."""
+def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS, round_trip: str | None = None) -> DataFrame:
+    """``docs`` plus ids, the piece numbers of its text; a column ids of ``docs`` is replaced.
+
+    ``round_trip`` names a further column: whether the piece numbers decode to the text again. They are
+    decoded where they are made, so a task holds one Python worker, not two.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark, "pieces")
     splitter, pairs = pieces.splitter(), pieces.neighbours()
@@ -359,16 +363,18 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataF
         press = zstandard.ZstdCompressor(level=3).compress
         return pa.array([None if t is None else press(t.encode("utf-8")) for t in texts.to_pylist()], pa.binary())
 
-    kept = [f for f in docs.schema.fields if f.name != "ids"]
-    out = StructType([*kept, StructField("ids", ArrayType(IntegerType()))])
+    kept = [f for f in docs.schema.fields if f.name not in ("ids", round_trip)]
+    flag = [StructField(round_trip, BooleanType())] if round_trip else []
+    out = StructType([*kept, StructField("ids", ArrayType(IntegerType())), *flag])
     opened = to_arrow_schema(out)
     at, kind = [f.name for f in kept].index("text"), pieces.packed
 
     def numbers(batches):
         known, open_ = shared.value, zstandard.ZstdDecompressor().decompress
+        decode = _decoder(pieces) if flag else None
         for part in slices(batches, at):
             texts = [None if blob is None else open_(blob).decode("utf-8") for blob in part.column(at).to_pylist()]
-            values, counts = [], []
+            values, counts, same = [], [], []
             for text, extra in zip(texts, part.column(part.num_columns - 1)):
                 own = units(text, splitter, pairs)
                 codes = list(map(known.get, own))
@@ -378,32 +384,36 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS) -> DataF
                 joined = b"".join(codes)
                 values.append(joined)
                 counts.append(len(joined) // kind.itemsize)
+                if flag:
+                    same.append(decode(np.frombuffer(joined, dtype=kind)) == (text or "").replace(MARK, " "))
             ids = lists(np.frombuffer(b"".join(values), dtype=kind).astype(np.int32), counts, pa.int32())
             columns = [pa.array(texts, pa.string()) if i == at else part.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(columns, opened)), ids.cast(opened.field("ids").type)], schema=opened)
+            flags = [pa.array(same, pa.bool_())] if flag else []
+            yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(columns, opened)), ids.cast(opened.field("ids").type), *flags], schema=opened)
 
     narrow = docs.select(*(pack("text").alias("text") if f.name == "text" else F.col(f"`{f.name}`") for f in kept), F.xxhash64("text").alias("__th"))
     return narrow.join(fetched, "__th", "left").drop("__th").mapInArrow(numbers, out)
 
 
+def _decoder(pieces: Pieces):
+    """A function from an array of piece numbers to their text."""
+    size = max([*pieces.ids, *pieces.byte_ids, pieces.unknown]) + 1
+    raw = np.full(size, b" \xe2\x81\x87 ", dtype=object)
+    for name, i in zip(pieces.names, pieces.ids):
+        raw[i] = name.replace(MARK, " ").encode("utf-8")
+    for b, i in enumerate(pieces.byte_ids):
+        raw[i] = bytes([b])
+    return lambda ids: b"".join(raw[ids].tolist()).removeprefix(b" ").decode("utf-8", "replace")
+
+
 def decode_column(spark: SparkSession, pieces: Pieces, ids: str = "ids") -> F.Column:
     """The text of an array of piece numbers."""
     shared = spark.sparkContext.broadcast(pieces)
 
     @F.arrow_udf("string")
     def text(column: pa.Array) -> pa.Array:
-        pieces = shared.value
-        size = max([*pieces.ids, *pieces.byte_ids, pieces.unknown]) + 1
-        raw = np.full(size, b" \xe2\x81\x87 ", dtype=object)
-        for name, i in zip(pieces.names, pieces.ids):
-            raw[i] = name.replace(MARK, " ").encode("utf-8")
-        for b, i in enumerate(pieces.byte_ids):
-            raw[i] = bytes([b])
-        out = []
-        for one in column:
-            joined = b"".join(raw[one.values.to_numpy()].tolist()) if one.is_valid and len(one.values) else b""
-            out.append(joined.removeprefix(b" ").decode("utf-8", "replace"))
-        return pa.array(out, pa.string())
+        decode = _decoder(shared.value)
+        return pa.array([decode(one.values.to_numpy()) if one.is_valid and len(one.values) else "" for one in column], pa.string())
 
     return text(F.col(ids))
 
@@ -413,10 +423,9 @@ def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:
 
     pieces = read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    encoded = encode(docs, pieces).withColumn("decoded", decode_column(spark, pieces))
-    return encoded.select(
+    return encode(docs, pieces, round_trip="round_trip").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), MARK, " ")).alias("round_trip"),
+        "round_trip",
     )

@@ -25,6 +25,19 @@ def test_equals_the_library_and_goes_back(spark):
             assert r.back == (r.text or "").replace("▁", " ")
 
 
+def test_round_trip_is_told_by_the_encoding_pass(spark, tmp_path):
+    table = pieces.read_pieces(PATH)
+    frame = docs(spark, list(enumerate(TEXTS)), extra=True).withColumn("same", F.lit("replaced"))
+    out = pieces.encode(frame, table, hot_units=5, round_trip="same")
+    assert out.columns[-2:] == ["ids", "same"] and all(r.same is True for r in out.collect())
+    bare = pieces.Pieces(("a", "b", "ab", "▁"), (0, 1, 2, 3), (-2.0, -3.0, -1.0, -4.0), (), 9, True)
+    told = {r.text: r.same for r in pieces.encode(docs(spark, list(enumerate(["ab a", "ab x", None]))), bare, round_trip="same").collect()}
+    assert told == {"ab a": True, "ab x": False, None: True}
+    docs(spark, list(enumerate(TEXTS))).write.parquet(f"{tmp_path}/documents.parquet")
+    plan = pieces.op8_sentencepiece(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") <= 1  # texts are packed; nothing is decoded by a second worker of a task
+
+
 def test_no_piece_spans_a_cut():
     table = pieces.read_pieces(PATH)
     splitter = table.splitter()
