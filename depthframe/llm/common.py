@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 SCAN_BYTES = 1 << 18
 SLICE_BYTES = 1 << 22
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 # ---------------------------------------------------------------- staging
@@ -29,10 +30,12 @@ class Scratch:
     """One folder for the staged tables of one operator call.
 
     It lies in ``spark.checkpoint.dir``, which all executors share. Only a local-mode
-    session that leaves the setting unset gets a folder of its own.
+    session that leaves the setting unset gets a folder of its own. With ``batch_bytes`` the Arrow
+    batches that Python workers get while a table is staged hold about as many bytes; Spark's own bound lets a
+    whole task's texts through at once, held by the executor and by the worker.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, batch_bytes: int | None = None):
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             if not spark.sparkContext.master.startswith("local["):
@@ -43,6 +46,9 @@ class Scratch:
         self.spark = spark
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
+        self.settings = {CLEANUP: "true"}  # nothing reads the shuffle files of a finished table
+        if batch_bytes:
+            self.settings[BATCH_BYTES] = str(batch_bytes)
         _ROOTS.setdefault(spark.sparkContext.applicationId, []).append(self.root)
 
     def stage(self, df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
@@ -55,12 +61,14 @@ class Scratch:
         if narrow:
             df = df.coalesce(max(12, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 16))
         path = f"{self.root}/{self.n:03d}-{name}"
-        before = self.spark.conf.get(CLEANUP, None)
-        self.spark.conf.set(CLEANUP, "true")  # nothing reads the shuffle files of a finished table
+        before = {key: self.spark.conf.get(key, None) for key in self.settings}
+        for key, value in self.settings.items():
+            self.spark.conf.set(key, value)
         try:
             df.write.option("compression", "zstd").parquet(path)
         finally:
-            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
+            for key, value in before.items():
+                self.spark.conf.unset(key) if value is None else self.spark.conf.set(key, value)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._staged_at = path
         return out

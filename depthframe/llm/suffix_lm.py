@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depthframe.llm.common import SPACED, Scratch, arrow_schema, lists, mix, record, signed, slices, word_hashes
+from depthframe.llm.common import SLICE_BYTES, SPACED, Scratch, arrow_schema, lists, mix, record, signed, slices, word_hashes
 
 ADD = 0.1
 DISCOUNT = 0.5
@@ -47,7 +47,10 @@ END = np.uint64(0x5E4D5E4D5E4D5E4D)
 START = np.uint64(0x3C6F3C6F3C6F3C6F)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 MAP_BITS = 28
-FLUSH = 1 << 20
+MAP_PART = 1 << 20
+FLUSH = 1 << 20  # keys with one number beside them; fewer of those with more
+HANDED = 1 << 16
+COUNT_BYTES, SCORE_BYTES = 1 << 21, 1 << 20  # of text that a worker holds n-grams of at once
 
 
 class Lookup:
@@ -109,11 +112,13 @@ def _bit_map(keys: DataFrame) -> BitMap:
         part = BitMap(bits)
         for batch in batches:
             part.add(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array([part.held.tobytes()], pa.binary())], names=["held"])
+        for lo in range(0, len(part.held), MAP_PART):
+            yield record({"lo": [lo], "held": [part.held[lo : lo + MAP_PART].tobytes()]}, target)
 
+    target = arrow_schema("lo long, held binary")
     out = BitMap(bits)
-    for row in keys.coalesce(4).mapInArrow(run, "held binary").toLocalIterator():
-        out.held |= np.frombuffer(row.held, dtype=np.uint8)
+    for row in keys.coalesce(4).mapInArrow(run, "lo long, held binary").toLocalIterator():
+        out.held[row.lo : row.lo + MAP_PART] |= np.frombuffer(row.held, dtype=np.uint8)
     return out
 
 
@@ -122,14 +127,15 @@ class Counter:
 
     def __init__(self, names: tuple[str, ...]):
         self.names, self.parts, self.held = names, [], 0
+        self.limit = 2 * FLUSH // (len(names) + 1)
 
     def add(self, columns: tuple[np.ndarray, ...]) -> bool:
         unique, first, count = np.unique(columns[0], return_index=True, return_counts=True)
         self.parts.append((unique, *(c[first] for c in columns[1:]), count))
         self.held += len(unique)
-        if self.held >= 2 * FLUSH:
+        if self.held >= 2 * self.limit:
             self._merge()
-        return self.held >= FLUSH
+        return self.held >= self.limit
 
     def _merge(self) -> None:
         if len(self.parts) > 1:
@@ -150,14 +156,18 @@ def _counted(docs: DataFrame, keys_of, names: tuple[str, ...] = ("k",)) -> DataF
     schema = ", ".join(f"{name} long" for name in (*names, "n"))
     target = arrow_schema(schema)
 
+    def handed(columns):
+        for lo in range(0, len(columns["n"]), HANDED):
+            yield record({name: c[lo : lo + HANDED] for name, c in columns.items()}, target)
+
     def run(batches):
         counter = Counter(names)
-        for part in slices(batches, 0):
-            if counter.add(keys_of(part.column(0))) and counter.held >= FLUSH:
+        for part in slices(batches, 0, COUNT_BYTES):
+            if counter.add(keys_of(part.column(0))):
                 counter._merge()
-                if counter.held >= FLUSH:
-                    yield record(counter.take(), target)
-        yield record(counter.take(), target)
+                if counter.held >= counter.limit:
+                    yield from handed(counter.take())
+        yield from handed(counter.take())
 
     return docs.select("text").mapInArrow(run, schema).groupBy(names[0]).agg(*(F.max(x).alias(x) for x in names[1:]), F.sum("n").alias("n"))
 
@@ -365,7 +375,7 @@ def score(docs: DataFrame, unigrams: DataFrame, model: Model, scratch: Scratch)
         from pyspark import TaskContext
 
         uid = TaskContext.get().partitionId() << 40
-        for part in slices(batches, 2):
+        for part in slices(batches, 2, SCORE_BYTES):
             hashes, counts = _tokens(part.column(2))
             value, unigram, hot, rest = shared.value._parts(hashes, counts)
             starts = np.cumsum(counts) - counts
@@ -417,7 +427,7 @@ def op9_lm_score(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     remainder = F.crc32(F.col("doc_id").cast("string")) % 10
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), "text")
-    scratch = Scratch(spark, "suffix")
+    scratch = Scratch(spark, "suffix", batch_bytes=SLICE_BYTES)
     unigrams, model = train(docs.filter(~F.col("held_out")), scratch)
     return score(docs, unigrams, model, scratch).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
 

@@ -150,3 +150,21 @@ def test_contexts_and_entries_grow_with_the_corpus(spark):
 
     (few, entries_few, t_few), (many, entries_many, t_many) = sizes(40), sizes(600)
     assert many - 1 >= 0.9 * (few - 1) * t_many / t_few and entries_many >= 0.9 * entries_few * t_many / t_few
+
+
+def test_workers_get_texts_in_batches_of_bounded_size(spark):
+    from pyspark.sql import functions as F
+
+    from depthframe.llm.common import BATCH_BYTES, Scratch
+
+    def seen(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], names=["n"])
+
+    texts = spark.range(3000).select(F.repeat(F.lit("words "), 100).alias("text")).coalesce(1).mapInArrow(seen, "n long")
+    before = spark.conf.get(BATCH_BYTES)
+    staged = Scratch(spark, "t", batch_bytes=100_000).stage(texts, "x")
+    assert max(r.n for r in staged.collect()) < 200_000 and sum(r.n for r in staged.collect()) > 1_800_000
+    assert spark.conf.get(BATCH_BYTES) == before
