@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depthframe.llm.common import Scratch, _powers, arrow_schema, lists, mix, record, signed, slices
+from depthframe.llm.common import _VALUES, SCAN_BYTES, Scratch, _powers, arrow_schema, lists, mix, record, signed, slices
 from depthframe.llm.suffix_lm import _bit_map
 
 MIN_WORDS = 50
@@ -49,37 +49,69 @@ def line_digest(text: str) -> tuple[np.ndarray, np.ndarray]:
     return hashes, words
 
 
-def run_keys(hashes: np.ndarray, words: np.ndarray, min_words: int) -> np.ndarray:
-    """Hashes of the shortest run of at least ``min_words`` words from each line with words."""
-    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
-    last = np.searchsorted(total, total[:-1] + min_words)
-    start = np.flatnonzero((last <= len(words)) & (words > 0))
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    up, down = _powers(len(words))
-    rolled = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[: len(hashes)])])
-    return np.unique(mix((rolled[last[start]] - rolled[start]) * down[start] + (last[start] - start).astype(np.uint64)))
-
-
 def word_digest(text: str) -> np.ndarray:
     """Hashes of the words of all lines, as many as ``line_digest`` counts."""
     lines = [line.strip() for line in text.split("\n")]
     return np.fromiter((crc32(w) for x in lines if x for w in x.encode("utf-8", "surrogatepass").split(b" ")), dtype=np.uint32)
 
 
-def edge_keys(hashes: np.ndarray, words: np.ndarray, flat: np.ndarray, min_words: int) -> np.ndarray:
-    """For each line shorter than ``min_words``, hashes of it with half of the missing words before it, and after it."""
-    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
-    line = np.flatnonzero((words > 0) & (words < min_words))
-    half = (min_words - words[line] + 1) // 2
-    up, down = _powers(len(flat) + 1)
-    rolled = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(flat.astype(np.uint64)) * up[: len(flat)])])
-    out = []
-    for side, lo, hi in ((1, total[line] - half, total[line]), (2, total[line + 1], total[line + 1] + half)):
-        fits = (lo >= 0) & (hi <= len(flat))
-        near = (rolled[hi[fits]] - rolled[lo[fits]]) * down[lo[fits]]
-        out.append(mix(mix(near + np.uint64(side)) + hashes[line[fits]]))
-    return np.unique(np.concatenate(out))
+def _rolled(hashes: np.ndarray) -> np.ndarray:
+    """Running sums of hashes times the powers of a step: the difference of two tells the run between them."""
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(len(hashes) + 1)[0][: len(hashes)])])
+
+
+def _run(rolled: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    return mix((rolled[hi] - rolled[lo]) * _powers(len(rolled))[1][lo] + (hi - lo).astype(np.uint64))
+
+
+def _words(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words that end before ``ends``, a few hundred kilobytes at a time."""
+    out, at, lo = [], 0, 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, lo + SCAN_BYTES)))
+        part = ends[at:to] - lo
+        out.append(_run(_rolled(_VALUES[data[lo : ends[to - 1]]]), np.concatenate([[0], part[:-1] + 1]), part))
+        at, lo = to, int(ends[to - 1]) + 1
+    return np.concatenate(out)
+
+
+def passage_keys(texts: list[str], min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of each text, one text after the other, and how many each has.
+
+    They are hashes of the shortest run of at least ``min_words`` words from each line with words and, for each line
+    shorter than ``min_words``, of it with half of the missing words before it, and after it.
+    """
+    own = [[line.strip() for line in text.split("\n")] for text in texts]
+    data = np.frombuffer("".join(f"{line}\n" for lines in own for line in lines).encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    ends = np.flatnonzero((data == 32) | (data == 10))
+    stop = np.flatnonzero(data[ends] == 10) + 1  # the words up to the end of each line, a blank line as one
+    begin = np.concatenate([[0], stop[:-1]])
+    blank = ends[begin] == np.concatenate([[0], ends[stop[:-1] - 1] + 1])
+    blank &= stop - begin == 1
+    inside = np.ones(len(ends), dtype=bool)
+    inside[begin[blank]] = False
+    words = np.where(blank, 0, stop - begin)
+    total = np.concatenate([[0], np.cumsum(words)])
+    flat = _rolled(_words(data, ends)[inside])
+    lines = np.where(blank, np.uint64(1), _run(flat, total[:-1], total[1:]))
+    last_line = np.cumsum([len(x) for x in own])
+    doc = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    to, first, stops = last_line[doc], total[np.append(0, last_line[:-1])][doc], total[last_line][doc]
+    last = np.searchsorted(total, total[:-1] + min_words)
+    start = np.flatnonzero((last <= to) & (words > 0))
+    keys, docs = [_run(_rolled(lines), start, last[start])], [doc[start]]
+    short = np.flatnonzero((words > 0) & (words < min_words))
+    half = (min_words - words[short] + 1) // 2
+    for side, lo, hi in ((1, total[short] - half, total[short]), (2, total[short + 1], total[short + 1] + half)):
+        fits = (lo >= first[short]) & (hi <= stops[short])
+        keys.append(mix(_run(flat, lo[fits], hi[fits]) + np.uint64(side) + lines[short[fits]]))
+        docs.append(doc[short[fits]])
+    key, of = np.concatenate(keys), np.concatenate(docs)
+    order = np.lexsort((key, of))
+    key, of = key[order], of[order]
+    fresh = np.ones(len(key), dtype=bool)
+    fresh[1:] = (key[1:] != key[:-1]) | (of[1:] != of[:-1])
+    return key[fresh], np.bincount(of[fresh], minlength=len(own))
 
 
 def equal_words(a: list[int], i: int, j: int, b: list[int], k: int, m: int, limit: int) -> int:
@@ -188,12 +220,9 @@ def _keys(docs: DataFrame, min_words: int) -> DataFrame:
     target = arrow_schema(schema)
 
     def run(batches):
-        for part in slices(batches, 2):
-            keys = []
-            for text in part.column(2).to_pylist():
-                hashes, words = line_digest(text)
-                keys.append(np.unique(np.concatenate([run_keys(hashes, words, min_words), edge_keys(hashes, words, word_digest(text), min_words)])))
-            yield record({"doc_id": part.column(0), "th": part.column(1), "keys": _many(keys, pa.int64())}, target)
+        for part in slices(batches, 2, SCAN_BYTES):
+            keys, counts = passage_keys(part.column(2).to_pylist(), min_words)
+            yield record({"doc_id": part.column(0), "th": part.column(1), "keys": lists(signed(keys), counts, pa.int64())}, target)
 
     return _named(docs).mapInArrow(run, schema)
 

@@ -99,3 +99,44 @@ def test_passages_that_begin_or_end_inside_a_line(spark):
     out = {r.doc_id: r.text for r in d.drop_passages(docs(spark, rows)).collect()}
     assert [line in out[k] for k in range(1, 7)] == [True, False, False, False, True, True]
     assert all(out[k].split("\n")[0] == rows[k - 1][1].split("\n")[0] for k in out)  # lines that are only partly common stay
+
+
+def test_keys_of_many_texts_at_once():
+    rng = random.Random(8)
+    line = lambda k: " ".join(rng.choice(["", "é", "stone", "light"]) + str(rng.randrange(3)) for _ in range(k)).strip()
+    pool = ["", "  ", "a  b", "　x ", *(line(k) for k in (1, 2, 4, 7, 12, 12))]
+    texts = ["", "\n", *("\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 9))) for _ in range(80))]
+    keys, counts = d.passage_keys(texts, 9)
+    found, want = [], []
+    for text, lo, n in zip(texts, counts.cumsum() - counts, counts):
+        lines = [x.strip() for x in text.split("\n")]
+        words = [x.split(" ") if x else [] for x in lines]
+        own = set()
+        for i, mine in enumerate(words):
+            for j in range(i + 1, len(lines) + 1):
+                if mine and sum(map(len, words[i:j])) >= 9:
+                    own.add(("run", *lines[i:j]))
+                    break
+            if 0 < len(mine) < 9:
+                half = (9 - len(mine) + 1) // 2
+                before, after = sum(words[:i], []), sum(words[i + 1 :], [])
+                own |= {("before", lines[i], *before[-half:])} if len(before) >= half else set()
+                own |= {("after", lines[i], *after[:half])} if len(after) >= half else set()
+        found.append(set(keys[lo : lo + n].tolist()))
+        want.append(own)
+        assert n == len(found[-1])
+    assert [len(x) for x in found] == [len(x) for x in want]
+    assert [[len(a & b) for b in found] for a in found] == [[len(a & b) for b in want] for a in want]
+
+
+def test_keys_cost_less_than_the_digests_of_the_same_texts():
+    texts = ["\n".join(prose(10 * k + j, 12) for j in range(25)) for k in range(200)]
+    d.passage_keys(texts[:2], 50)
+
+    def seconds(work):
+        start = time.process_time()
+        work()
+        return time.process_time() - start
+
+    per_text = min(seconds(lambda: [(d.line_digest(x), d.word_digest(x)) for x in texts]) for _ in range(3))
+    assert min(seconds(lambda: d.passage_keys(texts, 50)) for _ in range(3)) < per_text
