@@ -189,6 +189,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def unmix(h: np.ndarray) -> np.ndarray:
+    """The hashes that ``mix`` spread."""
+    h = (h ^ (h >> np.uint64(31)) ^ (h >> np.uint64(62))) * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+    h = (h ^ (h >> np.uint64(27)) ^ (h >> np.uint64(54))) * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return h ^ (h >> np.uint64(30)) ^ (h >> np.uint64(60))
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts (null counts as empty) and the offset of each, plus the end."""
     texts = texts.cast(pa.large_binary()).fill_null(b"")
@@ -231,7 +238,7 @@ def word_hashes(texts: pa.Array, member: np.ndarray = SPACED, lower: bool = True
         up, down = _powers(len(part))
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[part] * up[: len(part)])])
         hashes.append(mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)))
-        counts += np.bincount(np.searchsorted(offsets, start + lo, side="right") - 1, minlength=len(counts))[: len(counts)]
+        counts += np.diff(np.searchsorted(start, offsets - lo))
     return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), counts
 
 

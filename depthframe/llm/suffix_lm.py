@@ -16,10 +16,12 @@ for an entry, a token's log probability is its base value plus, over the suffixe
 back(c) and the value of the entry (c, x), where either exists: an entry of c is one of its parent too. So
 a document's score is a sum over its n-grams, made by an equi-join of its distinct n-grams with the tables.
 
-Scale: seven passes over the texts to count and one to score; no text is shuffled. Counts are
-combined per task before they are shuffled; only n-grams that reach ``entry_min`` are told their contexts, by a second pass. Only what is broadcast has a bound, and no bound changes a result: n-grams with a
+Scale: four passes over the texts to count and one, in ``SCORE_TURNS`` parts, to score; no text is shuffled. Counts are
+combined per task before they are shuffled, with the context of each n-gram, from which and its hash the last symbol
+follows. Only what is broadcast has a bound, and no bound changes a result: n-grams with a
 share of ``hot_min`` or more are scored where the text is read, and bit maps of at most 2^28 bits keep
-most n-grams that cannot be in a table out of a shuffle, whose exact keys then decide.
+most n-grams that cannot be in a table out of a shuffle, whose exact keys then decide. What a part of the texts
+brings to the join is on disk for that part only.
 
 Defined results: a null or empty text holds only the end token; a null doc_id counts as
 training; equal rows are scored alike, a row each; without training text every token
@@ -29,12 +31,14 @@ has probability 1 in the base. Other columns are not read. Tokens and n-grams ar
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depthframe.llm.common import SLICE_BYTES, SPACED, Scratch, arrow_schema, lists, mix, record, signed, slices, word_hashes
+from depthframe.llm.common import SLICE_BYTES, SPACED, Scratch, arrow_schema, mix, record, signed, slices, unmix, word_hashes
 
 ADD = 0.1
 DISCOUNT = 0.5
@@ -50,7 +54,10 @@ MAP_BITS = 28
 MAP_PART = 1 << 20
 FLUSH = 1 << 20  # keys with one number beside them; fewer of those with more
 HANDED = 1 << 16
+TOKENS_A_RANGE, MIN_RANGES = 1 << 20, 24  # of the texts, for each range of n-grams that are added up at once
 COUNT_BYTES, SCORE_BYTES = 1 << 21, 1 << 20  # of text that a worker holds n-grams of at once
+SCORE_TURNS = 2  # the texts are scored in so many parts, one after the other: the n-grams of one part are on disk at a time
+VALUES_A_TASK = 1 << 20
 
 
 class Lookup:
@@ -92,17 +99,23 @@ class BitMap:
         self.bits = bits
         self.held = np.zeros(1 << (bits - 3), dtype=np.uint8) if held is None else held
 
-    def _place(self, keys: np.ndarray) -> np.ndarray:
-        return mix(keys.astype(np.uint64, copy=False)) >> np.uint64(64 - self.bits)
+    def _places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        spread = mix(keys.astype(np.uint64, copy=False))
+        return spread >> np.uint64(64 - self.bits), (spread * _STEP) >> np.uint64(64 - self.bits)
 
     def add(self, keys: np.ndarray) -> None:
-        at = self._place(keys)
-        np.bitwise_or.at(self.held, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+        for at in self._places(keys):
+            np.bitwise_or.at(self.held, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        at = self._place(keys)
+    def _set(self, at: np.ndarray) -> np.ndarray:
         return (self.held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        first, second = self._places(keys)
+        out = self._set(first)
+        out[out] = self._set(second[out])
+        return out
+
 
 def _bit_map(keys: DataFrame) -> BitMap:
     """A map of the only column of ``keys``, 32 bits or more a key up to 2^MAP_BITS bits."""
@@ -122,6 +135,20 @@ def _bit_map(keys: DataFrame) -> BitMap:
     return out
 
 
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal keys together, and where each key begins in it.
+
+    The keys are sorted by their upper bits with their places in the lower ones; a key between two equal ones with its upper bits
+    leaves them apart, which whoever adds up the counts repairs."""
+    bits = np.uint64(len(keys).bit_length())
+    packed = np.sort(keys >> bits << bits | np.arange(len(keys), dtype=np.uint64))
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    keys = keys[order]
+    fresh = np.ones(len(keys), dtype=bool)
+    fresh[1:] = keys[1:] != keys[:-1]
+    return order, np.flatnonzero(fresh)
+
+
 class Counter:
     """Counts of 64-bit keys (the first of the columns), combined per task; hands out columns when it holds many."""
 
@@ -130,9 +157,9 @@ class Counter:
         self.limit = 2 * FLUSH // (len(names) + 1)
 
     def add(self, columns: tuple[np.ndarray, ...]) -> bool:
-        unique, first, count = np.unique(columns[0], return_index=True, return_counts=True)
-        self.parts.append((unique, *(c[first] for c in columns[1:]), count))
-        self.held += len(unique)
+        order, head = _groups(columns[0])
+        self.parts.append((*(c[order[head]] for c in columns), np.diff(np.append(head, len(order)))))
+        self.held += len(head)
         if self.held >= 2 * self.limit:
             self._merge()
         return self.held >= self.limit
@@ -140,9 +167,9 @@ class Counter:
     def _merge(self) -> None:
         if len(self.parts) > 1:
             *columns, counts = (np.concatenate(c) for c in zip(*self.parts))
-            unique, first, at = np.unique(columns[0], return_index=True, return_inverse=True)
-            self.parts = [(unique, *(c[first] for c in columns[1:]), np.bincount(at, weights=counts).astype(np.int64))]
-            self.held = len(unique)
+            order, head = _groups(columns[0])
+            self.parts = [(*(c[order[head]] for c in columns), np.add.reduceat(counts[order], head) if len(head) else counts)]
+            self.held = len(head)
 
     def take(self) -> dict:
         self._merge()
@@ -151,25 +178,67 @@ class Counter:
         return {**{name: signed(c.astype(np.uint64)) for name, c in zip(self.names, columns)}, "n": counts.astype(np.int64)}
 
 
-def _counted(docs: DataFrame, keys_of, names: tuple[str, ...] = ("k",)) -> DataFrame:
-    """``names`` and n: how often each key occurs; ``keys_of`` gives the keys of a column of texts and what goes with them."""
-    schema = ", ".join(f"{name} long" for name in (*names, "n"))
-    target = arrow_schema(schema)
+def _taken(batches, keys_of, names: tuple[str, ...]):
+    """Columns of a task's keys and how often they occur, many at a time; ``keys_of`` gives the keys of a column of texts and what goes with them."""
+    counter = Counter(names)
+    for part in slices(batches, 0, COUNT_BYTES):
+        if counter.add(keys_of(part.column(0))):
+            counter._merge()
+            if counter.held >= counter.limit:
+                yield counter.take()
+    yield counter.take()
 
-    def handed(columns):
-        for lo in range(0, len(columns["n"]), HANDED):
-            yield record({name: c[lo : lo + HANDED] for name, c in columns.items()}, target)
+
+def _counted(docs: DataFrame, keys_of) -> DataFrame:
+    """k and n: how often each key occurs."""
+    schema = "k long, n long"
+    target = arrow_schema(schema)
 
     def run(batches):
-        counter = Counter(names)
-        for part in slices(batches, 0, COUNT_BYTES):
-            if counter.add(keys_of(part.column(0))):
-                counter._merge()
-                if counter.held >= counter.limit:
-                    yield from handed(counter.take())
-        yield from handed(counter.take())
+        for columns in _taken(batches, keys_of, ("k",)):
+            for lo in range(0, len(columns["n"]), HANDED):
+                yield record({name: c[lo : lo + HANDED] for name, c in columns.items()}, target)
+
+    return docs.select("text").mapInArrow(run, schema).groupBy("k").agg(F.sum("n").alias("n"))
 
-    return docs.select("text").mapInArrow(run, schema).groupBy(names[0]).agg(*(F.max(x).alias(x) for x in names[1:]), F.sum("n").alias("n"))
+
+def _counted_grams(docs: DataFrame, keys_of, least: float, parts: int) -> DataFrame:
+    """(g, c, n, x) of the n-grams g that occur ``least`` times: context, count and last symbol, which follows from g and c.
+
+    The n-grams are dealt by ranges of their hashes, a row for all of a task's n-grams in a range; each range is added up by itself."""
+    schema = "part int, g binary, c binary, n binary"
+    target = arrow_schema(schema)
+
+    def deal(batches):
+        for columns in _taken(batches, keys_of, ("g", "c")):
+            part = ((columns["g"].view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            if not len(part):
+                continue
+            own = [columns["g"], columns["c"], columns["n"].astype(np.uint32)]
+            edge = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])  # they come in the order of their upper bits
+            for at in range(0, len(edge) - 1, 64):
+                some = list(zip(edge[at : at + 64], edge[at + 1 : at + 65]))
+                yield record({"part": part[[lo for lo, _ in some]].astype(np.int32), **{name: [x[lo:hi].tobytes() for lo, hi in some] for name, x in zip("gcn", own)}}, target)
+
+    def add_up(batches):
+        blocks = defaultdict(list)
+        for batch in batches:
+            for part, *block in zip(*(x.to_pylist() for x in batch.columns)):
+                blocks[part].append(block)
+        while blocks:
+            g, c, n = (np.frombuffer(b"".join(x), dtype=kind) for x, kind in zip(zip(*blocks.popitem()[1]), (np.uint64, np.uint64, np.uint32)))
+            order = np.argsort(g)
+            g = g[order]
+            head = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+            n = np.add.reduceat(n[order].astype(np.int64), head)
+            head, n = head[n >= least], n[n >= least]
+            g, c = g[head], c[order[head]]
+            x = unmix(g) - c * _STEP
+            for lo in range(0, len(g), HANDED):
+                yield pa.RecordBatch.from_arrays([pa.array(v[lo : lo + HANDED].view(np.int64)) for v in (g, c, n, x)], names=["g", "c", "n", "x"])
+
+    dealt = docs.select("text").mapInArrow(deal, schema).repartition(max(parts // 2, 1), "part")
+    return dealt.mapInArrow(add_up, "g long, c long, n long, x long")
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -200,6 +269,13 @@ def _grams(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[list[np.n
     return grams, np.arange(len(padded)) - np.repeat(head, counts + 1) + 1, np.flatnonzero(inside)
 
 
+def _shortened(batches):
+    """(g, c, n, s) of (g, c, n, x, b): the n-gram without its oldest symbol is its last symbol x after b."""
+    for batch in batches:
+        x, b = (batch.column(k).to_numpy().view(np.uint64) for k in (3, 4))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(signed(mix(b * _STEP + x)))], names=["g", "c", "n", "s"])
+
+
 class Tree:
     """Frequent words, and frequent retained contexts as nodes; node 0 is the empty context."""
 
@@ -239,28 +315,21 @@ def train(docs: DataFrame, scratch: Scratch, depth: int = DEPTH, hot_min: float
             break
         candidates = spark.sparkContext.broadcast(_bit_map(wanted.select("g")))
 
-        def longer(texts, size=size, candidates=candidates):
+        def keys(texts, size=size, candidates=candidates):
             grams, place, _ = _grams(*_tokens(texts), size + 1)
             at = np.flatnonzero(place > size)
-            return grams, at[candidates.value.find(grams[size - 1][at - 1])]
-
-        def keys(texts, size=size, longer=longer):
-            grams, at = longer(texts)
-            return (grams[size][at],)
-
-        counts = scratch.stage(_counted(docs, keys).filter(F.col("n") >= least), f"counts{size + 1}")
-        counted = spark.sparkContext.broadcast(_bit_map(counts.select("k")))
-
-        def parts(texts, size=size, longer=longer, counted=counted):
-            grams, at = longer(texts)
-            at = at[counted.value.find(grams[size][at])]
-            return grams[size][at], grams[size - 1][at - 1], grams[size - 1][at]
+            at = at[candidates.value.find(grams[size - 1][at - 1])]
+            return grams[size][at], grams[size - 1][at - 1]
 
         # g: the n-gram, seen n times; c: its context; s: the n-gram without its oldest symbol, seen m times
-        table = _counted(docs, parts, ("g", "c", "s")).drop("n").join(counts.withColumnRenamed("k", "g"), "g")
+        table = _counted_grams(docs, keys, least, max(int(total) // TOKENS_A_RANGE, MIN_RANGES))
+        if size == 1:
+            table = table.withColumnRenamed("x", "s")
+        else:  # b: the context without its oldest symbol
+            table = table.join(wanted.select(F.col("g").alias("c"), F.col("s").alias("b")), "c")
+            table = table.select("g", "c", "n", "x", "b").mapInArrow(_shortened, "g long, c long, n long, s long")
         table = table.join(shorter.select(F.col("g").alias("s"), F.col("n").alias("m")), "s")
         table = scratch.stage(table.select("g", "c", "s", "n", "m"), f"grams{size + 1}")
-        scratch.drop(counts)
         low = F.col("m") - DISCOUNT if size > 1 else F.col("m") + ADD
         found = table.groupBy("c").agg(
             F.count("*").alias("kinds"),
@@ -324,8 +393,17 @@ class Model:
         self.tree = Tree(counts, column("c").view(np.uint64), column("p").view(np.uint64), max([i + 1 for i, t in enumerate(held) if len(t)], default=0))
         self.back = np.append(0.0, column("back"))
         entries = [v.filter(hot).toArrow() for v in values[1::2]]
-        self.entries = Lookup(np.concatenate([keys(t.column("k")) for t in entries])) if entries else Lookup(np.zeros(0, np.uint64))
-        self.explicit = np.concatenate([t.column("v").to_numpy() for t in entries]) if entries else np.zeros(0)
+        entry_keys = np.concatenate([np.zeros(0, np.uint64), *(keys(t.column("k")) for t in entries)])
+        self.explicit = np.concatenate([np.zeros(0), *(t.column("v").to_numpy() for t in entries)])
+        # what workers look up: a word's back-off is beside the word; longer n-grams have a value and a back-off, either may be 0
+        nodes = column("c").view(np.uint64)
+        self.word_back = np.append(0.0, column("back"))[self.tree.nodes.find(keys(words.column("k"))) + 1]
+        self.start_back = self.back[self.tree.nodes.find(np.array([START]))[0] + 1]
+        longer = np.unique(np.concatenate([entry_keys, nodes]))
+        self.longer = Lookup(longer)
+        self.value, self.after = np.zeros(len(longer)), np.zeros(len(longer))
+        self.value[np.searchsorted(longer, entry_keys)] = self.explicit
+        self.after[np.searchsorted(longer, nodes)] = column("back")
         self.values = values[0]
         for other in values[1:]:
             self.values = self.values.union(other)
@@ -334,29 +412,37 @@ class Model:
         self.rare = _bit_map(cold)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "values"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("values", "tree", "back", "explicit")}
 
     def _parts(self, hashes: np.ndarray, counts: np.ndarray):
-        """As ``score``, and the n-grams whose values are in the tables only: text number, key, whether it is a word."""
+        """As ``score``, and the n-grams whose values are in the tables only: text number and key of the words, and of the others.
+
+        An n-gram is in the tables only where it is without its oldest symbol, from three symbols on."""
         grams, place, at = _grams(hashes, counts, self.size)
         text = np.repeat(np.arange(len(counts)), counts + 1)
         out, unigram, hot = np.zeros(len(place) + 1), np.zeros(len(place)), np.zeros(len(place), dtype=bool)
         found = self.words.find(hashes)
-        hot[at] = found >= 0
-        unigram[at[found >= 0]] = self.base[found[found >= 0]]
+        known, word = at[found >= 0], found[found >= 0]
+        hot[known] = True
+        unigram[known] = self.base[word]
         out[:-1] += unigram
-        rest = [(text[at[found < 0]], hashes[found < 0], True)]
-        for size in range(1, self.size + 1):
-            where = np.flatnonzero(place >= size)
+        out[known + 1] += self.word_back[word]
+        out[np.flatnonzero(place == 1) + 1] += self.start_back
+        # a rare word brings its back-off along with its count
+        rest = [(text[at[found < 0]], hashes[found < 0])]
+        where = np.arange(len(place))
+        for size in range(2, self.size + 1):
+            where = where[place[where] >= size]
             key = grams[size - 1][where]
-            entry, node = self.entries.find(key), self.tree.nodes.find(key)
-            out[where[entry >= 0]] += self.explicit[entry[entry >= 0]]
-            out[where[node >= 0] + 1] += self.back[node[node >= 0] + 1]
-            left = (entry < 0) & (node < 0)
-            # a rare word brings its back-off along with its count
-            if size > 1:
-                left = left & self.rare.find(key)
-                rest.append((text[where[left]], key[left], False))
+            found = self.longer.find(key)
+            inside = found >= 0
+            out[where[inside]] += self.value[found[inside]]
+            out[where[inside] + 1] += self.after[found[inside]]
+            left = np.flatnonzero(~inside)
+            left = left[self.rare.find(key[left])]
+            rest.append((text[where[left]], key[left]))
+            inside[left] = True
+            where = where[inside]
         return out[:-1][at], unigram[at], hot[at], rest
 
     def score(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -368,59 +454,63 @@ def score(docs: DataFrame, unigrams: DataFrame, model: Model, scratch: Scratch)
     """Per row of ``docs`` (doc_id, held_out, text): doc_id, held_out, n_tokens, n_known, base_score, score."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    schema = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>"
+    facts = "doc_id: long, held_out: boolean, n_tokens: long, n_known: long, base: double, score: double"
+    schema = f"uid long, k long, m int, doc struct<{facts}>"
     target = arrow_schema(schema)
 
     def run(batches):
         from pyspark import TaskContext
 
+        kind = target.field("doc").type
         uid = TaskContext.get().partitionId() << 40
         for part in slices(batches, 2, SCORE_BYTES):
             hashes, counts = _tokens(part.column(2))
             value, unigram, hot, rest = shared.value._parts(hashes, counts)
             starts = np.cumsum(counts) - counts
             per_doc = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has its end token
-            doc = np.concatenate([r[0] for r in rest])
-            rare = np.concatenate([r[1] for r in rest])
-            word = np.concatenate([np.full(len(r[0]), r[2]) for r in rest])
-            order = np.lexsort((word, rare, doc))
-            doc, rare, word = doc[order], rare[order], word[order]
-            head = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1]) | (word[1:] != word[:-1])])) if len(doc) else np.zeros(0, np.int64)
-            times = np.diff(np.append(head, len(doc))) * np.where(word[head], 1, -1)  # below 0: not a word
-            kinds = np.bincount(doc[head], minlength=len(counts))
-            yield record({
-                "uid": uid + np.arange(len(counts)),
-                "doc_id": part.column(0),
-                "held_out": part.column(1),
-                "n_tokens": counts,
-                "n_known": per_doc(hot.astype(np.int64)),
-                "base": per_doc(unigram),
-                "score": per_doc(value),
-                "rare": lists(signed(rare[head]), kinds, pa.int64()),
-                "times": lists(times.astype(np.int32), kinds, pa.int32()),
-            }, target)
+            own = [part.column(0), part.column(1), pa.array(counts), pa.array(per_doc(hot.astype(np.int64))), pa.array(per_doc(unigram)), pa.array(per_doc(value))]
+            uids = uid + np.arange(len(counts))
+            doc = pa.StructArray.from_arrays([x.cast(f.type) for x, f in zip(own, kind)], fields=list(kind))
+            # a key of its own, which no table holds, so that the texts are dealt evenly
+            yield record({"uid": uids, "k": signed(mix(uids.astype(np.uint64))), "m": np.zeros(len(counts), np.int32), "doc": doc}, target)
+            at, rare = (np.concatenate(x) for x in zip(*rest))
+            order = np.argsort((at.astype(np.uint64) << np.uint64(48)) ^ (rare >> np.uint64(16)))
+            at, rare, word = at[order], rare[order], order < len(rest[0][0])
+            fresh = np.ones(len(at), dtype=bool)
+            fresh[1:] = (at[1:] != at[:-1]) | (rare[1:] != rare[:-1]) | (word[1:] != word[:-1])
+            head = np.flatnonzero(fresh)
+            times = np.diff(np.append(head, len(at))) * np.where(word[head], 1, -1)  # below 0: not a word
+            for lo in range(0, len(head), HANDED):
+                some = head[lo : lo + HANDED]
+                yield record({"uid": uids[at[some]], "k": signed(rare[some]), "m": times[lo : lo + HANDED].astype(np.int32), "doc": pa.nulls(len(some), kind)}, target)
             uid += len(counts)
 
-    rows = scratch.stage(docs.select("doc_id", "held_out", "text").mapInArrow(run, schema), "scored")
-    rare = rows.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("uid", F.col("r.rare").alias("k"), F.col("r.times").alias("m"))
+    values = model.values.select("k", "v", "word")
+    # the tables are the built side of the join, a bounded part a task
+    tasks = values.count() // VALUES_A_TASK + 1
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        values = values.repartition(tasks, "k")
     unseen = float(np.log10(ADD / model.scale))
-    is_word = F.col("m") > 0
-    times = F.abs("m")
-    rare = rare.join(model.values.select("k", "v", "word"), "k", "left").groupBy("uid").agg(
-        F.sum(F.when(F.col("word") & is_word, F.col("m")).otherwise(0)).alias("known"),
-        F.sum(F.when(is_word, F.col("m") * F.when(F.col("word"), F.col("v")).when(F.col("word").isNull(), F.lit(unseen)).otherwise(0.0)).otherwise(0.0)).alias("part"),
-        F.sum(F.when(F.col("word"), F.lit(0.0)).otherwise(times * F.coalesce("v", F.lit(0.0)))).alias("more"),
-    )
-    none = F.lit(0)
-    real = lambda name: F.coalesce(name, none.cast("double"))
-    return rows.drop("rare", "times").join(rare, "uid", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("known", none)).cast("long").alias("n_known"),
-        (F.col("base") + real("part")).alias("base_score"),
-        (F.col("score") + real("part") + real("more")).alias("score"),
-    )
+    is_word = (F.col("m") > 0) & F.coalesce("word", F.lit(True))
+    part = F.when(is_word, F.col("m") * F.coalesce("v", F.lit(unseen))).otherwise(0.0)
+    more = F.when(~F.col("word"), F.abs("m") * F.col("v")).otherwise(0.0)
+    done = []
+    for turn in range(SCORE_TURNS):
+        some = docs.select("doc_id", "held_out", "text").filter(F.pmod(F.xxhash64("doc_id"), F.lit(SCORE_TURNS)) == turn)
+        found = some.mapInArrow(run, schema).join(values.hint("shuffle_hash"), "k", "left")
+        out = found.groupBy("uid").agg(
+            F.max("doc.doc_id").alias("doc_id"),
+            F.max("doc.held_out").alias("held_out"),
+            F.sum("doc.n_tokens").alias("n_tokens"),
+            F.sum(F.coalesce("doc.n_known", F.when((F.col("m") > 0) & F.col("word"), F.col("m")).otherwise(0))).cast("long").alias("n_known"),
+            F.sum(F.coalesce("doc.base", part)).alias("base_score"),
+            F.sum(F.coalesce("doc.score", part + more)).alias("score"),
+        )
+        done.append(scratch.stage(out.drop("uid"), f"scored{turn}"))
+    out = done[0]
+    for other in done[1:]:
+        out = out.union(other)
+    return out
 
 
 def op9_lm_score(spark, sf_dir: str) -> DataFrame:

@@ -168,3 +168,45 @@ def test_workers_get_texts_in_batches_of_bounded_size(spark):
     staged = Scratch(spark, "t", batch_bytes=100_000).stage(texts, "x")
     assert max(r.n for r in staged.collect()) < 200_000 and sum(r.n for r in staged.collect()) > 1_800_000
     assert spark.conf.get(BATCH_BYTES) == before
+
+
+def test_texts_are_read_four_times_to_train(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = [(i, text) for i, text in corpus() if not held(i)]
+    d = docs(spark, rows).select(seen("text").alias("text"))
+    lm.train(d, Scratch(spark, "t"), hot_min=1e-3, context_min=2, entry_min=2, gain_per_symbol=0.0)
+    assert read.value == 4 * len(rows)
+
+
+def test_grams_are_counted_with_contexts_and_last_symbols(spark, monkeypatch):
+    monkeypatch.setattr(lm, "HANDED", 7)
+    rows = corpus()
+
+    def keys(texts):
+        grams, place, _ = lm._grams(*lm._tokens(texts), 3)
+        at = np.flatnonzero(place > 2)
+        return grams[2][at], grams[1][at - 1]
+
+    got = {(r.g, r.c, r.x): r.n for r in lm._counted_grams(docs(spark, rows), keys, 2, 5).collect()}
+    want = Counter()
+    for _, text in rows:
+        hashes, counts = lm._tokens(pa.array([text]))
+        grams, place, _ = lm._grams(hashes, counts, 3)
+        want.update((int(grams[2][i].view(np.int64)), int(grams[1][i - 1].view(np.int64)), int(grams[0][i].view(np.int64))) for i in np.flatnonzero(place > 2))
+    assert len(got) > 20 and got == {k: n for k, n in want.items() if n >= 2}
+
+
+def test_scored_n_grams_are_not_staged(spark, monkeypatch):
+    # a staged table holds the scores of its part of the texts, and no list of n-grams
+    seen = []
+    stage = Scratch.stage
+    monkeypatch.setattr(Scratch, "stage", lambda self, df, name, *more, **named: seen.append((name, df.columns)) or stage(self, df, name, *more, **named))
+    both(spark, corpus())
+    scored = [columns for name, columns in seen if name.startswith("scored")]
+    assert len(scored) > 1 and all(columns == ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"] for columns in scored)
