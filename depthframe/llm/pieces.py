@@ -26,6 +26,7 @@ import heapq
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
 from itertools import filterfalse
 
 import numpy as np
@@ -43,6 +44,7 @@ HOT_UNITS = 1 << 18
 HELD_UNITS = 150_000
 PREFIX = 4
 UNITS_A_TASK = 40_000
+TURNS = 2
 SHORT = 250
 MAX_BROADCAST_PIECES = 1_000_000
 UNKNOWN_PENALTY = 10.0
@@ -331,6 +333,11 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS, round_tr
     ``round_trip`` names a further column: whether the piece numbers decode to the text again. They are
     decoded where they are made, so a task holds one Python worker, not two.
     """
+    return encoder(docs, pieces, hot_units, round_trip)(docs)
+
+
+def encoder(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS, round_trip: str | None = None):
+    """A function that does what ``encode`` does, for ``docs`` or any part of its rows; the units of all texts are segmented once."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "pieces")
     splitter, pairs = pieces.splitter(), pieces.neighbours()
@@ -339,6 +346,12 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS, round_tr
     scratch.drop(vocabulary)
     hot = coded.orderBy(F.desc("n"), "unit").limit(hot_units).select("unit", "code").toArrow()
     shared = spark.sparkContext.broadcast(dict(zip(hot.column("unit").to_pylist(), hot.column("code").to_pylist())))
+    return lambda part: _attached(part, coded, shared, pieces, round_trip)
+
+
+def _attached(docs: DataFrame, coded: DataFrame, shared, pieces: Pieces, round_trip: str | None) -> DataFrame:
+    """``docs`` plus ids from the coded units; the most frequent ones are ``shared``."""
+    splitter, pairs = pieces.splitter(), pieces.neighbours()
     schema = "__th long, k int, unit string"
     target = arrow_schema(schema)
 
@@ -423,9 +436,20 @@ def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:
 
     pieces = read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return encode(docs, pieces, round_trip="round_trip").select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_pieces"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        "round_trip",
-    )
+    return digests(docs, pieces)
+
+
+def digests(docs: DataFrame, pieces: Pieces) -> DataFrame:
+    """doc_id, n_pieces, ids_sha256 and round_trip of ``docs`` (doc_id, text), in ``TURNS`` parts: texts and units of one part are on disk at a time."""
+    scratch = Scratch(docs.sparkSession, "digests")
+    attach = encoder(docs, pieces, round_trip="round_trip")
+    done = []
+    for turn in range(TURNS):
+        part = attach(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(TURNS)) == turn)).select(
+            "doc_id",
+            F.size("ids").cast("long").alias("n_pieces"),
+            F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+            "round_trip",
+        )
+        done.append(scratch.stage(part, f"part{turn}"))
+    return reduce(DataFrame.union, done)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from depthframe.llm import pieces
+from depthframe.llm.common import Scratch
 from tests.llm.fixtures import docs, prose
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -110,3 +111,18 @@ def test_columns_with_the_names_of_results(spark):
     frame = docs(spark, [(1, "one two"), (2, None)], extra=True).withColumn("round_trip", F.lit("kept"))
     out = corpus_pipeline.piece_stage(spark, frame, "")
     assert out.columns[-2:] == ["ids", "round_trip"] and all(r.round_trip is True and r.score == "kept" for r in out.collect())
+
+
+def test_digests_of_parts_are_those_of_the_whole(spark, monkeypatch):
+    import hashlib
+
+    rows = [(i, f"{prose(i % 7, 20)} u{i}") for i in range(40)] + [(None, "no id"), (None, None), (5, "again"), (6, "")]
+    seen = []
+    stage = Scratch.stage
+    monkeypatch.setattr(Scratch, "stage", lambda self, df, name, *more, **named: seen.append((name, df.columns)) or stage(self, df, name, *more, **named))
+    model, table = pieces.read_pieces(PATH), docs(spark, rows).select("doc_id", "text")
+    got = sorted((str(r.doc_id), r.n_pieces, r.ids_sha256, r.round_trip) for r in pieces.digests(table, model).collect())
+    parts = [columns for name, columns in seen if name.startswith("part")]
+    assert len(parts) > 1 and all(columns == ["doc_id", "n_pieces", "ids_sha256", "round_trip"] for columns in parts)
+    whole = pieces.encode(table, model).collect()
+    assert got == sorted((str(r.doc_id), len(r.ids), hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest(), True) for r in whole)
