@@ -12,9 +12,10 @@ and again. That fold runs in Arrow batches over the same grouped edges, because
 took too long (see the README). Characters without a piece fall back to their bytes.
 
 Scale: the distinct units are stored once; the lattice is built per distinct unit, not per
-occurrence, and joins and groups units where they lie. The ``HOT_UNITS`` most frequent units are sent to every task; a
-text fetches the numbers of its other units by an equi-join, in the order of their first place. Per text one shuffle
-moves the compressed text to them.
+occurrence, and joins and groups units where they lie. The ``HOT_UNITS`` most frequent units are sent to every task, where a text
+becomes their piece numbers with gaps; it fetches the numbers of its other units by an equi-join, in the order of their first
+place. Per text one shuffle moves its numbers, and the compressed text if that is kept, to them. Whether numbers decode to the text
+is told by SHA-256 digests of both.
 
 Defined results: a null or empty text has no pieces and decodes to an empty text; equal rows are
 encoded alike; the mark U+2581 in a text decodes as a blank, as in the library; extra columns stay.
@@ -22,12 +23,12 @@ encoded alike; the mark U+2581 in a text decodes as a blank, as in the library;
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +36,17 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from depthframe.llm.common import Scratch, arrow_schema, lists, record, slices
+from depthframe.llm.common import SLICE_BYTES, Scratch, arrow_schema, lists, record, slices
 
 MARK = "▁"
 HOT_UNITS = 1 << 18
 HELD_UNITS = 150_000
 PREFIX = 4
 UNITS_A_TASK = 40_000
-TURNS = 2
+GROUPS_IN_MEMORY = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+TURNS = 3
 SHORT = 250
 MAX_BROADCAST_PIECES = 1_000_000
 UNKNOWN_PENALTY = 10.0
@@ -83,8 +85,8 @@ class Pieces:
 
     @property
     def packed(self) -> np.dtype:
-        """The narrowest type that holds every piece number."""
-        return np.dtype(np.uint16 if max([*self.ids, *self.byte_ids, self.unknown]) < 1 << 16 else np.int32)
+        """The narrowest type that holds every piece number; its largest value is none, and stands for a unit yet to be looked up."""
+        return np.dtype(np.uint16 if max([*self.ids, *self.byte_ids, self.unknown]) < (1 << 16) - 1 else np.int32)
 
     @property
     def longest(self) -> int:
@@ -158,8 +160,8 @@ def _keyed(spark: SparkSession, pieces: Pieces, least: int) -> tuple[DataFrame,
     return (F.broadcast(rows) if len(pieces.names) <= MAX_BROADCAST_PIECES else rows), sorted({len(k) for k in held})
 
 
-def _edges(words: DataFrame, table: DataFrame, sizes: list[int], least: int, tasks: int) -> DataFrame:
-    """(unit, n, edges): the pieces among the substrings of short units, as (rank, s, e, score).
+def _edges(words: DataFrame, table: DataFrame, sizes: list[int], least: int, tasks: int, packed: bool = False) -> DataFrame:
+    """(unit, n, edges): the pieces among the substrings of short units, as (rank, s, e, score), or ``packed`` (rank, s, e) in one number.
 
     A place of a unit explodes to its substrings of the lengths of a key; those that a piece begins with are
     joined, and the pieces that go on as the unit does are edges. Every unit also has one row without a
@@ -174,7 +176,10 @@ def _edges(words: DataFrame, table: DataFrame, sizes: list[int], least: int, tas
     joined = starts.join(table, "key", "left").filter("s < 0 or pieces is not null").select("uid", "unit", "n", "s", F.explode_outer("pieces").alias("p"))
     length = F.length("p.piece")
     found = joined.filter((F.col("s") < 0) | (F.substring("unit", F.col("s") + 1, length) == F.col("p.piece")))
-    edge = F.struct(F.col("p.rank").alias("rank"), "s", (F.col("s") + length).alias("e"), F.col("p.score").alias("score"))
+    if packed:
+        edge = (F.col("p.rank") * 256 + F.col("s")) * 256 + F.col("s") + length
+    else:
+        edge = F.struct(F.col("p.rank").alias("rank"), "s", (F.col("s") + length).alias("e"), F.col("p.score").alias("score"))
     return found.groupBy("uid", "unit", "n").agg(F.collect_list(F.when(F.col("s") >= 0, edge)).alias("edges")).drop("uid")
 
 
@@ -199,10 +204,9 @@ def segment(vocabulary: DataFrame, pieces: Pieces, coded: bool = False) -> DataF
     if not pieces.bpe:
         folded = _viterbi(vocabulary, table, sizes, pieces, tasks)
         return folded.mapInArrow(_finish(pieces, lambda unit, cuts: cuts, coded), CODED) if coded else folded
-    short = _edges(vocabulary.filter(F.length("unit") <= SHORT), table, sizes, least, tasks)
-    packed = F.transform("edges", lambda x: (x["rank"] * 256 + x["s"]) * 256 + x["e"])
+    short = _edges(vocabulary.filter(F.length("unit") <= SHORT), table, sizes, least, tasks, packed=True)
     finish = _finish(pieces, lambda unit, edges: joined(len(unit), edges), coded)
-    done = short.select("unit", "n", packed.alias("edges")).mapInArrow(finish, CODED if coded else SEGMENT)
+    done = short.mapInArrow(finish, CODED if coded else SEGMENT)
     heap = _finish(pieces, _by_heap, coded)
     long = _long_edges(vocabulary.filter(F.length("unit") > SHORT), _table(vocabulary.sparkSession, pieces), pieces.longest)
     return done.unionByName(long.mapInArrow(heap, CODED if coded else SEGMENT))
@@ -232,6 +236,9 @@ def _table(spark: SparkSession, pieces: Pieces) -> DataFrame:
     return F.broadcast(table) if len(pieces.names) <= MAX_BROADCAST_PIECES else table
 
 
+_MASKS: dict[int, tuple[int, int]] = {}  # by both ends of an edge, at most 2^16
+
+
 def joined(length: int, edges: list[int]) -> list[int]:
     """Cuts left after joining neighbours, best rank first and leftmost among equals.
 
@@ -240,8 +247,12 @@ def joined(length: int, edges: list[int]) -> list[int]:
     places = (1 << (length + 1)) - 1
     masks = []
     for code in sorted(edges):
-        s, e = code >> 8 & 255, code & 255
-        masks.append((1 << s | 1 << e, (1 << e) - (2 << s)))
+        place = code & 65535
+        mask = _MASKS.get(place)
+        if mask is None:
+            s, e = place >> 8, place & 255
+            mask = _MASKS[place] = (1 << s | 1 << e, (1 << e) - (2 << s))
+        masks.append(mask)
     again = True
     while again:
         again = False
@@ -339,73 +350,99 @@ def encode(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS, round_tr
 def encoder(docs: DataFrame, pieces: Pieces, hot_units: int = HOT_UNITS, round_trip: str | None = None):
     """A function that does what ``encode`` does, for ``docs`` or any part of its rows; the units of all texts are segmented once."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "pieces")
+    scratch = Scratch(spark, "pieces", batch_bytes=SLICE_BYTES)
     splitter, pairs = pieces.splitter(), pieces.neighbours()
     vocabulary = scratch.stage(_vocabulary(docs, pieces), "vocabulary")
-    coded = scratch.stage(segment(vocabulary, pieces, coded=True), "coded")
+    # a task's edges are a few numbers for each of its UNITS_A_TASK units: they are grouped in memory, not sorted
+    lattice = Scratch(spark, "lattice", batch_bytes=SLICE_BYTES)
+    lattice.settings[GROUPS_IN_MEMORY] = str(2 * UNITS_A_TASK)
+    coded = lattice.stage(segment(vocabulary, pieces, coded=True), "coded")
     scratch.drop(vocabulary)
     hot = coded.orderBy(F.desc("n"), "unit").limit(hot_units).select("unit", "code").toArrow()
     shared = spark.sparkContext.broadcast(dict(zip(hot.column("unit").to_pylist(), hot.column("code").to_pylist())))
-    return lambda part: _attached(part, coded, shared, pieces, round_trip)
+    return lambda part, stage=None: _attached(part, coded, shared, pieces, round_trip, stage)
 
 
-def _attached(docs: DataFrame, coded: DataFrame, shared, pieces: Pieces, round_trip: str | None) -> DataFrame:
-    """``docs`` plus ids from the coded units; the most frequent ones are ``shared``."""
-    splitter, pairs = pieces.splitter(), pieces.neighbours()
-    schema = "__th long, k int, unit string"
-    target = arrow_schema(schema)
-
-    def rarer(batches):
-        known = shared.value
-        for part in slices(batches, 1):
-            keys, places, found = [], [], []
-            for th, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                mine = list(dict.fromkeys(filterfalse(known.__contains__, units(text, splitter, pairs))))
-                keys += [th] * len(mine)
-                places += range(len(mine))
-                found += mine
-            yield record({"__th": keys, "k": places, "unit": found}, target)
+def _attached(docs: DataFrame, coded: DataFrame, shared, pieces: Pieces, round_trip: str | None, stage=None) -> DataFrame:
+    """``docs`` plus ids from the coded units; the most frequent ones are ``shared``.
 
+    Texts are cut once where ``stage`` stores what is found, twice without it. A stored part holds no text, and neither does its result."""
+    splitter, pairs = pieces.splitter(), pieces.neighbours()
+    kept = [f for f in docs.schema.fields if f.name not in ("ids", round_trip) and not (stage and f.name == "text")]
+    kind, gap = pieces.packed, np.array([np.iinfo(pieces.packed).max], dtype=pieces.packed).tobytes()
+    asked = [StructField("__th", LongType()), StructField("__rare", ArrayType(StringType()))]
+    found = [StructField("__codes", BinaryType()), StructField("__which", ArrayType(IntegerType())), StructField("__sum", BinaryType())]
+    carried = [StructField(f.name, BinaryType()) if f.name == "text" else f for f in kept]
+
+    def cutter(fields: list[StructField]):
+        """For each text its rarer units, in the order of their first place, and if asked the numbers of all others, with gaps."""
+        target, full = to_arrow_schema(StructType(fields)), len(fields) > len(asked)
+
+        def run(batches):
+            known, press = shared.value, zstandard.ZstdCompressor(level=3).compress
+            for part in slices(batches, 0):
+                texts, rows = part.column(0).to_pylist(), []
+                for text in texts:
+                    own = units(text, splitter, pairs)
+                    codes = list(map(known.get, own))
+                    rare, which = {}, []
+                    if None in codes:
+                        missing = [u for u, code in zip(own, codes) if code is None]
+                        rare = {u: i for i, u in enumerate(dict.fromkeys(missing))}
+                        if full:
+                            which = [rare[u] for u in missing]
+                            codes = [gap if code is None else code for code in codes]
+                    same = hashlib.sha256((text or "").replace(MARK, " ").encode("utf-8")).digest() if full and round_trip else None
+                    rows.append((list(rare), b"".join(codes) if full else None, which, same))
+                columns = dict(zip(("__rare", "__codes", "__which", "__sum"), zip(*rows)))
+                columns["__th"] = part.column(1)
+                for i, f in enumerate(carried if full else []):
+                    columns[f.name] = [None if t is None else press(t.encode("utf-8")) for t in texts] if f.name == "text" else part.column(2 + i)
+                yield record(columns, target)
+
+        return run
+
+    own = [F.lit(None).cast("binary").alias("text") if f.name == "text" else F.col(f"`{f.name}`") for f in kept]
+    texts = docs.select(F.col("text").alias("__text"), F.xxhash64("text").alias("__th"), *own)
+    fields = [*asked, *found, *carried]
+    cut = texts.mapInArrow(cutter(fields), StructType(fields))
+    if stage:
+        cut = stage(cut)
+        needed = cut.select("__th", "__rare")
+    else:
+        needed = texts.select("__text", "__th").mapInArrow(cutter(asked), StructType(asked))
     # the units a text needs, in their order, depend on the text alone: copies share them. A unit outside the
     # broadcast is rarer than all of those, so a text of many copies asks for few of them.
-    needed = docs.select(F.xxhash64("text"), "text").mapInArrow(rarer, schema)
-    fetched = needed.join(coded.select("unit", "code"), "unit").groupBy("__th").agg(F.array_sort(F.collect_set(F.struct("k", "code"))).alias("__rare"))
-
-    @F.arrow_udf("binary")
-    def pack(texts: pa.Array) -> pa.Array:
-        press = zstandard.ZstdCompressor(level=3).compress
-        return pa.array([None if t is None else press(t.encode("utf-8")) for t in texts.to_pylist()], pa.binary())
+    needed = needed.select("__th", F.posexplode("__rare").alias("k", "unit"))
+    fetched = needed.join(coded.select("unit", "code"), "unit").groupBy("__th").agg(F.array_sort(F.collect_set(F.struct("k", "code"))).alias("__rarer"))
 
-    kept = [f for f in docs.schema.fields if f.name not in ("ids", round_trip)]
     flag = [StructField(round_trip, BooleanType())] if round_trip else []
     out = StructType([*kept, StructField("ids", ArrayType(IntegerType())), *flag])
     opened = to_arrow_schema(out)
-    at, kind = [f.name for f in kept].index("text"), pieces.packed
 
     def numbers(batches):
-        known, open_ = shared.value, zstandard.ZstdDecompressor().decompress
+        open_ = zstandard.ZstdDecompressor().decompress
         decode = _decoder(pieces) if flag else None
-        for part in slices(batches, at):
-            texts = [None if blob is None else open_(blob).decode("utf-8") for blob in part.column(at).to_pylist()]
+        for part in slices(batches, 0, SLICE_BYTES // 4):
             values, counts, same = [], [], []
-            for text, extra in zip(texts, part.column(part.num_columns - 1)):
-                own = units(text, splitter, pairs)
-                codes = list(map(known.get, own))
-                if extra.is_valid:
-                    mine = dict(zip(dict.fromkeys(u for u, code in zip(own, codes) if code is None), extra.values.field("code").to_pylist()))
-                    codes = [mine[u] if code is None else code for u, code in zip(own, codes)]
-                joined = b"".join(codes)
-                values.append(joined)
-                counts.append(len(joined) // kind.itemsize)
+            for codes, which, told, extra in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), part.column(part.num_columns - 1)):
+                if which:
+                    mine, lo, runs = extra.values.field("code").to_pylist(), 0, []
+                    for at, i in zip((np.flatnonzero(np.frombuffer(codes, dtype=kind) == np.iinfo(kind).max) * kind.itemsize).tolist(), which):
+                        runs += (codes[lo:at], mine[i])
+                        lo = at + kind.itemsize
+                    codes = b"".join([*runs, codes[lo:]])
+                values.append(codes)
+                counts.append(len(codes) // kind.itemsize)
                 if flag:
-                    same.append(decode(np.frombuffer(joined, dtype=kind)) == (text or "").replace(MARK, " "))
+                    same.append(hashlib.sha256(decode(np.frombuffer(codes, dtype=kind)).encode("utf-8")).digest() == told)
             ids = lists(np.frombuffer(b"".join(values), dtype=kind).astype(np.int32), counts, pa.int32())
-            columns = [pa.array(texts, pa.string()) if i == at else part.column(i) for i in range(len(kept))]
+            columns = [part.column(3 + i) for i in range(len(kept))]
+            columns = [pa.array([None if blob is None else open_(blob).decode("utf-8") for blob in c.to_pylist()], pa.string()) if f.name == "text" else c for c, f in zip(columns, kept)]
             flags = [pa.array(same, pa.bool_())] if flag else []
             yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(columns, opened)), ids.cast(opened.field("ids").type), *flags], schema=opened)
 
-    narrow = docs.select(*(pack("text").alias("text") if f.name == "text" else F.col(f"`{f.name}`") for f in kept), F.xxhash64("text").alias("__th"))
-    return narrow.join(fetched, "__th", "left").drop("__th").mapInArrow(numbers, out)
+    return cut.drop("__rare").join(fetched, "__th", "left").drop("__th").mapInArrow(numbers, out)
 
 
 def _decoder(pieces: Pieces):
@@ -441,15 +478,17 @@ def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:
 
 def digests(docs: DataFrame, pieces: Pieces) -> DataFrame:
     """doc_id, n_pieces, ids_sha256 and round_trip of ``docs`` (doc_id, text), in ``TURNS`` parts: texts and units of one part are on disk at a time."""
-    scratch = Scratch(docs.sparkSession, "digests")
+    scratch = Scratch(docs.sparkSession, "digests", batch_bytes=SLICE_BYTES)
     attach = encoder(docs, pieces, round_trip="round_trip")
     done = []
     for turn in range(TURNS):
-        part = attach(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(TURNS)) == turn)).select(
+        cut = []
+        part = attach(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(TURNS)) == turn), lambda df: cut.append(scratch.stage(df, "texts")) or cut[0]).select(
             "doc_id",
             F.size("ids").cast("long").alias("n_pieces"),
             F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
             "round_trip",
         )
         done.append(scratch.stage(part, f"part{turn}"))
+        scratch.drop(*cut)
     return reduce(DataFrame.union, done)

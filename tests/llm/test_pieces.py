@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from depthframe.llm import pieces
-from depthframe.llm.common import Scratch
+from depthframe.llm.common import BATCH_BYTES, Scratch
 from tests.llm.fixtures import docs, prose
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -126,3 +126,30 @@ def test_digests_of_parts_are_those_of_the_whole(spark, monkeypatch):
     assert len(parts) > 1 and all(columns == ["doc_id", "n_pieces", "ids_sha256", "round_trip"] for columns in parts)
     whole = pieces.encode(table, model).collect()
     assert got == sorted((str(r.doc_id), len(r.ids), hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest(), True) for r in whole)
+
+
+def test_texts_are_cut_twice_in_batches_of_bounded_size(spark, monkeypatch):
+    # once for the distinct units and once for their numbers; before, three times and with a task's texts at once
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    settings = []
+    stage = Scratch.stage
+    monkeypatch.setattr(Scratch, "stage", lambda self, *args, **named: settings.append(self.settings.get(BATCH_BYTES)) or stage(self, *args, **named))
+    rows = [(i, f"{prose(i % 7, 20)} u{i} u{i} v") for i in range(40)]
+    got = pieces.digests(docs(spark, rows).select("doc_id", seen("text").alias("text")), pieces.read_pieces(PATH)).collect()
+    assert len(got) == len(rows) and all(r.round_trip for r in got)
+    assert read.value == 2 * len(rows) and settings and all(settings)
+
+
+def test_gaps_are_filled_in_order(spark):
+    # rarer units that occur again, at both ends and side by side
+    rows = list(enumerate(["zq xw zq", "xw", "zq the zq xw xw", "the", "", None]))
+    model, table = SentencePieceProcessor(model_file=PATH), pieces.read_pieces(PATH)
+    for hot in (0, 1, 2):
+        out = pieces.encode(docs(spark, rows), table, hot_units=hot, round_trip="same").collect()
+        assert all(list(r.ids) == model.encode(r.text or "") and r.same for r in out)
