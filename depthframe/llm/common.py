@@ -7,6 +7,7 @@ task's memory does not grow with the length of a text or the size of a partition
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -26,6 +27,19 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 # ---------------------------------------------------------------- staging
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold for what runs inside the block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 class Scratch:
     """One folder for the staged tables of one operator call.
 
@@ -51,24 +65,23 @@ class Scratch:
             self.settings[BATCH_BYTES] = str(batch_bytes)
         _ROOTS.setdefault(spark.sparkContext.applicationId, []).append(self.root)
 
-    def stage(self, df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    def stage(self, df: DataFrame, name: str, narrow: bool = False, wide: bool = False) -> DataFrame:
         """Write ``df`` once and read it back: a lost executor costs a re-read of files.
 
         ``narrow`` is for tables of a few numbers a row, far smaller than the texts: they are
-        written by a sixteenth of the shuffle's tasks.
+        written by a sixteenth of the shuffle's tasks. ``wide`` is for rows of megabytes: each is a row
+        group of its own, so a writer and a reader hold one of them, however many a task has. (Parquet looks at
+        a row group's size every 100 rows, and Spark reads thousands of rows of a row group at once.)
         """
         self.n += 1
         if narrow:
             df = df.coalesce(max(12, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 16))
         path = f"{self.root}/{self.n:03d}-{name}"
-        before = {key: self.spark.conf.get(key, None) for key in self.settings}
-        for key, value in self.settings.items():
-            self.spark.conf.set(key, value)
-        try:
-            df.write.option("compression", "zstd").parquet(path)
-        finally:
-            for key, value in before.items():
-                self.spark.conf.unset(key) if value is None else self.spark.conf.set(key, value)
+        writer = df.write.option("compression", "zstd")
+        if wide:
+            writer = writer.option("parquet.block.row.count.limit", "1")
+        with settings(self.spark, self.settings):
+            writer.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._staged_at = path
         return out

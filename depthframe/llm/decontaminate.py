@@ -10,7 +10,8 @@ places off.
 
 Scale: the index is written where the text is read, without a shuffle. A document longer
 than a segment is cut into overlapping runs, so a segment is bounded by ``segment_words``
-however the corpus is skewed. Only hit documents are shuffled.
+however the corpus is skewed. A task holds one segment at a time, however many it has. Only hit
+documents are shuffled.
 
 Defined results: a null text has no words; an item without words has no window; a null
 item_id is ignored; a null doc_id stays null; equal rows give equal result rows; extra
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depthframe.llm.common import ALNUM, Scratch, arrow_schema, lists, record, signed, slices, word_hashes
+from depthframe.llm.common import ALNUM, BATCH_BYTES, SLICE_BYTES, Scratch, arrow_schema, lists, record, settings, signed, slices, word_hashes
 
 WINDOW = 10
 SLOP = 2
@@ -211,7 +212,8 @@ def search(index: DataFrame, windows: DataFrame, slop: int = SLOP, block_windows
                     yield pa.RecordBatch.from_pydict({"term": shared.value[found], "n": counts[at[found]].astype(np.int64)})
 
         total = index.select("terms", "counts").mapInArrow(count, schema).groupBy("term").agg(F.sum("n").alias("n"))
-        frequency = {r.term: r.n for r in total.collect()}
+        with settings(spark, {BATCH_BYTES: str(SLICE_BYTES)}):
+            frequency = {r.term: r.n for r in total.collect()}
         block = spark.sparkContext.broadcast(_Block(ids, rows, frequency))
 
         def match(batches, block=block):
@@ -276,10 +278,10 @@ def covered(starts: str, ends: str):
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = SLOP, segment_words: int = SEGMENT_WORDS) -> DataFrame:
     """Per row of ``docs``: doc_id, th (xxhash64 of the text), n_words, n_hit, items (sorted ids with an exact hit), n_near, near_items."""
-    scratch = Scratch(docs.sparkSession, "index")
-    index = scratch.stage(build_index(docs, segment_words, window - 1 + slop), "segments")
+    scratch = Scratch(docs.sparkSession, "index", batch_bytes=SLICE_BYTES)
+    index = scratch.stage(build_index(docs, segment_words, window - 1 + slop), "segments", wide=True)
     windows = scratch.stage(item_windows(items, window), "windows")
-    hit = search(index, windows, slop).groupBy("uid").agg(*(F.collect_list(c).alias(c) for c in ("starts", "ends", "items", "near_starts", "near_ends", "near_items")))
+    hit = scratch.stage(search(index, windows, slop), "hits").groupBy("uid").agg(*(F.collect_list(c).alias(c) for c in ("starts", "ends", "items", "near_starts", "near_ends", "near_items")))
     hit = hit.select(
         "uid",
         covered("starts", "ends").alias("n_hit"),

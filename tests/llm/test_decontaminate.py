@@ -1,6 +1,8 @@
 import hashlib
 import re
+from pathlib import Path
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from depthframe.llm import decontaminate as d
@@ -61,6 +63,17 @@ def test_blocks_of_windows_add_up(spark):
     assert sorted(one) == sorted(many) and one
 
 
+def test_a_segment_is_a_row_group(spark):
+    """Spark reads thousands of rows of a row group at once, so a task held all its segments."""
+    top = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = {*top.glob("index-*")}
+    found = d.decontaminate(docs(spark, TEXTS).coalesce(1), spark.createDataFrame(ITEMS, "item_id long, text string"), segment_words=64)
+    metas = [pq.ParquetFile(f).metadata for folder in {*top.glob("index-*")} - before for f in folder.glob("*-segments/*.parquet")]
+    sizes = [m.row_group(k).num_rows for m in metas for k in range(m.num_row_groups)]
+    assert len(sizes) > 50 and set(sizes) == {1}
+    assert found.count() == len(TEXTS)
+
+
 def test_empty_tables(spark):
     none = docs(spark, [])
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
