@@ -13,7 +13,8 @@ Score of a document: the sum over the item's distinct terms of
 ``w * ((10**9 * tf) div (1000 * tf + 8 * m))`` with ``w = floor(1000 * ln((2N + 2) / (2df + 1)))`` and
 ``m = 10 + (90 * n * N) div L``, all but the logarithm in whole numbers.
 
-Scale: segments are written where the text is read; no text and no posting is shuffled. Items
+Scale: segments are written where the text is read; no text and no posting is shuffled. A task
+holds one segment at a time, however many it has. Items
 go to the tasks in blocks of about ``block_terms`` terms, so a broadcast does not grow with the
 items; more items make more passes over the index. A task returns k rows an item, which a ranked
 limit merges.
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from depthframe.llm.common import ALNUM, Scratch, arrow_schema, lists, record, signed, slices, word_hashes
+from depthframe.llm.common import ALNUM, BATCH_BYTES, SLICE_BYTES, Scratch, arrow_schema, lists, record, settings, signed, slices, word_hashes
 
 K = 10
 SEGMENT_WORDS = 1 << 20
@@ -192,7 +193,7 @@ def search(index: DataFrame, items: DataFrame, k: int = K, block_terms: int = BL
     facts = index.agg(F.sum("n_docs").alias("n"), F.sum("n_words").alias("l")).first()
     n_docs, n_words = facts.n or 0, facts.l or 0
     n_blocks = -(-items.count() // block_terms) if n_docs else 0
-    found = spark.createDataFrame([], schema)
+    found = []
     for b in range(n_blocks):
         pairs = [(r.item_id, r.term) for r in items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == b).collect()]
         wanted = spark.sparkContext.broadcast(np.array(sorted({t % 2**64 for _, t in pairs}), dtype=np.uint64))
@@ -207,7 +208,9 @@ def search(index: DataFrame, items: DataFrame, k: int = K, block_terms: int = BL
                         yield pa.RecordBatch.from_pydict({"term": terms[at], "n": counts[at].astype(np.int64)})
 
         total = index.select("terms", "counts").mapInArrow(count, count_schema).groupBy("term").agg(F.sum("n").alias("n"))
-        block = spark.sparkContext.broadcast(Block(pairs, {r.term: r.n for r in total.collect()}, n_docs, n_words))
+        with settings(spark, {BATCH_BYTES: str(SLICE_BYTES)}):
+            frequency = {r.term: r.n for r in total.collect()}
+        block = spark.sparkContext.broadcast(Block(pairs, frequency, n_docs, n_words))
 
         def rank(batches, block=block):
             held = block.value
@@ -224,17 +227,21 @@ def search(index: DataFrame, items: DataFrame, k: int = K, block_terms: int = BL
                 if len(ids):
                     yield record({"item_id": [item] * len(ids), "doc_id": ids, "score": scores}, target)
 
-        found = found.unionByName(index.select("ids", "named", "sizes", "terms", "counts", "docs", "freqs").mapInArrow(rank, schema))
+        found.append(index.select("ids", "named", "sizes", "terms", "counts", "docs", "freqs").mapInArrow(rank, schema))
+    every = found[0] if found else spark.createDataFrame([], schema)
+    for more in found[1:]:
+        every = every.unionByName(more)
     # the limit on the rank is applied on the map side too
     falling = Window.partitionBy("item_id").orderBy(F.col("score").desc(), "doc_id")
-    return found.withColumn("rank", F.row_number().over(falling)).filter(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
+    return every.withColumn("rank", F.row_number().over(falling)).filter(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
 
 
 def rank_documents(docs: DataFrame, items: DataFrame, k: int = K, segment_words: int = SEGMENT_WORDS, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """The best ``k`` rows of ``docs`` (doc_id, text) for each of ``items`` (item_id, text)."""
-    scratch = Scratch(docs.sparkSession, "lexical")
-    index = scratch.stage(build_index(docs, segment_words), "segments")
-    return search(index, scratch.stage(item_terms(items), "items", narrow=True), k, block_terms)
+    scratch = Scratch(docs.sparkSession, "lexical", batch_bytes=SLICE_BYTES)
+    index = scratch.stage(build_index(docs, segment_words), "segments", wide=True)
+    wanted = scratch.stage(item_terms(items), "items", narrow=True)
+    return scratch.stage(search(index, wanted, k, block_terms), "ranked")
 
 
 def op12_lexical_search(spark, sf_dir: str) -> DataFrame:

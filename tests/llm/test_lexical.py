@@ -1,9 +1,11 @@
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from depthframe.llm import lexical
@@ -69,6 +71,20 @@ def test_few_accumulators(spark):
     assert sorted(ids.tolist()) == [600, 601, 602] and (np.diff(scores) == 0).all()
 
 
+def test_a_segment_is_a_row_group(spark):
+    """Spark reads thousands of rows of a row group at once, so a task held all its segments."""
+    top = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = {*top.glob("lexical-*")}
+    asked, frame = items(spark)
+    # a slice of texts is the least that a segment holds
+    rows = [(k, "the of stone " * 350_000) for k in range(4)]
+    found = lexical.rank_documents(docs(spark, rows).coalesce(1), frame, segment_words=50)
+    metas = [pq.ParquetFile(f).metadata for folder in {*top.glob("lexical-*")} - before for f in folder.glob("*-segments/*.parquet")]
+    sizes = [m.row_group(k).num_rows for m in metas for k in range(m.num_row_groups)]
+    assert len(sizes) == 4 and set(sizes) == {1}
+    assert sorted((r.item_id, r["rank"], r.doc_id, r.score) for r in found.collect()) == brute(rows, asked, 10) != []
+
+
 def test_empty_tables(spark):
     rows = corpus()[:3]
     asked, frame = items(spark)
